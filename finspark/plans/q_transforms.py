@@ -103,3 +103,137 @@ def stock_analytics_small_blocks(spark, sf):
     """T1 with tiny blocks so that nearly every row sits near a block border:
     exercises the halo path on the whole table."""
     return stock_analytics_query(spark, sf, rows_per_block=250)
+
+
+# ---------------------------------------------------------------- phase 2
+from finspark.functions.scalar import enrich_with_metadata  # noqa: E402
+from finspark.operators.enrich import Lookup, enrich  # noqa: E402
+from finspark.operators.ratios import RATIO_COLUMNS, financial_ratios, portfolio_analytics  # noqa: E402
+from finspark.plans.views import (FINANCIALS_SQL, POSITIONS_SQL, financials,  # noqa: E402
+                                  positions, table, with_views)
+
+
+@register("financial_ratios", with_views("""
+SELECT symbol, fiscal_period, fiscal_year,
+       total_liabilities / NULLIF(shareholders_equity, 0) AS debt_to_equity,
+       (total_assets * 0.4::DOUBLE) / NULLIF(total_liabilities * 0.3::DOUBLE, 0) AS current_ratio,
+       (total_assets * 0.3::DOUBLE) / NULLIF(total_liabilities * 0.3::DOUBLE, 0) AS quick_ratio,
+       net_income / NULLIF(total_assets, 0) * 100.0 AS roa,
+       net_income / NULLIF(shareholders_equity, 0) * 100.0 AS roe,
+       net_income / NULLIF(revenue, 0) * 100.0 AS profit_margin,
+       revenue / NULLIF(total_assets, 0) AS asset_turnover
+FROM financials""", financials=FINANCIALS_SQL))
+def q_financial_ratios(spark, sf):
+    return financial_ratios(financials(spark, sf)).select(
+        "symbol", "fiscal_period", "fiscal_year", *RATIO_COLUMNS)
+
+
+_T3_SQL = """
+SELECT portfolio_id, symbol, position_date, quantity, avg_cost, current_price,
+       quantity * current_price AS market_value,
+       (current_price - avg_cost) * quantity AS unrealized_pnl,
+       round(quantity * current_price
+             / NULLIF(SUM(quantity * current_price) OVER (PARTITION BY portfolio_id, position_date), 0), 6)
+         AS weight,
+       (current_price - avg_cost) * quantity / NULLIF(avg_cost * quantity, 0) * 100.0 AS pnl_percentage
+FROM positions"""
+
+
+@register("portfolio_positions", with_views(_T3_SQL, positions=POSITIONS_SQL))
+def q_portfolio_positions(spark, sf):
+    out = portfolio_analytics(positions(spark, sf))
+    return out.withColumn("weight", F.round("weight", 6))
+
+
+@register("position_weight", with_views(
+    "SELECT portfolio_id, position_date, symbol, weight FROM (" + _T3_SQL + ")",
+    positions=POSITIONS_SQL))
+def q_position_weight(spark, sf):
+    return q_portfolio_positions(spark, sf).select("portfolio_id", "position_date", "symbol", "weight")
+
+
+def _customers(spark, sf):
+    return table(spark, sf, "customer").withColumnsRenamed({"c_nationkey": "nationkey"})
+
+
+def _nation_lookup(spark, sf):
+    return table(spark, sf, "nation").withColumnsRenamed(
+        {"n_nationkey": "nationkey", "n_regionkey": "regionkey"})
+
+
+def _region_lookup(spark, sf):
+    return table(spark, sf, "region").withColumnsRenamed({"r_regionkey": "regionkey"})
+
+
+@register("lookup_join", """
+SELECT c.c_custkey, c.c_name, c.c_nationkey AS nationkey, c.c_acctbal, c.c_mktsegment,
+       n.n_name, n.n_regionkey AS regionkey, r.r_name
+FROM customer c
+LEFT JOIN nation n ON c.c_nationkey IS NOT DISTINCT FROM n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey IS NOT DISTINCT FROM r.r_regionkey""")
+def q_lookup_join(spark, sf):
+    return enrich(_customers(spark, sf), [
+        Lookup("nation", _nation_lookup(spark, sf), key="nationkey", broadcast_max_rows=100_000),
+        Lookup("region", _region_lookup(spark, sf), key="regionkey", broadcast_max_rows=100_000)])
+
+
+@register("lookup_join_suffix", """
+SELECT c.c_custkey, c.c_name AS name, c.c_nationkey AS nationkey, n.n_name AS name_nation,
+       n.n_regionkey
+FROM customer c LEFT JOIN nation n ON c.c_nationkey IS NOT DISTINCT FROM n.n_nationkey""")
+def q_lookup_join_suffix(spark, sf):
+    left = _customers(spark, sf).select("c_custkey", F.col("c_name").alias("name"), "nationkey")
+    nat = table(spark, sf, "nation").select(F.col("n_nationkey").alias("nationkey"),
+                                            F.col("n_name").alias("name"), "n_regionkey")
+    return enrich(left, [Lookup("nation", nat, key="nationkey")])
+
+
+@register("null_safe_lookup", """
+WITH l AS (SELECT c_custkey, CASE WHEN c_nationkey < 3 THEN NULL ELSE c_nationkey END AS nationkey FROM customer),
+     r AS (SELECT CASE WHEN n_nationkey = 0 THEN NULL ELSE n_nationkey END AS nationkey, n_name FROM nation)
+SELECT l.c_custkey, l.nationkey, r.n_name
+FROM l LEFT JOIN r ON l.nationkey IS NOT DISTINCT FROM r.nationkey""")
+def q_null_safe_lookup(spark, sf):
+    c = table(spark, sf, "customer")
+    left = c.select("c_custkey", F.when(F.col("c_nationkey") >= 3, F.col("c_nationkey")).alias("nationkey"))
+    n = table(spark, sf, "nation")
+    right = n.select(F.when(F.col("n_nationkey") != 0, F.col("n_nationkey")).alias("nationkey"), "n_name")
+    return enrich(left, [Lookup("nation", right, key="nationkey")])
+
+
+@register("derived_columns", with_views("""
+SELECT symbol, trade_date,
+       high_price - low_price AS spread,
+       (high_price + low_price) / 2 AS mid,
+       (high_price - low_price) / NULLIF((high_price + low_price) / 2, 0) * 100.0 AS spread_pct
+FROM quotes""", quotes=QUOTES_SQL))
+def q_derived_columns(spark, sf):
+    q = quotes(spark, sf).select("symbol", "trade_date", "high_price", "low_price")
+    out = enrich(q, derived={
+        "spread": F.col("high_price") - F.col("low_price"),
+        "mid": lambda d: (d["high_price"] + d["low_price"]) / 2,
+        # refers to a column that does not exist: logged and skipped
+        "broken": lambda d: d["no_such_column"] * 2,
+        "spread_pct": lambda d: F.try_divide(d["spread"], F.nullif(d["mid"], F.lit(0.0))) * F.lit(100.0),
+    })
+    return out.drop("high_price", "low_price")
+
+
+_HASH_COLS = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+
+
+@register("record_hash_md5", """
+SELECT c_custkey, c_name, c_nationkey, c_mktsegment,
+       md5(concat_ws(chr(31), COALESCE(CAST(c_custkey AS VARCHAR), '\\N'), COALESCE(c_name, '\\N'),
+                     COALESCE(CAST(c_nationkey AS VARCHAR), '\\N'), COALESCE(c_mktsegment, '\\N'))) AS record_hash,
+       'tpch' AS source_system,
+       TIMESTAMP '2024-01-01 00:00:00' AS load_timestamp
+FROM (SELECT c_custkey, c_name, c_nationkey,
+             CASE WHEN c_nationkey = 3 THEN NULL ELSE c_mktsegment END AS c_mktsegment FROM customer)""")
+def q_record_hash_md5(spark, sf):
+    import datetime as dt
+    c = table(spark, sf, "customer").select(
+        "c_custkey", "c_name", "c_nationkey",
+        F.when(F.col("c_nationkey") != 3, F.col("c_mktsegment")).alias("c_mktsegment"))
+    return enrich_with_metadata(c, "tpch", dt.datetime(2024, 1, 1))
+
