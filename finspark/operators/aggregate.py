@@ -79,6 +79,8 @@ def _grouped_agg_udf(fn):
         return None if v is None else float(v)
 
     agg.__name__ = getattr(fn, "__name__", "udf")
+    # real classes, not the postponed string annotations of this module
+    agg.__annotations__ = {"s": pd.Series, "return": float}
     return F.pandas_udf(agg, "double")
 
 
