@@ -1 +1,39 @@
-"""Catalogue queries."""
+"""Catalogue phase 8: the daily job end to end."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from finspark.plans.catalogue import register
+from finspark.plans.jobs import run_daily
+from finspark.plans.q_transforms import _T1_SQL
+from finspark.plans.views import QUOTES_SQL, cte, quotes
+from finspark.session import scratch_path
+from finspark.sinks.tables import Table
+
+
+@register("run_daily", cte(quotes=QUOTES_SQL) + ",\n" + _T1_SQL.strip() + """
+SELECT symbol, trade_date, CAST(CAST(close_price AS VARCHAR) AS DECIMAL(18,4)) AS close_price, volume,
+       CAST(CAST(daily_return AS VARCHAR) AS DECIMAL(10,6)) AS daily_return,
+       CAST(CAST(rsi_14d AS VARCHAR) AS DECIMAL(6,2)) AS rsi_14d
+FROM t1""")
+def q_run_daily(spark, sf):
+    """Run the job twice for the same day: the keyed load keeps one row per key."""
+    root = scratch_path(spark, "warehouse")
+    for run_id in (1, 2):
+        run_daily(spark, quotes(spark, sf), root, dt.date(2024, 1, 2), run_id)
+    t = Table(spark, f"{root}/analytics/daily_stock_analytics")
+    return t.read().select("symbol", "trade_date", "close_price", "volume", "daily_return", "rsi_14d")
+
+
+@register("run_log_counts", """
+SELECT CAST(r AS BIGINT) AS run_id, 'SUCCESS' AS status, n AS records_extracted, n AS records_loaded
+FROM (SELECT COUNT(*) AS n FROM (SELECT DISTINCT l_suppkey, CAST(l_shipdate AS DATE) FROM lineitem)),
+     (VALUES (1), (2)) v(r)""")
+def q_run_log_counts(spark, sf):
+    """The run log written by two runs of the job, counts from Observations."""
+    root = scratch_path(spark, "warehouse")
+    for run_id in (1, 2):
+        run_daily(spark, quotes(spark, sf), root, dt.date(2024, 1, 2), run_id)
+    log = Table(spark, f"{root}/metadata/etl_run_log").read()
+    return log.select("run_id", "status", "records_extracted", "records_loaded")
