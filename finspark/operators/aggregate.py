@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from finspark.session import checkpoint_dir
+
 
 def _agg_expr(col: str, fn, order_col: str | None) -> Column:
     """One aggregate of the vocabulary accepted by name (A3)."""
@@ -46,7 +48,7 @@ def _agg_expr(col: str, fn, order_col: str | None) -> Column:
     if name == "var":
         return F.var_samp(c)
     if name == "median":
-        return F.median(c)
+        return F.median(c)  # group_aggregate routes medians to exact_median
     if name == "prod":
         return F.coalesce(F.product(c), F.lit(1.0))
     if name == "sem":
@@ -88,6 +90,46 @@ def _fn_name(fn) -> str:
     return getattr(fn, "__name__", "udf") if callable(fn) else str(fn)
 
 
+def exact_median(df: DataFrame, keys: list[str], col: str, name: str | None = None,
+                 partitions: int | None = None) -> DataFrame:
+    """Exact per-group median (mean of the two middle values for an even count)
+    without putting a whole group into one task.
+
+    1. (key, value) -> count: duplicates collapse map-side.
+    2. Range-partition on (key, value): a large group spans many partitions.
+       The result is materialized once (reliable checkpoint) so every later
+       step sees the same partition ids.
+    3. A small table of counts per (key, partition) places the two middle
+       ranks; only the partitions holding them are ranked, inside one
+       partition each.
+    """
+    name = name or col
+    spark = df.sparkSession
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys] + [F.col(col).isNotNull()])
+    counted = (df.where(ok).groupBy(*keys, F.col(col).alias("_v"))
+               .agg(F.count(F.lit(1)).alias("_c")))
+    checkpoint_dir(spark)
+    ranged = (counted.repartitionByRange(n_parts, *keys, "_v")
+              .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    cells = ranged.groupBy(*keys, "_pid").agg(F.sum("_c").alias("_cc"))
+    by_key = Window.partitionBy(*keys)
+    cells = cells.withColumns({
+        "_before": F.coalesce(F.sum("_cc").over(by_key.orderBy("_pid").rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)),
+        "_n": F.sum("_cc").over(by_key)})
+    lo, hi = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
+    wanted = F.filter(F.array_distinct(F.array(lo - F.col("_before"), hi - F.col("_before"))),
+                      lambda r: (r >= 0) & (r < F.col("_cc")))
+    targets = cells.select(*keys, "_pid", F.explode(wanted).alias("_rank"))
+    cell = Window.partitionBy(*keys, "_pid", "_rank").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    picked = (ranged.join(targets, keys + ["_pid"])
+              .withColumn("_run", F.sum("_c").over(cell))
+              .where((F.col("_run") > F.col("_rank")) & (F.col("_run") - F.col("_c") <= F.col("_rank"))))
+    return picked.groupBy(*keys).agg(
+        (F.sum(F.col("_v").cast("double")) / F.count(F.lit(1))).alias(name))
+
+
 def group_aggregate(df: DataFrame, group_by, aggregations: dict,
                     order_col: str | None = None, sort: bool = True) -> DataFrame:
     """A1: ``aggregations`` maps column -> function name / callable / list of them.
@@ -96,18 +138,28 @@ def group_aggregate(df: DataFrame, group_by, aggregations: dict,
     when any list is present every output is ``<col>_<func>``.  Rows with a
     NULL key are dropped; output sorted by the keys unless ``sort=False``.
     With no keys or no aggregations the input is returned unchanged.
+    Medians are computed by ``exact_median`` and joined on the keys (one row
+    per group on each side).
     """
     keys = [group_by] if isinstance(group_by, str) else list(group_by or [])
     if not keys or not aggregations:
         return df
     wide = any(isinstance(v, (list, tuple)) for v in aggregations.values())
-    exprs = []
+    exprs, medians, order = [], [], []
     for col, fns in aggregations.items():
         for fn in (fns if isinstance(fns, (list, tuple)) else [fns]):
             name = f"{col}_{_fn_name(fn)}".strip("_") if wide else col
-            exprs.append(_agg_expr(col, fn, order_col).alias(name))
+            order.append(name)
+            if isinstance(fn, str) and fn.lower() == "median":
+                medians.append((col, name))
+            else:
+                exprs.append(_agg_expr(col, fn, order_col).alias(name))
     keep = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    out = df.where(keep).groupBy(*keys).agg(*exprs)
+    data = df.where(keep)
+    out = data.groupBy(*keys).agg(*exprs) if exprs else data.select(*keys).distinct()
+    for col, name in medians:
+        out = out.join(exact_median(data, keys, col, name), keys, "left")
+    out = out.select(*keys, *order)
     return out.orderBy(*keys) if sort else out
 
 

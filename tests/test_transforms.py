@@ -119,3 +119,16 @@ def test_random_resample_sum_equals_total(spark):
     for f in "DWMQY":
         out = resample(df, "ts", f).agg(F.sum("v_sum"), F.sum("v_count")).collect()[0]
         assert out[0] == sum(v for _, v in rows) and out[1] == 300
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.integers(0, 30), min_size=1, max_size=200), st.integers(1, 6))
+def test_exact_median_matches_brute_force(spark, values, parts):
+    import statistics
+
+    from finspark.operators.aggregate import exact_median
+    rows = [("hot", float(v)) for v in values] + [("cold", 1.0), ("cold", 4.0)]
+    df = spark.createDataFrame(rows, "k STRING, v DOUBLE")
+    got = {r.k: r.m for r in exact_median(df, ["k"], "v", "m", partitions=parts).collect()}
+    assert got["hot"] == statistics.median([float(v) for v in values])
+    assert got["cold"] == 2.5
