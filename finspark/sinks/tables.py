@@ -147,9 +147,11 @@ def truncate_and_load(df: DataFrame, table: Table) -> int:
     return table.commit(df)
 
 
-def _keyed(df: DataFrame, key: list[str]):
+def _null_key_tag(df: DataFrame, key: list[str]) -> DataFrame:
+    """Tag rows with a NULL key part with a unique id: such rows never
+    conflict (SQL unique semantics), so each one forms its own group."""
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
-    return df.where(~has_null), df.where(has_null)
+    return df.withColumn("__nk", F.when(has_null, F.monotonically_increasing_id()))
 
 
 def _one_per_key(df: DataFrame, key: list[str], order_col: str | None, last: bool) -> DataFrame:
@@ -157,32 +159,33 @@ def _one_per_key(df: DataFrame, key: list[str], order_col: str | None, last: boo
 
     An aggregate (max_by / min_by over a struct) rather than a row_number
     window: it is combined map-side, so a key repeated many times is reduced
-    before the shuffle."""
-    cols = [c for c in df.columns]
+    before the shuffle.  Rows with a NULL key part are all kept."""
+    cols = list(df.columns)
+    df = _null_key_tag(df, key)
     if order_col is None:
         df = df.withColumn("__seq", F.monotonically_increasing_id())
         order_col = "__seq"
     pick = F.max_by if last else F.min_by
     rest = [c for c in cols if c not in key]
     if not rest:
-        return df.select(*key).dropDuplicates(key)
+        return df.select(*key, "__nk").dropDuplicates(key + ["__nk"]).select(*key)
     row = F.struct(*[F.col(c) for c in rest])
-    out = df.groupBy(*key).agg(pick(row, F.col(order_col)).alias("__row"))
+    out = df.groupBy(*key, "__nk").agg(pick(row, F.col(order_col)).alias("__row"))
     return out.select(*key, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*cols)
 
 
 def insert_ignore(df: DataFrame, table: Table, key, order_col: str | None = None) -> int:
     """K4: rows whose key already exists (in the table or earlier in the batch)
-    are skipped.  A NULL key part never conflicts (SQL unique semantics)."""
+    are skipped.  A NULL key part never conflicts (SQL unique semantics):
+    such rows are never deduplicated and never match the table."""
     key = [key] if isinstance(key, str) else list(key)
-    keyed, nullkey = _keyed(df, key)
-    first = _one_per_key(keyed, key, order_col, last=False)
-    if table.exists():
-        cur = table.read()
-        first = first.join(cur.select(*key), key, "left_anti")
-        new = _align_to(first, cur).unionByName(_align_to(nullkey, cur))
-        return table.append(new)
-    return table.commit(first.unionByName(nullkey.select(*first.columns)))
+    first = _one_per_key(df, key, order_col, last=False)
+    if not table.exists():
+        return table.commit(first)
+    cur = table.read()
+    # equality never matches a NULL key, so NULL-key rows pass the anti join
+    new = first.join(cur.select(*key), key, "left_anti")
+    return table.append(_align_to(new, cur))
 
 
 def upsert(df: DataFrame, table: Table, key, update_columns=None,
@@ -196,20 +199,20 @@ def upsert(df: DataFrame, table: Table, key, update_columns=None,
         update_columns = [c for c in df.columns if c not in key and c != order_col]
     if not update_columns:
         return insert_ignore(df, table, key, order_col)
-    keyed, nullkey = _keyed(df, key)
-    src = _one_per_key(keyed, key, order_col, last=True)
+    src = _one_per_key(df, key, order_col, last=True)
     if order_col and order_col not in (table.read().columns if table.exists() else []):
-        src, nullkey = src.drop(order_col), nullkey.drop(order_col)
+        src = src.drop(order_col)
     if not table.exists():
-        return table.commit(src.unionByName(nullkey))
-    obs_src, obs_null = Observation("upsert_keyed"), Observation("upsert_nullkey")
+        return table.commit(src)
+    obs_src = Observation("upsert_source")
     src = src.observe(obs_src, F.count(F.lit(1)).alias("rows"))
-    nullkey = nullkey.observe(obs_null, F.count(F.lit(1)).alias("rows"))
     tgt = table.read()
     cols = tgt.columns
     s = _align_to(src, tgt).withColumn("__s", F.lit(True))
     t = tgt.withColumn("__t", F.lit(True))
     s = s.select(*[F.col(c).alias(f"s__{c}") for c in s.columns])
+    # equality never matches a NULL key: such source rows are inserted and
+    # such target rows are kept
     cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"s__{k}") for k in key])
     j = t.join(s, cond, "full_outer")
     src_present = F.coalesce(F.col("s____s"), F.lit(False))
@@ -217,15 +220,14 @@ def upsert(df: DataFrame, table: Table, key, update_columns=None,
     out = []
     for c in cols:
         if c in key:
-            e = F.coalesce(F.col(c), F.col(f"s__{c}"))
+            e = F.when(tgt_present, F.col(c)).otherwise(F.col(f"s__{c}"))
         elif c in update_columns:
             e = F.when(src_present, F.col(f"s__{c}")).otherwise(F.col(c))
         else:
             e = F.when(tgt_present, F.col(c)).otherwise(F.col(f"s__{c}"))
         out.append(e.alias(c))
-    merged = j.select(*out).unionByName(_align_to(nullkey, tgt))
-    table.commit(merged)
-    return int(obs_src.get["rows"]) + int(obs_null.get["rows"])
+    table.commit(j.select(*out))
+    return int(obs_src.get["rows"])
 
 
 def update_where(table: Table, updates: dict, where) -> int:
