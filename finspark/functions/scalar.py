@@ -17,6 +17,16 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ts_literal(value: _dt.datetime | _dt.date) -> Column:
+    """A TIMESTAMP_NTZ literal built from text, so the wall-clock value does not
+    depend on the Python process or session time zone."""
+    if not isinstance(value, _dt.datetime):
+        value = _dt.datetime(value.year, value.month, value.day)
+    if value.tzinfo is not None:
+        value = value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
 def safe_div(num, den) -> Column:
     """num / den with an undefined ratio (den = 0 or NULL) as NULL, never inf."""
     return F.try_divide(_c(num), F.nullif(_c(den), F.lit(0)))
@@ -102,7 +112,7 @@ def with_lineage(df: DataFrame, source: str, run_ts: _dt.datetime | None = None,
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     return df.withColumns({
         "source_system": F.lit(source),
-        ts_col: F.lit(run_ts).cast("timestamp_ntz"),
+        ts_col: ts_literal(run_ts),
     })
 
 
@@ -153,4 +163,4 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
 
 def default_now(c, run_ts: _dt.datetime) -> Column:
     """column default CURRENT_TIMESTAMP, fixed per run."""
-    return F.coalesce(_c(c), F.lit(run_ts).cast("timestamp_ntz"))
+    return F.coalesce(_c(c), ts_literal(run_ts))

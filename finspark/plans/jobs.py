@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from finspark.functions.scalar import with_lineage
+from finspark.functions.scalar import ts_literal, with_lineage
 from finspark.operators.indicators import stock_analytics
 from finspark.operators.quality import STOCK_PRICE_RULES, Rules, evaluate, raise_if_failed
 from finspark.schemas import DAILY_STOCK_ANALYTICS
@@ -56,7 +56,7 @@ def run_daily(spark: SparkSession, quotes: DataFrame, root: str, run_date: dt.da
 
     # transform + conform to the target DDL
     kw = {} if rows_per_block is None else {"rows_per_block": rows_per_block}
-    analytics = stock_analytics(df, **kw).withColumn("processed_at", F.lit(start).cast("timestamp_ntz"))
+    analytics = stock_analytics(df, **kw).withColumn("processed_at", ts_literal(start))
     good, _rejects = conform(analytics, DAILY_STOCK_ANALYTICS)
 
     # load: keyed upsert (re-running a day replaces its rows, never duplicates).

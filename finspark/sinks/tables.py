@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from finspark.functions.scalar import ts_literal
 from finspark.schemas import TableSpec
 from finspark.session import checkpoint_dir
 
@@ -273,8 +274,13 @@ def conform(df: DataFrame, spec: TableSpec, defaults: dict | None = None, carry=
             e = F.lit(None).cast(f.dataType)
         if f.name in defaults:
             d = defaults[f.name]
-            e = F.coalesce(e, d if not isinstance(d, (str, int, float, _dt.datetime, _dt.date))
-                           else F.lit(d).cast(f.dataType))
+            if isinstance(d, (_dt.datetime, _dt.date)):
+                lit = ts_literal(d).cast(f.dataType)
+            elif isinstance(d, (str, int, float)):
+                lit = F.lit(d).cast(f.dataType)
+            else:
+                lit = d
+            e = F.coalesce(e, lit)
         cols.append(e.alias(f.name))
         if f.name in spec.not_null:
             broken.append(F.when(e.isNull(), F.lit(f"null:{f.name}")))
@@ -326,7 +332,7 @@ def quality_log_rows(results: DataFrame, run_id: int | None, created_at: _dt.dat
         F.lit(None).cast("bigint").alias("quality_id"), F.lit(run_id).cast("bigint").alias("run_id"),
         "validation_type", F.col("validator").alias("validation_rule"),
         "passed_records", "failed_records", "validation_details",
-        F.lit(created_at).cast("timestamp_ntz").alias("created_at"))
+        ts_literal(created_at).alias("created_at"))
 
 
 def fk_violations(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:

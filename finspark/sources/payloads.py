@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finspark.functions.scalar import flatten
+from finspark.functions.scalar import flatten, ts_literal
 
 # The daily-series payload layout (map key and field names).
 DAILY_SERIES_KEY = "Time Series (Daily)"
@@ -41,7 +41,7 @@ def explode_daily_series(df: DataFrame, symbol_col: str = "request_symbol",
 def parse_quote(df: DataFrame, schema, symbol_col: str = "request_symbol",
                 payload_col: str = "payload", run_ts=None) -> DataFrame:
     """A flat quote object -> one row, with the symbol and one fetch time stamped."""
-    ts = F.lit(run_ts).cast("timestamp_ntz") if run_ts is not None else F.current_timestamp()
+    ts = ts_literal(run_ts) if run_ts is not None else F.current_timestamp()
     return df.select(F.col(symbol_col).alias("symbol"), ts.alias("timestamp"),
                      F.from_json(F.col(payload_col), schema).alias("j")).select("symbol", "timestamp", "j.*")
 
