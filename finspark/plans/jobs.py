@@ -24,6 +24,40 @@ from finspark.sinks.tables import (RUN_LOG_SCHEMA, Table, conform, load, log_run
                                    stage, upsert)
 
 
+class StageMetrics:
+    """Row counts and durations of pipeline stages without extra jobs.
+
+    ``observe(df, name)`` attaches a count that is filled by whatever action
+    later runs the frame; ``timed(name, fn)`` measures the action itself.
+    """
+
+    def __init__(self):
+        self._obs: dict[str, Observation] = {}
+        self.seconds: dict[str, float] = {}
+
+    def observe(self, df: DataFrame, name: str) -> DataFrame:
+        obs = Observation(name)
+        self._obs[name] = obs
+        return df.observe(obs, F.count(F.lit(1)).alias("rows"))
+
+    def timed(self, name: str, fn, *args, **kwargs):
+        import time
+        t0 = time.perf_counter()
+        try:
+            return fn(*args, **kwargs)
+        finally:
+            self.seconds[name] = time.perf_counter() - t0
+
+    def rows(self, name: str) -> int:
+        return int(self._obs[name].get["rows"])
+
+
+def staged(df: DataFrame, name: str):
+    """T7 signature: (frame with a row-count observation, the observation)."""
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
 @dataclass
 class RunResult:
     run_id: int

@@ -17,7 +17,8 @@ from finspark.plans.views import QUOTES_SQL, financials, quotes, table, with_vie
 from finspark.plans.views import FINANCIALS_SQL
 from finspark.schemas import COMPANY_FINANCIALS
 from finspark.session import scratch_path
-from finspark.sinks.tables import (Table, conform, delete_where, fk_violations, insert_ignore, load,
+from finspark.sinks.tables import (Table, conform, delete_where, extract_and_stage, fk_violations,
+                                   insert_ignore, load,
                                    quality_log_rows, read_staged, stage, surrogate_key,
                                    truncate_and_load, update_where, upsert)
 
@@ -49,6 +50,15 @@ def stage_roundtrip_jsonl(spark, sf):
     return _roundtrip(spark, sf, "jsonl")
 
 
+@register("extract_and_stage", """
+SELECT *, 'tpch' AS source_system, TIMESTAMP '2024-01-02 02:00:00' AS extracted_at FROM orders""")
+def q_extract_and_stage(spark, sf):
+    path, rows = extract_and_stage(_orders(spark, sf), scratch_path(spark, "staging_orders"), "tpch",
+                                   dt.datetime(2024, 1, 2, 2, 0), partition_by="o_orderstatus")
+    assert rows > 0
+    return spark.read.parquet(path).select(*_orders(spark, sf).columns, "source_system", "extracted_at")
+
+
 @register("conform_schema", with_views("""
 SELECT symbol, fiscal_period, fiscal_year,
        CAST(revenue AS DECIMAL(20,2)) AS revenue, CAST(net_income AS DECIMAL(20,2)) AS net_income,

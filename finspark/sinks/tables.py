@@ -57,6 +57,16 @@ def read_staged(spark: SparkSession, path: str, fmt: str = "parquet",
     return r.load(path)
 
 
+def extract_and_stage(df: DataFrame, path: str, source: str, run_ts: _dt.datetime,
+                      fmt: str = "parquet", partition_by=None) -> tuple[str, int]:
+    """K2: source frame -> lineage columns (F11) -> staged files, as one lazy
+    plan executed by the write; returns (path, rows staged)."""
+    from finspark.functions.scalar import with_lineage
+    out, obs = _count_while_writing(with_lineage(df, source, run_ts), "staged")
+    stage(out, path, fmt, partition_by=partition_by)
+    return path, int(obs.get["rows"])
+
+
 def _count_while_writing(df: DataFrame, name: str):
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs

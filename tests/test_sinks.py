@@ -112,3 +112,14 @@ def test_surrogate_key_matches_global_order(spark):
     out = surrogate_key(df, ["s", "n"], "id", partitions=5).collect()
     expect = sorted((r.s, r.n) for r in out)
     assert sorted((r.id, r.s, r.n) for r in out) == [(i + 1, s, n) for i, (s, n) in enumerate(expect)]
+
+
+def test_stage_metrics_count_without_extra_jobs(spark, tmp_dir):
+    from finspark.plans.jobs import StageMetrics, staged
+    m = StageMetrics()
+    df = m.observe(spark.range(10), "extract")
+    m.timed("write", lambda: df.write.parquet(tmp_dir + "/m"))
+    assert m.rows("extract") == 10 and m.seconds["write"] > 0
+    d2, obs = staged(spark.range(3), "x")
+    d2.write.format("noop").mode("overwrite").save()
+    assert obs.get["rows"] == 3
