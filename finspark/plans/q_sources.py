@@ -233,3 +233,32 @@ def group_agg_callable(spark, sf):
 
     return group_aggregate(table(spark, sf, "lineitem"), "l_returnflag", {"l_quantity": spread})
 
+
+
+@register("quote_payload", """
+SELECT 'C' || CAST(o_custkey AS VARCHAR) AS symbol, TIMESTAMP '2024-01-02 16:00:00' AS timestamp,
+       o_orderkey AS id, o_totalprice AS price, o_orderstatus AS status
+FROM orders""")
+def quote_payload(spark, sf):
+    """One flat quote object per response, symbol and one fetch time stamped."""
+    import datetime as dt
+
+    from finspark.sources.payloads import parse_quote
+    o = _orders(spark, sf)
+    landed = o.select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("request_symbol"),
+                      F.to_json(F.struct(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"),
+                                         F.col("o_orderstatus").alias("status"))).alias("payload"))
+    return parse_quote(landed, "id BIGINT, price DOUBLE, status STRING", run_ts=dt.datetime(2024, 1, 2, 16))
+
+
+@register("sheet_range_scan", """
+SELECT o_orderkey AS "Order", o_orderpriority AS "Priority", o_totalprice AS "Total" FROM orders""")
+def sheet_range_scan(spark, sf):
+    """A sheet range exported as CSV; the first row is the header."""
+    from finspark.sources.files import read_sheet_range
+    o = _orders(spark, sf)
+    path = scratch_path(spark, "sheet_range")
+    (o.select(F.col("o_orderkey").alias("Order"), F.col("o_orderpriority").alias("Priority"),
+              F.col("o_totalprice").alias("Total"))
+     .write.option("header", True).csv(path))
+    return read_sheet_range(spark, path, schema='`Order` BIGINT, Priority STRING, Total DOUBLE')

@@ -92,3 +92,11 @@ def test_stream_drain_resume_no_loss_no_repeat(spark, tmp_dir):
     out = spark.read.parquet(sink)
     assert sorted(r.id for r in out.where(F.col("id").isNotNull()).collect()) == [1, 2, 3]
     assert [r.raw_message for r in out.where(F.col("id").isNull()).collect()] == ["not json"]
+
+
+def test_parquet_filter_and_projection_reach_the_scan(spark, tmp_dir):
+    spark.range(100).selectExpr("id", "CAST(id * 2.5 AS DOUBLE) AS px", "'x' AS pad").write.parquet(tmp_dir + "/p")
+    df = read_landed(spark, tmp_dir + "/p", "parquet", columns=["id", "px"]).where(F.col("px") > 100)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(px), GreaterThan(px,100.0)]" in plan
+    assert "ReadSchema: struct<id:bigint,px:double>" in plan
