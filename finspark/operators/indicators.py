@@ -21,9 +21,11 @@ blocks of about ``rows_per_block`` rows.  Each block also receives the
 ``halo`` rows that precede it (the longest look-back of any indicator), so a
 window partitioned by (symbol, block) sees exactly the rows a per-symbol
 window would see for the block's own rows.  Block positions come from a small
-count table per (symbol, day); forward fill across block borders uses the
-last known price carried in from that table.  Each row is copied to at most
-two later blocks, and only rows within ``halo`` of a block border are copied.
+count table per (symbol, calendar bucket); forward fill across block borders
+uses the last known price carried in from that table.  Each row is copied to
+at most two later blocks, and only rows within ``halo`` of a block border are
+copied.  The data is shuffled once (by symbol and block); the count table is
+broadcast when its exact size is under a bound, otherwise joined by shuffle.
 """
 
 from __future__ import annotations
@@ -34,8 +36,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finspark.functions.scalar import safe_div
+from finspark.session import checkpoint_dir
 
 DEFAULT_ROWS_PER_BLOCK = 2_000_000
+# The count table is broadcast only when it has at most this many rows
+# (about 60 bytes each); otherwise it is joined by a shuffle.
+DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
 def _keys(key) -> list[str]:
@@ -82,13 +88,21 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
                     rsi_period: int = 14, key="symbol", order: str = "trade_date",
                     price: str = "close_price",
                     rows_per_block: int | None = DEFAULT_ROWS_PER_BLOCK,
-                    bucket: str = "day") -> DataFrame:
+                    bucket: str = "month",
+                    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """T1 on a quote table unique by (key, order).
 
     ``rows_per_block=None`` uses one window partition per key (fine when no
     key is large); otherwise series are split into blocks with a halo.
-    ``bucket`` is the date_trunc unit of the count table used to place the
-    block borders (use 'hour' for intraday series).
+    ``bucket`` is the date_trunc unit of the count table that places the
+    block borders; a block never splits a bucket, so a bucket must hold far
+    fewer rows than ``rows_per_block`` ('month' for daily series, 'day' or
+    'hour' for intraday ones).
+
+    The count table (one row per key and bucket) is materialized with a
+    reliable checkpoint when this function is called: it is small, and its
+    exact size decides whether it is broadcast (at most
+    ``broadcast_max_rows`` rows) or joined by a shuffle.
     """
     keys = _keys(key)
     key_ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -120,16 +134,23 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
     hi = F.floor((end + F.lit(halo - 1)) / R)
     stats = stats.select(
         *[F.col(k).alias(f"_s_{k}") for k in keys], F.col("_bkt").alias("_s_bkt"),
-        own.alias("_own"), "_carry",
-        F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
-        .alias("_halo_to"))
+        own.alias("_own"), lo.alias("_lo"), hi.alias("_hi"), "_carry")
+    checkpoint_dir(df.sparkSession)
+    # cached only while it is written, so the checkpoint does not recompute it
+    cached = stats.persist()
+    stats = cached.checkpoint(eager=True)
+    cached.unpersist()
+    if stats.count() <= broadcast_max_rows:
+        stats = F.broadcast(stats)
 
     cond = reduce(lambda a, b: a & b,
                   [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]
                   + [F.col("_bkt") == F.col("_s_bkt")])
     placed = data.join(stats, cond, "inner").drop(*[f"_s_{k}" for k in keys], "_s_bkt")
-    placed = placed.withColumn(
-        "_blk", F.explode(F.concat(F.array(F.col("_own")), F.col("_halo_to"))))
+    targets = F.concat(F.array(F.col("_own")),
+                       F.when(F.col("_lo") <= F.col("_hi"), F.sequence("_lo", "_hi"))
+                       .otherwise(F.array().cast("array<bigint>")))
+    placed = placed.withColumn("_blk", F.explode(targets)).drop("_lo", "_hi")
 
     out = _indicator_columns(placed, keys + ["_blk"], order, price, ma_windows,
                              vol_window, rsi_period, F.col("_carry"), key_ok)
