@@ -315,11 +315,17 @@ RUN_LOG_SCHEMA = ("run_id BIGINT, dag_id STRING, task_id STRING, source_name STR
                   "error_message STRING, created_at TIMESTAMP_NTZ")
 
 
-def log_run(spark: SparkSession, table: Table, run_id: int, dag_id: str, task_id: str,
+def log_run(spark: SparkSession, table: Table, run_id: int | None, dag_id: str, task_id: str,
             source_name: str, status: str, run_start: _dt.datetime, run_end: _dt.datetime | None = None,
             extracted: int | None = None, validated: int | None = None, loaded: int | None = None,
             error: str | None = None) -> int:
-    """K8: append one run-log row (counts come from Observations of the run)."""
+    """K8: append one run-log row (counts come from Observations of the run).
+
+    With ``run_id=None`` the next id (max + 1) is allocated from the log, a
+    one-value aggregate; returns the id used."""
+    if run_id is None:
+        last = table.read().agg(F.max("run_id")).first()[0] if table.exists() else None
+        run_id = (last or 0) + 1
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     row = [(run_id, dag_id, task_id, source_name, run_start, run_end or now, status,
             extracted, validated, loaded, error, now)]

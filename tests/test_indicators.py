@@ -102,3 +102,14 @@ def test_plan_has_no_python_and_one_exchange_per_key(spark):
     plan = stock_analytics(df, rows_per_block=None)._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan
     assert plan.count("Exchange hashpartitioning(symbol") <= 1
+
+
+def test_blocked_plan_shuffles_data_once(spark, tmp_dir):
+    rows = [("A" if i % 3 else "B", dt.date(2000, 1, 1) + dt.timedelta(days=i // 2), float(i)) for i in range(600)]
+    spark.createDataFrame(rows, SCHEMA).dropDuplicates(["symbol", "trade_date"]).write.parquet(tmp_dir + "/q")
+    df = spark.read.parquet(tmp_dir + "/q")
+    out = stock_analytics(df, rows_per_block=250)
+    out.write.format("noop").mode("overwrite").save()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1   # by (symbol, block) only
+    assert "BroadcastHashJoin" in plan and "EvalPython" not in plan

@@ -123,3 +123,13 @@ def test_stage_metrics_count_without_extra_jobs(spark, tmp_dir):
     d2, obs = staged(spark.range(3), "x")
     d2.write.format("noop").mode("overwrite").save()
     assert obs.get["rows"] == 3
+
+
+def test_run_log_allocates_ids(spark, tmp_dir):
+    from finspark.sinks.tables import log_run
+    t = Table(spark, tmp_dir + "/log")
+    start = dt.datetime(2024, 1, 2, 2)
+    assert log_run(spark, t, None, "dag", "task", "src", "SUCCESS", start, loaded=5) == 1
+    assert log_run(spark, t, None, "dag", "task", "src", "FAILED", start, error="boom") == 2
+    rows = sorted((r.run_id, r.status, r.records_loaded) for r in t.read().collect())
+    assert rows == [(1, "SUCCESS", 5), (2, "FAILED", None)]
