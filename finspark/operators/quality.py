@@ -176,10 +176,9 @@ def _text_form(df: DataFrame, c: str) -> Column:
 
 
 def regex_violation(df: DataFrame, c: str, pattern: str) -> Column:
-    """The pattern must match at the start of the text form (not the whole)."""
-    if "(?P<" in pattern:
-        raise ValueError("named groups must use the (?<name>...) form")
-    return ~_text_form(df, c).rlike("^(?:" + pattern + ")")
+    """The pattern must match at the start of the text form (not the whole).
+    Patterns are written in Python syntax; named groups are translated."""
+    return ~_text_form(df, c).rlike("^(?:" + normalize_pattern(pattern) + ")")
 
 
 def custom_violation(c: str, rule: Callable[[Column], Column]) -> Column:
@@ -432,5 +431,7 @@ def invalid_values(df: DataFrame, predicate: Column, column: str, n: int = 10) -
 
 
 def normalize_pattern(pattern: str) -> str:
-    """Rewrite Python named groups ``(?P<n>`` to the Java form ``(?<n>``."""
-    return re.sub(r"\(\?P<", "(?<", pattern)
+    """Rewrite Python named groups ``(?P<n>...)`` / ``(?P=n)`` to the Java forms
+    ``(?<n>...)`` / ``\\k<n>``."""
+    pattern = re.sub(r"\(\?P<", "(?<", pattern)
+    return re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", pattern)

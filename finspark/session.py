@@ -57,20 +57,20 @@ def get_spark(master: str | None = None, app: str = "finspark",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (local tests) a scratch folder is created and set.
+    On a cluster this setting must point at shared storage (HDFS, object
+    store) and is used as is; a missing setting is an error there.  Only a
+    local-mode session (tests) without the setting gets a scratch folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
+        d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store)")
         d = tempfile.mkdtemp(prefix="finspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # pragma: no cover - Connect sessions have no SparkContext
-        pass
+    sc.setCheckpointDir(d)
     return d
 
 

@@ -52,6 +52,8 @@ def drain(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parque
           timeout_s: float | None = 60, query_name: str | None = None) -> int:
     """Drain what is available into ``sink_path`` and stop; returns the rows
     added by this run (from the query's progress reports)."""
+    # rows are summed from the progress reports: keep all of them for the run
+    stream.sparkSession.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
     w = (stream.writeStream.format(fmt).option("checkpointLocation", checkpoint)
          .option("path", sink_path).outputMode("append").trigger(availableNow=True))
     if query_name:
