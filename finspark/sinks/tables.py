@@ -44,6 +44,15 @@ def stage(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite
     return path
 
 
+def staged_path(base: str, key: str, prefix: str = "staging/") -> str:
+    """The staged location of ``key`` under ``base``; the staging prefix
+    is added when the key does not already carry it."""
+    key = key.lstrip("/")
+    if not key.startswith(prefix):
+        key = prefix + key
+    return f"{base.rstrip('/')}/{key}"
+
+
 def read_staged(spark: SparkSession, path: str, fmt: str = "parquet",
                 schema: T.StructType | str | None = None) -> DataFrame:
     """Read a staged dataset back by format (csv with header, jsonl)."""

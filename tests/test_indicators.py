@@ -5,6 +5,8 @@ import math
 import random
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from finspark.operators.indicators import stock_analytics
@@ -113,3 +115,18 @@ def test_blocked_plan_shuffles_data_once(spark, tmp_dir):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1   # by (symbol, block) only
     assert "BroadcastHashJoin" in plan and "EvalPython" not in plan
+
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.floats(1, 1000)), min_size=1, max_size=60))
+def test_rsi_bounded_and_ma_within_window(spark, prices):
+    out = _collect(stock_analytics(_series(spark, prices), ma_windows=(5,), rows_per_block=None))
+    for i, r in enumerate(out):
+        if r["rsi_14d"] is not None:
+            assert -1e-9 <= r["rsi_14d"] <= 100 + 1e-9
+        window = [p for p in prices[max(0, i - 4): i + 1] if p is not None]
+        if window:
+            assert min(window) - 1e-9 <= r["moving_avg_5d"] <= max(window) + 1e-9
+        else:
+            assert r["moving_avg_5d"] is None

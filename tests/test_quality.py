@@ -3,6 +3,8 @@
 import datetime as dt
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from finspark.operators.quality import (Rules, evaluate, raise_if_failed, summarize, type_compatible)
@@ -116,3 +118,15 @@ def test_rule_set_is_one_scan_one_aggregate(spark, tmp_dir):
     plan = res._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
     assert "EvalPython" not in plan
+
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(st.one_of(st.none(), st.floats(-10, 10)), st.integers(0, 5)), min_size=1, max_size=30))
+def test_accuracy_passed_plus_failed_is_checks_times_rows(spark, rows):
+    df = spark.createDataFrame(rows, "x DOUBLE, y BIGINT")
+    res = evaluate(df, Rules.accuracy(value_ranges={"x": (0, 5), "y": (1, 3)},
+                                      categorical_values={"y": [1, 2]},
+                                      custom_rules={"x": lambda c: c > -1}))
+    tot = res.where(F.col("check") == "accuracy").collect()[0]
+    assert tot.passed + tot.failed == 4 * len(rows)

@@ -133,3 +133,9 @@ def test_run_log_allocates_ids(spark, tmp_dir):
     assert log_run(spark, t, None, "dag", "task", "src", "FAILED", start, error="boom") == 2
     rows = sorted((r.run_id, r.status, r.records_loaded) for r in t.read().collect())
     assert rows == [(1, "SUCCESS", 5), (2, "FAILED", None)]
+
+
+def test_staged_path_prefix():
+    from finspark.sinks.tables import staged_path
+    assert staged_path("s3a://b/", "raw/x") == "s3a://b/staging/raw/x"
+    assert staged_path("s3a://b", "staging/raw/x") == "s3a://b/staging/raw/x"
