@@ -68,6 +68,12 @@ class RunResult:
     staged_path: str
 
 
+def analytics_table(spark: SparkSession, root: str) -> Table:
+    """The daily analytics table: partitioned by trade month."""
+    return Table(spark, f"{root}/analytics/daily_stock_analytics", DAILY_STOCK_ANALYTICS,
+                 partition_by="trade_month")
+
+
 def run_daily(spark: SparkSession, quotes: DataFrame, root: str, run_date: dt.date, run_id: int,
               source: str = "stock_prices", strict: bool = False,
               rows_per_block: int | None = None) -> RunResult:
@@ -92,11 +98,14 @@ def run_daily(spark: SparkSession, quotes: DataFrame, root: str, run_date: dt.da
     kw = {} if rows_per_block is None else {"rows_per_block": rows_per_block}
     analytics = stock_analytics(df, **kw).withColumn("processed_at", ts_literal(start))
     good, _rejects = conform(analytics, DAILY_STOCK_ANALYTICS)
+    # physical layout: partitions by trade month (a function of the key), so
+    # a day's load reads and rewrites only the months it touches
+    good = good.withColumn("trade_month", F.date_format("trade_date", "yyyy-MM"))
 
     # load: keyed upsert (re-running a day replaces its rows, never duplicates).
-    # The rows applied are counted inside the upsert's single pass; they are
-    # the rows that passed the conform step (keys are unique per day).
-    target = Table(spark, f"{root}/analytics/daily_stock_analytics", DAILY_STOCK_ANALYTICS)
+    # The rows applied are counted inside the upsert; they are the rows that
+    # passed the conform step (keys are unique per day).
+    target = analytics_table(spark, root)
     loaded = upsert(good, target, list(DAILY_STOCK_ANALYTICS.key))
     validated = loaded
     rejected = extracted - validated

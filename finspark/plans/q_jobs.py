@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from finspark.plans.catalogue import register
-from finspark.plans.jobs import run_daily
+from finspark.plans.jobs import analytics_table, run_daily
 from finspark.plans.q_transforms import _T1_SQL
 from finspark.plans.views import QUOTES_SQL, cte, quotes
 from finspark.session import scratch_path
@@ -22,8 +22,7 @@ def q_run_daily(spark, sf):
     root = scratch_path(spark, "warehouse")
     for run_id in (1, 2):
         run_daily(spark, quotes(spark, sf), root, dt.date(2024, 1, 2), run_id)
-    t = Table(spark, f"{root}/analytics/daily_stock_analytics")
-    return t.read().select("symbol", "trade_date", "close_price", "volume", "daily_return", "rsi_14d")
+    return analytics_table(spark, root).read().select("symbol", "trade_date", "close_price", "volume", "daily_return", "rsi_14d")
 
 
 @register("run_log_counts", """

@@ -177,6 +177,44 @@ def delete_rewrite(spark, sf):
     return t.read()
 
 
+# --------------------------------------------- partitioned tables (scoped rewrites)
+@register("upsert_partitioned", """
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN o_orderstatus IN ('O', 'P') THEN o_totalprice * 3 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, o_orderpriority
+FROM orders""")
+def q_upsert_partitioned(spark, sf):
+    """As ``upsert`` on a table partitioned by status: the batch touches the
+    O and P partitions only, so the F partition is neither read nor rewritten."""
+    o = _orders(spark, sf)
+    t = Table(spark, scratch_path(spark, "upsert_part"), partition_by="o_orderstatus")
+    load(o.where(F.col("o_orderstatus") != "P"), t)
+    src = o.where(F.col("o_orderstatus").isin("O", "P"))
+    b1 = src.withColumns({"o_totalprice": F.col("o_totalprice") * 2, "seq": F.lit(1)})
+    b2 = src.withColumns({"o_totalprice": F.col("o_totalprice") * 3, "seq": F.lit(2)})
+    upsert(b1.unionByName(b2), t, "o_orderkey", update_columns=["o_totalprice"], order_col="seq")
+    return t.read()
+
+
+@register("update_rewrite_partitioned", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CASE WHEN o_totalprice > 300000 THEN '0-CRITICAL' ELSE o_orderpriority END AS o_orderpriority
+FROM orders""")
+def update_rewrite_partitioned(spark, sf):
+    t = Table(spark, scratch_path(spark, "update_part"), partition_by="o_orderstatus")
+    load(_orders(spark, sf), t)
+    update_where(t, {"o_orderpriority": "0-CRITICAL"}, F.col("o_totalprice") > 300000)
+    return t.read()
+
+
+@register("delete_rewrite_partitioned", "SELECT * FROM orders WHERE NOT (o_orderpriority = '5-LOW')")
+def delete_rewrite_partitioned(spark, sf):
+    t = Table(spark, scratch_path(spark, "delete_part"), partition_by="o_orderpriority")
+    load(_orders(spark, sf), t)
+    delete_where(t, "o_orderpriority = '5-LOW'")   # empties one partition, which is removed
+    return t.read()
+
+
 # ----------------------------------------------------------- run / quality logs
 _RUNS_SQL = """
 SELECT o_orderkey AS run_id, 'financial_etl_pipeline' AS dag_id,

@@ -18,7 +18,7 @@ from __future__ import annotations
 import datetime as _dt
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,7 +73,7 @@ def extract_and_stage(df: DataFrame, path: str, source: str, run_ts: _dt.datetim
     from finspark.functions.scalar import with_lineage
     out, obs = _count_while_writing(with_lineage(df, source, run_ts), "staged")
     stage(out, path, fmt, partition_by=partition_by)
-    return path, int(obs.get["rows"])
+    return path, observed_rows(obs)
 
 
 def _count_while_writing(df: DataFrame, name: str):
@@ -81,12 +81,43 @@ def _count_while_writing(df: DataFrame, name: str):
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def observed_rows(obs: Observation) -> int:
+    """Rows counted by an Observation.  When AQE proves the input empty it
+    drops the plan, the metrics are never collected, and that means 0 rows."""
+    try:
+        return int(obs.get["rows"])
+    except Exception:  # noqa: BLE001 - metrics missing only for an empty plan
+        return 0
+
+
 # --------------------------------------------------------- versioned table
+# Characters escaped in Hive-style partition directory names.
+_HIVE_ESCAPE = set('"#%\'*/:=?\\\x7f{[]^')
+
+
+def _escape_partition_value(v) -> str:
+    if v is None:
+        return "__HIVE_DEFAULT_PARTITION__"
+    return "".join(f"%{ord(ch):02X}" if ch in _HIVE_ESCAPE or ord(ch) < 32 else ch for ch in str(v))
+
+
 class Table:
-    """A versioned parquet table rooted at ``root`` (local, HDFS or object store)."""
+    """A parquet table rooted at ``root`` (local, HDFS or object store).
+
+    Unpartitioned (default): versioned, ``<root>/v=<NNNNNN>/``; every
+    read-modify-write writes a new complete version.
+
+    ``partition_by=[...]``: one directory ``<root>/data/`` with Hive-style
+    partitions; read-modify-write operations rewrite only the partitions
+    they touch (dynamic partition overwrite of a materialized result).  The
+    partition columns must be functions of the key (e.g. the month of the
+    trade date) so that a key never moves between partitions.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, spec: TableSpec | None = None):
+    def __init__(self, spark: SparkSession, root: str, spec: TableSpec | None = None,
+                 partition_by=None):
         self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
+        self.partition_by = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
 
     # Hadoop FileSystem of the root path (the same one Spark writes with)
     def _fs(self):
@@ -94,8 +125,18 @@ class Table:
         p = sc._jvm.org.apache.hadoop.fs.Path(self.root)
         return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
 
+    def _path(self, *parts):
+        sc = self.spark.sparkContext
+        return sc._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
+
+    @property
+    def data_path(self) -> str:
+        return f"{self.root}/data"
+
     def versions(self) -> list[int]:
         fs, root = self._fs()
+        if self.partition_by:
+            return [1] if fs.exists(self._path("data", "_SUCCESS")) else []
         if not fs.exists(root):
             return []
         out = []
@@ -114,7 +155,9 @@ class Table:
 
     def current_path(self) -> str | None:
         vs = self.versions()
-        return self.path(vs[-1]) if vs else None
+        if not vs:
+            return None
+        return self.data_path if self.partition_by else self.path(vs[-1])
 
     def read(self) -> DataFrame:
         cur = self.current_path()
@@ -122,23 +165,80 @@ class Table:
             if self.spec is None:
                 raise FileNotFoundError(f"table {self.root} has no committed version")
             return self.spark.createDataFrame([], self.spec.schema)
-        return self.spark.read.parquet(cur)
+        df = self.spark.read.parquet(cur)
+        if self.partition_by and self.spec is not None:
+            types = {f.name: f.dataType for f in self.spec.schema.fields}
+            df = df.withColumns({c: F.col(c).cast(types[c]) for c in self.partition_by if c in types})
+        return df
+
+    def _writer(self, df: DataFrame, mode: str):
+        if not self.partition_by:
+            return df.write.mode(mode)
+        # Rebalance on the partition columns: each task writes few partition
+        # folders (few files); AQE splits a hot partition value over several
+        # tasks and merges small ones.  No sampling pass over the input.
+        balanced = df.hint("rebalance", *self.partition_by)
+        return balanced.write.mode(mode).partitionBy(*self.partition_by)
 
     def commit(self, df: DataFrame) -> int:
-        """Write ``df`` as a new version; returns the rows written."""
+        """Replace the whole content; returns the rows written.  Unpartitioned:
+        a new version.  Partitioned: a full overwrite of the data folder
+        (Spark refuses it if ``df`` reads the same folder)."""
+        if self.partition_by:
+            out, obs = _count_while_writing(df, "commit")
+            self._writer(out, "overwrite").option("partitionOverwriteMode", "static").parquet(self.data_path)
+            return observed_rows(obs)
         vs = self.versions()
         nxt = (vs[-1] + 1) if vs else 1
         out, obs = _count_while_writing(df, f"commit_{nxt}")
         out.write.mode("errorifexists").parquet(self.path(nxt))
-        return int(obs.get["rows"])
+        return observed_rows(obs)
 
     def append(self, df: DataFrame) -> int:
         cur = self.current_path()
         if cur is None:
             return self.commit(df)
         out, obs = _count_while_writing(df, "append")
-        out.write.mode("append").parquet(cur)
-        return int(obs.get["rows"])
+        self._writer(out, "append").parquet(cur)
+        return observed_rows(obs)
+
+    def replace_partitions(self, df: DataFrame, touched: list[tuple] | None = None) -> int:
+        """Partitioned tables: replace exactly the partitions present in ``df``
+        (which must not read this table: materialize it first).  Partitions in
+        ``touched`` that ``df`` no longer holds are removed."""
+        written = 0
+        if not df.isEmpty():
+            out, obs = _count_while_writing(df, "replace_partitions")
+            self._writer(out, "overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.data_path)
+            written = observed_rows(obs)
+        if touched:
+            left = {tuple(r) for r in df.select(*self.partition_by).distinct().collect()}
+            fs, _ = self._fs()
+            for vals in touched:
+                if tuple(vals) not in left:
+                    parts = [f"{c}={_escape_partition_value(v)}" for c, v in zip(self.partition_by, vals)]
+                    fs.delete(self._path("data", *parts), True)
+        return written
+
+    def touched(self, df: DataFrame) -> DataFrame:
+        """Distinct partition values present in ``df`` (one row per partition)."""
+        return df.select(*self.partition_by).distinct()
+
+    def read_partitions(self, parts: DataFrame) -> DataFrame:
+        """The table's rows in the given partitions (NULL-safe; the semi join
+        lets Spark prune partitions at run time)."""
+        cur = self.read()
+        p = parts.select(*[F.col(c).alias(f"__p_{c}") for c in self.partition_by])
+        cond = reduce(lambda a, b: a & b,
+                      [F.col(c).eqNullSafe(F.col(f"__p_{c}")) for c in self.partition_by])
+        return cur.join(p, cond, "left_semi")
+
+
+def _materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder,
+    so a result can be written over the partitions it was read from."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def _align_to(df: DataFrame, target: DataFrame) -> DataFrame:
@@ -203,8 +303,9 @@ def insert_ignore(df: DataFrame, table: Table, key, order_col: str | None = None
     if not table.exists():
         return table.commit(first)
     cur = table.read()
+    existing = table.read_partitions(table.touched(first)) if table.partition_by else cur
     # equality never matches a NULL key, so NULL-key rows pass the anti join
-    new = first.join(cur.select(*key), key, "left_anti")
+    new = first.join(existing.select(*key), key, "left_anti")
     return table.append(_align_to(new, cur))
 
 
@@ -228,6 +329,14 @@ def upsert(df: DataFrame, table: Table, key, update_columns=None,
     src = src.observe(obs_src, F.count(F.lit(1)).alias("rows"))
     tgt = table.read()
     cols = tgt.columns
+    if table.partition_by:
+        missing = [c for c in table.partition_by if c not in df.columns]
+        if missing:
+            raise ValueError(f"source lacks partition columns {missing}")
+        # only the partitions the batch touches are read and rewritten
+        src = _materialize(src)
+        touched_df = table.touched(src)
+        tgt = table.read_partitions(touched_df)
     s = _align_to(src, tgt).withColumn("__s", F.lit(True))
     t = tgt.withColumn("__t", F.lit(True))
     s = s.select(*[F.col(c).alias(f"s__{c}") for c in s.columns])
@@ -246,29 +355,43 @@ def upsert(df: DataFrame, table: Table, key, update_columns=None,
         else:
             e = F.when(tgt_present, F.col(c)).otherwise(F.col(f"s__{c}"))
         out.append(e.alias(c))
+    if table.partition_by:
+        table.replace_partitions(_materialize(j.select(*out)))
+        return int(src.count())
     table.commit(j.select(*out))
-    return int(obs_src.get["rows"])
+    return observed_rows(obs_src)
+
+
+def _rewrite(table: Table, cond: Column, rewrite) -> int:
+    """Shared UPDATE / DELETE path; returns the rows matching ``cond``."""
+    cur = table.read()
+    obs = Observation("matched")
+    if not table.partition_by:
+        table.commit(rewrite(cur.observe(obs, F.count_if(cond).alias("rows"))))
+        return observed_rows(obs)
+    # partitioned: rewrite only partitions holding a matching row
+    touched = [tuple(r) for r in cur.where(cond).select(*table.partition_by).distinct().collect()]
+    if not touched:
+        return 0
+    parts = table.spark.createDataFrame(touched, cur.select(*table.partition_by).schema)
+    sub = table.read_partitions(parts)
+    matched = sub.where(cond).count()
+    table.replace_partitions(_materialize(rewrite(sub)), touched)
+    return int(matched)
 
 
 def update_where(table: Table, updates: dict, where) -> int:
     """K10 UPDATE: rewrite with ``c = when(where, value).otherwise(c)``; returns rows matched."""
-    cur = table.read()
     cond = F.coalesce(where if not isinstance(where, str) else F.expr(where), F.lit(False))
-    obs = Observation("update")
-    out = cur.observe(obs, F.count_if(cond).alias("rows")).withColumns(
+    return _rewrite(table, cond, lambda d: d.withColumns(
         {c: F.when(cond, v if not isinstance(v, str) else F.lit(v)).otherwise(F.col(c))
-         for c, v in updates.items()})
-    table.commit(out)
-    return int(obs.get["rows"])
+         for c, v in updates.items()}))
 
 
 def delete_where(table: Table, where) -> int:
     """K10 DELETE: rewrite without the matching rows; returns rows deleted."""
-    cur = table.read()
     cond = F.coalesce(where if not isinstance(where, str) else F.expr(where), F.lit(False))
-    obs = Observation("delete")
-    table.commit(cur.observe(obs, F.count_if(cond).alias("rows")).where(~cond))
-    return int(obs.get["rows"])
+    return _rewrite(table, cond, lambda d: d.where(~cond))
 
 
 # ---------------------------------------------------------------- conform

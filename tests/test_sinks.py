@@ -1,6 +1,7 @@
 """Sink semantics: versioning, insert-ignore, upsert, rewrites, conform, surrogate key."""
 
 import datetime as dt
+import os
 
 import pytest
 from hypothesis import given, settings
@@ -139,3 +140,33 @@ def test_staged_path_prefix():
     from finspark.sinks.tables import staged_path
     assert staged_path("s3a://b/", "raw/x") == "s3a://b/staging/raw/x"
     assert staged_path("s3a://b", "staging/raw/x") == "s3a://b/staging/raw/x"
+
+
+def _files(root):
+    import glob
+    return {p: os.path.getmtime(p) for p in glob.glob(root + "/**/*.parquet", recursive=True)}
+
+
+def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmp_dir):
+    schema = "k BIGINT, part STRING, v DOUBLE"
+    t = Table(spark, tmp_dir + "/pt", partition_by="part")
+    load(spark.createDataFrame([(1, "a", 1.0), (2, "a", 2.0), (3, "b", 3.0), (None, "b", 9.0)], schema), t)
+    before = _files(tmp_dir + "/pt/data/part=b")
+    batch = spark.createDataFrame([(1, "a", 10.0, 1), (1, "a", 11.0, 2), (4, "c", 4.0, 1)],
+                                  "k BIGINT, part STRING, v DOUBLE, seq INT")
+    assert upsert(batch, t, "k", order_col="seq") == 2
+    got = sorted((r.k or 0, r.part, r.v) for r in t.read().collect())
+    assert got == [(0, "b", 9.0), (1, "a", 11.0), (2, "a", 2.0), (3, "b", 3.0), (4, "c", 4.0)]
+    assert _files(tmp_dir + "/pt/data/part=b") == before      # untouched partition kept as is
+
+
+def test_partitioned_insert_ignore_update_delete(spark, tmp_dir):
+    schema = "k BIGINT, part STRING, v DOUBLE"
+    t = Table(spark, tmp_dir + "/pt", partition_by=["part"])
+    load(spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (3, "c", 3.0)], schema), t)
+    assert insert_ignore(spark.createDataFrame([(1, "a", 5.0), (4, "a", 4.0)], schema), t, "k") == 1
+    assert update_where(t, {"v": F.col("v") * 10}, F.col("part") == "a") == 2
+    assert delete_where(t, "part = 'c'") == 1
+    assert not os.path.exists(tmp_dir + "/pt/data/part=c")    # emptied partition removed
+    assert sorted((r.k, r.part, r.v) for r in t.read().collect()) == [
+        (1, "a", 10.0), (2, "b", 2.0), (4, "a", 40.0)]
