@@ -20,7 +20,8 @@ from finspark.functions.scalar import ts_literal, with_lineage
 from finspark.operators.indicators import stock_analytics
 from finspark.operators.quality import STOCK_PRICE_RULES, Rules, evaluate, raise_if_failed
 from finspark.schemas import DAILY_STOCK_ANALYTICS
-from finspark.sinks.tables import (RUN_LOG_SCHEMA, Table, conform, load, log_run, quality_log_rows,
+from finspark.sinks.tables import (RUN_LOG_SCHEMA, Table, conform, load, log_run, observed_rows,
+                                   quality_log_rows,
                                    stage, upsert)
 
 
@@ -49,7 +50,7 @@ class StageMetrics:
             self.seconds[name] = time.perf_counter() - t0
 
     def rows(self, name: str) -> int:
-        return int(self._obs[name].get["rows"])
+        return observed_rows(self._obs[name])
 
 
 def staged(df: DataFrame, name: str):
@@ -83,9 +84,9 @@ def run_daily(spark: SparkSession, quotes: DataFrame, root: str, run_date: dt.da
 
     # extract + stage (lineage columns added, one fixed run timestamp)
     obs_x = Observation("extracted")
-    staged = with_lineage(quotes, source, start).observe(obs_x, F.count(F.lit(1)).alias("n"))
+    staged = with_lineage(quotes, source, start).observe(obs_x, F.count(F.lit(1)).alias("rows"))
     staged_path = stage(staged, f"{root}/staging/{source}/{ds}", "parquet")
-    extracted = int(obs_x.get["n"])
+    extracted = observed_rows(obs_x)
     df = spark.read.parquet(staged_path)
 
     # validate: the whole rule set is one aggregate over the staged data
