@@ -70,9 +70,10 @@ class RunResult:
 
 
 def analytics_table(spark: SparkSession, root: str) -> Table:
-    """The daily analytics table: partitioned by trade month."""
+    """The daily analytics table: partitioned by trade month, files sorted by
+    (symbol, trade_date) so symbol and date filters skip row groups."""
     return Table(spark, f"{root}/analytics/daily_stock_analytics", DAILY_STOCK_ANALYTICS,
-                 partition_by="trade_month")
+                 partition_by="trade_month", sort_by=["symbol", "trade_date"])
 
 
 def run_daily(spark: SparkSession, quotes: DataFrame, root: str, run_date: dt.date, run_id: int,

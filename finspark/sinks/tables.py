@@ -115,9 +115,12 @@ class Table:
     """
 
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec | None = None,
-                 partition_by=None):
+                 partition_by=None, sort_by=None):
         self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
         self.partition_by = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+        # sorted files: Parquet min/max statistics then skip row groups for
+        # filters on these columns (the role of the warehouse's indexes)
+        self.sort_by = [sort_by] if isinstance(sort_by, str) else list(sort_by or [])
 
     # Hadoop FileSystem of the root path (the same one Spark writes with)
     def _fs(self):
@@ -173,11 +176,15 @@ class Table:
 
     def _writer(self, df: DataFrame, mode: str):
         if not self.partition_by:
+            if self.sort_by:
+                df = df.sortWithinPartitions(*self.sort_by)
             return df.write.mode(mode)
         # Rebalance on the partition columns: each task writes few partition
         # folders (few files); AQE splits a hot partition value over several
         # tasks and merges small ones.  No sampling pass over the input.
         balanced = df.hint("rebalance", *self.partition_by)
+        if self.sort_by:
+            balanced = balanced.sortWithinPartitions(*self.partition_by, *self.sort_by)
         return balanced.write.mode(mode).partitionBy(*self.partition_by)
 
     def commit(self, df: DataFrame) -> int:
@@ -191,7 +198,7 @@ class Table:
         vs = self.versions()
         nxt = (vs[-1] + 1) if vs else 1
         out, obs = _count_while_writing(df, f"commit_{nxt}")
-        out.write.mode("errorifexists").parquet(self.path(nxt))
+        self._writer(out, "errorifexists").parquet(self.path(nxt))
         return observed_rows(obs)
 
     def append(self, df: DataFrame) -> int:

@@ -170,3 +170,13 @@ def test_partitioned_insert_ignore_update_delete(spark, tmp_dir):
     assert not os.path.exists(tmp_dir + "/pt/data/part=c")    # emptied partition removed
     assert sorted((r.k, r.part, r.v) for r in t.read().collect()) == [
         (1, "a", 10.0), (2, "b", 2.0), (4, "a", 40.0)]
+
+
+def test_sorted_files_let_filters_skip_row_groups(spark, tmp_dir):
+    t = Table(spark, tmp_dir + "/s", sort_by=["k"])
+    load(spark.range(2000).selectExpr("(id * 7919) % 2000 AS k", "id AS v").repartition(1), t)
+    import pyarrow.parquet as pq
+    import glob
+    f = sorted(glob.glob(tmp_dir + "/s/v=*/*.parquet"))[0]
+    col = pq.ParquetFile(f).read().column("k").to_pylist()
+    assert col == sorted(col)
