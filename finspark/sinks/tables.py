@@ -320,8 +320,10 @@ def upsert(df: DataFrame, table: Table, key, update_columns=None,
            order_col: str | None = None) -> int:
     """K5: insert new keys; on an existing key update ``update_columns``
     (default: every non-key column); within the batch the last row per key
-    wins.  An empty update set behaves as insert-ignore.  Writes a new version.
-    Returns the number of source rows applied (after in-batch dedupe)."""
+    wins.  An empty update set behaves as insert-ignore.  An unpartitioned
+    table gets a new complete version; a partitioned one has only the
+    partitions the batch touches rewritten.  Returns the number of source
+    rows applied (after in-batch dedupe)."""
     key = [key] if isinstance(key, str) else list(key)
     if update_columns is None:
         update_columns = [c for c in df.columns if c not in key and c != order_col]
