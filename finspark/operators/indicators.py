@@ -32,7 +32,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from finspark.functions.scalar import safe_div
@@ -136,11 +136,17 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
         *[F.col(k).alias(f"_s_{k}") for k in keys], F.col("_bkt").alias("_s_bkt"),
         own.alias("_own"), lo.alias("_lo"), hi.alias("_hi"), "_carry")
     checkpoint_dir(df.sparkSession)
-    # cached only while it is written, so the checkpoint does not recompute it
-    cached = stats.persist()
+    # cached only while it is written, so the checkpoint does not recompute it;
+    # its row count is observed in the same pass
+    obs = Observation("count_table_rows")
+    cached = stats.observe(obs, F.count(F.lit(1)).alias("rows")).persist()
     stats = cached.checkpoint(eager=True)
     cached.unpersist()
-    if stats.count() <= broadcast_max_rows:
+    try:
+        n_stats = int(obs.get["rows"])
+    except Exception:  # noqa: BLE001 - AQE dropped an empty plan: no rows
+        n_stats = 0
+    if n_stats <= broadcast_max_rows:
         stats = F.broadcast(stats)
 
     cond = reduce(lambda a, b: a & b,
