@@ -50,9 +50,9 @@ def _keys(key) -> list[str]:
 
 def _indicator_columns(df: DataFrame, part: list, order: str, price: str,
                        ma_windows, vol_window: int, rsi_period: int,
-                       carry: Column | None, key_ok: Column) -> DataFrame:
+                       carry: Column | None, key_ok: Column, tie_break=()) -> DataFrame:
     """Add the indicator columns with windows partitioned by ``part``."""
-    w = Window.partitionBy(*part).orderBy(order)
+    w = Window.partitionBy(*part).orderBy(order, *tie_break)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     p = F.col(price)
 
@@ -89,8 +89,10 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
                     price: str = "close_price",
                     rows_per_block: int | None = DEFAULT_ROWS_PER_BLOCK,
                     bucket: str = "month",
-                    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """T1 on a quote table unique by (key, order).
+                    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                    tie_break=()) -> DataFrame:
+    """T1 on a quote table unique by (key, order); if it is not, name
+    ``tie_break`` columns that make the row order deterministic.
 
     ``rows_per_block=None`` uses one window partition per key (fine when no
     key is large); otherwise series are split into blocks with a halo.
@@ -110,7 +112,7 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
     ma_windows = tuple(ma_windows)
     if rows_per_block is None:
         out = _indicator_columns(df, keys, order, price, ma_windows, vol_window,
-                                 rsi_period, None, key_ok)
+                                 rsi_period, None, key_ok, tuple(tie_break))
         return out.select(*base_cols, *_out_names(ma_windows, vol_window, rsi_period))
 
     halo = max(max(ma_windows) - 1, vol_window, rsi_period)
@@ -121,7 +123,9 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
     # Small table: rows and last known price per (key, bucket).
     stats = data.groupBy(*keys, "_bkt").agg(
         F.count(F.lit(1)).alias("_n"),
-        F.max_by(F.col(price), F.when(F.col(price).isNotNull(), F.col(order))).alias("_lastp"))
+        F.max_by(F.col(price), F.when(F.col(price).isNotNull(),
+                                      F.struct(F.col(order), *[F.col(c) for c in tie_break])))
+        .alias("_lastp"))
     sw = Window.partitionBy(*keys).orderBy("_bkt")
     before = sw.rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumns({
@@ -159,7 +163,7 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
     placed = placed.withColumn("_blk", F.explode(targets)).drop("_lo", "_hi")
 
     out = _indicator_columns(placed, keys + ["_blk"], order, price, ma_windows,
-                             vol_window, rsi_period, F.col("_carry"), key_ok)
+                             vol_window, rsi_period, F.col("_carry"), key_ok, tuple(tie_break))
     out = out.where(F.col("_blk") == F.col("_own"))
     return out.select(*base_cols, *_out_names(ma_windows, vol_window, rsi_period))
 

@@ -58,10 +58,15 @@ def read_json(spark: SparkSession, path: str, lines: bool = False, schema=None)
     return nan_to_null(r.json(path))
 
 
-def read_parquet(spark: SparkSession, path: str, columns=None) -> DataFrame:
-    """S3: Parquet; a column list is a projection Catalyst pushes into the scan."""
+def read_parquet(spark: SparkSession, path: str, columns=None, normalize_nan: bool = False) -> DataFrame:
+    """S3: Parquet; a column list is a projection Catalyst pushes into the scan.
+
+    ``normalize_nan`` turns float NaN into NULL (the library's source rule).
+    It is off by default for Parquet: a filter on a wrapped column can no
+    longer be pushed into the scan, and typed Parquet data rarely holds NaN."""
     df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return nan_to_null(df) if normalize_nan else df
 
 
 def read_xml(spark: SparkSession, path: str, row_tag: str | None = None, xpath: str | None = None,

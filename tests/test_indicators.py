@@ -130,3 +130,12 @@ def test_rsi_bounded_and_ma_within_window(spark, prices):
             assert min(window) - 1e-9 <= r["moving_avg_5d"] <= max(window) + 1e-9
         else:
             assert r["moving_avg_5d"] is None
+
+
+@pytest.mark.parametrize("rows_per_block", [None, 200])
+def test_tie_break_orders_duplicate_dates(spark, rows_per_block):
+    rows = [("A", dt.date(2024, 1, 1), 1, 10.0), ("A", dt.date(2024, 1, 1), 2, 20.0),
+            ("A", dt.date(2024, 1, 2), 1, 40.0)]
+    df = spark.createDataFrame(rows, "symbol STRING, trade_date DATE, seq INT, close_price DOUBLE")
+    out = stock_analytics(df, rows_per_block=rows_per_block, tie_break=["seq"]).orderBy("trade_date", "seq")
+    assert [r.daily_return for r in out.collect()] == [None, 1.0, 1.0]
