@@ -136,7 +136,9 @@ class Table:
     def data_path(self) -> str:
         return f"{self.root}/data"
 
-    def versions(self) -> list[int]:
+    def versions(self, committed: bool = True) -> list[int]:
+        """Version numbers; with ``committed=False`` also folders of jobs that
+        died before their commit (never read, but never reused either)."""
         fs, root = self._fs()
         if self.partition_by:
             return [1] if fs.exists(self._path("data", "_SUCCESS")) else []
@@ -145,7 +147,9 @@ class Table:
         out = []
         for st in fs.listStatus(root):
             name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(
+            if not name.startswith("v="):
+                continue
+            if not committed or fs.exists(
                     self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
                 out.append(int(name[2:]))
         return sorted(out)
@@ -195,7 +199,7 @@ class Table:
             out, obs = _count_while_writing(df, "commit")
             self._writer(out, "overwrite").option("partitionOverwriteMode", "static").parquet(self.data_path)
             return observed_rows(obs)
-        vs = self.versions()
+        vs = self.versions(committed=False)
         nxt = (vs[-1] + 1) if vs else 1
         out, obs = _count_while_writing(df, f"commit_{nxt}")
         self._writer(out, "errorifexists").parquet(self.path(nxt))

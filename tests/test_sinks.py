@@ -180,3 +180,14 @@ def test_sorted_files_let_filters_skip_row_groups(spark, tmp_dir):
     f = sorted(glob.glob(tmp_dir + "/s/v=*/*.parquet"))[0]
     col = pq.ParquetFile(f).read().column("k").to_pylist()
     assert col == sorted(col)
+
+
+def test_failed_version_is_skipped_not_reused(spark, tmp_dir):
+    t = Table(spark, tmp_dir + "/t")
+    load(spark.createDataFrame([(1, "a", 0)], KV), t)
+    os.makedirs(tmp_dir + "/t/v=000002")                 # a job died before its commit
+    with open(tmp_dir + "/t/v=000002/part-0.parquet", "w") as f:
+        f.write("partial")
+    assert _rows(t) == [(1, "a")]                          # readers ignore it
+    load(spark.createDataFrame([(2, "b", 0)], KV), t, "replace")
+    assert t.versions() == [1, 3] and _rows(t) == [(2, "b")]
