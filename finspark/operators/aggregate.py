@@ -3,6 +3,19 @@ aggregation with empty buckets filled (A4-A6).
 
 All built-in aggregates here support partial (map-side) aggregation, so a
 hot group is reduced inside each input task before the shuffle.
+
+User aggregates (A11/UD3) come in three forms, fastest first:
+
+* ``SparkAggregate(fn)``: ``fn(Column) -> Column`` written with Spark
+  functions; Catalyst plans it like a built-in (partial aggregation).
+* ``Mergeable(partial, merge)``: pandas code in two steps.  ``partial`` runs
+  on chunks of at most ``rows_per_partial`` rows of one input partition
+  (``mapInPandas``), ``merge`` on the partials of a group.  A group's merge
+  task therefore sees at most (group rows / chunk) + (input partitions)
+  values, however large the group is.
+* a plain ``pandas.Series -> scalar`` callable: a grouped-aggregate pandas
+  UDF, which needs a whole group in one task.  It runs only after a check
+  that the largest group has at most ``max_group_rows`` rows.
 """
 
 from __future__ import annotations
@@ -16,9 +29,98 @@ from pyspark.sql import types as T
 from finspark.session import checkpoint_dir
 
 
+DEFAULT_ROWS_PER_PARTIAL = 1_000_000
+DEFAULT_MAX_GROUP_ROWS = 5_000_000
+
+
+class SparkAggregate:
+    """A user aggregate written with Spark functions: ``fn(Column) -> Column``,
+    e.g. ``SparkAggregate(lambda c: F.max(c) - F.min(c), "spread")``."""
+
+    def __init__(self, fn, name: str | None = None):
+        self.fn = fn
+        self.__name__ = name or getattr(fn, "__name__", "udf")
+
+    def __call__(self, c: Column) -> Column:
+        return self.fn(c)
+
+
+class Mergeable:
+    """A pandas user aggregate in two steps.
+
+    ``partial(series)`` returns ``width`` numbers for a chunk of a group;
+    ``merge(*series)`` gets one Series per partial value (all partials of the
+    group) and returns the result.  ``partial`` must be meaningful on any
+    non-empty subset of a group, e.g. spread = partial (max, min), merge
+    ``max(maxes) - min(mins)``.
+    """
+
+    def __init__(self, partial, merge, width: int = 1, name: str | None = None):
+        self.partial, self.merge, self.width = partial, merge, int(width)
+        self.__name__ = name or getattr(merge, "__name__", "udf")
+
+
+def mergeable_aggregate(df: DataFrame, keys: list[str], col: str, agg: Mergeable, name: str,
+                        rows_per_partial: int = DEFAULT_ROWS_PER_PARTIAL) -> DataFrame:
+    """One row per group: ``agg.merge`` over the partials of ``agg.partial``.
+
+    Step 1 is a map-side combine: each input partition is cut into chunks of
+    at most ``rows_per_partial`` rows and every chunk yields one partial row
+    per group it holds (no shuffle of raw rows).  Step 2 shuffles only the
+    partials and merges them per group.
+    """
+    import pandas as pd
+
+    pcols = [f"_p{i}" for i in range(agg.width)]
+    schema = T.StructType([T.StructField(k, df.schema[k].dataType, True) for k in keys]
+                          + [T.StructField(p, T.DoubleType(), True) for p in pcols])
+    partial, width, limit = agg.partial, agg.width, int(rows_per_partial)
+
+    def _num(v):
+        return None if v is None or pd.isna(v) else float(v)
+
+    def _partials(pdf):
+        rows = []
+        for k, g in pdf.groupby(keys, sort=False, dropna=False)[col]:
+            v = partial(g)
+            vals = tuple(v) if width > 1 else (v,)
+            rows.append((*(k if isinstance(k, tuple) else (k,)), *map(_num, vals)))
+        return pd.DataFrame(rows, columns=keys + pcols)
+
+    def chunks(batches):
+        buf, n = [], 0
+        for b in batches:
+            buf.append(b)
+            n += len(b)
+            if n >= limit:
+                yield _partials(pd.concat(buf, ignore_index=True))
+                buf, n = [], 0
+        if buf:
+            yield _partials(pd.concat(buf, ignore_index=True))
+
+    parts = df.select(*keys, col).mapInPandas(chunks, schema)
+    merge = agg.merge
+    out_schema = T.StructType([T.StructField(k, df.schema[k].dataType, True) for k in keys]
+                              + [T.StructField(name, T.DoubleType(), True)])
+
+    def merged(pdf):
+        v = merge(*[pdf[p] for p in pcols])
+        return pd.DataFrame([[*(pdf[k].iloc[0] for k in keys), _num(v)]], columns=keys + [name])
+
+    return parts.groupBy(*keys).applyInPandas(merged, out_schema)
+
+
+def largest_group(df: DataFrame, keys: list[str]) -> int:
+    """Rows in the largest group (one small aggregate job)."""
+    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return int(n or 0)
+
+
 def _agg_expr(col: str, fn, order_col: str | None) -> Column:
     """One aggregate of the vocabulary accepted by name (A3)."""
     c = F.col(col)
+    if isinstance(fn, SparkAggregate):
+        return fn(c)
     if callable(fn):
         return _grouped_agg_udf(fn)(c)
     name = fn.lower()
@@ -87,7 +189,7 @@ def _grouped_agg_udf(fn):
 
 
 def _fn_name(fn) -> str:
-    return getattr(fn, "__name__", "udf") if callable(fn) else str(fn)
+    return fn if isinstance(fn, str) else getattr(fn, "__name__", "udf")
 
 
 def exact_median(df: DataFrame, keys: list[str], col: str, name: str | None = None,
@@ -131,34 +233,59 @@ def exact_median(df: DataFrame, keys: list[str], col: str, name: str | None = No
 
 
 def group_aggregate(df: DataFrame, group_by, aggregations: dict,
-                    order_col: str | None = None, sort: bool = True) -> DataFrame:
+                    order_col: str | None = None, sort: bool = True,
+                    rows_per_partial: int = DEFAULT_ROWS_PER_PARTIAL,
+                    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
     """A1: ``aggregations`` maps column -> function name / callable / list of them.
 
     Output names (A2): with only single functions the column keeps its name;
     when any list is present every output is ``<col>_<func>``.  Rows with a
     NULL key are dropped; output sorted by the keys unless ``sort=False``.
     With no keys or no aggregations the input is returned unchanged.
-    Medians are computed by ``exact_median`` and joined on the keys (one row
-    per group on each side).
+    Medians are computed by ``exact_median`` and ``Mergeable`` aggregates by
+    ``mergeable_aggregate``; both are joined on the keys (one row per group on
+    each side).  A plain pandas callable first checks that no group exceeds
+    ``max_group_rows`` rows and raises ``ValueError`` otherwise.
     """
     keys = [group_by] if isinstance(group_by, str) else list(group_by or [])
     if not keys or not aggregations:
         return df
     wide = any(isinstance(v, (list, tuple)) for v in aggregations.values())
-    exprs, medians, order = [], [], []
+    exprs, medians, merges, order = [], [], [], []
+    whole_group = False
     for col, fns in aggregations.items():
         for fn in (fns if isinstance(fns, (list, tuple)) else [fns]):
             name = f"{col}_{_fn_name(fn)}".strip("_") if wide else col
             order.append(name)
             if isinstance(fn, str) and fn.lower() == "median":
                 medians.append((col, name))
+            elif isinstance(fn, Mergeable):
+                merges.append((col, fn, name))
             else:
+                whole_group |= callable(fn) and not isinstance(fn, SparkAggregate)
                 exprs.append(_agg_expr(col, fn, order_col).alias(name))
     keep = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     data = df.where(keep)
-    out = data.groupBy(*keys).agg(*exprs) if exprs else data.select(*keys).distinct()
+    if whole_group:
+        biggest = largest_group(data, keys)
+        if biggest > max_group_rows:
+            raise ValueError(
+                f"a pandas aggregate would put a group of {biggest} rows into one task "
+                f"(max_group_rows={max_group_rows}); use SparkAggregate or Mergeable")
+    merged = [mergeable_aggregate(data, keys, col, fn, name, rows_per_partial)
+              for col, fn, name in merges]
+    # a mergeable result has one row per group (every row yields a partial),
+    # so it can stand in for the key list; a median skips NULL values and can't
+    if exprs:
+        out = data.groupBy(*keys).agg(*exprs)
+    elif merged:
+        out, merged = merged[0], merged[1:]
+    else:
+        out = data.select(*keys).distinct()
     for col, name in medians:
         out = out.join(exact_median(data, keys, col, name), keys, "left")
+    for m in merged:
+        out = out.join(m, keys, "left")
     out = out.select(*keys, *order)
     return out.orderBy(*keys) if sort else out
 

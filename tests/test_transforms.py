@@ -132,3 +132,75 @@ def test_exact_median_matches_brute_force(spark, values, parts):
     got = {r.k: r.m for r in exact_median(df, ["k"], "v", "m", partitions=parts).collect()}
     assert got["hot"] == statistics.median([float(v) for v in values])
     assert got["cold"] == 2.5
+
+
+# ---------------------------------------------------------------- A11 / UD3 user aggregates
+def _agg_fixture(spark):
+    rows = [("a", float(i % 37) if i % 11 else None) for i in range(600)]
+    rows += [("b", float(i)) for i in range(7)] + [("c", None), (None, 5.0)]
+    return spark.createDataFrame(rows, "k STRING, v DOUBLE").repartition(3)
+
+
+def _brute(rows, fn):
+    groups = {}
+    for k, v in rows:
+        if k is not None:
+            groups.setdefault(k, []).append(v)
+    return {k: fn([x for x in vs if x is not None]) for k, vs in groups.items()}
+
+
+def _spread(vals):
+    return max(vals) - min(vals) if vals else None
+
+
+def test_mergeable_matches_brute_force_with_many_chunks(spark):
+    from finspark.operators.aggregate import Mergeable, group_aggregate
+    df = _agg_fixture(spark)
+    spread = Mergeable(lambda s: (s.max(), s.min()), lambda mx, mn: mx.max() - mn.min(),
+                       width=2, name="spread")
+    # chunks of 10 rows: group "a" is merged from dozens of partials
+    got = {r.k: r.v for r in group_aggregate(df, "k", {"v": spread}, rows_per_partial=10).collect()}
+    want = _brute([tuple(r) for r in df.collect()], _spread)
+    assert got.keys() == want.keys() == {"a", "b", "c"}
+    for k in want:
+        assert (got[k] is None and want[k] is None) or got[k] == pytest.approx(want[k])
+
+
+def test_mergeable_next_to_builtin_and_median(spark):
+    from finspark.operators.aggregate import Mergeable, group_aggregate
+    df = _agg_fixture(spark)
+    total = Mergeable(lambda s: s.sum(), lambda p: p.sum(), name="total")
+    out = group_aggregate(df, "k", {"v": ["count", total, "median"]}, rows_per_partial=25)
+    assert out.columns == ["k", "v_count", "v_total", "v_median"]
+    got = {r.k: (r.v_count, r.v_total) for r in out.collect()}
+    rows = [tuple(r) for r in df.collect()]
+    sums = _brute(rows, lambda vs: float(sum(vs)))
+    counts = _brute(rows, len)
+    assert {k: (c, pytest.approx(t)) for k, (c, t) in got.items()} == \
+        {k: (counts[k], pytest.approx(sums[k])) for k in sums}
+
+
+def test_spark_aggregate_is_planned_by_catalyst(spark):
+    from pyspark.sql import functions as F
+
+    from finspark.operators.aggregate import SparkAggregate, group_aggregate
+    df = _agg_fixture(spark)
+    out = group_aggregate(df, "k", {"v": SparkAggregate(lambda c: F.max(c) - F.min(c), "spread")})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Pandas" not in plan and "partial_max" in plan
+    got = {r.k: r.v for r in out.collect()}
+    want = _brute([tuple(r) for r in df.collect()], _spread)
+    assert got == want
+
+
+def test_plain_pandas_callable_checks_group_size(spark):
+    from finspark.operators.aggregate import group_aggregate
+    df = _agg_fixture(spark)
+
+    def spread(s):
+        return float(s.max() - s.min())
+
+    got = {r.k: r.v for r in group_aggregate(df, "k", {"v": spread}).collect()}
+    assert got["b"] == 6.0
+    with pytest.raises(ValueError, match="max_group_rows"):
+        group_aggregate(df, "k", {"v": spread}, max_group_rows=100)
