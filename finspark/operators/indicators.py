@@ -42,6 +42,10 @@ DEFAULT_ROWS_PER_BLOCK = 2_000_000
 # The count table is broadcast only when it has at most this many rows
 # (about 60 bytes each); otherwise it is joined by a shuffle.
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+# Next finer date_trunc unit, used when one (key, bucket) cell holds more
+# rows than a block.
+FINER_BUCKET = {"year": "month", "quarter": "month", "month": "day", "week": "day",
+                "day": "hour", "hour": "minute", "minute": "second"}
 
 
 def _keys(key) -> list[str]:
@@ -97,9 +101,10 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
     ``rows_per_block=None`` uses one window partition per key (fine when no
     key is large); otherwise series are split into blocks with a halo.
     ``bucket`` is the date_trunc unit of the count table that places the
-    block borders; a block never splits a bucket, so a bucket must hold far
-    fewer rows than ``rows_per_block`` ('month' for daily series, 'day' or
-    'hour' for intraday ones).
+    block borders; a block never splits a bucket.  When one (key, bucket)
+    cell holds more than a block's rows (e.g. a busy intraday series with
+    'month'), the count table is rebuilt with the next finer unit, down to
+    seconds, so blocks stay near ``rows_per_block`` rows.
 
     The count table (one row per key and bucket) is materialized with a
     reliable checkpoint when this function is called: it is small, and its
@@ -117,10 +122,35 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
 
     halo = max(max(ma_windows) - 1, vol_window, rsi_period)
     R = max(int(rows_per_block), halo)
-    bkt = F.date_trunc(bucket, F.col(order).cast("timestamp_ntz"))
-    data = df.withColumn("_bkt", bkt)
+    while True:
+        data = df.withColumn("_bkt", F.date_trunc(bucket, F.col(order).cast("timestamp_ntz")))
+        stats, n_stats, biggest = _count_table(data, keys, order, price, tuple(tie_break), R, halo)
+        if biggest <= R or bucket not in FINER_BUCKET:
+            break
+        # a cell larger than a block would make one oversized block: refine
+        bucket = FINER_BUCKET[bucket]
+    if n_stats <= broadcast_max_rows:
+        stats = F.broadcast(stats)
+
+    cond = reduce(lambda a, b: a & b,
+                  [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]
+                  + [F.col("_bkt") == F.col("_s_bkt")])
+    placed = data.join(stats, cond, "inner").drop(*[f"_s_{k}" for k in keys], "_s_bkt")
+    targets = F.concat(F.array(F.col("_own")),
+                       F.when(F.col("_lo") <= F.col("_hi"), F.sequence("_lo", "_hi"))
+                       .otherwise(F.array().cast("array<bigint>")))
+    placed = placed.withColumn("_blk", F.explode(targets)).drop("_lo", "_hi")
+
+    out = _indicator_columns(placed, keys + ["_blk"], order, price, ma_windows,
+                             vol_window, rsi_period, F.col("_carry"), key_ok, tuple(tie_break))
+    out = out.where(F.col("_blk") == F.col("_own"))
+    return out.select(*base_cols, *_out_names(ma_windows, vol_window, rsi_period))
+
 
-    # Small table: rows and last known price per (key, bucket).
+def _count_table(data: DataFrame, keys: list[str], order: str, price: str, tie_break: tuple,
+                 R: int, halo: int):
+    """Block placement per (key, bucket) cell, checkpointed; returns it with
+    its row count and the rows of its largest cell (observed in the same pass)."""
     stats = data.groupBy(*keys, "_bkt").agg(
         F.count(F.lit(1)).alias("_n"),
         F.max_by(F.col(price), F.when(F.col(price).isNotNull(),
@@ -136,36 +166,21 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
     own = F.floor(F.col("_q") / R)
     lo = F.greatest(own + 1, F.floor(end / R))
     hi = F.floor((end + F.lit(halo - 1)) / R)
-    stats = stats.select(
+    obs = Observation("count_table")
+    stats = stats.observe(obs, F.count(F.lit(1)).alias("rows"), F.max("_n").alias("biggest")).select(
         *[F.col(k).alias(f"_s_{k}") for k in keys], F.col("_bkt").alias("_s_bkt"),
         own.alias("_own"), lo.alias("_lo"), hi.alias("_hi"), "_carry")
-    checkpoint_dir(df.sparkSession)
-    # cached only while it is written, so the checkpoint does not recompute it;
-    # its row count is observed in the same pass
-    obs = Observation("count_table_rows")
-    cached = stats.observe(obs, F.count(F.lit(1)).alias("rows")).persist()
+    checkpoint_dir(data.sparkSession)
+    # cached only while it is written, so the checkpoint does not recompute it
+    cached = stats.persist()
     stats = cached.checkpoint(eager=True)
     cached.unpersist()
     try:
-        n_stats = int(obs.get["rows"])
+        got = obs.get
+        n_stats, biggest = int(got["rows"]), int(got["biggest"] or 0)
     except Exception:  # noqa: BLE001 - AQE dropped an empty plan: no rows
-        n_stats = 0
-    if n_stats <= broadcast_max_rows:
-        stats = F.broadcast(stats)
-
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]
-                  + [F.col("_bkt") == F.col("_s_bkt")])
-    placed = data.join(stats, cond, "inner").drop(*[f"_s_{k}" for k in keys], "_s_bkt")
-    targets = F.concat(F.array(F.col("_own")),
-                       F.when(F.col("_lo") <= F.col("_hi"), F.sequence("_lo", "_hi"))
-                       .otherwise(F.array().cast("array<bigint>")))
-    placed = placed.withColumn("_blk", F.explode(targets)).drop("_lo", "_hi")
-
-    out = _indicator_columns(placed, keys + ["_blk"], order, price, ma_windows,
-                             vol_window, rsi_period, F.col("_carry"), key_ok, tuple(tie_break))
-    out = out.where(F.col("_blk") == F.col("_own"))
-    return out.select(*base_cols, *_out_names(ma_windows, vol_window, rsi_period))
+        n_stats, biggest = 0, 0
+    return stats, n_stats, biggest
 
 
 def _out_names(ma_windows, vol_window, rsi_period):

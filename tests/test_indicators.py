@@ -139,3 +139,25 @@ def test_tie_break_orders_duplicate_dates(spark, rows_per_block):
     df = spark.createDataFrame(rows, "symbol STRING, trade_date DATE, seq INT, close_price DOUBLE")
     out = stock_analytics(df, rows_per_block=rows_per_block, tie_break=["seq"]).orderBy("trade_date", "seq")
     assert [r.daily_return for r in out.collect()] == [None, 1.0, 1.0]
+
+
+def test_oversized_bucket_is_refined(spark):
+    """Year cells (365-366 rows) exceed 250-row blocks: the count table is rebuilt
+    by month, and the blocked result still equals the per-symbol one."""
+    from finspark.operators.indicators import _count_table
+    rnd = random.Random(11)
+    rows, p = [], 50.0
+    for i in range(1500):
+        p = max(1.0, p + rnd.uniform(-1, 1))
+        rows.append(("HOT", dt.date(2001, 1, 1) + dt.timedelta(days=i), p))
+    rows += [("B", dt.date(2001, 1, 1) + dt.timedelta(days=i), 10.0 + i) for i in range(30)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    yearly = df.withColumn("_bkt", F.date_trunc("year", F.col("trade_date").cast("timestamp_ntz")))
+    _, n_cells, biggest = _count_table(yearly, ["symbol"], "trade_date", "close_price", (), 250, 199)
+    assert biggest == 366 and n_cells == 6  # 2004 is a leap year
+    a = _collect(stock_analytics(df, rows_per_block=None))
+    b = _collect(stock_analytics(df, rows_per_block=250, bucket="year"))
+    assert len(a) == len(b) == 1530
+    for x, y in zip(a, b):
+        for k in x:
+            assert _close(x[k], y[k]) if isinstance(x[k], float) or x[k] is None else x[k] == y[k], (k, x, y)
