@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finspark.session import checkpoint_dir
+from finspark.session import checkpoint_dir, range_partitions
 
 
 DEFAULT_ROWS_PER_PARTIAL = 1_000_000
@@ -193,7 +193,7 @@ def _fn_name(fn) -> str:
 
 
 def exact_median(df: DataFrame, keys: list[str], col: str, name: str | None = None,
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, rows_per_partition: int = 5_000_000) -> DataFrame:
     """Exact per-group median (mean of the two middle values for an even count)
     without putting a whole group into one task.
 
@@ -207,8 +207,9 @@ def exact_median(df: DataFrame, keys: list[str], col: str, name: str | None = No
     """
     name = name or col
     spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys] + [F.col(col).isNotNull()])
+    # input rows bound the (key, value) pairs: size the range partitions by them
+    n_parts = partitions or range_partitions(df.where(ok), rows_per_partition)
     counted = (df.where(ok).groupBy(*keys, F.col(col).alias("_v"))
                .agg(F.count(F.lit(1)).alias("_c")))
     checkpoint_dir(spark)

@@ -78,3 +78,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def range_partitions(df, rows_per_partition: int) -> int:
+    """Partition count for a range repartition of ``df``.
+
+    AQE coalesces small shuffle partitions but never splits range partitions,
+    so the count must grow with the data: at least
+    ``spark.sql.shuffle.partitions``, and enough for ``rows_per_partition``
+    rows each (one count job).
+    """
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.count()
+    return max(base, -(-rows // int(rows_per_partition)))

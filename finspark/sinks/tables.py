@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from finspark.functions.scalar import ts_literal
 from finspark.schemas import TableSpec
-from finspark.session import checkpoint_dir
+from finspark.session import checkpoint_dir, range_partitions
 
 FORMATS = {"parquet": "parquet", "csv": "csv", "jsonl": "json", "json": "json"}
 
@@ -503,17 +503,21 @@ def fk_violations(child: DataFrame, parent: DataFrame, child_key: str, parent_ke
             .join(p, F.col(child_key) == F.col("__pk"), "left_anti"))
 
 
-def surrogate_key(df: DataFrame, order_cols, name: str = "id", partitions: int | None = None) -> DataFrame:
+def surrogate_key(df: DataFrame, order_cols, name: str = "id", partitions: int | None = None,
+                  rows_per_partition: int = 2_000_000) -> DataFrame:
     """stable 1-based id = position in ``order_cols`` order (row_number over
     a global order) without a single-partition window.
 
     Rows are range-partitioned on the order columns; per-partition counts (one
     row per partition, a proven small table) give each partition its offset,
-    and the id is offset + row number inside the partition.
+    and the id is offset + row number inside the partition.  The partition
+    count grows with the input (``rows_per_partition`` rows each).
+    ``order_cols`` should be the natural key: equal order values would be
+    numbered in no fixed order, and one value is never split over partitions.
     """
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or range_partitions(df, rows_per_partition)
     # Materialized once (reliable checkpoint in the shared checkpoint folder),
     # so the counts and the numbering see the very same partition ids.
     checkpoint_dir(spark)

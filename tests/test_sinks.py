@@ -191,3 +191,19 @@ def test_failed_version_is_skipped_not_reused(spark, tmp_dir):
     assert _rows(t) == [(1, "a")]                          # readers ignore it
     load(spark.createDataFrame([(2, "b", 0)], KV), t, "replace")
     assert t.versions() == [1, 3] and _rows(t) == [(2, "b")]
+
+
+def test_range_partitions_grow_with_rows(spark):
+    from finspark.session import range_partitions
+    df = spark.range(0, 10_000)
+    assert range_partitions(df, 1_000_000) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert range_partitions(df, 100) == 100
+    assert range_partitions(df, 99) == 102
+
+
+def test_surrogate_key_with_many_small_partitions(spark):
+    from finspark.sinks.tables import surrogate_key
+    df = spark.range(0, 5_000).select((F.col("id") * 7 % 5_000).alias("k"))
+    out = surrogate_key(df, "k", rows_per_partition=300)
+    got = sorted((r.k, r.id) for r in out.collect())
+    assert got == [(k, k + 1) for k in range(5_000)]
