@@ -204,3 +204,18 @@ def test_plain_pandas_callable_checks_group_size(spark):
     assert got["b"] == 6.0
     with pytest.raises(ValueError, match="max_group_rows"):
         group_aggregate(df, "k", {"v": spread}, max_group_rows=100)
+
+
+def test_mergeable_plan_shuffles_partials_only(spark):
+    """MapInPandas sits directly on the scan side: the only Exchange under the
+    merge is of partial rows, and no whole-group pandas aggregate is planned."""
+    from finspark.operators.aggregate import Mergeable, group_aggregate
+    df = _agg_fixture(spark)
+    spread = Mergeable(lambda s: (s.max(), s.min()), lambda mx, mn: mx.max() - mn.min(), width=2)
+    plan = group_aggregate(df, "k", {"v": spread}, sort=False)._jdf.queryExecution().executedPlan().toString()
+    below_map = plan[plan.index("MapInPandas"):]
+    above_map = plan[:plan.index("MapInPandas")]
+    assert "AggregateInPandas" not in plan
+    assert "FlatMapGroupsInPandas" in above_map and "Exchange hashpartitioning" in above_map
+    # the fixture's own repartition(3) is the only exchange below the partial step
+    assert below_map.count("Exchange") == 1
