@@ -125,11 +125,11 @@ def document_filter_project_limit(spark, sf):
                 {"o_orderkey": 1, "o_totalprice": 1}, limit=0)
 
 
-@register("document_group_pipeline", """
+@register("document_group_stages", """
 SELECT o_orderpriority, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total,
        COUNT(*) AS n
 FROM orders WHERE o_orderstatus = 'F' GROUP BY o_orderpriority""")
-def document_group_pipeline(spark, sf):
+def document_group_stages(spark, sf):
     """$match -> $group -> $sort -> $project written as DataFrame calls."""
     d = _documents(spark, sf)
     return (d.where(F.col("o_orderstatus") == "F")
