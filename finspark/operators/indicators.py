@@ -21,8 +21,10 @@ blocks of about ``rows_per_block`` rows.  Each block also receives the
 ``halo`` rows that precede it (the longest look-back of any indicator), so a
 window partitioned by (symbol, block) sees exactly the rows a per-symbol
 window would see for the block's own rows.  Block positions come from a small
-count table per (symbol, calendar bucket); forward fill across block borders
-uses the last known price carried in from that table.  Each row is copied to
+count table per (symbol, calendar bucket), kept only for symbols longer than
+one block (at most rows / rows_per_block of them); every other series is one
+block.  Forward fill across block borders uses the last known price carried
+in from that table.  Each row is copied to
 at most two later blocks, and only rows within ``halo`` of a block border are
 copied.  The data is shuffled once (by symbol and block); the count table is
 broadcast when its exact size is under a bound, otherwise joined by shuffle.
@@ -106,9 +108,9 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
     'month'), the count table is rebuilt with the next finer unit, down to
     seconds, so blocks stay near ``rows_per_block`` rows.
 
-    The count table (one row per key and bucket) is materialized with a
-    reliable checkpoint when this function is called: it is small, and its
-    exact size decides whether it is broadcast (at most
+    The count table (one row per bucket of each key longer than a block) is
+    materialized with a reliable checkpoint when this function is called: it
+    is small, and its exact size decides whether it is broadcast (at most
     ``broadcast_max_rows`` rows) or joined by a shuffle.
     """
     keys = _keys(key)
@@ -135,7 +137,9 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
     cond = reduce(lambda a, b: a & b,
                   [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]
                   + [F.col("_bkt") == F.col("_s_bkt")])
-    placed = data.join(stats, cond, "inner").drop(*[f"_s_{k}" for k in keys], "_s_bkt")
+    # rows of series that fit one block find no cell: block 0, no copies
+    placed = (data.join(stats, cond, "left").drop(*[f"_s_{k}" for k in keys], "_s_bkt")
+              .withColumn("_own", F.coalesce(F.col("_own"), F.lit(0).cast("bigint"))))
     targets = F.concat(F.array(F.col("_own")),
                        F.when(F.col("_lo") <= F.col("_hi"), F.sequence("_lo", "_hi"))
                        .otherwise(F.array().cast("array<bigint>")))
@@ -149,19 +153,26 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
 
 def _count_table(data: DataFrame, keys: list[str], order: str, price: str, tie_break: tuple,
                  R: int, halo: int):
-    """Block placement per (key, bucket) cell, checkpointed; returns it with
-    its row count and the rows of its largest cell (observed in the same pass)."""
-    stats = data.groupBy(*keys, "_bkt").agg(
+    """Block placement per (key, bucket) cell of the keys whose series holds
+    more than one block (``R`` rows), checkpointed; returns it with its row
+    count and the rows of its largest cell (observed in the same pass).
+
+    A series of at most ``R`` rows is one block: it needs no placement, halo
+    or carry, so its cells are left out.  There are at most (rows / R) such
+    long series, which keeps this table small however many keys there are.
+    """
+    cells = data.groupBy(*keys, "_bkt").agg(
         F.count(F.lit(1)).alias("_n"),
         F.max_by(F.col(price), F.when(F.col(price).isNotNull(),
                                       F.struct(F.col(order), *[F.col(c) for c in tie_break])))
         .alias("_lastp"))
     sw = Window.partitionBy(*keys).orderBy("_bkt")
     before = sw.rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumns({
+    stats = cells.withColumns({
         "_q": F.coalesce(F.sum("_n").over(before), F.lit(0)),
         "_carry": F.last("_lastp", ignorenulls=True).over(before),
-    })
+        "_tot": F.sum("_n").over(sw.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+    }).where(F.col("_tot") > R)
     end = F.col("_q") + F.col("_n")
     own = F.floor(F.col("_q") / R)
     lo = F.greatest(own + 1, F.floor(end / R))
