@@ -124,15 +124,26 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
 
     halo = max(max(ma_windows) - 1, vol_window, rsi_period)
     R = max(int(rows_per_block), halo)
+    # Series longer than a block: at most rows / R of them.  Counting them
+    # reads only the key columns; with none, every series is one block.
+    long_keys, n_long = _long_series(df, keys, R)
+    if n_long == 0:
+        return stock_analytics(df, ma_windows, vol_window, rsi_period, key, order, price,
+                               rows_per_block=None, tie_break=tie_break)
+    if n_long <= broadcast_max_rows:
+        long_keys = F.broadcast(long_keys)
+    same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
+    long_rows = df.join(long_keys, same_key, "left_semi")
     while True:
-        data = df.withColumn("_bkt", F.date_trunc(bucket, F.col(order).cast("timestamp_ntz")))
-        stats, n_stats, biggest = _count_table(data, keys, order, price, tuple(tie_break), R, halo)
+        cells = long_rows.withColumn("_bkt", F.date_trunc(bucket, F.col(order).cast("timestamp_ntz")))
+        stats, n_stats, biggest = _count_table(cells, keys, order, price, tuple(tie_break), R, halo)
         if biggest <= R or bucket not in FINER_BUCKET:
             break
         # a cell larger than a block would make one oversized block: refine
         bucket = FINER_BUCKET[bucket]
     if n_stats <= broadcast_max_rows:
         stats = F.broadcast(stats)
+    data = df.withColumn("_bkt", F.date_trunc(bucket, F.col(order).cast("timestamp_ntz")))
 
     cond = reduce(lambda a, b: a & b,
                   [F.col(k).eqNullSafe(F.col(f"_s_{k}")) for k in keys]
@@ -151,6 +162,29 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
     return out.select(*base_cols, *_out_names(ma_windows, vol_window, rsi_period))
 
 
+def _checkpointed(df: DataFrame, name: str):
+    """Materialize a small table with a reliable checkpoint; returns it and its
+    row count, observed while it is written."""
+    obs = Observation(name)
+    checkpoint_dir(df.sparkSession)
+    # cached only while it is written, so the checkpoint does not recompute it
+    cached = df.observe(obs, F.count(F.lit(1)).alias("rows")).persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    try:
+        return out, int(obs.get["rows"])
+    except Exception:  # noqa: BLE001 - AQE dropped an empty plan: no rows
+        return out, 0
+
+
+def _long_series(df: DataFrame, keys: list[str], R: int):
+    """Keys (as ``_h_<key>``) whose series holds more than ``R`` rows, and how
+    many there are; a NULL key is a series of its own."""
+    t = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > R)
+         .select(*[F.col(k).alias(f"_h_{k}") for k in keys]))
+    return _checkpointed(t, "long_series")
+
+
 def _count_table(data: DataFrame, keys: list[str], order: str, price: str, tie_break: tuple,
                  R: int, halo: int):
     """Block placement per (key, bucket) cell of the keys whose series holds
