@@ -162,3 +162,18 @@ def test_oversized_bucket_is_refined(spark):
     for x, y in zip(a, b):
         for k in x:
             assert _close(x[k], y[k]) if isinstance(x[k], float) or x[k] is None else x[k] == y[k], (k, x, y)
+
+
+def test_long_null_key_series_is_blocked_and_kept(spark):
+    """More NULL-symbol rows than a block: they are split like any long series,
+    every row comes back, and their indicators stay NULL."""
+    rows = [(None, dt.date(2010, 1, 1) + dt.timedelta(days=i), float(i % 17 + 1)) for i in range(700)]
+    rows += [("A", dt.date(2010, 1, 1) + dt.timedelta(days=i), 5.0 + i % 7) for i in range(120)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    a = _collect(stock_analytics(df, rows_per_block=None))
+    b = _collect(stock_analytics(df, rows_per_block=200))
+    assert len(a) == len(b) == 820
+    assert all(r["moving_avg_20d"] is None and r["rsi_14d"] is None for r in b if r["symbol"] is None)
+    for x, y in zip(a, b):
+        for k in x:
+            assert _close(x[k], y[k]) if isinstance(x[k], float) or x[k] is None else x[k] == y[k], (k, x, y)
