@@ -193,12 +193,14 @@ class Table:
 
     def commit(self, df: DataFrame) -> int:
         """Replace the whole content; returns the rows written.  Unpartitioned:
-        a new version.  Partitioned: a full overwrite of the data folder
-        (Spark refuses it if ``df`` reads the same folder)."""
+        a new version.  Partitioned: dynamic overwrite of the partitions in
+        ``df``, then removal of the old partitions it does not hold.  Nothing
+        old is deleted before the job commits, so a failed job leaves the
+        previous content (``df`` must not read this table)."""
         if self.partition_by:
-            out, obs = _count_while_writing(df, "commit")
-            self._writer(out, "overwrite").option("partitionOverwriteMode", "static").parquet(self.data_path)
-            return observed_rows(obs)
+            old = ([tuple(r) for r in self.touched(self.read()).collect()]
+                   if self.exists() else [])
+            return self.replace_partitions(df, touched=old)
         vs = self.versions(committed=False)
         nxt = (vs[-1] + 1) if vs else 1
         out, obs = _count_while_writing(df, f"commit_{nxt}")
@@ -229,6 +231,12 @@ class Table:
                 if tuple(vals) not in left:
                     parts = [f"{c}={_escape_partition_value(v)}" for c, v in zip(self.partition_by, vals)]
                     fs.delete(self._path("data", *parts), True)
+        # dynamic overwrite writes no _SUCCESS at the root: mark the committed
+        # table here, after the job succeeded
+        fs, _ = self._fs()
+        marker = self._path("data", "_SUCCESS")
+        if not fs.exists(marker):
+            fs.create(marker, True).close()
         return written
 
     def touched(self, df: DataFrame) -> DataFrame:

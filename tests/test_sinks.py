@@ -207,3 +207,21 @@ def test_surrogate_key_with_many_small_partitions(spark):
     out = surrogate_key(df, "k", rows_per_partition=300)
     got = sorted((r.k, r.id) for r in out.collect())
     assert got == [(k, k + 1) for k in range(5_000)]
+
+
+def test_partitioned_replace_survives_failed_job(spark, tmp_dir):
+    """A full replace of a partitioned table deletes nothing before its job
+    commits: a failing job leaves the old content; a good one drops the
+    partitions the new data does not hold."""
+    from finspark.sinks.tables import Table, truncate_and_load
+    t = Table(spark, tmp_dir + "/pt", partition_by="m")
+    first = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id INT, m STRING")
+    assert truncate_and_load(first, t) == 3 and t.exists()
+    bad = spark.createDataFrame([(9, "c")], "id INT, m STRING").withColumn(
+        "id", F.when(F.col("id") == 9, F.raise_error(F.lit("boom"))).otherwise(F.col("id")).cast("int"))
+    with pytest.raises(Exception):
+        truncate_and_load(bad, t)
+    assert sorted((r.id, r.m) for r in t.read().collect()) == [(1, "a"), (2, "a"), (3, "b")]
+    second = spark.createDataFrame([(4, "b"), (5, "c")], "id INT, m STRING")
+    assert truncate_and_load(second, t) == 2
+    assert sorted((r.id, r.m) for r in t.read().collect()) == [(4, "b"), (5, "c")]
