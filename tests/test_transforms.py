@@ -219,3 +219,17 @@ def test_mergeable_plan_shuffles_partials_only(spark):
     assert "FlatMapGroupsInPandas" in above_map and "Exchange hashpartitioning" in above_map
     # the fixture's own repartition(3) is the only exchange below the partial step
     assert below_map.count("Exchange") == 1
+
+
+def test_mergeable_with_composite_date_key(spark):
+    from finspark.operators.aggregate import Mergeable, group_aggregate
+    rows = [(dt.date(2024, 1, 1 + i % 3), i % 2, float(i)) for i in range(90)]
+    df = spark.createDataFrame(rows, "d DATE, g INT, v DOUBLE").repartition(4)
+    mean = Mergeable(lambda s: (s.sum(), s.count()), lambda sums, counts: sums.sum() / counts.sum(),
+                     width=2, name="mean")
+    got = {(r.d, r.g): r.v for r in group_aggregate(df, ["d", "g"], {"v": mean},
+                                                     rows_per_partial=7).collect()}
+    want = {}
+    for d, g, v in rows:
+        want.setdefault((d, g), []).append(v)
+    assert got == {k: pytest.approx(sum(vs) / len(vs)) for k, vs in want.items()}
