@@ -162,19 +162,22 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
     return out.select(*base_cols, *_out_names(ma_windows, vol_window, rsi_period))
 
 
-def _checkpointed(df: DataFrame, name: str):
-    """Materialize a small table with a reliable checkpoint; returns it and its
-    row count, observed while it is written."""
+def _checkpointed(df: DataFrame, name: str, **metrics: Column):
+    """Materialize a small table with a reliable checkpoint; returns it and
+    its ``rows`` plus ``metrics`` (aggregates), observed while it is written."""
     obs = Observation(name)
+    names = ["rows", *metrics]
     checkpoint_dir(df.sparkSession)
     # cached only while it is written, so the checkpoint does not recompute it
-    cached = df.observe(obs, F.count(F.lit(1)).alias("rows")).persist()
+    cached = df.observe(obs, F.count(F.lit(1)).alias("rows"),
+                        *[c.alias(n) for n, c in metrics.items()]).persist()
     out = cached.checkpoint(eager=True)
     cached.unpersist()
     try:
-        return out, int(obs.get["rows"])
+        got = obs.get
+        return out, {n: int(got[n] or 0) for n in names}
     except Exception:  # noqa: BLE001 - AQE dropped an empty plan: no rows
-        return out, 0
+        return out, dict.fromkeys(names, 0)
 
 
 def _long_series(df: DataFrame, keys: list[str], R: int):
@@ -182,7 +185,8 @@ def _long_series(df: DataFrame, keys: list[str], R: int):
     many there are; a NULL key is a series of its own."""
     t = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > R)
          .select(*[F.col(k).alias(f"_h_{k}") for k in keys]))
-    return _checkpointed(t, "long_series")
+    out, seen = _checkpointed(t, "long_series")
+    return out, seen["rows"]
 
 
 def _count_table(data: DataFrame, keys: list[str], order: str, price: str, tie_break: tuple,
@@ -211,21 +215,11 @@ def _count_table(data: DataFrame, keys: list[str], order: str, price: str, tie_b
     own = F.floor(F.col("_q") / R)
     lo = F.greatest(own + 1, F.floor(end / R))
     hi = F.floor((end + F.lit(halo - 1)) / R)
-    obs = Observation("count_table")
-    stats = stats.observe(obs, F.count(F.lit(1)).alias("rows"), F.max("_n").alias("biggest")).select(
+    stats = stats.select(
         *[F.col(k).alias(f"_s_{k}") for k in keys], F.col("_bkt").alias("_s_bkt"),
-        own.alias("_own"), lo.alias("_lo"), hi.alias("_hi"), "_carry")
-    checkpoint_dir(data.sparkSession)
-    # cached only while it is written, so the checkpoint does not recompute it
-    cached = stats.persist()
-    stats = cached.checkpoint(eager=True)
-    cached.unpersist()
-    try:
-        got = obs.get
-        n_stats, biggest = int(got["rows"]), int(got["biggest"] or 0)
-    except Exception:  # noqa: BLE001 - AQE dropped an empty plan: no rows
-        n_stats, biggest = 0, 0
-    return stats, n_stats, biggest
+        own.alias("_own"), lo.alias("_lo"), hi.alias("_hi"), "_carry", "_n")
+    stats, seen = _checkpointed(stats, "count_table", biggest=F.max("_n"))
+    return stats.drop("_n"), seen["rows"], seen["biggest"]
 
 
 def _out_names(ma_windows, vol_window, rsi_period):
