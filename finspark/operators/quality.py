@@ -76,6 +76,13 @@ class Rules:
         return RuleSet("schema", dict(expected_schema=expected_schema,
                                       allow_extra_columns=allow_extra_columns))
 
+    @staticmethod
+    def custom(kind: str, **params) -> RuleSet:
+        """A rule set of a validator added with ``register_validator``."""
+        if kind not in _COMPILERS:
+            raise ValueError(f"unknown validator {kind!r}; add it with register_validator")
+        return RuleSet(kind, params)
+
     @staticmethod
     def from_config(cfg: dict) -> list[RuleSet]:
         """A per-dataset rule dict {validator: kwargs} -> rule sets."""
@@ -376,6 +383,32 @@ _COMPILERS = {"completeness": _completeness, "expected_record_count": _expected,
               "accuracy": _accuracy, "consistency": _consistency, "schema": _schema}
 
 
+def register_validator(kind: str, checks: Callable[[DataFrame, dict], list],
+                       validator: str | None = None) -> None:
+    """UD5: add a validator, evaluated in the same single aggregate pass as
+    the built-in ones.
+
+    ``checks(df, params)`` returns ``(check, column, violation)`` triples,
+    ``violation`` a row-level Column predicate (NULL counts as no
+    violation).  Each check gets a result row with its violation count, and
+    the validator a totals row named ``kind`` (sums over its checks, like
+    accuracy).  Use it with ``Rules.custom(kind, **params)``.
+    """
+    if kind in _BUILT_IN:
+        raise ValueError(f"{kind!r} is a built-in validator")
+    name = validator or f"{kind}_validator"
+
+    def compile_checks(p: _Plan, df: DataFrame, n: Column, kw: dict):
+        triples = [(check, c, F.coalesce(viol, F.lit(False)), {})
+                   for check, c, viol in checks(df, kw)]
+        _sum_checks(p, name, kind, n, triples)
+
+    _COMPILERS[kind] = compile_checks
+
+
+_BUILT_IN = frozenset(_COMPILERS)
+
+
 def evaluate(df: DataFrame, rule_sets) -> DataFrame:
     """Evaluate rule sets with one aggregate pass; long-form result (lazy)."""
     if isinstance(rule_sets, RuleSet):

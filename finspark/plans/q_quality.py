@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from finspark.operators.quality import (Rules, evaluate, invalid_values, range_violation,
-                                        sample_violations, summarize, violations)
+                                        register_validator, sample_violations, summarize, violations)
 from finspark.plans.catalogue import register
 from finspark.plans.views import QUOTES_SQL, quotes, table, with_views
 
@@ -318,3 +318,40 @@ ORDER BY l_quantity LIMIT 10""")
 def invalid_value_sample(spark, sf):
     li = table(spark, sf, "lineitem")
     return invalid_values(li, range_violation("l_quantity", 5, 45), "l_quantity", n=10)
+
+
+# ------------------------------------------------------- UD5 user validator
+def _price_sanity_checks(df, kw):
+    lo, hi, close = F.col("low_price"), F.col("high_price"), F.col("close_price")
+    return [("low_above_high", "low_price", lo > hi),
+            ("close_outside_range", "close_price", (close < lo) | (close > hi)),
+            ("volume_not_positive", "volume", F.col("volume") <= kw.get("min_volume", 0))]
+
+
+register_validator("price_sanity", _price_sanity_checks)
+
+
+def _sum_sql(validator, total, checks, src):
+    """checks: list of (check, column, violation SQL); NULL is no violation."""
+    vs = [(ck, c, f"COALESCE({v}, false)") for ck, c, v in checks]
+    rows = [_row_sql(validator, ck, c, f"COUNT(*) - COUNT_IF({v})", f"COUNT_IF({v})",
+                     f"COUNT_IF({v}) = 0", src) for ck, c, v in vs]
+    passed = " + ".join(f"(COUNT(*) - COUNT_IF({v}))" for _, _, v in vs)
+    failed = " + ".join(f"COUNT_IF({v})" for _, _, v in vs)
+    oks = " AND ".join(f"COUNT_IF({v}) = 0" for _, _, v in vs)
+    rows.append(_row_sql(validator, total, None, passed, failed, oks, src))
+    return "\nUNION ALL\n".join(rows)
+
+
+@register("custom_validator", with_views(_sum_sql("price_sanity_validator", "price_sanity", [
+    ("low_above_high", "low_price", "low_price > high_price"),
+    ("close_outside_range", "close_price", "close_price < low_price OR close_price > high_price"),
+    ("volume_not_positive", "volume", "volume <= 10")],
+    "SELECT * FROM quotes"), quotes=QUOTES_SQL))
+def custom_validator(spark, sf):
+    """UD5: a user-registered validator next to a built-in one, both in one
+    aggregate pass over the quotes."""
+    res = evaluate(quotes(spark, sf), [Rules.custom("price_sanity", min_volume=10),
+                                       Rules.completeness(["symbol"])])
+    return res.where(F.col("validator") == "price_sanity_validator").select(*OUT)
+

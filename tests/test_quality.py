@@ -130,3 +130,34 @@ def test_accuracy_passed_plus_failed_is_checks_times_rows(spark, rows):
                                       custom_rules={"x": lambda c: c > -1}))
     tot = res.where(F.col("check") == "accuracy").collect()[0]
     assert tot.passed + tot.failed == 4 * len(rows)
+
+
+def test_registered_validator_runs_in_the_same_pass(spark, tmp_dir):
+    """UD5: a user validator is compiled into the one aggregate with the
+    built-in ones; NULL predicates are no violation."""
+    from finspark.operators.quality import register_validator
+
+    def band_checks(df, kw):
+        return [("below_floor", "x", F.col("x") < kw["floor"]),
+                ("y_not_after_x", "y", F.col("y") <= F.col("x"))]
+
+    register_validator("band_test", band_checks)
+    rows = [(1, 5), (2, 1), (None, 3), (7, None), (8, 9)]
+    spark.createDataFrame(rows, "x INT, y INT").write.parquet(tmp_dir + "/b")
+    df = spark.read.parquet(tmp_dir + "/b")
+    res = evaluate(df, [Rules.custom("band_test", floor=3), Rules.completeness(["x"])])
+    plan = res._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    got = {(r.check, r.column): (r.passed, r.failed, r.ok)
+           for r in res.where(F.col("validator") == "band_test_validator").collect()}
+    # x < 3: (1, 5) and (2, 1); y <= x: only (2, 1); a NULL comparison is no violation
+    assert got == {("below_floor", "x"): (3, 2, False), ("y_not_after_x", "y"): (4, 1, False),
+                   ("band_test", None): (7, 3, False)}
+
+
+def test_custom_validator_names_are_checked(spark):
+    from finspark.operators.quality import register_validator
+    with pytest.raises(ValueError, match="unknown validator"):
+        Rules.custom("never_registered")
+    with pytest.raises(ValueError, match="built-in"):
+        register_validator("accuracy", lambda df, kw: [])
