@@ -51,7 +51,11 @@ def read_csv(spark: SparkSession, path: str, schema=None, sep: str = ",", encodi
 
 def read_json(spark: SparkSession, path: str, lines: bool = False, schema=None) -> DataFrame:
     """An array of records per file (lines=False) or JSON lines (lines=True).
-    In line mode a line may also hold an array of records."""
+    In line mode a line may also hold an array of records.
+
+    A whole-file array cannot be split: each file is parsed by one task, so
+    land large exports as JSON lines (or one array per line), which Spark
+    splits by size."""
     r = spark.read.option("multiLine", not lines)
     if schema is not None:
         r = r.schema(schema)
