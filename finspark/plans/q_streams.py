@@ -26,7 +26,10 @@ def _drain_events(spark, sf, splits):
     inbox, sink, ckpt = (scratch_path(spark, n) for n in ("inbox", "sink", "ckpt"))
     for cond in splits:
         _land(ev.where(cond), inbox)
-        drain(decode(message_files(spark, inbox, max_files_per_trigger=2), EVENT_DDL), sink, ckpt)
+        # no timeout: the query drains everything landed (availableNow ends it),
+        # so its result is the whole table at any scale
+        drain(decode(message_files(spark, inbox, max_files_per_trigger=2), EVENT_DDL), sink, ckpt,
+              timeout_s=None)
     return spark.read.parquet(sink)
 
 
