@@ -100,3 +100,17 @@ def test_parquet_filter_and_projection_reach_the_scan(spark, tmp_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(px), GreaterThan(px,100.0)]" in plan
     assert "ReadSchema: struct<id:bigint,px:double>" in plan
+
+
+def test_drain_cut_by_timeout_resumes_exactly_once(spark, tmp_dir):
+    """A drain stopped by its timeout (one file per batch, tiny timeout) keeps
+    its position: the next run adds exactly the rest, whatever the first got."""
+    inbox, sink, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    for i in range(6):
+        _write(f"{inbox}/m{i}.txt", "".join(f'{{"id": {i * 10 + j}}}\n' for j in range(10)))
+    first = drain(decode(message_files(spark, inbox, max_files_per_trigger=1), "id INT"), sink, ckpt,
+                  timeout_s=0.01)
+    rest = drain(decode(message_files(spark, inbox, max_files_per_trigger=1), "id INT"), sink, ckpt,
+                 timeout_s=None)
+    assert first + rest == 60
+    assert sorted(r.id for r in spark.read.parquet(sink).collect()) == list(range(60))
