@@ -48,6 +48,19 @@ def group_agg_nunique_median_std(spark, sf):
     return out.withColumns({c: F.round(c, 6) for c in ("l_quantity_std", "l_quantity_var")})
 
 
+@register("group_agg_median_hot_groups", """
+SELECT l_returnflag,
+       ROUND(MEDIAN(l_extendedprice), 6) AS l_extendedprice,
+       MEDIAN(l_quantity) AS l_quantity
+FROM lineitem WHERE l_returnflag IS NOT NULL GROUP BY l_returnflag""")
+def group_agg_median_hot_groups(spark, sf):
+    """Exact medians over three groups of about a third of lineitem each:
+    every group spans many range partitions, none is ranked in one task."""
+    li = table(spark, sf, "lineitem")
+    out = group_aggregate(li, "l_returnflag", {"l_extendedprice": "median", "l_quantity": "median"})
+    return out.withColumn("l_extendedprice", F.round("l_extendedprice", 6))
+
+
 @register("group_agg_first_last", """
 SELECT o_custkey,
        arg_min(o_totalprice, o_orderkey) FILTER (WHERE o_totalprice IS NOT NULL) AS o_totalprice_first,
