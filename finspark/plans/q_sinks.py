@@ -150,20 +150,24 @@ def q_upsert(spark, sf):
 
 
 @register("upsert_hot_keys", """
-SELECT l_returnflag,
-       arg_max(l_orderkey, l_orderkey * 10 + l_linenumber) AS l_orderkey,
-       arg_max(l_extendedprice, l_orderkey * 10 + l_linenumber) AS l_extendedprice
-FROM lineitem GROUP BY l_returnflag""")
+SELECT l_returnflag, l_orderkey, l_extendedprice
+FROM (SELECT l_returnflag, l_orderkey, l_extendedprice,
+             ROW_NUMBER() OVER (PARTITION BY l_returnflag
+                                ORDER BY l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC) AS rn
+      FROM lineitem)
+WHERE rn = 1""")
 def q_upsert_hot_keys(spark, sf):
     """W8/K5 with hot keys: all lineitem rows upserted on l_returnflag (three
-    keys, about a third of the batch each); the last row per key by a unique
-    sequence wins.  The dedupe is a max_by aggregate, combined map-side."""
+    keys, about a third of the batch each); the last row per key by
+    (l_orderkey, l_linenumber, l_extendedprice) wins.  That pair of the first
+    two is not unique in the data; rows that tie on all three carry the same
+    output values.  The dedupe is a max_by aggregate, combined map-side."""
     li = table(spark, sf, "lineitem")
     t = Table(spark, scratch_path(spark, "upsert_hot"))
     load(li.groupBy("l_returnflag").agg(F.lit(0).cast("bigint").alias("l_orderkey"),
                                         F.lit(0.0).alias("l_extendedprice")), t)
     batch = li.select("l_returnflag", "l_orderkey", "l_extendedprice",
-                      (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"))
+                      F.struct("l_orderkey", "l_linenumber", "l_extendedprice").alias("seq"))
     upsert(batch, t, "l_returnflag", order_col="seq")
     return t.read()
 
