@@ -233,3 +233,24 @@ def test_mergeable_with_composite_date_key(spark):
     for d, g, v in rows:
         want.setdefault((d, g), []).append(v)
     assert got == {k: pytest.approx(sum(vs) / len(vs)) for k, vs in want.items()}
+
+
+def test_exact_median_with_partitions_sized_by_rows(spark):
+    """rows_per_partition=40 over 1,000 rows: 25+ range partitions, a hot
+    group spread over most of them; the medians still equal brute force."""
+    from finspark.operators.aggregate import exact_median
+    rnd = random.Random(3)
+    rows = [("hot", float(rnd.randint(0, 300))) for _ in range(900)]
+    rows += [("b", float(v)) for v in (4, 1, 9, 7)] + [("c", 2.5)] + [("d", None)]
+    rows += [("e", float(rnd.randint(0, 5))) for _ in range(94)]
+    df = spark.createDataFrame(rows, "k STRING, v DOUBLE")
+    got = {r.k: r.m for r in exact_median(df, ["k"], "v", "m", rows_per_partition=40).collect()}
+    want = {}
+    for k, v in rows:
+        if v is not None:
+            want.setdefault(k, []).append(v)
+    for k, vs in want.items():
+        vs.sort()
+        n = len(vs)
+        want[k] = (vs[(n - 1) // 2] + vs[n // 2]) / 2
+    assert got == want
