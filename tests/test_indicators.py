@@ -177,3 +177,16 @@ def test_long_null_key_series_is_blocked_and_kept(spark):
     for x, y in zip(a, b):
         for k in x:
             assert _close(x[k], y[k]) if isinstance(x[k], float) or x[k] is None else x[k] == y[k], (k, x, y)
+
+
+def test_short_series_plan_has_no_join(spark, tmp_dir):
+    """No series longer than a block: plain per-symbol windows, one Exchange,
+    no join with a count table."""
+    rows = [(s, dt.date(2000, 1, 1) + dt.timedelta(days=i), float(i)) for s in "ABC" for i in range(100)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(tmp_dir + "/short")
+    df = spark.read.parquet(tmp_dir + "/short")
+    out = stock_analytics(df, rows_per_block=250)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert len(out.collect()) == 300
