@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finspark.llm import simhash, wumanber
+from finspark.llm import bpe, simhash, toxicity, wumanber
 from finspark.plans.views import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,19 @@ def op2_simhash(spark, sf_dir):
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query
+def op3_byte_bpe(spark, sf_dir):
+    out = bpe.bpe_decode(bpe.bpe_encode(table(spark, sf_dir, "documents")))
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op4_toxicity(spark, sf_dir):
+    out = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"))
+
+
 @query
 def op10_wu_manber(spark, sf_dir):
     out = wumanber.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
