@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finspark.llm import bpe, simhash, toxicity, wumanber
+from finspark.llm import bpe, pii, simhash, toxicity, wumanber
 from finspark.plans.views import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,23 @@ def op4_toxicity(spark, sf_dir):
     return out.select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"))
 
 
+@query
+def op6_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = pii.find(docs, pii.fit(docs))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def listed(spans):
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["first"], s["last"])))
+
+    def number(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = map(number, pii.BASE_KINDS)
+    return out.select("doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
+                      listed(F.col("spans")).alias("spans"))
+
+
 @query
 def op10_wu_manber(spark, sf_dir):
     out = wumanber.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
