@@ -1,27 +1,65 @@
-"""Corpus pipeline: five stages over ``documents``, each written as Parquet and reread.
+"""Corpus pipeline: toxicity, near duplicates, benchmark decontamination, PII, byte-level BPE.
 
-Placeholder of the stage list while the operators are being written.
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
+as Parquet and reread as the next stage's docs.  All stages but the last return
+the columns of ``documents``; the last returns token ids.  SQL cannot express
+the learned stages, so the pipeline is tested against a brute-force version.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from finspark.llm import simhash
+from finspark.llm import bpe, pii, simhash, toxicity, wumanber
 from finspark.plans.views import table
+from finspark.session import scratch_path
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.5 or more as toxic go; learned from the labelled rows of ``docs``."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.without_toxic(docs, model)
 
 
-STAGES = [("simhash_near_dedup", near_dedup)]
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one of the smallest doc_id."""
+    return simhash.without_near_duplicates(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which benchmark passages make up a twentieth or more go."""
+    return wumanber.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; personal data is masked, n_chars follows the new text."""
+    clean = pii.redact(docs, pii.fit(docs))
+    size = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return clean.withColumn("n_chars", F.when(F.col("text").isNotNull(), size).otherwise(F.col("n_chars")))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids (little-endian unsigned 32-bit), and the digest of the text that they decode to."""
+    out = bpe.bpe_decode(bpe.bpe_encode(docs))
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_contaminated),
+    ("pii", mask_personal_data),
+    ("byte_bpe", encode),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for _name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        path = scratch_path(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

@@ -209,3 +209,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     named = linked.join(ids, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                            shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """One document row of each component (the smallest doc_id), with all its columns.
+
+    Of rows that repeat a doc_id one stays; rows without a doc_id all stay.
+    """
+    named = docs.where(F.col(f"`{id_col}`").isNotNull())
+    kept = (near_duplicates(named, id_col, text_col, shingle, max_bits).where("doc_id = component_id")
+            .select(F.col("doc_id").alias(id_col)).distinct())
+    return (named.join(kept, id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col])
+            .unionAll(docs.where(F.col(f"`{id_col}`").isNull())))

@@ -227,3 +227,16 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     return score(docs, model, id_col, text_col).select(
         "doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "offending")
+
+
+def without_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The document rows that score below ``threshold``, with all their columns, where they are."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches):
+        own = held.value
+        for batch in text_slices(batches, text_col):
+            texts = batch.column(text_col).to_pylist()
+            yield batch.filter(pa.array([own.score(t or "")[0] < threshold for t in texts]))
+
+    return docs.mapInArrow(keep, docs.schema)

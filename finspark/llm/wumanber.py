@@ -177,6 +177,18 @@ def _union(parts: DataFrame) -> DataFrame:
             .mapInArrow(merge, _HIT_SCHEMA.format(id=kind)))
 
 
+def is_contaminated(n_words, n_hit):
+    """The rule, for columns and numbers alike: some word is hit, and at least a twentieth."""
+    return (n_hit > 0) & (20 * n_hit >= n_words)
+
+
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, max_patterns: int):
+    """The pattern pairs, in how many blocks they come, and the block of a pair."""
+    pairs = benchmark_patterns(benchmark, item_col, text_col, window)
+    blocks = max(1, -(-pairs.count() // max_patterns))
+    return pairs, blocks, F.pmod(F.xxhash64("item_id", "pattern"), F.lit(blocks))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
                   max_patterns: int = MAX_PATTERNS) -> DataFrame:
@@ -188,10 +200,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     nothing; repeated rows each give a row; items with equal ids count once.
     """
     rows = text_rows(docs, id_col, text_col)
-    pairs = benchmark_patterns(benchmark, item_col, item_text_col, window)
-    total = pairs.count()
-    blocks = max(1, -(-total // max_patterns))
-    block = F.pmod(F.xxhash64("item_id", "pattern"), F.lit(blocks))
+    pairs, blocks, block = _blocks(benchmark, item_col, item_text_col, window, max_patterns)
     found = None
     for b in range(blocks):
         part = pairs if blocks == 1 else pairs.where(block == b)
@@ -199,5 +208,33 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         hits = hits.withColumn("block", F.lit(b))
         found = hits if found is None else found.unionAll(hits)
     out = found.drop("block") if blocks == 1 else _union(found)
-    return out.drop("copy_key").withColumn(
-        "contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+    return out.drop("copy_key").withColumn("contaminated", is_contaminated(F.col("n_words"), F.col("n_hit")))
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
+                         max_patterns: int = MAX_PATTERNS) -> DataFrame:
+    """The document rows that are not contaminated, with all their columns.
+
+    One block of patterns filters rows where they are; with more blocks the
+    hits are joined back by id, and rows without an id are kept.
+    """
+    pairs, blocks, _ = _blocks(benchmark, item_col, item_text_col, window, max_patterns)
+    if blocks > 1:
+        hits = contamination(docs, benchmark, id_col, text_col, item_col, item_text_col, window, max_patterns)
+        found = hits.where("contaminated").select(F.col("doc_id").alias(id_col))
+        return docs.join(found, id_col, "left_anti")
+    patterns = [(r["item_id"], r["pattern"]) for r in pairs.collect()]
+    held = docs.sparkSession.sparkContext.broadcast(patterns)
+
+    def keep(batches):
+        tables = WuManber([(i, tuple(p.encode().split(b" "))) for i, p in held.value])
+        for batch in text_slices(batches, text_col):
+            clean = []
+            for text in byte_texts(batch, text_col):
+                w = words(text)
+                hit = sum(b - a + 1 for a, b in _merged([(a, b) for a, b, _ in tables.find(w)]))
+                clean.append(not is_contaminated(len(w), hit))
+            yield batch.filter(pa.array(clean))
+
+    return docs.mapInArrow(keep, docs.schema)
