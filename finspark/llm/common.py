@@ -49,3 +49,31 @@ def materialize(df: DataFrame) -> DataFrame:
 def fold(id_col: str, modulus: int):
     """crc32 of the id's text, modulo ``modulus`` (null for a null id)."""
     return F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % modulus
+
+
+def order_bounds(df: DataFrame, id_col: str, buckets: int) -> list[int]:
+    """At most ``buckets`` - 1 ids that cut the ids of ``df`` into ranges of about equal rows."""
+    shares = [i / buckets for i in range(1, buckets)]
+    if not shares:
+        return []
+    got = df.agg(F.percentile_approx(id_col, shares, max(10_000, 10 * buckets))).first()[0]
+    return sorted({int(b) for b in got or ()})
+
+
+def bucket_of(id_col: str, bounds: list[int]):
+    """How many bounds lie below the id: its range, by a search in two levels."""
+    if not bounds:
+        return F.lit(0)
+    step = max(1, int(len(bounds) ** 0.5))
+    kind = "array<bigint>"
+    below = lambda b: b < F.col(id_col)
+    coarse = F.size(F.filter(F.lit(bounds[step - 1::step]).cast(kind), below))
+    fine = F.size(F.filter(F.slice(F.lit(bounds).cast(kind), coarse * step + 1, F.lit(step)), below))
+    return (coarse * step + fine).cast("int")
+
+
+def range_buckets(df: DataFrame, id_col: str, rows_per_bucket: int) -> list[int]:
+    """Bounds of enough ranges for ``rows_per_bucket`` rows each (a pass over the ids alone)."""
+    rows = df.select(id_col).where(F.col(id_col).isNotNull())
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return order_bounds(rows, id_col, max(least, -(-rows.count() // rows_per_bucket)))

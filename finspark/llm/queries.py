@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finspark.llm import bpe, pii, simhash, toxicity, wumanber
+from finspark.llm import bpe, pii, simhash, toxicity, winnowing, wumanber
 from finspark.plans.views import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,13 @@ def query(fn):
     return fn
 
 
+@query
+def op1_winnowing(spark, sf_dir):
+    out = winnowing.compare_edited(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", "edited_sha256", F.lower(F.hex("selected")).alias("fingerprint"),
+                      F.lower(F.hex("edited_selected")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 @query
 def op2_simhash(spark, sf_dir):
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
