@@ -11,8 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finspark.llm import bpe, pii, simhash, toxicity, winnowing, wumanber
+from finspark.llm import bpe, pii, simhash, token_store, toxicity, winnowing, wumanber
 from finspark.plans.views import table
+from finspark.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -66,6 +67,14 @@ def op6_pii(spark, sf_dir):
                       listed(F.col("spans")).alias("spans"))
 
 
+@query
+def op8_token_store(spark, sf_dir):
+    docs, folder = table(spark, sf_dir, "documents"), scratch_path(spark, "token_store")
+    listed = token_store.write_store(docs, folder)
+    files = max(1, listed.count())
+    return token_store.read_store(listed.repartition(files), folder, docs.schema["doc_id"].dataType.simpleString())
+
+
 @query
 def op10_wu_manber(spark, sf_dir):
     out = wumanber.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
