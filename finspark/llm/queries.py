@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finspark.llm import bpe, pii, simhash, token_store, toxicity, winnowing, wumanber
+from finspark.llm import bpe, langid, pii, quality, simhash, token_store, toxicity, winnowing, wumanber
 from finspark.plans.views import table
 from finspark.session import scratch_path
 
@@ -67,6 +67,12 @@ def op6_pii(spark, sf_dir):
                       listed(F.col("spans")).alias("spans"))
 
 
+@query
+def op7_langid(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
 @query
 def op8_token_store(spark, sf_dir):
     docs, folder = table(spark, sf_dir, "documents"), scratch_path(spark, "token_store")
@@ -75,6 +81,11 @@ def op8_token_store(spark, sf_dir):
     return token_store.read_store(listed.repartition(files), folder, docs.schema["doc_id"].dataType.simpleString())
 
 
+@query
+def op9_quality(spark, sf_dir):
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_wu_manber(spark, sf_dir):
     out = wumanber.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
