@@ -41,7 +41,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit), and the digest of the text that they decode to."""
-    out = bpe.bpe_decode(bpe.bpe_encode(docs))
+    out = bpe.bpe_round_trip(docs)
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -22,7 +22,7 @@ from finspark.llm.common import byte_texts, text_rows, text_slices
 from finspark.llm.pretokenize import batch_pieces
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-_CACHED = 400_000  # pieces a worker remembers; a full cache starts anew
+_CACHED = 250_000  # pieces a worker remembers; a full cache starts anew
 _ROW = 48  # longest piece (bytes) merged as a numpy row
 _ROWS = 1 << 15
 _NONE = np.int64(1) << 40
@@ -254,3 +254,23 @@ def bpe_decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                                              ["doc_id", "ids", "decoded"])
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary, decoded binary")
+
+
+def bpe_round_trip(docs: DataFrame, vocabulary: str = VOCABULARY, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, decoded) per document row: ``bpe_encode`` and ``bpe_decode`` in one pass, slice by
+    slice, so that ids and offsets of a whole Arrow batch never stand in memory at once."""
+    rows = text_rows(docs, id_col, text_col)
+
+    def run(batches):
+        table = ranks(vocabulary)
+        for batch in text_slices(batches):
+            ids, decoded = table.encode(byte_texts(batch)), []
+            for x in ids:
+                own = np.frombuffer(x, "<u4")
+                decoded.append(table.decode(own, table.ends(own)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())],
+                ["doc_id", "ids", "decoded"])
+
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary, decoded binary")

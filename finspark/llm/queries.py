@@ -39,7 +39,7 @@ def op2_simhash(spark, sf_dir):
 
 @query
 def op3_byte_bpe(spark, sf_dir):
-    out = bpe.bpe_decode(bpe.bpe_encode(table(spark, sf_dir, "documents")))
+    out = bpe.bpe_round_trip(table(spark, sf_dir, "documents"))
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
