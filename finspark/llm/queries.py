@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finspark.llm import bpe, langid, pii, quality, simhash, token_store, toxicity, winnowing, wumanber
+from finspark.llm import bpe, langid, merkle, pii, quality, simhash, token_store, toxicity, winnowing, wumanber
 from finspark.plans.views import table
 from finspark.session import scratch_path
 
@@ -50,6 +50,36 @@ def op4_toxicity(spark, sf_dir):
     return out.select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"))
 
 
+@query
+def op5_merkle_fixity(spark, sf_dir):
+    """Two stored replicas of all pages as WARC records; the second has lost every 211th record
+    (ids 3 mod 211) and has a wrong first byte in every 101st (ids 7 mod 101)."""
+    folder = scratch_path(spark, "warc")
+    merkle.records(table(spark, sf_dir, "pages")).write.parquet(f"{folder}/a")
+    first = spark.read.parquet(f"{folder}/a")
+    record = F.when(F.col("record_id") % 101 == 7, F.overlay("record", F.lit(b"X"), 1)).otherwise(F.col("record"))
+    lost = F.coalesce(F.col("record_id") % 211 == 3, F.lit(False))
+    first.where(~lost).select("record_id", record.alias("record")).write.parquet(f"{folder}/b")
+    return merkle.audit(first, spark.read.parquet(f"{folder}/b")).select(
+        "archive", F.col("record_id").alias("page_id"), "kind", "first_offset", "end_offset", "digest_a", "digest_b")
+
+
+ORACLE_SQL["op5_merkle_fixity"] = r"""
+WITH r AS (
+  SELECT page_id, concat('WARC/1.1', n, 'WARC-Type: resource', n, 'WARC-Record-ID: <urn:page:', page_id, '>', n,
+         'WARC-Target-URI: ', coalesce(url, ''), n, 'Content-Type: text/html', n, 'Content-Length: ',
+         strlen(coalesce(html, '')), n, n, coalesce(html, ''), n, n) AS record
+  FROM pages, (SELECT chr(13) || chr(10) AS n)),
+o AS (
+  SELECT page_id // 4096 AS archive, page_id, record, CAST(sum(strlen(record)) OVER (
+         PARTITION BY page_id // 4096 ORDER BY page_id) AS BIGINT) AS end_offset FROM r)
+SELECT CAST(archive AS BIGINT) AS archive, page_id, CASE WHEN page_id % 211 = 3 THEN 'missing' ELSE 'changed' END AS kind,
+       CAST(end_offset - strlen(record) AS BIGINT) AS first_offset, end_offset, sha256(record) AS digest_a,
+       CASE WHEN page_id % 211 <> 3 THEN sha256('X' || substr(record, 2)) END AS digest_b
+FROM o WHERE page_id % 211 = 3 OR page_id % 101 = 7
+"""
+
+
 @query
 def op6_pii(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
