@@ -23,6 +23,7 @@ from finspark.llm.pretokenize import batch_pieces
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 _CACHED = 250_000  # pieces a worker remembers; a full cache starts anew
+_KEPT = 256  # bytes; longer pieces are not remembered
 _ROW = 48  # longest piece (bytes) merged as a numpy row
 _ROWS = 1 << 15
 _NONE = np.int64(1) << 40
@@ -172,8 +173,6 @@ class Ranks:
 
     def learn(self, pieces: set[bytes]) -> None:
         """Add the ids of pieces to the cache."""
-        if len(self.cache) + len(pieces) > _CACHED:
-            self.cache.clear()
         rest = []
         for p in pieces:
             whole = self.rank.get(p)
@@ -192,12 +191,14 @@ class Ranks:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
         pieces, first = batch_pieces(texts)
         missing = set(pieces) - self.cache.keys()
-        if missing:
-            kept = len(self.cache)
-            self.learn(missing)
-            if len(self.cache) < kept + len(missing):  # started anew
-                self.learn(set(pieces) - self.cache.keys())
+        if len(self.cache) + len(missing) > _CACHED:
+            self.cache.clear()
+            missing = set(pieces)
+        self.learn(missing)
         got = list(map(self.cache.__getitem__, pieces))
+        for p in missing:
+            if len(p) > _KEPT:
+                del self.cache[p]
         at = first.tolist()
         return [b"".join(got[a:b]) for a, b in zip(at, at[1:])]
 

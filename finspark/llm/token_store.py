@@ -36,7 +36,8 @@ END_ID = 2
 LENGTH = 2048
 BATCH = 256  # sequences of a batch
 ROWS_PER_RANGE = 8192
-_CACHED = 400_000
+_CACHED = 250_000  # pieces a worker remembers; a full cache starts anew
+_KEPT = 256  # bytes; longer pieces are not remembered
 _PIECES = 20_000  # pieces encoded in one call
 
 
@@ -66,8 +67,8 @@ class Encoder:
 
     def _learn(self, pieces: set[bytes]) -> None:
         """Pieces without white space ends are joined by line ends, which keep them apart, and encoded at once."""
-        if len(self.cache) + len(pieces) > _CACHED:
-            self.cache.clear()
+        if not pieces:
+            return
         gap = self._ids("\n")[0]
         spaces = [p for p in pieces if not p.decode().strip()]
         for p in spaces:
@@ -90,12 +91,14 @@ class Encoder:
             return [np.array(e.ids, self.dtype).tobytes() for e in got]
         pieces, first = batch_pieces(texts)
         missing = set(pieces) - self.cache.keys()
-        if missing:
-            kept = len(self.cache)
-            self._learn(missing)
-            if len(self.cache) < kept + len(missing):  # started anew
-                self._learn(set(pieces) - self.cache.keys())
+        if len(self.cache) + len(missing) > _CACHED:
+            self.cache.clear()
+            missing = set(pieces)
+        self._learn(missing)
         got = list(map(self.cache.__getitem__, pieces))
+        for p in missing:
+            if len(p) > _KEPT:
+                del self.cache[p]
         at = first.tolist()
         return [b"".join(got[a:b]) for a, b in zip(at, at[1:])]
 
