@@ -14,8 +14,8 @@ User aggregates (A11/UD3) come in three forms, fastest first:
   task therefore sees at most (group rows / chunk) + (input partitions)
   values, however large the group is.
 * a plain ``pandas.Series -> scalar`` callable: a grouped-aggregate pandas
-  UDF, which needs a whole group in one task.  It runs only after a check
-  that the largest group has at most ``max_group_rows`` rows.
+  UDF, which needs a whole group in one task.  The caller must accept that
+  with ``whole_group=True``, at every size.
 """
 
 from __future__ import annotations
@@ -26,11 +26,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finspark.session import checkpoint_dir, range_partitions
+from finspark.session import checkpoint_dir, range_partitions, staged
 
 
 DEFAULT_ROWS_PER_PARTIAL = 1_000_000
-DEFAULT_MAX_GROUP_ROWS = 5_000_000
 
 
 class SparkAggregate:
@@ -110,12 +109,6 @@ def mergeable_aggregate(df: DataFrame, keys: list[str], col: str, agg: Mergeable
     return parts.groupBy(*keys).applyInPandas(merged, out_schema)
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows in the largest group (one small aggregate job)."""
-    n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return int(n or 0)
-
-
 def _agg_expr(col: str, fn, order_col: str | None) -> Column:
     """One aggregate of the vocabulary accepted by name (A3)."""
     c = F.col(col)
@@ -139,10 +132,10 @@ def _agg_expr(col: str, fn, order_col: str | None) -> Column:
     if name == "nunique":
         return F.count_distinct(c)
     if name in ("first", "last"):
-        # first / last non-missing value in row order; the order column
-        # makes this deterministic (pandas uses input order).
+        # first / last non-missing value by the order column (rows of a
+        # distributed table have no order of their own)
         if order_col is None:
-            return (F.first if name == "first" else F.last)(c, ignorenulls=True)
+            raise ValueError(f"{name!r} needs order_col")
         o = F.when(c.isNotNull(), F.col(order_col))
         return F.min_by(c, o) if name == "first" else F.max_by(c, o)
     if name == "std":
@@ -197,7 +190,8 @@ def exact_median(df: DataFrame, keys: list[str], col: str, name: str | None = No
     """Exact per-group median (mean of the two middle values for an even count)
     without putting a whole group into one task.
 
-    1. (key, value) -> count: duplicates collapse map-side.
+    1. (key, value) -> count, written once: duplicates collapse map-side, and
+       the number of pairs sizes the range partitions.
     2. Range-partition on (key, value): a large group spans many partitions.
        The result is materialized once (reliable checkpoint) so every later
        step sees the same partition ids.
@@ -208,10 +202,9 @@ def exact_median(df: DataFrame, keys: list[str], col: str, name: str | None = No
     name = name or col
     spark = df.sparkSession
     ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys] + [F.col(col).isNotNull()])
-    # input rows bound the (key, value) pairs: size the range partitions by them
-    n_parts = partitions or range_partitions(df.where(ok), rows_per_partition)
-    counted = (df.where(ok).groupBy(*keys, F.col(col).alias("_v"))
-               .agg(F.count(F.lit(1)).alias("_c")))
+    counted = staged(df.where(ok).groupBy(*keys, F.col(col).alias("_v"))
+                     .agg(F.count(F.lit(1)).alias("_c")), "median_counts")
+    n_parts = partitions or range_partitions(counted, rows_per_partition)
     checkpoint_dir(spark)
     ranged = (counted.repartitionByRange(n_parts, *keys, "_v")
               .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
@@ -236,7 +229,7 @@ def exact_median(df: DataFrame, keys: list[str], col: str, name: str | None = No
 def group_aggregate(df: DataFrame, group_by, aggregations: dict,
                     order_col: str | None = None, sort: bool = True,
                     rows_per_partial: int = DEFAULT_ROWS_PER_PARTIAL,
-                    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+                    whole_group: bool = False) -> DataFrame:
     """A1: ``aggregations`` maps column -> function name / callable / list of them.
 
     Output names (A2): with only single functions the column keeps its name;
@@ -245,15 +238,14 @@ def group_aggregate(df: DataFrame, group_by, aggregations: dict,
     With no keys or no aggregations the input is returned unchanged.
     Medians are computed by ``exact_median`` and ``Mergeable`` aggregates by
     ``mergeable_aggregate``; both are joined on the keys (one row per group on
-    each side).  A plain pandas callable first checks that no group exceeds
-    ``max_group_rows`` rows and raises ``ValueError`` otherwise.
+    each side).  A plain pandas callable gets a whole group in one task, so it
+    raises ``ValueError`` unless ``whole_group=True`` says that every group fits.
     """
     keys = [group_by] if isinstance(group_by, str) else list(group_by or [])
     if not keys or not aggregations:
         return df
     wide = any(isinstance(v, (list, tuple)) for v in aggregations.values())
     exprs, medians, merges, order = [], [], [], []
-    whole_group = False
     for col, fns in aggregations.items():
         for fn in (fns if isinstance(fns, (list, tuple)) else [fns]):
             name = f"{col}_{_fn_name(fn)}".strip("_") if wide else col
@@ -263,16 +255,12 @@ def group_aggregate(df: DataFrame, group_by, aggregations: dict,
             elif isinstance(fn, Mergeable):
                 merges.append((col, fn, name))
             else:
-                whole_group |= callable(fn) and not isinstance(fn, SparkAggregate)
+                if callable(fn) and not isinstance(fn, SparkAggregate) and not whole_group:
+                    raise ValueError(f"{_fn_name(fn)}: a pandas callable needs a whole group in one task; use "
+                                     "SparkAggregate or Mergeable, or pass whole_group=True")
                 exprs.append(_agg_expr(col, fn, order_col).alias(name))
     keep = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     data = df.where(keep)
-    if whole_group:
-        biggest = largest_group(data, keys)
-        if biggest > max_group_rows:
-            raise ValueError(
-                f"a pandas aggregate would put a group of {biggest} rows into one task "
-                f"(max_group_rows={max_group_rows}); use SparkAggregate or Mergeable")
     merged = [mergeable_aggregate(data, keys, col, fn, name, rows_per_partial)
               for col, fn, name in merges]
     # a mergeable result has one row per group (every row yields a partial),
@@ -331,29 +319,33 @@ def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
             if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
 
 
-def resample(df: DataFrame, date_col: str, freq: str = "D", value_cols=None) -> DataFrame:
-    """mean/sum/min/max/count per value column and calendar bucket.
+def resample(df: DataFrame, date_col: str, freq: str = "D", value_cols=None, by=()) -> DataFrame:
+    """mean/sum/min/max/count per value column and calendar bucket
+    (of each ``by`` group, if given).
 
     Rows with a missing date are dropped.  Every bucket between the first and
-    the last one is emitted; an empty one has sum 0, count 0 and missing
-    mean/min/max.  Output: ``date_col`` (bucket label, DATE), then
-    ``<col>_<stat>`` per value column.
+    the last one (of its group) is emitted; an empty one has sum 0, count 0
+    and missing mean/min/max.  Output: the ``by`` columns, ``date_col`` (bucket
+    label, DATE), then ``<col>_<stat>`` per value column.
     """
-    cols = list(value_cols) if value_cols is not None else numeric_columns(df, exclude=(date_col,))
+    by = [by] if isinstance(by, str) else list(by)
+    cols = list(value_cols) if value_cols is not None else numeric_columns(df, exclude=(date_col, *by))
     start = bucket_start(F.col(date_col), freq)
-    data = df.where(F.col(date_col).isNotNull()).select(start.alias("_start"), *cols)
+    data = df.where(F.col(date_col).isNotNull()).select(*by, start.alias("_start"), *cols)
     exprs = []
     for c in cols:
         exprs += [F.sum(c).alias(f"_s_{c}"), F.min(c).alias(f"_lo_{c}"),
                   F.max(c).alias(f"_hi_{c}"), F.count(c).alias(f"_n_{c}")]
-    grouped = data.groupBy("_start").agg(*exprs)
-    # The calendar spans first..last bucket; its size is the number of
-    # buckets, computed from a one-row aggregate of the grouped result.
+    grouped = data.groupBy(*by, "_start").agg(*exprs)
+    # One row per bucket that holds data; each emits itself and the empty
+    # buckets up to the next one, so the input is read and aggregated once.
     step = F.expr(f"INTERVAL {_FREQ[freq.upper()][1]}")
-    cal = (grouped.agg(F.min("_start").alias("lo"), F.max("_start").alias("hi"))
-           .where(F.col("lo").isNotNull())
-           .select(F.explode(F.sequence("lo", "hi", step)).alias("_start")))
-    out = cal.join(grouped, "_start", "left")
+    following = F.lead("_start").over(Window.partitionBy(*by).orderBy("_start"))
+    last = F.coalesce((F.col("_next") - step).cast("date"), F.col("_start"))
+    out = (grouped.withColumn("_next", following)
+           .withColumn("_bucket", F.explode(F.sequence("_start", last, step))))
+    held = F.col("_bucket") == F.col("_start")
+    out = out.withColumns({c: F.when(held, F.col(c)) for c in grouped.columns if c.startswith(("_s_", "_lo_", "_hi_", "_n_"))})
     stats = []
     for c in cols:
         dt = df.schema[c].dataType
@@ -369,4 +361,4 @@ def resample(df: DataFrame, date_col: str, freq: str = "D", value_cols=None) ->
             lo, hi = F.col(f"_lo_{c}"), F.col(f"_hi_{c}")
         stats += [mean.alias(f"{c}_mean"), total.alias(f"{c}_sum"), lo.alias(f"{c}_min"),
                   hi.alias(f"{c}_max"), F.coalesce(n_, F.lit(0)).alias(f"{c}_count")]
-    return out.select(bucket_label(F.col("_start"), freq).alias(date_col), *stats)
+    return out.select(*by, bucket_label(F.col("_bucket"), freq).alias(date_col), *stats)

@@ -17,22 +17,13 @@ log = logging.getLogger(__name__)
 class Lookup:
     """A lookup table joined on one column of the same name on both sides.
 
-    ``broadcast_max_rows``: when set, the lookup is counted and broadcast only
-    if it holds at most that many rows; otherwise the planner decides from
-    its size statistics (and AQE from the real shuffle size).
+    The planner broadcasts it by its size in bytes, or AQE by its real
+    shuffle size (``spark.sql.autoBroadcastJoinThreshold``).
     """
     name: str
     df: DataFrame
     key: str = "id"
     null_safe: bool = True
-    broadcast_max_rows: int | None = None
-
-
-def _maybe_broadcast(lk: Lookup, right: DataFrame) -> DataFrame:
-    if lk.broadcast_max_rows is None:
-        return right
-    n = right.limit(lk.broadcast_max_rows + 1).count()
-    return F.broadcast(right) if n <= lk.broadcast_max_rows else right
 
 
 def lookup_join(df: DataFrame, lk: Lookup) -> DataFrame:
@@ -45,7 +36,6 @@ def lookup_join(df: DataFrame, lk: Lookup) -> DataFrame:
     ren = {c: f"{c}_{lk.name}" for c in right.columns if c != lk.key and c in df.columns}
     rkey = f"__lk_{lk.name}_{lk.key}"
     right = right.withColumnsRenamed({**ren, lk.key: rkey})
-    right = _maybe_broadcast(lk, right)
     cond = (F.col(lk.key).eqNullSafe(F.col(rkey)) if lk.null_safe
             else F.col(lk.key) == F.col(rkey))
     return df.join(right, cond, "left").drop(rkey)

@@ -26,24 +26,23 @@ one block (at most rows / rows_per_block of them); every other series is one
 block.  Forward fill across block borders uses the last known price carried
 in from that table.  Each row is copied to
 at most two later blocks, and only rows within ``halo`` of a block border are
-copied.  The data is shuffled once (by symbol and block); the count table is
-broadcast when its exact size is under a bound, otherwise joined by shuffle.
+copied.  The data is shuffled once (by symbol and block).  The count table is
+a small file: the planner broadcasts it by its bytes, or joins it by shuffle.
+The input is written once (unless it is a stored table already), so the
+counts and the indicators do not compute it twice.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finspark.functions.scalar import safe_div
-from finspark.session import checkpoint_dir
+from finspark.session import staged
 
 DEFAULT_ROWS_PER_BLOCK = 2_000_000
-# The count table is broadcast only when it has at most this many rows
-# (about 60 bytes each); otherwise it is joined by a shuffle.
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 # Next finer date_trunc unit, used when one (key, bucket) cell holds more
 # rows than a block.
 FINER_BUCKET = {"year": "month", "quarter": "month", "month": "day", "week": "day",
@@ -94,8 +93,7 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
                     rsi_period: int = 14, key="symbol", order: str = "trade_date",
                     price: str = "close_price",
                     rows_per_block: int | None = DEFAULT_ROWS_PER_BLOCK,
-                    bucket: str = "month",
-                    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+                    bucket: str = "month", stored: bool = False,
                     tie_break=()) -> DataFrame:
     """T1 on a quote table unique by (key, order); if it is not, name
     ``tie_break`` columns that make the row order deterministic.
@@ -108,10 +106,10 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
     'month'), the count table is rebuilt with the next finer unit, down to
     seconds, so blocks stay near ``rows_per_block`` rows.
 
-    The count table (one row per bucket of each key longer than a block) is
-    materialized with a reliable checkpoint when this function is called: it
-    is small, and its exact size decides whether it is broadcast (at most
-    ``broadcast_max_rows`` rows) or joined by a shuffle.
+    ``stored=True`` says that ``df`` is read straight from files: it is then
+    read again for the counts (key columns only) instead of being written to
+    the shared folder once.  The count table (one row per bucket of each key
+    longer than a block) is written when this function is called.
     """
     keys = _keys(key)
     key_ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -122,6 +120,8 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
                                  rsi_period, None, key_ok, tuple(tie_break))
         return out.select(*base_cols, *_out_names(ma_windows, vol_window, rsi_period))
 
+    if not stored:
+        df = staged(df, "t1_input")
     halo = max(max(ma_windows) - 1, vol_window, rsi_period)
     R = max(int(rows_per_block), halo)
     # Series longer than a block: at most rows / R of them.  Counting them
@@ -130,19 +130,15 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
     if n_long == 0:
         return stock_analytics(df, ma_windows, vol_window, rsi_period, key, order, price,
                                rows_per_block=None, tie_break=tie_break)
-    if n_long <= broadcast_max_rows:
-        long_keys = F.broadcast(long_keys)
     same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
     long_rows = df.join(long_keys, same_key, "left_semi")
     while True:
         cells = long_rows.withColumn("_bkt", F.date_trunc(bucket, F.col(order).cast("timestamp_ntz")))
-        stats, n_stats, biggest = _count_table(cells, keys, order, price, tuple(tie_break), R, halo)
+        stats, biggest = _count_table(cells, keys, order, price, tuple(tie_break), R, halo)
         if biggest <= R or bucket not in FINER_BUCKET:
             break
         # a cell larger than a block would make one oversized block: refine
         bucket = FINER_BUCKET[bucket]
-    if n_stats <= broadcast_max_rows:
-        stats = F.broadcast(stats)
     data = df.withColumn("_bkt", F.date_trunc(bucket, F.col(order).cast("timestamp_ntz")))
 
     cond = reduce(lambda a, b: a & b,
@@ -162,38 +158,20 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
     return out.select(*base_cols, *_out_names(ma_windows, vol_window, rsi_period))
 
 
-def _checkpointed(df: DataFrame, name: str, **metrics: Column):
-    """Materialize a small table with a reliable checkpoint; returns it and
-    its ``rows`` plus ``metrics`` (aggregates), observed while it is written."""
-    obs = Observation(name)
-    names = ["rows", *metrics]
-    checkpoint_dir(df.sparkSession)
-    # cached only while it is written, so the checkpoint does not recompute it
-    cached = df.observe(obs, F.count(F.lit(1)).alias("rows"),
-                        *[c.alias(n) for n, c in metrics.items()]).persist()
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    try:
-        got = obs.get
-        return out, {n: int(got[n] or 0) for n in names}
-    except Exception:  # noqa: BLE001 - AQE dropped an empty plan: no rows
-        return out, dict.fromkeys(names, 0)
-
-
 def _long_series(df: DataFrame, keys: list[str], R: int):
     """Keys (as ``_h_<key>``) whose series holds more than ``R`` rows, and how
     many there are; a NULL key is a series of its own."""
     t = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > R)
          .select(*[F.col(k).alias(f"_h_{k}") for k in keys]))
-    out, seen = _checkpointed(t, "long_series")
-    return out, seen["rows"]
+    out = staged(t, "long_series")
+    return out, out.count()
 
 
 def _count_table(data: DataFrame, keys: list[str], order: str, price: str, tie_break: tuple,
                  R: int, halo: int):
     """Block placement per (key, bucket) cell of the keys whose series holds
-    more than one block (``R`` rows), checkpointed; returns it with its row
-    count and the rows of its largest cell (observed in the same pass).
+    more than one block (``R`` rows), written once; returns it with the rows
+    of its largest cell.
 
     A series of at most ``R`` rows is one block: it needs no placement, halo
     or carry, so its cells are left out.  There are at most (rows / R) such
@@ -218,8 +196,9 @@ def _count_table(data: DataFrame, keys: list[str], order: str, price: str, tie_b
     stats = stats.select(
         *[F.col(k).alias(f"_s_{k}") for k in keys], F.col("_bkt").alias("_s_bkt"),
         own.alias("_own"), lo.alias("_lo"), hi.alias("_hi"), "_carry", "_n")
-    stats, seen = _checkpointed(stats, "count_table", biggest=F.max("_n"))
-    return stats.drop("_n"), seen["rows"], seen["biggest"]
+    stats = staged(stats, "count_table")
+    biggest = stats.agg(F.max("_n")).first()[0]
+    return stats.drop("_n"), int(biggest or 0)
 
 
 def _out_names(ma_windows, vol_window, rsi_period):

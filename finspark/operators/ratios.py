@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finspark.functions.scalar import safe_div
+from finspark.session import staged
 
 RATIO_COLUMNS = ["debt_to_equity", "current_ratio", "quick_ratio", "roa", "roe",
                  "profit_margin", "asset_turnover"]
@@ -37,11 +38,13 @@ def financial_ratios(df: DataFrame) -> DataFrame:
 def share_of_group(df: DataFrame, value: str, group: list[str], name: str) -> DataFrame:
     """Value / sum(value) over the group; NULL group key -> NULL share.
 
-    The group total is a partial (map-side combined) aggregate joined back,
-    not a window: a hot group is reduced before the shuffle, and the join is
-    split by AQE's skew handling (or broadcast when the totals turn out small
-    at run time).
+    The input is written once (shared folder); totals and rows both come from
+    there, so an expensive input (a join) is computed once.  The group total
+    is a partial (map-side combined) aggregate joined back, not a window: a
+    hot group is reduced before the shuffle, and the join is split by AQE's
+    skew handling (or broadcast when the totals turn out small at run time).
     """
+    df = staged(df, "share_of_group")
     totals = (df.where(reduce(lambda a, b: a & b, [F.col(g).isNotNull() for g in group]))
               .groupBy(*group).agg(F.sum(value).alias("_grp_total")))
     totals = totals.select(*[F.col(g).alias(f"_t_{g}") for g in group], "_grp_total")

@@ -2,7 +2,7 @@
 Spark application over versioned paths (scheduling itself is not built).
 
     quotes --(stage)--> staged parquet --(one rule aggregate)--> quality log
-           --(T1, K7 conform)--> upsert into analytics table --> run log
+           --(T1, K7 conform)--> rejects table; upsert into analytics table --> run log
 
 Counts come from Observations taken while writing; validation never gates
 (non-strict), matching the source job, unless ``strict=True``.
@@ -20,6 +20,7 @@ from finspark.functions.scalar import ts_literal, with_lineage
 from finspark.operators.indicators import stock_analytics
 from finspark.operators.quality import STOCK_PRICE_RULES, Rules, evaluate, raise_if_failed
 from finspark.schemas import DAILY_STOCK_ANALYTICS
+from finspark.session import staged as stage_once
 from finspark.sinks.tables import (RUN_LOG_SCHEMA, Table, conform, load, log_run, observed_rows,
                                    quality_log_rows,
                                    stage, upsert)
@@ -73,7 +74,17 @@ def analytics_table(spark: SparkSession, root: str) -> Table:
     """The daily analytics table: partitioned by trade month, files sorted by
     (symbol, trade_date) so symbol and date filters skip row groups."""
     return Table(spark, f"{root}/analytics/daily_stock_analytics", DAILY_STOCK_ANALYTICS,
-                 partition_by="trade_month", sort_by=["symbol", "trade_date"])
+                 partition_by="trade_month", partition_of_key=True, sort_by=["symbol", "trade_date"])
+
+
+def rejects_table(spark: SparkSession, root: str) -> Table:
+    """Rows that a run could not load, with ``reject_reason`` and ``run_id``."""
+    return Table(spark, f"{root}/rejects/daily_stock_analytics")
+
+
+def _ties(df: DataFrame) -> list[str]:
+    """Quote columns that order rows of one symbol and day."""
+    return [c for c in ("open_price", "high_price", "low_price", "close_price", "volume") if c in df.columns]
 
 
 def run_daily(spark: SparkSession, quotes: DataFrame, root: str, run_date: dt.date, run_id: int,
@@ -98,19 +109,24 @@ def run_daily(spark: SparkSession, quotes: DataFrame, root: str, run_date: dt.da
 
     # transform + conform to the target DDL
     kw = {} if rows_per_block is None else {"rows_per_block": rows_per_block}
-    analytics = stock_analytics(df, **kw).withColumn("processed_at", ts_literal(start))
-    good, _rejects = conform(analytics, DAILY_STOCK_ANALYTICS)
+    # written once: good rows, rejects and their counts all come from there
+    analytics = stage_once(stock_analytics(df, stored=True, tie_break=_ties(df), **kw)
+                           .withColumn("processed_at", ts_literal(start)), "daily_analytics")
+    good, rejects = conform(analytics, DAILY_STOCK_ANALYTICS)
+    rejected = load(rejects.withColumn("run_id", F.lit(run_id).cast("bigint")), rejects_table(spark, root))
+    obs_g = Observation("good")
+    good = good.observe(obs_g, F.count(F.lit(1)).alias("rows"))
     # physical layout: partitions by trade month (a function of the key), so
     # a day's load reads and rewrites only the months it touches
     good = good.withColumn("trade_month", F.date_format("trade_date", "yyyy-MM"))
 
     # load: keyed upsert (re-running a day replaces its rows, never duplicates).
-    # The rows applied are counted inside the upsert; they are the rows that
-    # passed the conform step (keys are unique per day).
+    # Of rows that repeat a key one is applied, so loaded <= validated.
     target = analytics_table(spark, root)
-    loaded = upsert(good, target, list(DAILY_STOCK_ANALYTICS.key))
-    validated = loaded
-    rejected = extracted - validated
+    key = list(DAILY_STOCK_ANALYTICS.key)
+    loaded = upsert(good, target, key, update_columns=[c for c in good.columns if c not in key],
+                    order_col="processed_at")
+    validated = observed_rows(obs_g)
 
     log_run(spark, Table(spark, f"{root}/metadata/etl_run_log"), run_id, "financial_etl_pipeline",
             "load_stock_prices", source, "SUCCESS", start, extracted=extracted,

@@ -5,7 +5,9 @@ from __future__ import annotations
 import datetime as dt
 
 from finspark.plans.catalogue import register
-from finspark.plans.jobs import analytics_table, run_daily
+from pyspark.sql import functions as F
+
+from finspark.plans.jobs import analytics_table, rejects_table, run_daily
 from finspark.plans.q_transforms import _T1_SQL
 from finspark.plans.views import QUOTES_SQL, cte, quotes
 from finspark.session import scratch_path
@@ -25,14 +27,33 @@ def q_run_daily(spark, sf):
     return analytics_table(spark, root).read().select("symbol", "trade_date", "close_price", "volume", "daily_return", "rsi_14d")
 
 
-@register("run_log_counts", """
-SELECT CAST(r AS BIGINT) AS run_id, 'SUCCESS' AS status, n AS records_extracted, n AS records_loaded
-FROM (SELECT COUNT(*) AS n FROM (SELECT DISTINCT l_suppkey, CAST(l_shipdate AS DATE) FROM lineitem)),
+def _flawed_quotes(spark, sf):
+    """All quotes, those of a volume divisible by 7 twice, and those of a volume
+    divisible by 10 once more without a symbol."""
+    q = quotes(spark, sf)
+    return (q.unionByName(q.where("volume % 7 = 0"))
+            .unionByName(q.where("volume % 10 = 0").withColumn("symbol", F.lit(None).cast("string"))))
+
+
+@register("run_daily_rejects", cte(quotes=QUOTES_SQL) + """
+SELECT CAST(1 AS BIGINT) AS run_id, trade_date, volume, 'null:symbol' AS reject_reason FROM quotes WHERE volume % 10 = 0""")
+def q_run_daily_rejects(spark, sf):
+    """What the job could not load stays in its rejects table."""
+    root = scratch_path(spark, "warehouse")
+    run_daily(spark, _flawed_quotes(spark, sf), root, dt.date(2024, 1, 2), 1)
+    return rejects_table(spark, root).read().select("run_id", "trade_date", "volume", "reject_reason")
+
+
+@register("run_log_counts", cte(quotes=QUOTES_SQL) + """
+SELECT CAST(r AS BIGINT) AS run_id, 'SUCCESS' AS status, n + twice + nameless AS records_extracted,
+       n + twice AS records_validated, n AS records_loaded
+FROM (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE volume % 7 = 0) AS twice,
+             COUNT(*) FILTER (WHERE volume % 10 = 0) AS nameless FROM quotes),
      (VALUES (1), (2)) v(r)""")
 def q_run_log_counts(spark, sf):
-    """The run log written by two runs of the job, counts from Observations."""
+    """The run log written by two runs of the job over quotes with repeated and rejected rows."""
     root = scratch_path(spark, "warehouse")
     for run_id in (1, 2):
-        run_daily(spark, quotes(spark, sf), root, dt.date(2024, 1, 2), run_id)
+        run_daily(spark, _flawed_quotes(spark, sf), root, dt.date(2024, 1, 2), run_id)
     log = Table(spark, f"{root}/metadata/etl_run_log").read()
-    return log.select("run_id", "status", "records_extracted", "records_loaded")
+    return log.select("run_id", "status", "records_extracted", "records_validated", "records_loaded")

@@ -172,6 +172,66 @@ def q_upsert_hot_keys(spark, sf):
     return t.read()
 
 
+@register("upsert_null_order", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * CASE WHEN o_orderkey % 3 = 0 THEN 3 ELSE 2 END AS o_totalprice,
+       o_orderdate, o_orderpriority
+FROM orders""")
+def q_upsert_null_order(spark, sf):
+    """A row whose order value is NULL loses against any other row of its key, and wins alone."""
+    o = _orders(spark, sf)
+    t = Table(spark, scratch_path(spark, "upsert_null_order"))
+    load(o, t)
+    b1 = o.where("o_orderkey % 3 <> 0").withColumns({"o_totalprice": F.col("o_totalprice") * 2, "seq": F.lit(1)})
+    b2 = o.withColumns({"o_totalprice": F.col("o_totalprice") * 3, "seq": F.lit(None).cast("int")})
+    upsert(b1.unionByName(b2), t, "o_orderkey", order_col="seq")
+    return t.read()
+
+
+@register("upsert_moved_partition", """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN 'O' ELSE o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderstatus = 'F' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, o_orderpriority
+FROM orders""")
+def q_upsert_moved_partition(spark, sf):
+    """Keys that move to another partition leave their old one (here all of it)."""
+    o = _orders(spark, sf)
+    t = Table(spark, scratch_path(spark, "upsert_moved"), partition_by="o_orderstatus")
+    load(o, t)
+    moved = o.where("o_orderstatus = 'F'").withColumns({"o_orderstatus": F.lit("O"),
+                                                        "o_totalprice": F.col("o_totalprice") + 1})
+    upsert(moved, t, "o_orderkey")
+    return t.read().select(*o.columns)
+
+
+@register("upsert_null_keys", """
+WITH k AS (SELECT * REPLACE (CASE WHEN o_orderkey % 2 = 1 THEN o_orderkey END AS o_orderkey) FROM orders)
+SELECT * REPLACE (o_totalprice + 5 AS o_totalprice) FROM k
+UNION ALL SELECT * FROM k WHERE o_orderkey IS NULL""")
+def q_upsert_null_keys(spark, sf):
+    """About half of all keys are NULL on both sides: such rows are kept and
+    inserted, never matched, and spread over the tasks of the join."""
+    o = _orders(spark, sf)
+    k = o.withColumn("o_orderkey", F.when(F.col("o_orderkey") % 2 == 1, F.col("o_orderkey")))
+    t = Table(spark, scratch_path(spark, "upsert_null_keys"))
+    load(k, t)
+    upsert(k.withColumn("o_totalprice", F.col("o_totalprice") + 5), t, "o_orderkey")
+    return t.read()
+
+
+@register("insert_ignore_moved_partition", """
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN o_orderstatus = 'P' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, o_orderpriority
+FROM orders""")
+def q_insert_ignore_moved_partition(spark, sf):
+    """A key that the table holds in another partition is skipped."""
+    o = _orders(spark, sf)
+    t = Table(spark, scratch_path(spark, "insert_moved"), partition_by="o_orderstatus")
+    load(o.where("o_orderstatus <> 'P'"), t)
+    insert_ignore(o.withColumns({"o_orderstatus": F.lit("P"), "o_totalprice": F.col("o_totalprice") + 1}), t, "o_orderkey")
+    return t.read().select(*o.columns)
+
+
 @register("truncate_reload", "SELECT * FROM orders WHERE o_orderstatus = 'F'")
 def truncate_reload(spark, sf):
     o = _orders(spark, sf)

@@ -12,24 +12,22 @@ from finspark.streaming.drain import decode, drain, message_files
 EVENT_DDL = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE"
 
 
-def _land(events, path):
-    """Messages as JSON text, one file per event type; 'error' events arrive
-    as undecodable bodies."""
-    body = F.when(F.col("event_type") == "error",
-                  F.concat(F.lit("<<corrupt "), F.col("event_id").cast("string"), F.lit(">>")))
-    msg = F.coalesce(body, F.to_json(F.struct("event_id", "user_id", "event_type", "value")))
+def _land(events, path, corrupt=True):
+    """Messages as JSON text, one folder per event type; 'error' events arrive
+    as undecodable bodies, unless ``corrupt`` is off."""
+    msg = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
+    if corrupt:
+        msg = F.when(F.col("event_type") == "error",
+                     F.concat(F.lit("<<corrupt "), F.col("event_id").cast("string"), F.lit(">>"))).otherwise(msg)
     events.select(msg.alias("value"), "event_type").write.partitionBy("event_type").mode("append").text(path)
 
 
-def _drain_events(spark, sf, splits):
+def _drain_events(spark, sf, splits, corrupt=True):
     ev = table(spark, sf, "events")
     inbox, sink, ckpt = (scratch_path(spark, n) for n in ("inbox", "sink", "ckpt"))
     for cond in splits:
-        _land(ev.where(cond), inbox)
-        # no timeout: the query drains everything landed (availableNow ends it),
-        # so its result is the whole table at any scale
-        drain(decode(message_files(spark, inbox, max_files_per_trigger=2), EVENT_DDL), sink, ckpt,
-              timeout_s=None)
+        _land(ev.where(cond), inbox, corrupt)
+        drain(decode(message_files(spark, inbox), EVENT_DDL), sink, ckpt)
     return spark.read.parquet(sink)
 
 
@@ -42,12 +40,10 @@ SELECT CASE WHEN event_type = 'error' THEN NULL ELSE event_id END AS event_id,
 FROM events"""
 
 
-@register("stream_drain_json", _EVENTS_SQL.replace("FROM events", "FROM events WHERE event_type <> 'error'")
-          .replace("CASE WHEN event_type = 'error' THEN '<<corrupt ' || CAST(event_id AS VARCHAR) || '>>' END",
-                   "CAST(NULL AS VARCHAR)"))
+@register("stream_drain_json", """
+SELECT event_id, user_id, event_type, value, CAST(NULL AS VARCHAR) AS raw_message FROM events""")
 def stream_drain_json(spark, sf):
-    out = _drain_events(spark, sf, [F.col("event_type") != "error"])
-    return out
+    return _drain_events(spark, sf, [F.lit(True)], corrupt=False)
 
 
 @register("stream_raw_fallback", _EVENTS_SQL)

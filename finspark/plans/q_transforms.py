@@ -173,8 +173,8 @@ LEFT JOIN nation n ON c.c_nationkey IS NOT DISTINCT FROM n.n_nationkey
 LEFT JOIN region r ON n.n_regionkey IS NOT DISTINCT FROM r.r_regionkey""")
 def q_lookup_join(spark, sf):
     return enrich(_customers(spark, sf), [
-        Lookup("nation", _nation_lookup(spark, sf), key="nationkey", broadcast_max_rows=100_000),
-        Lookup("region", _region_lookup(spark, sf), key="regionkey", broadcast_max_rows=100_000)])
+        Lookup("nation", _nation_lookup(spark, sf), key="nationkey"),
+        Lookup("region", _region_lookup(spark, sf), key="regionkey")])
 
 
 @register("lookup_join_suffix", """

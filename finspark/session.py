@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings every job in the library assumes.  ANSI mode stays on (Spark 4
@@ -27,6 +28,8 @@ BASE_CONF = {
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -80,13 +83,40 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df, name: str):
+    """``df`` written once as Parquet in the shared folder and read back: a plan
+    that several steps need is computed once, and they read their columns only."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def observed(obs) -> dict:
+    """The metrics of an Observation; empty when AQE proved the input empty and
+    dropped the plan (its metric row then has no schema).  Other errors are raised."""
+    try:
+        return obs.get
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
+        return {}
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder written by this library (scratch files, old versions)."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def range_partitions(df, rows_per_partition: int) -> int:
-    """Partition count for a range repartition of ``df``.
+    """Partition count for a range repartition of ``df``, a staged frame (its
+    rows are counted from file footers).
 
     AQE coalesces small shuffle partitions but never splits range partitions,
     so the count must grow with the data: at least
     ``spark.sql.shuffle.partitions``, and enough for ``rows_per_partition``
-    rows each (one count job).
+    rows each.
     """
     base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = df.count()

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from finspark.functions.scalar import ts_literal
 from finspark.schemas import TableSpec
-from finspark.session import checkpoint_dir, range_partitions
+from finspark.session import checkpoint_dir, observed, range_partitions, remove_path, scratch_path, staged
 
 FORMATS = {"parquet": "parquet", "csv": "csv", "jsonl": "json", "json": "json"}
 
@@ -83,11 +83,8 @@ def _count_while_writing(df: DataFrame, name: str):
 
 def observed_rows(obs: Observation) -> int:
     """Rows counted by an Observation.  When AQE proves the input empty it
-    drops the plan, the metrics are never collected, and that means 0 rows."""
-    try:
-        return int(obs.get["rows"])
-    except Exception:  # noqa: BLE001 - metrics missing only for an empty plan
-        return 0
+    drops the plan; the metric is then absent, and that means 0 rows."""
+    return int(observed(obs).get("rows") or 0)
 
 
 # --------------------------------------------------------- versioned table
@@ -109,14 +106,19 @@ class Table:
 
     ``partition_by=[...]``: one directory ``<root>/data/`` with Hive-style
     partitions; read-modify-write operations rewrite only the partitions
-    they touch (dynamic partition overwrite of a materialized result).  The
-    partition columns must be functions of the key (e.g. the month of the
-    trade date) so that a key never moves between partitions.
+    they touch (dynamic partition overwrite of a materialized result).  A key
+    may move between partitions: keyed loads find the partitions that hold
+    the batch's keys with a scan of key and partition columns.
+    ``partition_of_key=True`` declares the partition columns functions of the
+    key (e.g. the month of the trade date), which saves that scan.
+
+    ``keep_versions``: committed versions kept by an unpartitioned table.
     """
 
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec | None = None,
-                 partition_by=None, sort_by=None):
+                 partition_by=None, sort_by=None, partition_of_key: bool = False, keep_versions: int = 2):
         self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
+        self.partition_of_key, self.keep_versions = partition_of_key, max(1, int(keep_versions))
         self.partition_by = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
         # sorted files: Parquet min/max statistics then skip row groups for
         # filters on these columns (the role of the warehouse's indexes)
@@ -198,13 +200,14 @@ class Table:
         old is deleted before the job commits, so a failed job leaves the
         previous content (``df`` must not read this table)."""
         if self.partition_by:
-            old = ([tuple(r) for r in self.touched(self.read()).collect()]
-                   if self.exists() else [])
+            old = self.values(self.touched(self.read())) if self.exists() else []
             return self.replace_partitions(df, touched=old)
         vs = self.versions(committed=False)
         nxt = (vs[-1] + 1) if vs else 1
         out, obs = _count_while_writing(df, f"commit_{nxt}")
         self._writer(out, "errorifexists").parquet(self.path(nxt))
+        for v in self.versions()[:-self.keep_versions]:
+            remove_path(self.spark, self.path(v))
         return observed_rows(obs)
 
     def append(self, df: DataFrame) -> int:
@@ -219,16 +222,17 @@ class Table:
         """Partitioned tables: replace exactly the partitions present in ``df``
         (which must not read this table: materialize it first).  Partitions in
         ``touched`` that ``df`` no longer holds are removed."""
-        written = 0
-        if not df.isEmpty():
-            out, obs = _count_while_writing(df, "replace_partitions")
-            self._writer(out, "overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.data_path)
-            written = observed_rows(obs)
+        # one evaluation of df: rows and partition values are observed by the write
+        obs = Observation("replace_partitions")
+        values = F.collect_set(F.struct(*[F.col(c).cast("string") for c in self.partition_by]))
+        out = df.observe(obs, F.count(F.lit(1)).alias("rows"), values.alias("values"))
+        self._writer(out, "overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.data_path)
+        written = observed_rows(obs)
         if touched:
-            left = {tuple(r) for r in df.select(*self.partition_by).distinct().collect()}
+            left = {tuple(r) for r in observed(obs).get("values") or ()}
             fs, _ = self._fs()
             for vals in touched:
-                if tuple(vals) not in left:
+                if tuple(vals) not in left:  # values as text
                     parts = [f"{c}={_escape_partition_value(v)}" for c, v in zip(self.partition_by, vals)]
                     fs.delete(self._path("data", *parts), True)
         # dynamic overwrite writes no _SUCCESS at the root: mark the committed
@@ -243,6 +247,15 @@ class Table:
         """Distinct partition values present in ``df`` (one row per partition)."""
         return df.select(*self.partition_by).distinct()
 
+    def holding(self, keys: DataFrame, key: list[str]) -> DataFrame:
+        """Partition values of the rows whose key is in ``keys`` (reads key and partition columns)."""
+        return (self.read().select(*dict.fromkeys([*key, *self.partition_by]))
+                .join(keys.select(*key), key, "left_semi").select(*self.partition_by).distinct())
+
+    def values(self, parts: DataFrame) -> list[tuple]:
+        """Partition values as text, one tuple per partition."""
+        return [tuple(r) for r in parts.select(*[F.col(c).cast("string") for c in self.partition_by]).collect()]
+
     def read_partitions(self, parts: DataFrame) -> DataFrame:
         """The table's rows in the given partitions (NULL-safe; the semi join
         lets Spark prune partitions at run time)."""
@@ -253,13 +266,6 @@ class Table:
         return cur.join(p, cond, "left_semi")
 
 
-def _materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder,
-    so a result can be written over the partitions it was read from."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def _align_to(df: DataFrame, target: DataFrame) -> DataFrame:
     have = set(df.columns)
     return df.select(*[F.col(f.name).cast(f.dataType) if f.name in have
@@ -298,33 +304,53 @@ def _one_per_key(df: DataFrame, key: list[str], order_col: str | None, last: boo
 
     An aggregate (max_by / min_by over a struct) rather than a row_number
     window: it is combined map-side, so a key repeated many times is reduced
-    before the shuffle.  Rows with a NULL key part are all kept."""
+    before the shuffle.  A NULL order value comes before all others when the
+    last row is wanted and after all others when the first is; of equal order
+    values the row of the larger (smaller) hash is taken.  Rows with a NULL
+    key part are all kept.
+
+    Without ``order_col`` rows that repeat a key must be equal: rows of a
+    distributed table have no order, so different ones raise an error."""
     cols = list(df.columns)
     df = _null_key_tag(df, key)
-    if order_col is None:
-        df = df.withColumn("__seq", F.monotonically_increasing_id())
-        order_col = "__seq"
-    pick = F.max_by if last else F.min_by
     rest = [c for c in cols if c not in key]
     if not rest:
         return df.select(*key, "__nk").dropDuplicates(key + ["__nk"]).select(*key)
     row = F.struct(*[F.col(c) for c in rest])
-    out = df.groupBy(*key, "__nk").agg(pick(row, F.col(order_col)).alias("__row"))
+    # map columns can't be hashed; as JSON text they can
+    tie = F.xxhash64(F.to_json(row))
+    if order_col is None:
+        low, high = F.min(tie), F.max(tie)
+        mixed = F.raise_error(F.concat(F.lit("rows that repeat a key differ, pass order_col: "),
+                                       F.to_json(F.struct(*key))))
+        picked = F.when(low == high, F.max_by(row, tie)).otherwise(mixed)
+    else:
+        o = F.col(order_col)
+        # never NULL, since max_by and min_by skip rows whose order is NULL
+        by = F.struct(o.isNotNull() if last else o.isNull(), o, tie)
+        picked = (F.max_by if last else F.min_by)(row, by)
+    out = df.groupBy(*key, "__nk").agg(picked.alias("__row"))
     return out.select(*key, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*cols)
 
 
 def insert_ignore(df: DataFrame, table: Table, key, order_col: str | None = None) -> int:
-    """K4: rows whose key already exists (in the table or earlier in the batch)
-    are skipped.  A NULL key part never conflicts (SQL unique semantics):
-    such rows are never deduplicated and never match the table."""
+    """K4: rows whose key already exists (anywhere in the table, or earlier in
+    the batch) are skipped.  A NULL key part never conflicts (SQL unique
+    semantics): such rows are never deduplicated and never match the table."""
     key = [key] if isinstance(key, str) else list(key)
     first = _one_per_key(df, key, order_col, last=False)
     if not table.exists():
         return table.commit(first)
     cur = table.read()
-    existing = table.read_partitions(table.touched(first)) if table.partition_by else cur
-    # equality never matches a NULL key, so NULL-key rows pass the anti join
-    new = first.join(existing.select(*key), key, "left_anti")
+    if table.partition_by and table.partition_of_key:
+        existing = table.read_partitions(table.touched(df))
+    else:
+        existing = cur
+    # equality never matches a NULL key, so NULL-key rows pass the anti join;
+    # their tag spreads them over the tasks
+    held = existing.select(*key).withColumn("__nk", F.lit(-1).cast("bigint"))
+    tagged = _null_key_tag(first, key).withColumn("__nk", F.coalesce("__nk", F.lit(-1)))
+    new = tagged.join(held, [*key, "__nk"], "left_anti").drop("__nk")
     return table.append(_align_to(new, cur))
 
 
@@ -334,8 +360,9 @@ def upsert(df: DataFrame, table: Table, key, update_columns=None,
     (default: every non-key column); within the batch the last row per key
     wins.  An empty update set behaves as insert-ignore.  An unpartitioned
     table gets a new complete version; a partitioned one has only the
-    partitions the batch touches rewritten.  Returns the number of source
-    rows applied (after in-batch dedupe)."""
+    partitions rewritten that the batch goes to or that hold its keys (a key
+    may move).  Returns the number of source rows applied (after in-batch
+    dedupe)."""
     key = [key] if isinstance(key, str) else list(key)
     if update_columns is None:
         update_columns = [c for c in df.columns if c not in key and c != order_col]
@@ -346,24 +373,32 @@ def upsert(df: DataFrame, table: Table, key, update_columns=None,
         src = src.drop(order_col)
     if not table.exists():
         return table.commit(src)
-    obs_src = Observation("upsert_source")
-    src = src.observe(obs_src, F.count(F.lit(1)).alias("rows"))
+    spark, obs = table.spark, Observation("upsert_source")
+    src = src.observe(obs, F.count(F.lit(1)).alias("rows"))
     tgt = table.read()
     cols = tgt.columns
+    scratch, touched = [], None
     if table.partition_by:
         missing = [c for c in table.partition_by if c not in df.columns]
         if missing:
             raise ValueError(f"source lacks partition columns {missing}")
-        # only the partitions the batch touches are read and rewritten
-        src = _materialize(src)
-        touched_df = table.touched(src)
-        tgt = table.read_partitions(touched_df)
-    s = _align_to(src, tgt).withColumn("__s", F.lit(True))
-    t = tgt.withColumn("__t", F.lit(True))
+        # only these partitions are read and rewritten
+        scratch.append(scratch_path(spark, "upsert_source"))
+        src.write.parquet(scratch[0])
+        src = spark.read.schema(src.schema).parquet(scratch[0])
+        parts = table.touched(src)
+        if not table.partition_of_key:
+            parts = parts.unionByName(table.holding(src, key)).distinct()
+        touched = table.values(parts)
+        tgt = table.read_partitions(parts)
+    s = _null_key_tag(_align_to(src, tgt), key).withColumn("__s", F.lit(True))
+    t = _null_key_tag(tgt, key).withColumn("__t", F.lit(True))
     s = s.select(*[F.col(c).alias(f"s__{c}") for c in s.columns])
     # equality never matches a NULL key: such source rows are inserted and
-    # such target rows are kept
-    cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"s__{k}") for k in key])
+    # such target rows are kept; their tags spread them over the tasks
+    none = F.lit(-1).cast("bigint")
+    cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"s__{k}") for k in key]
+                  + [F.coalesce("__nk", none) == F.coalesce("s____nk", none)])
     j = t.join(s, cond, "full_outer")
     src_present = F.coalesce(F.col("s____s"), F.lit(False))
     tgt_present = F.coalesce(F.col("__t"), F.lit(False))
@@ -376,11 +411,17 @@ def upsert(df: DataFrame, table: Table, key, update_columns=None,
         else:
             e = F.when(tgt_present, F.col(c)).otherwise(F.col(f"s__{c}"))
         out.append(e.alias(c))
+    merged = j.select(*out)
     if table.partition_by:
-        table.replace_partitions(_materialize(j.select(*out)))
-        return int(src.count())
-    table.commit(j.select(*out))
-    return observed_rows(obs_src)
+        # the result is written aside first: the table can't be overwritten while it is read
+        scratch.append(scratch_path(spark, "upsert_result"))
+        merged.write.parquet(scratch[1])
+        table.replace_partitions(spark.read.schema(merged.schema).parquet(scratch[1]), touched)
+        for path in scratch:
+            remove_path(spark, path)
+    else:
+        table.commit(merged)
+    return observed_rows(obs)
 
 
 def _rewrite(table: Table, cond: Column, rewrite) -> int:
@@ -391,14 +432,17 @@ def _rewrite(table: Table, cond: Column, rewrite) -> int:
         table.commit(rewrite(cur.observe(obs, F.count_if(cond).alias("rows"))))
         return observed_rows(obs)
     # partitioned: rewrite only partitions holding a matching row
-    touched = [tuple(r) for r in cur.where(cond).select(*table.partition_by).distinct().collect()]
+    parts = cur.where(cond).select(*table.partition_by).distinct()
+    touched = table.values(parts)
     if not touched:
         return 0
-    parts = table.spark.createDataFrame(touched, cur.select(*table.partition_by).schema)
-    sub = table.read_partitions(parts)
-    matched = sub.where(cond).count()
-    table.replace_partitions(_materialize(rewrite(sub)), touched)
-    return int(matched)
+    sub = table.read_partitions(parts).observe(obs, F.count_if(cond).alias("rows"))
+    path = scratch_path(table.spark, "rewrite_result")
+    new = rewrite(sub)
+    new.write.parquet(path)
+    table.replace_partitions(table.spark.read.schema(new.schema).parquet(path), touched)
+    remove_path(table.spark, path)
+    return observed_rows(obs)
 
 
 def update_where(table: Table, updates: dict, where) -> int:
@@ -525,8 +569,9 @@ def surrogate_key(df: DataFrame, order_cols, name: str = "id", partitions: int |
     """
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     spark = df.sparkSession
+    df = staged(df, "surrogate_key")  # computed once: counted, sampled and dealt from there
     n = partitions or range_partitions(df, rows_per_partition)
-    # Materialized once (reliable checkpoint in the shared checkpoint folder),
+    # Materialized (reliable checkpoint in the shared checkpoint folder),
     # so the counts and the numbering see the very same partition ids.
     checkpoint_dir(spark)
     ranged = (df.repartitionByRange(n, *order_cols).withColumn("__pid", F.spark_partition_id())

@@ -3,19 +3,22 @@
 The source system drains a topic / queue / socket into a table, stopping at
 a message cap or a timeout, and remembers its position (consumer group /
 acknowledgement).  Here that is a streaming query with a checkpoint (the
-remembered position), ``trigger(availableNow=True)`` (drain what is there,
-then stop) and a per-batch cap (``maxOffsetsPerTrigger`` /
-``maxFilesPerTrigger``).  A re-run with nothing new adds nothing; a new
+remembered position) and ``trigger(availableNow=True)`` (drain what is there,
+then stop); batches may be sized by ``maxOffsetsPerTrigger`` /
+``maxFilesPerTrigger``, which bounds a batch, not the drain.  A re-run with nothing new adds nothing; a new
 file or offset range adds exactly its messages (exactly-once file sink).
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RAW = "raw_message"
+_POLL_S = 0.5
 
 
 def message_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -49,26 +52,29 @@ def decode(df: DataFrame, schema, value_col: str = "value") -> DataFrame:
 
 
 def drain(stream: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",
-          timeout_s: float | None = 60, query_name: str | None = None) -> int:
+          timeout_s: float | None = None, query_name: str | None = None) -> int | tuple[int, bool]:
     """Drain what is available into ``sink_path`` and stop; returns the rows
-    added by this run (from the query's progress reports)."""
-    # rows are summed from the progress reports: keep all of them for the run
-    stream.sparkSession.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
+    added by this run.  With ``timeout_s`` the run may be cut earlier and
+    returns (rows, finished); a cut run resumes from the checkpoint."""
     w = (stream.writeStream.format(fmt).option("checkpointLocation", checkpoint)
          .option("path", sink_path).outputMode("append").trigger(availableNow=True))
     if query_name:
         w = w.queryName(query_name)
     q = w.start()
-    finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+    # the query keeps its latest progress reports only: gather them by batch as it runs
+    rows: dict[int, int] = {}
+    deadline = None if timeout_s is None else time.monotonic() + timeout_s
+    finished = False
+    while not finished:
+        left = _POLL_S if deadline is None else deadline - time.monotonic()
+        if left <= 0:
+            break
+        finished = q.awaitTermination(max(0.001, min(_POLL_S, left)))
+        rows.update((p.batchId, p.numInputRows) for p in q.recentProgress)
     if not finished:
         q.stop()
+    rows.update((p.batchId, p.numInputRows) for p in q.recentProgress)
     if q.exception() is not None:
         raise q.exception()
-    return int(sum(_rows(p) for p in q.recentProgress))
-
-
-def _rows(progress) -> int:
-    n = getattr(progress, "numInputRows", None)
-    if n is None and isinstance(progress, dict):
-        n = progress.get("numInputRows", 0)
-    return int(n or 0)
+    added = sum(rows.values())
+    return added if timeout_s is None else (added, finished)

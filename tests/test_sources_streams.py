@@ -110,7 +110,8 @@ def test_drain_cut_by_timeout_resumes_exactly_once(spark, tmp_dir):
         _write(f"{inbox}/m{i}.txt", "".join(f'{{"id": {i * 10 + j}}}\n' for j in range(10)))
     first = drain(decode(message_files(spark, inbox, max_files_per_trigger=1), "id INT"), sink, ckpt,
                   timeout_s=0.01)
-    rest = drain(decode(message_files(spark, inbox, max_files_per_trigger=1), "id INT"), sink, ckpt,
-                 timeout_s=None)
-    assert first + rest == 60
+    rest = drain(decode(message_files(spark, inbox, max_files_per_trigger=1), "id INT"), sink, ckpt)
+    rows, finished = first
+    assert rows + rest == 60 and finished == (rest == 0)
+    assert drain(decode(message_files(spark, inbox), "id INT"), sink, ckpt, timeout_s=60) == (0, True)
     assert sorted(r.id for r in spark.read.parquet(sink).collect()) == list(range(60))

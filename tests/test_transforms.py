@@ -193,17 +193,36 @@ def test_spark_aggregate_is_planned_by_catalyst(spark):
     assert got == want
 
 
-def test_plain_pandas_callable_checks_group_size(spark):
+def test_plain_pandas_callable_needs_whole_group(spark):
     from finspark.operators.aggregate import group_aggregate
     df = _agg_fixture(spark)
 
     def spread(s):
         return float(s.max() - s.min())
 
-    got = {r.k: r.v for r in group_aggregate(df, "k", {"v": spread}).collect()}
+    got = {r.k: r.v for r in group_aggregate(df, "k", {"v": spread}, whole_group=True).collect()}
     assert got["b"] == 6.0
-    with pytest.raises(ValueError, match="max_group_rows"):
-        group_aggregate(df, "k", {"v": spread}, max_group_rows=100)
+    for rows in (df, df.limit(2)):  # at every size
+        with pytest.raises(ValueError, match="SparkAggregate or Mergeable"):
+            group_aggregate(rows, "k", {"v": spread})
+
+
+def test_first_last_need_an_order(spark):
+    from finspark.operators.aggregate import group_aggregate
+    with pytest.raises(ValueError, match="order_col"):
+        group_aggregate(_agg_fixture(spark), "k", {"v": "last"})
+
+
+def test_resample_by_group(spark):
+    from finspark.operators.aggregate import resample
+    rows = [("a", "2024-01-01", 1.0), ("a", "2024-03-05", 2.0), ("a", "2024-03-06", 4.0), ("b", "2024-02-01", 9.0),
+            ("b", None, 1.0)]
+    df = spark.createDataFrame(rows, "k STRING, d STRING, v DOUBLE").withColumn("d", F.to_date("d"))
+    out = resample(df, "d", "M", ["v"], by="k")
+    got = sorted((r.k, str(r.d), r.v_sum, r.v_mean, r.v_count) for r in out.collect())
+    assert got == [("a", "2024-01-31", 1.0, 1.0, 1), ("a", "2024-02-29", 0.0, None, 0), ("a", "2024-03-31", 6.0, 3.0, 2),
+                   ("b", "2024-02-29", 9.0, 9.0, 1)]
+    assert df.transform(resample, "d", "M", ["v"])._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 1
 
 
 def test_mergeable_plan_shuffles_partials_only(spark):
