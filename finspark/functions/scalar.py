@@ -32,12 +32,6 @@ def safe_div(num, den) -> Column:
     return F.try_divide(_c(num), F.nullif(_c(den), F.lit(0)))
 
 
-def keep_positive(c) -> Column:
-    """Value where > 0, else 0 (missing -> 0)."""
-    c = _c(c)
-    return F.when(c > 0, c).otherwise(F.lit(0.0))
-
-
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Normalize float NaN to NULL in every float/double column (source rule of §1.3)."""
     cols = []
@@ -55,39 +49,65 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 STRPTIME_TO_SPARK = {
     "%Y": "yyyy", "%y": "yy", "%m": "M", "%d": "d", "%H": "H", "%I": "h",
     "%M": "m", "%S": "s", "%f": "SSSSSS", "%p": "a", "%b": "MMM", "%B": "MMMM",
-    "%a": "EEE", "%A": "EEEE", "%j": "D", "%z": "Z", "%%": "%",
+    "%j": "D", "%z": "Z", "%%": "%",
 }
+# Weekday names; Spark has no pattern that parses them.
+WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+_ONE_LETTER = {"M", "d", "H", "h", "m", "s"}
+# what %z reads: +0000, then +00:00 or Z
+_OFFSETS = ["Z", "XXX"]
 
 
-def strptime_to_spark(fmt: str) -> str:
-    """Translate a strptime format into a Spark datetime pattern (F2)."""
+def _directives(fmt: str) -> list[str]:
+    """A strptime format as directives and single literal characters."""
     out, i = [], 0
     while i < len(fmt):
-        if fmt[i] == "%" and i + 1 < len(fmt):
-            tok = fmt[i:i + 2]
+        n = 2 if fmt[i] == "%" and i + 1 < len(fmt) else 1
+        out.append(fmt[i:i + n])
+        i += n
+    return out
+
+
+def strptime_to_spark(fmt: str, offset: str = "Z") -> str:
+    """Translate a strptime format into a Spark datetime pattern (F2); weekday
+    directives are left out (``to_ts`` takes the names off the text)."""
+    parts, out = _directives(fmt), []
+    for i, tok in enumerate(parts):
+        if tok in ("%a", "%A"):
+            continue
+        if tok == "%z":
+            out.append(offset)
+        elif len(tok) == 2:
             if tok not in STRPTIME_TO_SPARK:
                 raise ValueError(f"unsupported strptime directive {tok!r}")
-            out.append(STRPTIME_TO_SPARK[tok])
-            i += 2
+            letters = STRPTIME_TO_SPARK[tok]
+            beside = [p for p in (parts[i - 1] if i else "", parts[i + 1] if i + 1 < len(parts) else "")
+                      if len(p) == 2 and p != "%%"]
+            # fields without a separator have two digits
+            out.append(letters * 2 if letters in _ONE_LETTER and beside else letters)
         else:
-            ch = fmt[i]
-            out.append(f"'{ch}'" if ch.isalpha() else ("''" if ch == "'" else ch))
-            i += 1
+            out.append(f"'{tok}'" if tok.isalpha() else ("''" if tok == "'" else tok))
     return "".join(out)
 
 
-def parses_as(c, fmt: str) -> Column:
-    """true when the text parses with the strptime format, or is missing."""
-    c = _c(c)
-    return c.isNull() | F.try_to_timestamp(c.cast("string"), F.lit(strptime_to_spark(fmt))).isNotNull()
-
-
 def to_ts(c, fmt: str | None = None) -> Column:
-    """parse to timestamp; unparsable -> NULL."""
-    c = _c(c)
+    """parse to timestamp (by a strptime format, if given); unparsable -> NULL."""
+    text, named = _c(c).cast("string"), F.lit(True)
     if fmt is None:
-        return F.try_to_timestamp(c.cast("string"))
-    return F.try_to_timestamp(c.cast("string"), F.lit(strptime_to_spark(fmt)))
+        return F.try_to_timestamp(text)
+    for tok in ("%a", "%A"):
+        if tok in _directives(fmt):
+            names = "|".join(d if tok == "%A" else d[:3] for d in WEEKDAYS)
+            pattern = rf"(?i)(?<![A-Za-z])(?:{names})(?![A-Za-z])"
+            named = named & text.rlike(pattern)
+            text = F.regexp_replace(text, pattern, "")
+    offsets = _OFFSETS if "%z" in _directives(fmt) else _OFFSETS[:1]
+    return F.when(named, F.coalesce(*[F.try_to_timestamp(text, F.lit(strptime_to_spark(fmt, o))) for o in offsets]))
+
+
+def parses_as(c, fmt: str) -> Column:
+    """true when the text parses with the strptime format, or is missing."""
+    return _c(c).isNull() | to_ts(c, fmt).isNotNull()
 
 
 def record_hash_md5(cols) -> Column:
@@ -100,12 +120,6 @@ def record_hash_md5(cols) -> Column:
     return F.md5(F.concat_ws(HASH_SEP, *parts))
 
 
-def record_hash64(cols) -> Column:
-    """F12 fast form: 64-bit xxhash over the columns (NULLs are skipped by xxhash64,
-    so use record_hash_md5 where NULL placement must change the hash)."""
-    return F.xxhash64(*[_c(c) for c in cols])
-
-
 def with_lineage(df: DataFrame, source: str, run_ts: _dt.datetime | None = None,
                  ts_col: str = "extracted_at") -> DataFrame:
     """stamp source system and one fixed run timestamp per run."""
@@ -159,8 +173,3 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     for f in df.schema.fields:
         cols += walk(f.dataType, [f.name], [f.name])
     return df.select(*cols)
-
-
-def default_now(c, run_ts: _dt.datetime) -> Column:
-    """column default CURRENT_TIMESTAMP, fixed per run."""
-    return F.coalesce(_c(c), ts_literal(run_ts))

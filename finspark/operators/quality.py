@@ -6,10 +6,10 @@ aggregate expressions, runs them as **one** global aggregate over ``df``
 (one scan, partial aggregation per task), and turns the one-row result into
 a long-form frame, lazily, on Spark:
 
-    validator, check, column, passed BIGINT, failed BIGINT, ok BOOLEAN, details STRING(JSON)
+    validator, check, column, passed BIGINT, failed BIGINT, ok BOOLEAN, details STRING(JSON), is_total BOOLEAN
 
-Each validator also gets a totals row (``check = <validation type>``) with
-the counts the source system reports for a whole validation result:
+Each validator also gets a totals row (``check = <validation type>``,
+``is_total``) with the counts the source system reports for a whole validation result:
 completeness counts cells, accuracy and consistency sum their checks, and
 schema and row-count checks are all-or-nothing over the rows.
 
@@ -19,6 +19,7 @@ never collected, except by ``raise_if_failed`` which reads the small result.
 
 from __future__ import annotations
 
+import decimal
 import logging
 import re
 from collections.abc import Callable
@@ -33,7 +34,7 @@ from finspark.functions.scalar import parses_as
 log = logging.getLogger(__name__)
 
 RESULT_SCHEMA = ("validator STRING, check STRING, column STRING, passed BIGINT, "
-                 "failed BIGINT, ok BOOLEAN, details STRING")
+                 "failed BIGINT, ok BOOLEAN, details STRING, is_total BOOLEAN")
 
 
 # --------------------------------------------------------------- rule sets
@@ -160,9 +161,12 @@ def _is_missing(df: DataFrame, c: str) -> Column:
 
 
 def range_violation(c: str, lo, hi) -> Column:
-    """Outside [lo, hi]; missing is not a violation."""
+    """Outside [lo, hi]; missing (NULL or NaN) is not a violation."""
     x = F.col(c)
-    return F.coalesce((x < F.lit(lo)) | (x > F.lit(hi)), F.lit(False))
+    above = x > F.lit(hi)
+    if isinstance(hi, (int, float, decimal.Decimal)):
+        above = above & ~(x > F.lit(float("inf")))  # Spark orders NaN above all numbers
+    return F.coalesce((x < F.lit(lo)) | above, F.lit(False))
 
 
 def membership_violation(c: str, values) -> Column:
@@ -176,10 +180,32 @@ def membership_violation(c: str, values) -> Column:
 
 def _text_form(df: DataFrame, c: str) -> Column:
     """Text form of a value as the source system tests it: missing text -> 'None',
-    missing number -> 'nan'."""
+    missing number -> 'nan', booleans as True / False, floats as ``python_float_text``."""
     dt = df.schema[c].dataType
-    miss = "nan" if isinstance(dt, T.NumericType) else "None"
-    return F.coalesce(F.col(c).cast("string"), F.lit(miss))
+    if isinstance(dt, T.BooleanType):
+        text = F.when(F.col(c), "True").when(~F.col(c), "False")
+    elif isinstance(dt, (T.FloatType, T.DoubleType)):
+        text = python_float_text(c)
+    else:
+        text = F.col(c).cast("string")
+    return F.coalesce(text, F.lit("nan" if isinstance(dt, T.NumericType) else "None"))
+
+
+def python_float_text(c: str) -> Column:
+    """The text of a float as Python writes it: 10000000.0, 0.0001, 1e-05, 1e+16, nan, inf."""
+    x, s = F.col(c), F.col(c).cast("string")
+    mantissa = F.regexp_replace(F.regexp_extract(s, "^(-?[0-9.]+)E", 1), r"\.0$", "")
+    power = F.regexp_extract(s, "E(-?[0-9]+)$", 1).try_cast("int")
+    signed = F.concat(mantissa, F.when(power < 0, "e-").otherwise("e+"), F.lpad(F.abs(power).cast("string"), 2, "0"))
+    # wide enough for 17 digits anywhere between 1e-4 and 1e16
+    plain = F.regexp_replace(s.try_cast("decimal(38,21)").cast("string"), "0+$", "")
+    plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
+    size = F.abs(x)
+    return (F.when(F.isnan(x), "nan").when(size == float("inf"), F.when(x > 0, "inf").otherwise("-inf"))
+            .when(x == 0, s).when((size >= 1e-4) & (size < 1e16), F.when(s.contains("E"), plain).otherwise(s))
+            .when(F.length(power.cast("string")) >= 3, F.concat(mantissa, F.when(power < 0, "e-").otherwise("e+"),
+                                                                F.abs(power).cast("string")))
+            .otherwise(signed))
 
 
 def regex_violation(df: DataFrame, c: str, pattern: str) -> Column:
@@ -211,14 +237,15 @@ class _Plan:
         self.aggs.append(expr.alias(name))
         return F.col(name)
 
-    def row(self, validator, check, column, passed, failed, ok, details: dict | None = None):
+    def row(self, validator, check, column, passed, failed, ok, details: dict | None = None, total: bool = False):
         det = F.to_json(F.struct(*[F.lit(v).alias(k) if not isinstance(v, Column) else v.alias(k)
                                    for k, v in (details or {}).items()])) if details else F.lit(None)
         self.rows.append(F.struct(
             F.lit(validator).alias("validator"), F.lit(check).alias("check"),
             F.lit(column).cast("string").alias("column"),
             passed.cast("bigint").alias("passed"), failed.cast("bigint").alias("failed"),
-            ok.cast("boolean").alias("ok"), det.cast("string").alias("details")))
+            ok.cast("boolean").alias("ok"), det.cast("string").alias("details"),
+            F.lit(total).alias("is_total")))
 
 
 def _completeness(p: _Plan, df: DataFrame, n: Column, kw: dict):
@@ -249,7 +276,7 @@ def _completeness(p: _Plan, df: DataFrame, n: Column, kw: dict):
     p.row(v, "completeness", None, total_cells - null_cells, null_cells, all_ok,
           {"row_count": n, "column_count": F.lit(len(df.columns)),
            "completeness_rate": F.round(F.when(total_cells > 0, (total_cells - null_cells)
-                                                / total_cells * 100).otherwise(0.0), 2)})
+                                                / total_cells * 100).otherwise(0.0), 2)}, total=True)
 
 
 def _expected(p: _Plan, df: DataFrame, n: Column, kw: dict):
@@ -260,7 +287,7 @@ def _expected(p: _Plan, df: DataFrame, n: Column, kw: dict):
     dev = F.round((n - F.lit(exp)) / F.lit(exp) * 100, 2) if exp > 0 else F.lit(0.0)
     p.row(v, "expected_record_count", None, F.when(ok, n).otherwise(0), F.when(ok, 0).otherwise(n),
           ok, {"expected": F.lit(exp), "actual": n, "tolerance": F.lit(tol),
-               "range": F.array(F.lit(int(lo)), F.lit(int(hi))), "deviation": dev})
+               "range": F.array(F.lit(int(lo)), F.lit(int(hi))), "deviation": dev}, total=True)
 
 
 def _accuracy(p: _Plan, df: DataFrame, n: Column, kw: dict):
@@ -353,7 +380,7 @@ def _schema(p: _Plan, df: DataFrame, n: Column, kw: dict):
             p.row(v, "data_type", c, F.when(ok, n).otherwise(0), F.when(ok, 0).otherwise(n), ok,
                   {"expected": F.lit(spec["type"]), "actual": F.lit(actual)})
     all_ok = _all(oks)
-    p.row(v, "schema", None, F.when(all_ok, n).otherwise(0), F.when(all_ok, 0).otherwise(n), all_ok)
+    p.row(v, "schema", None, F.when(all_ok, n).otherwise(0), F.when(all_ok, 0).otherwise(n), all_ok, total=True)
 
 
 def _sum_checks(p: _Plan, v: str, total_name: str, n: Column, checks):
@@ -369,7 +396,7 @@ def _totals(p: _Plan, v: str, name: str, rows):
     passed = sum((r[0] for r in rows), F.lit(0).cast("bigint"))
     failed = sum((r[1] for r in rows), F.lit(0).cast("bigint"))
     p.row(v, name, None, passed, failed, _all([r[2] for r in rows]),
-          {"checks_performed": F.lit(len(rows))})
+          {"checks_performed": F.lit(len(rows))}, total=True)
 
 
 def _all(oks: list[Column]) -> Column:
@@ -423,8 +450,7 @@ def evaluate(df: DataFrame, rule_sets) -> DataFrame:
 
 def summarize(results: DataFrame) -> DataFrame:
     """One row per validator from its totals row, with the success rate."""
-    totals = results.where(F.col("check").isin("completeness", "expected_record_count", "accuracy",
-                                               "consistency", "schema"))
+    totals = results.where("is_total")
     total = F.col("passed") + F.col("failed")
     return totals.select(
         "validator", F.col("check").alias("validation_type"), "passed", "failed",

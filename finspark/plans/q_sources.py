@@ -28,15 +28,14 @@ def _orders(spark, sf):
     return table(spark, sf, "orders")
 
 
-# Landed responses group orders per (customer, month); a hash salt splits a
-# busy customer-month into several responses so that no response (and no
-# task building it) holds an unbounded group.
-RESPONSE_SALT = 16
+# Landed responses group orders per (customer, month) and range of order keys,
+# which are unique: a response holds at most so many orders, however busy the
+# customer-month is.
+RESPONSE_KEYS = 4096
 
 
 def _response_keys():
-    return ["o_custkey", F.trunc("o_orderdate", "month"),
-            F.pmod(F.xxhash64("o_orderkey"), F.lit(RESPONSE_SALT))]
+    return ["o_custkey", F.trunc("o_orderdate", "month"), F.floor(F.col("o_orderkey") / RESPONSE_KEYS)]
 
 
 @register("csv_scan", """

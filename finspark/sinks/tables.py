@@ -462,7 +462,8 @@ def delete_where(table: Table, where) -> int:
 # ---------------------------------------------------------------- conform
 def conform(df: DataFrame, spec: TableSpec, defaults: dict | None = None, carry=()):
     """K7: project to the target schema (order, types, NULL for absent columns,
-    defaults), and split rows breaking NOT NULL or overflowing a decimal.
+    defaults), and split rows breaking NOT NULL, overflowing a decimal or
+    longer than a VARCHAR.
 
     Returns (good, rejects); ``rejects`` carries a ``reject_reason`` and the
     ``carry`` columns of the input (e.g. a source row id).  Decimal
@@ -489,6 +490,8 @@ def conform(df: DataFrame, spec: TableSpec, defaults: dict | None = None, carry=
                 lit = d
             e = F.coalesce(e, lit)
         cols.append(e.alias(f.name))
+        if f.name in spec.lengths:
+            broken.append(F.when(F.length(e) > spec.lengths[f.name], F.lit(f"length:{f.name}")))
         if f.name in spec.not_null:
             broken.append(F.when(e.isNull(), F.lit(f"null:{f.name}")))
     reason = F.concat_ws(",", *broken) if broken else F.lit("")
@@ -533,13 +536,13 @@ def log_run(spark: SparkSession, table: Table, run_id: int | None, dag_id: str,
 def quality_log_rows(results: DataFrame, run_id: int | None, created_at: _dt.datetime) -> DataFrame:
     """K9: one quality-log row per validator from ``quality.evaluate`` output,
     with the failing checks as JSON details."""
-    totals = ("completeness", "expected_record_count", "accuracy", "consistency", "schema")
-    detail = F.to_json(F.collect_list(F.when(~F.col("ok") & ~F.col("check").isin(*totals),
+    total = F.col("is_total")
+    detail = F.to_json(F.collect_list(F.when(~F.col("ok") & ~total,
                                              F.struct("check", "column", "failed", "details"))))
     g = results.groupBy("validator").agg(
-        F.max(F.when(F.col("check").isin(*totals), F.col("check"))).alias("validation_type"),
-        F.sum(F.when(F.col("check").isin(*totals), F.col("passed"))).alias("passed_records"),
-        F.sum(F.when(F.col("check").isin(*totals), F.col("failed"))).alias("failed_records"),
+        F.max(F.when(total, F.col("check"))).alias("validation_type"),
+        F.sum(F.when(total, F.col("passed"))).alias("passed_records"),
+        F.sum(F.when(total, F.col("failed"))).alias("failed_records"),
         detail.alias("validation_details"))
     return g.select(
         F.lit(None).cast("bigint").alias("quality_id"), F.lit(run_id).cast("bigint").alias("run_id"),

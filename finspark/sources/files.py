@@ -6,7 +6,7 @@ are pushed into the scan by Catalyst (Parquet) or pruned after parsing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,30 +25,60 @@ def _as_struct(schema) -> T.StructType:
 
 
 def read_csv(spark: SparkSession, path: str, schema=None, sep: str = ",", encoding: str = "utf-8",
-             header: bool = True, na_values=None) -> DataFrame:
-    """CSV with header, separator and encoding; NA tokens become NULL.
-
-    With a schema, every column is read as text, NA tokens are nulled, then
-    the text is cast to the declared type (unparsable -> NULL).  Without one,
-    types are inferred (exploratory reads only: inference scans the data).
+             header: bool = True, na_values=None, multi_line: bool = False) -> DataFrame:
+    """CSV with header, separator and encoding; doubled quotes inside quoted
+    fields; NA tokens become NULL.
+
+    With a header, columns are taken by name, whatever their order; a schema
+    column that the file lacks is NULL.  Without a header they go by position.
+    With a schema every column is read as text, NA tokens are nulled, then the
+    text is cast to the declared type (unparsable -> NULL).  Without one, types
+    are inferred from the text without its NA tokens (BIGINT, DOUBLE, BOOLEAN,
+    else text; one more pass over the data, for exploratory reads).
+
+    ``multi_line=True`` allows line breaks inside quoted fields; such a file
+    can't be split, so each file is parsed by one task.
     """
     na = DEFAULT_NA if na_values is None else list(na_values)
     r = (spark.read.option("header", header).option("sep", sep).option("encoding", encoding)
+         .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
          .option("nullValue", None).option("emptyValue", ""))
+    if schema is not None and not header:
+        st = _as_struct(schema)
+        raw = r.schema(T.StructType([T.StructField(f.name, T.StringType(), True) for f in st.fields])).csv(path)
+    else:
+        raw = r.csv(path)  # all text, named by the header
+
+    def known(name: str) -> Column:
+        c = F.col(f"`{name}`")
+        return F.when(c.isNull() | c.isin(na), F.lit(None)).otherwise(c)
+
     if schema is None:
-        df = r.option("inferSchema", True).csv(path)
-        return nan_to_null(df)
-    st = _as_struct(schema)
-    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in st.fields])
-    raw = r.schema(text).csv(path)
+        return nan_to_null(_inferred(raw.select(*[known(c).alias(c) for c in raw.columns])))
     cols = []
-    for f in st.fields:
-        c = F.col(f.name)
-        c = F.when(c.isNull() | c.isin(na), F.lit(None)).otherwise(c)
+    for f in _as_struct(schema).fields:
+        c = known(f.name) if f.name in raw.columns else F.lit(None).cast("string")
         cols.append((c if isinstance(f.dataType, T.StringType) else c.try_cast(f.dataType)).alias(f.name))
     return nan_to_null(raw.select(*cols))
 
 
+def _inferred(text: DataFrame) -> DataFrame:
+    """Text columns cast to the narrowest of BIGINT, DOUBLE and BOOLEAN that holds all their values."""
+    kinds = ["bigint", "double", "boolean"]
+    bad = [F.count_if(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(k).isNull())
+           for c in text.columns for k in kinds]
+    seen = [F.count(F.col(f"`{c}`")) for c in text.columns]
+    if not text.columns:
+        return text
+    got = text.agg(*[e.alias(f"m{i}") for i, e in enumerate(bad + seen)]).first()
+    cols = []
+    for i, c in enumerate(text.columns):
+        misses, n = got[3 * i:3 * i + 3], got[3 * len(text.columns) + i]
+        kind = next((k for k, m in zip(kinds, misses) if n and m == 0), None)
+        cols.append((F.col(f"`{c}`").try_cast(kind) if kind else F.col(f"`{c}`")).alias(c))
+    return text.select(*cols)
+
+
 def read_json(spark: SparkSession, path: str, lines: bool = False, schema=None) -> DataFrame:
     """An array of records per file (lines=False) or JSON lines (lines=True).
     In line mode a line may also hold an array of records.
