@@ -302,9 +302,18 @@ def find(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def masked(text: str | None, model: Model) -> str | None:
-    """The text with each span replaced by its kind in brackets (overlapping spans: one mask)."""
-    if not text:
-        return text
+    """The text with each span replaced by its kind in brackets (overlapping spans: one mask).
+
+    A mask can turn what stood beside it into a span of its own (a number that
+    was too long is no longer), so it is repeated until none is left; each
+    round takes signs away, and masks hold none of their own.
+    """
+    while text and (new := _masked_once(text, model)) != text:
+        text = new
+    return text
+
+
+def _masked_once(text: str, model: Model) -> str:
     out, done = [], 0
     merged: list[list] = []
     for kind, a, b, _base in sorted(model.spans(text), key=lambda s: (s[1], -s[2])):

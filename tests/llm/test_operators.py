@@ -393,6 +393,9 @@ def test_pii_spans_and_masks(spark, odd_docs):
     clean = {r["doc_id"]: r["text"] for r in pii.redact(df, model).collect()}
     assert clean[1] == "mail [EMAIL] now, ip [IP]" and clean[11] == "call [PHONE] or password=[SECRET]"
     assert clean[3] == texts[3] and clean[4] is None
+    # masking the address makes the number before it a phone number
+    beside = pii.masked("at +1 (826) 55 4081 10.20.30.40 end", pii.Model())
+    assert not pii.base_spans(beside)[0] and beside == "at [PHONE] [IP] end"
 
     assert pii.find(odd_docs, pii.fit(odd_docs)).count() == odd_docs.count()
     assert pii.redact(odd_docs, pii.Model()).columns == odd_docs.columns
