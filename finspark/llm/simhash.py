@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finspark.llm.common import byte_texts, materialize, text_rows, text_slices
-from finspark.llm.components import connected_components
+from finspark.llm.components import connected_components, hot_join
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -207,7 +207,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = materialize(groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
                          .select("fp", "least", F.coalesce("root", "fp").alias("root")))
     ids = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = linked.join(ids, "root").select("fp", "component_id")
+    named = hot_join(linked, ids, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
