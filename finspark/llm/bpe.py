@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from finspark.llm.common import byte_texts, text_rows, text_slices
-from finspark.llm.pretokenize import batch_pieces
+from finspark.llm.pretokenize import SEGMENT, batch_pieces, segments
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 _CACHED = 250_000  # pieces a worker remembers; a full cache starts anew
@@ -27,6 +27,7 @@ _KEPT = 256  # bytes; longer pieces are not remembered
 _ROW = 48  # longest piece (bytes) merged as a numpy row
 _ROWS = 1 << 15
 _NONE = np.int64(1) << 40
+_TOKENS = 1 << 20  # tokens decoded at a time
 
 
 def vocabulary_path(name: str) -> str:
@@ -188,7 +189,12 @@ class Ranks:
             self.cache.update(zip(part, self.merge_rows(part)))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text, as little-endian unsigned 32-bit integers."""
+        """Ids of each text, as little-endian unsigned 32-bit integers; long texts go segment by segment."""
+        if max(map(len, texts), default=0) > SEGMENT:
+            return [b"".join(self._encode([s])[0] for s in segments(t)) for t in texts]
+        return self._encode(texts)
+
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
         pieces, first = batch_pieces(texts)
         missing = set(pieces) - self.cache.keys()
         if len(self.cache) + len(missing) > _CACHED:
@@ -208,11 +214,14 @@ class Ranks:
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> bytes:
         """Bytes of ids, each token put where its offset says."""
-        if not len(ids):
-            return b""
-        n = self.length[ids]
-        source = np.repeat(self.begin[ids] - (ends - n), n)
-        return self.bytes[source + np.arange(int(ends[-1]))].tobytes()
+        out = []
+        for a in range(0, len(ids), _TOKENS):
+            part, stop = ids[a:a + _TOKENS], ends[a:a + _TOKENS]
+            n = self.length[part]
+            begin = int(stop[0] - n[0])
+            source = np.repeat(self.begin[part] - (stop - n), n)
+            out.append(self.bytes[source + np.arange(begin, int(stop[-1]))].tobytes())
+        return b"".join(out)
 
 
 @lru_cache(4)

@@ -11,6 +11,7 @@ with a constant function.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import lru_cache
 
@@ -163,6 +164,21 @@ def split(text: str) -> list[str]:
     return [data[a:b].decode() for a, b in zip(cuts, cuts[1:])]
 
 
+#: Bytes of a long text that are scanned at once.
+SEGMENT = 4 << 20
+_CUT = re.compile(rb"(?<=[0-9A-Za-z])[ \n]")
+
+
+def segments(text: bytes) -> list[bytes]:
+    """A long text cut before white space that follows a letter or number: a piece starts there whatever
+    stands around, so the pieces of the segments are those of the text."""
+    out, at = [], 0
+    while len(text) - at > SEGMENT and (m := _CUT.search(text, at + SEGMENT)):
+        out.append(text[at:m.start()])
+        at = m.start()
+    return [*out, text[at:]] if at else [text]
+
+
 def batch_pieces(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     """Pieces of all texts in order, and per text the index of its first piece (one more at the end)."""
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from finspark.llm.bpe import vocabulary_path
 from finspark.llm.common import bucket_of, byte_texts, range_buckets, text_rows, text_slices
-from finspark.llm.pretokenize import batch_pieces
+from finspark.llm.pretokenize import SEGMENT, batch_pieces, segments
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
@@ -89,6 +89,11 @@ class Encoder:
         if not self.by_piece:
             got = self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
             return [np.array(e.ids, self.dtype).tobytes() for e in got]
+        if max(map(len, texts), default=0) > SEGMENT:
+            return [b"".join(self._encode([s])[0] for s in segments(t)) for t in texts]
+        return self._encode(texts)
+
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
         pieces, first = batch_pieces(texts)
         missing = set(pieces) - self.cache.keys()
         if len(self.cache) + len(missing) > _CACHED:

@@ -247,6 +247,20 @@ def test_encode_like_the_library_and_back(library):
             assert table.decode(own[1:3], ends[1:3] - ends[0]) == text.encode()[ends[0]:ends[2]]
 
 
+def test_long_texts_go_by_segments(library, monkeypatch):
+    monkeypatch.setattr(pretokenize, "SEGMENT", 20)
+    monkeypatch.setattr(bpe, "SEGMENT", 20)
+    monkeypatch.setattr(bpe, "_TOKENS", 7)
+    rng = random.Random(20)
+    texts = ["".join(rng.choices([*SIGNS, "word", " it's", "\n\n", "9  "], k=200)) for _ in range(60)]
+    table = bpe.ranks(bpe.VOCABULARY)
+    assert any(len(pretokenize.segments(t.encode())) > 3 for t in texts)
+    for t, ids in zip(texts, table.encode([t.encode() for t in texts])):
+        own = np.frombuffer(ids, "<u4")
+        assert own.tolist() == library[1].encode_ordinary(t)
+        assert table.decode(own, table.ends(own)) == t.encode()
+
+
 def test_full_cache_starts_anew(library, monkeypatch):
     monkeypatch.setattr(bpe, "_CACHED", 50)
     table = bpe.Ranks(bpe.vocabulary_path(bpe.VOCABULARY))
