@@ -3,7 +3,8 @@
 A rule set is a plain description (``Rules.completeness(...)`` etc.).
 ``evaluate(df, rule_sets)`` compiles every check of every rule set into
 aggregate expressions, runs them as **one** global aggregate over ``df``
-(one scan, partial aggregation per task), and turns the one-row result into
+(one scan, partial aggregation per task; a second and further uniqueness
+checks read their columns again), and turns the one-row result into
 a long-form frame, lazily, on Spark:
 
     validator, check, column, passed BIGINT, failed BIGINT, ok BOOLEAN, details STRING(JSON), is_total BOOLEAN
@@ -24,6 +25,7 @@ import logging
 import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -231,12 +233,29 @@ class _Plan:
     def __init__(self):
         self.aggs: list[Column] = []
         self.rows: list[Column] = []
+        self.distinct: set[int] = set()  # which aggregates count distinct values
 
-    def agg(self, expr: Column) -> Column:
+    def agg(self, expr: Column, distinct: bool = False) -> Column:
+        if distinct:
+            self.distinct.add(len(self.aggs))
         name = f"m{len(self.aggs)}"
         self.aggs.append(expr.alias(name))
         return F.col(name)
 
+    def run(self, df: DataFrame) -> DataFrame:
+        """The one-row result.  Several distinct counts in one aggregate would multiply every row (Expand),
+        so beyond one each is an aggregate of its own, which reads its columns only."""
+        if len(self.distinct) < 2:
+            return df.agg(*self.aggs)
+        first = min(self.distinct)
+        groups = [[i for i in range(len(self.aggs)) if i not in self.distinct or i == first],
+                  *([i] for i in sorted(self.distinct) if i != first)]
+        parts = [df.agg(*[self.aggs[i] for i in own]).select(
+            *[F.col(f"m{i}") if i in own else F.lit(None).cast("bigint").alias(f"m{i}") for i in range(len(self.aggs))])
+            for own in groups]
+        # one row from each: every value is a count and stands in one of them
+        return reduce(DataFrame.unionAll, parts).agg(*[F.max(f"m{i}").alias(f"m{i}") for i in range(len(self.aggs))])
+
     def row(self, validator, check, column, passed, failed, ok, details: dict | None = None, total: bool = False):
         det = F.to_json(F.struct(*[F.lit(v).alias(k) if not isinstance(v, Column) else v.alias(k)
                                    for k, v in (details or {}).items()])) if details else F.lit(None)
@@ -327,7 +346,7 @@ def _consistency(p: _Plan, df: DataFrame, n: Column, kw: dict):
         cols = [u] if isinstance(u, str) else list(u)
         if all(c in df.columns for c in cols):
             # rows beyond the first per value; a missing value counts as a value
-            distinct = p.agg(F.count_distinct(F.struct(*[F.col(c) for c in cols])))
+            distinct = p.agg(F.count_distinct(F.struct(*[F.col(c) for c in cols])), distinct=True)
             dups = n - distinct
             rows.append(("uniqueness", ",".join(cols), n - dups, dups, dups == 0, {"duplicates": dups}))
     for c, fmt in kw["date_formats"].items():
@@ -444,8 +463,7 @@ def evaluate(df: DataFrame, rule_sets) -> DataFrame:
     n = p.agg(F.count(F.lit(1)))
     for rs in rule_sets:
         _COMPILERS[rs.kind](p, df, n, rs.params)
-    one = df.agg(*p.aggs)
-    return one.select(F.explode(F.array(*p.rows)).alias("r")).select("r.*")
+    return p.run(df).select(F.explode(F.array(*p.rows)).alias("r")).select("r.*")
 
 
 def summarize(results: DataFrame) -> DataFrame:

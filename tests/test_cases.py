@@ -97,3 +97,11 @@ def test_each_table_is_scanned_once(spark, build):
         assert len(scans) == 1
     else:
         assert not any("l_orderkey" in line for line in scans) and "l_orderkey" not in names
+
+
+def test_uniqueness_checks_do_not_multiply_rows(spark):
+    df = spark.createDataFrame([(1, "a", 2), (1, "b", 2), (2, None, None), (2, None, None)], "a INT, b STRING, c INT")
+    res = evaluate(df, Rules.consistency(unique_columns=["a", "b", ["a", "c"]]))
+    got = {r.column: r.failed for r in res.where("check = 'uniqueness'").collect()}
+    assert got == {"a": 2, "b": 1, "a,c": 2}
+    assert "Expand" not in res._jdf.queryExecution().executedPlan().toString()
