@@ -1,7 +1,7 @@
 """Byte-level BPE: encoding with offsets, and decoding.
 
-Pieces come from ``pretokenize`` (no regex).  A piece's ids come from a cache
-in the worker; the pieces that a batch misses are merged together, one numpy
+Pieces come from ``pretokenize`` (no regex).  A piece's ids come from a table
+in the worker; the pieces that a slice misses are merged together, one numpy
 row per piece: each round merges the lowest-ranked (leftmost) pair of every
 row.  A long piece is merged over a linked list with a heap.  Ranks are read
 from a public vocabulary file that every machine has; ids, and the byte offset
@@ -19,11 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from finspark.llm.common import byte_texts, text_rows, text_slices
-from finspark.llm.pretokenize import SEGMENT, batch_pieces, segments
+from finspark.llm.pretokenize import PieceTable
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-_CACHED = 250_000  # pieces a worker remembers; a full cache starts anew
-_KEPT = 256  # bytes; longer pieces are not remembered
 _ROW = 48  # longest piece (bytes) merged as a numpy row
 _ROWS = 1 << 15
 _NONE = np.int64(1) << 40
@@ -54,7 +52,7 @@ class Ranks:
         self.begin = np.cumsum(self.length) - self.length
         self.bytes = np.frombuffer(b"".join(self.token), np.uint8)
         self._pair_table()
-        self.cache: dict[bytes, bytes] = {}
+        self.known = PieceTable(self.piece_ids, "<u4")
 
     def _pair_table(self) -> None:
         keys, ranks = [], []
@@ -172,41 +170,27 @@ class Ranks:
             i = right[i]
         return np.array(ids, "<u4").tobytes()
 
-    def learn(self, pieces: set[bytes]) -> None:
-        """Add the ids of pieces to the cache."""
-        rest = []
-        for p in pieces:
+    def piece_ids(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece, merged here and now."""
+        out, rest = [b""] * len(pieces), []
+        for k, p in enumerate(pieces):
             whole = self.rank.get(p)
             if whole is not None:
-                self.cache[p] = whole.to_bytes(4, "little")
+                out[k] = whole.to_bytes(4, "little")
             elif len(p) > _ROW:
-                self.cache[p] = self.merge_long(p)
+                out[k] = self.merge_long(p)
             else:
-                rest.append(p)
-        rest.sort(key=len)
+                rest.append(k)
+        rest.sort(key=lambda k: len(pieces[k]))
         for i in range(0, len(rest), _ROWS):
             part = rest[i:i + _ROWS]
-            self.cache.update(zip(part, self.merge_rows(part)))
+            for k, ids in zip(part, self.merge_rows([pieces[k] for k in part])):
+                out[k] = ids
+        return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text, as little-endian unsigned 32-bit integers; long texts go segment by segment."""
-        if max(map(len, texts), default=0) > SEGMENT:
-            return [b"".join(self._encode([s])[0] for s in segments(t)) for t in texts]
-        return self._encode(texts)
-
-    def _encode(self, texts: list[bytes]) -> list[bytes]:
-        pieces, first = batch_pieces(texts)
-        missing = set(pieces) - self.cache.keys()
-        if len(self.cache) + len(missing) > _CACHED:
-            self.cache.clear()
-            missing = set(pieces)
-        self.learn(missing)
-        got = list(map(self.cache.__getitem__, pieces))
-        for p in missing:
-            if len(p) > _KEPT:
-                del self.cache[p]
-        at = first.tolist()
-        return [b"".join(got[a:b]) for a, b in zip(at, at[1:])]
+        """Ids of each text, as little-endian unsigned 32-bit integers."""
+        return self.known.texts(texts)
 
     def ends(self, ids: np.ndarray) -> np.ndarray:
         """Byte offset at which each token ends."""

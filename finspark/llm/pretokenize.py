@@ -82,6 +82,11 @@ def _tables():
     return classes, compose, value, plain, reset, starts
 
 
+def classes() -> np.ndarray:
+    """The class of every code point."""
+    return _tables()[0]
+
+
 _WIDTH = 256
 
 
@@ -179,13 +184,124 @@ def segments(text: bytes) -> list[bytes]:
     return [*out, text[at:]] if at else [text]
 
 
-def batch_pieces(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """Pieces of all texts in order, and per text the index of its first piece (one more at the end)."""
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    ends = np.cumsum(lengths)
-    begins = ends - lengths
-    data = b"".join(texts)
-    cuts = boundaries(data, begins[lengths > 0])
-    stops = np.append(cuts[1:], len(data)) if len(cuts) else cuts
-    pieces = list(map(data.__getitem__, map(slice, cuts.tolist(), stops.tolist())))
-    return pieces, np.append(np.searchsorted(cuts, begins), len(cuts))
+class PieceTable:
+    """Ids of the pieces a worker has met: numpy columns under an open-addressing table, no object per piece.
+
+    A piece is known by a 64-bit tabulation hash: the sum of a random number
+    for each (offset, byte).  Pieces of over ``LONGEST`` bytes are not kept.
+    ``encode(list of pieces) -> list of ids as bytes`` gives those not met.
+    A table of more than ``limit`` pieces starts anew.
+    """
+
+    LONGEST = 64
+
+    def __init__(self, encode, dtype: np.dtype, limit: int = 1 << 20):
+        self.encode, self.dtype, self.limit = encode, np.dtype(dtype), limit
+        self._random = np.random.default_rng(11).integers(0, 1 << 64, self.LONGEST << 8, np.uint64)
+        self._reset(0)
+
+    def _reset(self, expected: int) -> None:
+        self._bits = max(10, (2 * max(self.limit, expected) - 1).bit_length())
+        self._keys = np.zeros(1 << self._bits, np.uint64)
+        self._rows = np.full(1 << self._bits, -1, np.int32)
+        self._probes = self.pieces = self.used = 0
+        self._first = np.zeros(1024, np.int64)  # of each row: where its ids start, and how many they are
+        self._count = np.zeros(1024, np.int64)
+        self._ids = np.zeros(4096, self.dtype)
+
+    def hashes(self, raw: np.ndarray, cuts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """64-bit hash of each piece; pieces longer than ``LONGEST`` may share one."""
+        at = np.arange(len(raw), dtype=np.int32) - np.repeat(cuts.astype(np.int32), sizes)
+        np.minimum(at, self.LONGEST - 1, out=at)
+        return np.add.reduceat(self._random[(at << 8) | raw], cuts)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(64 - self._bits)).astype(np.int64)
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._slot(keys)
+        row = self._rows[slot]
+        out = np.where(self._keys[slot] == keys, row, -1)
+        todo = np.flatnonzero((out < 0) & (row >= 0))
+        for _ in range(self._probes - 1):
+            if not len(todo):
+                break
+            slot[todo] = (slot[todo] + 1) & ((1 << self._bits) - 1)
+            row = self._rows[slot[todo]]
+            hit = self._keys[slot[todo]] == keys[todo]
+            out[todo[hit]] = row[hit]
+            todo = todo[~hit & (row >= 0)]
+        return out
+
+    def _insert(self, keys: np.ndarray, rows: np.ndarray) -> None:
+        slot, probes = self._slot(keys), 0
+        while len(keys):
+            probes += 1
+            free = self._rows[slot] < 0
+            _, one = np.unique(np.where(free, slot, -1 - np.arange(len(slot))), return_index=True)
+            put = one[free[one]]
+            self._keys[slot[put]], self._rows[slot[put]] = keys[put], rows[put]
+            left = np.ones(len(keys), bool)
+            left[put] = False
+            keys, rows, slot = keys[left], rows[left], (slot[left] + 1) & ((1 << self._bits) - 1)
+        self._probes = max(self._probes, probes)
+
+    def _store(self, ids: list[bytes]) -> np.ndarray:
+        """Append the ids of new pieces; their rows."""
+        new = np.frombuffer(b"".join(ids), self.dtype)
+        count = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        rows = np.arange(self.pieces, self.pieces + len(ids))
+        while self.used + len(new) > len(self._ids):
+            self._ids = np.concatenate((self._ids, np.zeros_like(self._ids)))
+        while rows[-1] >= len(self._first):
+            self._first, self._count = (np.concatenate((x, np.zeros_like(x))) for x in (self._first, self._count))
+        self._ids[self.used:self.used + len(new)] = new
+        self._first[rows] = self.used + np.cumsum(count) - count
+        self._count[rows] = count
+        self.pieces += len(ids)
+        self.used += len(new)
+        return rows
+
+    def ids(self, data: bytes, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces of ``data`` that start at ``cuts``, and where each piece's ids start (one more at the end)."""
+        if not len(cuts):
+            return np.zeros(0, self.dtype), np.zeros(1, np.int64)
+        stops = np.append(cuts[1:], len(data))
+        sizes = stops - cuts
+        keys = self.hashes(np.frombuffer(data, np.uint8), cuts, sizes)
+        short = sizes <= self.LONGEST
+        row = np.where(short, self._find(keys), -1)
+        new = np.flatnonzero(row < 0)
+        if len(new) and self.pieces + len(new) > self.limit:
+            self._reset(len(cuts))
+            row[:] = -1
+            new = np.arange(len(cuts))
+        if len(new):
+            # equal short pieces once, long ones each by itself
+            brief, long = new[short[new]], new[~short[new]]
+            _, one, same = np.unique(keys[brief], return_index=True, return_inverse=True)
+            asked = np.concatenate((brief[one], long))
+            rows = self._store(self.encode([data[a:b] for a, b in zip(cuts[asked].tolist(), stops[asked].tolist())]))
+            row[brief], row[long] = rows[:len(one)][same], rows[len(one):]
+            self._insert(keys[brief[one]], rows[:len(one)].astype(np.int32))
+        count = self._count[row]
+        at = np.append(0, np.cumsum(count))
+        source = np.repeat(self._first[row] - at[:-1], count)
+        source += np.arange(at[-1])
+        return self._ids[source], at
+
+    def texts(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text as bytes; long texts go segment by segment."""
+        if max(map(len, texts), default=0) > SEGMENT:
+            return [b"".join(self._texts([s])[0] for s in segments(t)) for t in texts]
+        return self._texts(texts)
+
+    def _texts(self, texts: list[bytes]) -> list[bytes]:
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        ends = np.cumsum(lengths)
+        begins = ends - lengths
+        data = b"".join(texts)
+        cuts = boundaries(data, begins[lengths > 0])
+        ids, at = self.ids(data, cuts)
+        bounds = at[np.append(np.searchsorted(cuts, begins), len(cuts))].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]

@@ -29,15 +29,13 @@ from pyspark.sql import functions as F
 
 from finspark.llm.bpe import vocabulary_path
 from finspark.llm.common import bucket_of, byte_texts, range_buckets, text_rows, text_slices
-from finspark.llm.pretokenize import SEGMENT, batch_pieces, segments
+from finspark.llm.pretokenize import PieceTable
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 LENGTH = 2048
 BATCH = 256  # sequences of a batch
 ROWS_PER_RANGE = 8192
-_CACHED = 250_000  # pieces a worker remembers; a full cache starts anew
-_KEPT = 256  # bytes; longer pieces are not remembered
 _PIECES = 20_000  # pieces encoded in one call
 
 
@@ -60,52 +58,50 @@ class Encoder:
                          and not spec["model"].get("dropout") and before.get("type") == "ByteLevel"
                          and before.get("use_regex") and not before.get("add_prefix_space")
                          and len(self._ids("\n")) == 1)
-        self.cache: dict[bytes, bytes] = {}
+        # signs of a byte-level token stand for one byte each
+        self.length = np.zeros(size, np.int64)
+        for token, i in self.library.get_vocab(with_added_tokens=True).items():
+            self.length[i] = len(token)
+        self.known = PieceTable(self._piece_ids, self.dtype)
 
     def _ids(self, text: str) -> list[int]:
         return self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def _learn(self, pieces: set[bytes]) -> None:
-        """Pieces without white space ends are joined by line ends, which keep them apart, and encoded at once."""
-        if not pieces:
-            return
+    def _piece_ids(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece, by the library.
+
+        Pieces that start with a space follow each other without changing; the
+        rest are kept apart by line ends; white space is encoded by itself.
+        """
+        out, spaced, plain = [b""] * len(pieces), [], []
+        for k, p in enumerate(pieces):
+            if p.decode().isspace():
+                out[k] = np.array(self._ids(p.decode()), self.dtype).tobytes()
+            else:
+                (spaced if p[:1] == b" " else plain).append(k)
         gap = self._ids("\n")[0]
-        spaces = [p for p in pieces if not p.decode().strip()]
-        for p in spaces:
-            self.cache[p] = np.array(self._ids(p.decode()), self.dtype).tobytes()
-        rest = list(pieces.difference(spaces))
-        for i in range(0, len(rest), _PIECES):
-            part = rest[i:i + _PIECES]
-            ids = np.array(self._ids(b"\n".join(part).decode()), self.dtype)
-            at = np.flatnonzero(ids == gap)
-            if len(at) != len(part) - 1:
-                raise ValueError("the tokenizer doesn't keep pieces apart")
-            raw, width = ids.tobytes(), self.dtype.itemsize
-            first = np.concatenate(([0], at + 1)) * width
-            last = np.concatenate((at, [len(ids)])) * width
-            self.cache.update(zip(part, map(raw.__getitem__, map(slice, first.tolist(), last.tolist()))))
+        for group, between in ((spaced, b""), (plain, b"\n")):
+            for i in range(0, len(group), _PIECES):
+                part = [pieces[k] for k in group[i:i + _PIECES]]
+                ids = np.array(self._ids(between.join(part).decode()), self.dtype)
+                if between:
+                    ids = ids[ids != gap]
+                ends = np.cumsum(self.length[ids])
+                want = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)))
+                last = np.searchsorted(ends, want) + 1
+                if ends[-1] != want[-1] or not np.array_equal(ends[last - 1], want):
+                    raise ValueError("the tokenizer doesn't keep pieces apart")
+                raw, width = ids.tobytes(), self.dtype.itemsize
+                bounds = np.append(0, last * width).tolist()
+                for k, a, b in zip(group[i:i + _PIECES], bounds, bounds[1:]):
+                    out[k] = raw[a:b]
+        return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_piece:
             got = self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
             return [np.array(e.ids, self.dtype).tobytes() for e in got]
-        if max(map(len, texts), default=0) > SEGMENT:
-            return [b"".join(self._encode([s])[0] for s in segments(t)) for t in texts]
-        return self._encode(texts)
-
-    def _encode(self, texts: list[bytes]) -> list[bytes]:
-        pieces, first = batch_pieces(texts)
-        missing = set(pieces) - self.cache.keys()
-        if len(self.cache) + len(missing) > _CACHED:
-            self.cache.clear()
-            missing = set(pieces)
-        self._learn(missing)
-        got = list(map(self.cache.__getitem__, pieces))
-        for p in missing:
-            if len(p) > _KEPT:
-                del self.cache[p]
-        at = first.tolist()
-        return [b"".join(got[a:b]) for a, b in zip(at, at[1:])]
+        return self.known.texts(texts)
 
 
 @lru_cache(2)
