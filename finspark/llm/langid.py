@@ -13,14 +13,14 @@ the vocabulary.  Scoring is a pass over all texts without a shuffle; a worker
 remembers the likelihoods of words.
 
 Words are runs of letters, lower-cased, with a space before; a run of more
-than ``RUN`` letters is taken in chunks of that length.
+than ``RUN`` letters is taken in chunks of that length.  They are found by
+code-point classes over a whole slice of texts.
 """
 
 from __future__ import annotations
 
 import base64
-import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -31,21 +31,52 @@ from pyspark.sql import functions as F
 
 from finspark.llm.bpe import vocabulary_path
 from finspark.llm.common import fold, materialize, text_rows, text_slices
+from finspark.llm.pretokenize import LETTER, PieceTable, classes, code_points
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 RUN = 24
 LONGEST = 12  # bytes of a piece; longer pieces of the vocabulary are not used
 ROUNDS = 2
 SMOOTH = 0.01
-_CACHED = 300_000
+_CACHED = 1 << 22  # likelihoods a worker remembers (words x languages)
 _ROWS = 1 << 14
+_PER_BYTE = 100.0
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
-_WORD = re.compile(r"[^\W\d_]{1,%d}" % RUN)
+
+def word_bytes(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The words of all texts: their bytes without a gap, where each starts, and the number of words of each text."""
+    raw = [t.lower().encode("utf-8", "replace") for t in texts]
+    sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+    data = b"".join(raw)
+    none = np.zeros(len(texts), np.int64)
+    if not data:
+        return b"", none[:0], none
+    cps, at = code_points(data)
+    at = np.append(at, len(data))
+    letters = np.flatnonzero(classes()[cps] == LETTER)
+    if not len(letters):
+        return b"", none[:0], none
+    ends = np.cumsum(sizes)
+    text = np.searchsorted(ends, at[letters], side="right")
+    new = np.ones(len(letters), bool)
+    new[1:] = (letters[1:] != letters[:-1] + 1) | (text[1:] != text[:-1])
+    begins = np.flatnonzero(new)
+    within = np.arange(len(letters)) - np.repeat(begins, np.diff(np.append(begins, len(letters))))
+    first = np.flatnonzero(within % RUN == 0)
+    width = at[letters + 1] - at[letters]
+    where = np.cumsum(width) - width  # of each letter among the bytes of all letters
+    kept = np.zeros(len(data), bool)
+    for k in range(int(width.max())):
+        kept[at[letters[width > k]] + k] = True
+    return (np.frombuffer(data, np.uint8)[kept].tobytes(), where[first],
+            np.bincount(text[first], minlength=len(texts)))
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Words of one text."""
+    data, cuts, _ = word_bytes([text])
+    return [data[a:b].decode() for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(data)])]
 
 
 class Pieces:
@@ -55,6 +86,7 @@ class Pieces:
         with open(vocabulary_path(name), "rb") as f:
             tokens = [base64.b64decode(line.split()[0]) for line in f]
         self.pieces = sorted({t for t in tokens if 0 < len(t) <= LONGEST} | {bytes([b]) for b in range(256)})
+        self.scale = _PER_BYTE ** np.fromiter(map(len, self.pieces), np.float64, len(self.pieces))
         self.bits = max(12, len(self.pieces).bit_length() + 2)
         self.keys = np.zeros(1 << self.bits, np.uint64)
         self.ids = np.full(1 << self.bits, -1, np.int64)
@@ -92,8 +124,8 @@ class Pieces:
             todo = todo[~hit & (self.ids[slot[todo]] >= 0)]
         return out
 
-    def spans(self, rows: np.ndarray):
-        """(start, end, piece id per row) of all spans of equally long words, by end."""
+    def spans(self, rows: np.ndarray) -> list:
+        """(start, end, which rows, their piece ids) of all spans of equally long words that hold a piece, by end."""
         n, size = rows.shape
         prefix = np.zeros((size + 1, n), np.uint64)
         for j in range(size):
@@ -101,9 +133,14 @@ class Pieces:
         power = [np.uint64(1)]
         for _ in range(min(size, LONGEST)):
             power.append(np.uint64(int(power[-1]) * int(_BASE) % (1 << 64)))
+        out = []
         for j in range(1, size + 1):
             for k in range(1, min(j, LONGEST) + 1):
-                yield j - k, j, self.find(prefix[j] - prefix[j - k] * power[k])
+                ids = self.find(prefix[j] - prefix[j - k] * power[k])
+                hit = np.flatnonzero(ids >= 0)
+                if len(hit):
+                    out.append((j - k, j, hit, ids[hit]))
+        return out
 
 
 @lru_cache(2)
@@ -123,63 +160,92 @@ def _by_length(found: list[str]):
             yield np.array(part), np.frombuffer(b"".join(raw[i] for i in part), np.uint8).reshape(-1, size)
 
 
-def _forward(spans, n: int, size: int, probs: np.ndarray):
-    """Forward sums (size + 1, n, languages), scaled per word and position; ``probs`` ends with a row of zeros.
+def _scaled(pieces: Pieces, probs: np.ndarray) -> np.ndarray:
+    """Probabilities times ``_PER_BYTE`` for each byte of a piece.  All segmentations of a word have its
+    bytes, so this only scales their sum, and keeps it within the range of floats for most words."""
+    return probs * pieces.scale[:, None]
 
-    Returns (alpha, log of the scale): the sum itself is alpha * exp(scale).
-    """
-    langs = probs.shape[1]
-    alpha = np.zeros((size + 1, n, langs))
-    alpha[0] = 1
-    scale = np.zeros((n, langs))
-    for i, j, ids in spans:
-        alpha[j] += alpha[i] * probs[ids]
-        if i == max(0, j - LONGEST):  # the last span that ends here
-            low = alpha[j] < 1e-200
-            if low.any():
-                f = np.where(low, 1e200, 1.0)
-                alpha[:j + 1] *= f
-                scale -= np.log(f)
-    return alpha, scale
+
+def _sums(spans, shape, values: list[np.ndarray], log: bool = False) -> np.ndarray:
+    """Forward sums of all positions, (size + 1, *shape); values: of each span's rows, logs if ``log``."""
+    alpha = np.full(shape, -np.inf if log else 0.0)
+    alpha[0] = 0.0 if log else 1.0
+    for (i, j, hit, _), v in zip(spans, values):
+        if log:
+            alpha[j, hit] = np.logaddexp(alpha[j, hit], alpha[i, hit] + v)
+        else:
+            alpha[j, hit] += alpha[i, hit] * v
+    return alpha
+
+
+def _rare(total: np.ndarray) -> np.ndarray:
+    """Rows whose sum has left the range in which floats are exact; they are summed as logs."""
+    ok = (total > 1e-280) & (total < 1e280)
+    return np.flatnonzero(~(ok if ok.ndim == 1 else ok.all(axis=1)))
 
 
 def log_likelihoods(found: list[str], pieces: Pieces, probs: np.ndarray) -> np.ndarray:
     """log of the sum over all segmentations, (words, languages)."""
-    out = np.empty((len(found), probs.shape[1] if probs.ndim == 2 else 0))
+    out, scaled = np.empty((len(found), probs.shape[1])), _scaled(pieces, probs)
     for at, rows in _by_length(found):
-        alpha, scale = _forward(pieces.spans(rows), *rows.shape, probs)
-        out[at] = np.log(alpha[-1]) + scale
+        n, size = rows.shape
+        spans = pieces.spans(rows)
+        total = _sums(spans, (size + 1, n, probs.shape[1]), [scaled[ids] for *_, ids in spans])[size]
+        with np.errstate(divide="ignore"):
+            out[at] = np.log(total) - size * np.log(_PER_BYTE)
+        if len(rare := _rare(total)):
+            spans = pieces.spans(rows[rare])
+            logs = [np.log(probs[ids]) for *_, ids in spans]
+            out[at[rare]] = _sums(spans, (size + 1, len(rare), probs.shape[1]), logs, log=True)[size]
     return out
 
 
-def expected_counts(found: list[str], weights: np.ndarray, pieces: Pieces, probs: np.ndarray) -> np.ndarray:
-    """Expected piece counts (pieces, languages) of words with weights (words, languages)."""
-    total = np.zeros((len(pieces.pieces) + 1, probs.shape[1]))
-    for at, rows in _by_length(found):
+def expected_counts(found: list[str], lang: np.ndarray, weight: np.ndarray, pieces: Pieces,
+                    probs: np.ndarray) -> np.ndarray:
+    """Expected piece counts (pieces, languages) of words, each of one language and with a weight."""
+    langs = probs.shape[1]
+    total = np.zeros(probs.size)
+    flat = _scaled(pieces, probs).ravel()
+
+    def add(spans, rows, of, w, log):
         n, size = rows.shape
-        spans = list(pieces.spans(rows))
-        alpha, _ = _forward(spans, n, size, probs)
-        beta = np.zeros_like(alpha)
-        beta[size] = weights[at] / alpha[size]
-        for i, j, ids in reversed(spans):
-            beta[i] += probs[ids] * beta[j]
-        for i, j, ids in spans:
-            gain = alpha[i] * probs[ids] * beta[j]
-            hit = ids >= 0
-            for c in range(gain.shape[1]):
-                total[:, c] += np.bincount(ids[hit], gain[hit, c], len(total))
-    return total[:-1]
+        where = [ids * langs + of[hit] for _, _, hit, ids in spans]
+        values = [np.log(probs.ravel()[x]) if log else flat[x] for x in where]
+        alpha = _sums(spans, (size + 1, n), values, log)
+        left = _rare(alpha[size])[:0] if log else _rare(alpha[size])
+        if len(left):
+            w = w.copy()
+            w[left] = 0
+        beta = np.full_like(alpha, -np.inf if log else 0.0)
+        beta[size] = -alpha[size] if log else w / np.where(w > 0, alpha[size], 1.0)
+        for (i, j, hit, _), v in zip(reversed(spans), reversed(values)):
+            if log:
+                beta[i, hit] = np.logaddexp(beta[i, hit], beta[j, hit] + v)
+            else:
+                beta[i, hit] += beta[j, hit] * v
+        seen, gains = [], []
+        for (i, j, hit, _), v, x in zip(spans, values, where):
+            seen.append(x)
+            gains.append(np.exp(alpha[i, hit] + v + beta[j, hit]) * w[hit] if log else alpha[i, hit] * v * beta[j, hit])
+        total[:] += np.bincount(np.concatenate(seen), np.concatenate(gains), len(total))
+        return left
+
+    for at, rows in _by_length(found):
+        left = add(pieces.spans(rows), rows, lang[at], weight[at], False)
+        if len(left):
+            add(pieces.spans(rows[left]), rows[left], lang[at][left], weight[at][left], True)
+    return total.reshape(-1, langs)
 
 
 @dataclass
 class Model:
     vocabulary: str
     langs: list[str]
-    probs: np.ndarray  # (pieces + a row of zeros, languages)
+    probs: np.ndarray  # (pieces, languages)
 
     def __post_init__(self):
-        self._index: dict[str, int] = {}
-        self._known = np.zeros((0, len(self.langs)))
+        size = max(1, len(self.langs))
+        self._known = PieceTable(self._likelihoods, np.float64, max(1 << 12, _CACHED // size))
 
     def __getstate__(self):
         return {"vocabulary": self.vocabulary, "langs": self.langs, "probs": self.probs}
@@ -187,61 +253,67 @@ class Model:
     def __setstate__(self, state):
         self.__init__(**state)
 
+    def _likelihoods(self, found: list[bytes]) -> list[bytes]:
+        rows = log_likelihoods([w.decode() for w in found], pieces_of(self.vocabulary), self.probs)
+        raw, step = rows.tobytes(), rows.shape[1] * 8
+        return [raw[i:i + step] for i in range(0, len(raw), step)]
+
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """Language and its share of the likelihood (equal priors) of each text; ``und`` and 0 without a letter."""
-        bags = [words(t) for t in texts]
-        if not self.langs:
-            return ["und"] * len(texts), [0.0] * len(texts)
-        new = list({w for bag in bags for w in bag} - self._index.keys())
-        if new:
-            if len(self._index) + len(new) > _CACHED:
-                self._index, self._known = {}, self._known[:0]
-                new = list({w for bag in bags for w in bag})
-            self._index.update(zip(new, range(len(self._index), len(self._index) + len(new))))
-            self._known = np.concatenate((self._known, log_likelihoods(new, pieces_of(self.vocabulary), self.probs)))
-        langs, scores = [], []
-        for bag in bags:
-            if not bag:
-                langs.append("und")
-                scores.append(0.0)
-                continue
-            at = np.fromiter(map(self._index.__getitem__, bag), np.int64, len(bag))
-            total = self._known[at].sum(axis=0)
-            best = int(total.argmax())
-            langs.append(self.langs[best])
-            scores.append(float(1 / np.exp(total - total[best]).sum()))
+        langs, scores = ["und"] * len(texts), [0.0] * len(texts)
+        data, cuts, counts = word_bytes(texts)
+        if not self.langs or not len(cuts):
+            return langs, scores
+        flat, _ = self._known.ids(data, cuts)
+        held = np.flatnonzero(counts)
+        begin = (np.cumsum(counts) - counts)[held]
+        total = np.add.reduceat(flat.reshape(-1, len(self.langs)), begin, axis=0)
+        best = total.argmax(axis=1)
+        share = 1 / np.exp(total - total.max(axis=1)[:, None]).sum(axis=1)
+        for i, k, p in zip(held.tolist(), best.tolist(), share.tolist()):
+            langs[i], scores[i] = self.langs[k], p
         return langs, scores
 
 
 def _word_counts(batches):
+    """(lang, word, n) of each slice: equal words of a language once."""
+    hashes = PieceTable(None, np.uint8, 1)
     for batch in text_slices(batches):
-        seen = defaultdict(Counter)
-        for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-            if text:
-                seen[lang].update(words(text))
-        rows = [(lang, w, n) for lang, c in seen.items() for w, n in c.items()]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
-                pa.string(), pa.string(), pa.int64()))], ["lang", "word", "n"])
+        data, cuts, counts = word_bytes([t or "" for t in batch.column("text").to_pylist()])
+        if not len(cuts):
+            continue
+        lang = batch.column("lang").dictionary_encode()
+        stops = np.append(cuts[1:], len(data))
+        keys = hashes.hashes(np.frombuffer(data, np.uint8), cuts, stops - cuts)
+        of = np.repeat(lang.indices.to_numpy().astype(np.int64), counts)
+        order = np.lexsort((keys, of))
+        new = np.ones(len(order), bool)
+        new[1:] = (keys[order][1:] != keys[order][:-1]) | (of[order][1:] != of[order][:-1])
+        at = np.flatnonzero(new)
+        one = order[at]
+        yield pa.RecordBatch.from_arrays(
+            [lang.dictionary.take(pa.array(of[one])),
+             pa.array([data[a:b].decode() for a, b in zip(cuts[one].tolist(), stops[one].tolist())], pa.string()),
+             pa.array(np.diff(np.append(at, len(order))), pa.int64())], ["lang", "word", "n"])
 
 
 def _expected(batches, vocabulary: str, langs: list[str], probs: np.ndarray):
     pieces, at = pieces_of(vocabulary), {x: i for i, x in enumerate(langs)}
     total = np.zeros((len(pieces.pieces), len(langs)))
     for batch in batches:
-        counts = defaultdict(lambda: np.zeros(len(langs)))
-        for lang, word, n in zip(*(c.to_pylist() for c in batch.columns)):
-            counts[word][at[lang]] += n
-        if counts:
-            total += expected_counts(list(counts), np.array(list(counts.values())), pieces, probs)
+        if not batch.num_rows:
+            continue
+        lang = batch.column("lang").dictionary_encode()
+        own = np.array([at[x] for x in lang.dictionary.to_pylist()])[lang.indices.to_numpy()]
+        total += expected_counts(batch.column("word").to_pylist(), own, batch.column("n").to_numpy().astype(float),
+                                 pieces, probs)
     piece, lang = np.nonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(piece), pa.array(lang), pa.array(total[piece, lang])],
                                      ["piece", "lang", "n"])
 
 
 def _smoothed(counts: np.ndarray) -> np.ndarray:
-    p = (counts + SMOOTH) / (counts.sum(axis=0) + SMOOTH * len(counts))
-    return np.vstack((p, np.zeros(p.shape[1])))
+    return (counts + SMOOTH) / (counts.sum(axis=0) + SMOOTH * len(counts))
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

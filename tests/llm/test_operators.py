@@ -249,7 +249,6 @@ def test_encode_like_the_library_and_back(library):
 
 def test_long_texts_go_by_segments(library, monkeypatch):
     monkeypatch.setattr(pretokenize, "SEGMENT", 20)
-    monkeypatch.setattr(bpe, "SEGMENT", 20)
     monkeypatch.setattr(bpe, "_TOKENS", 7)
     rng = random.Random(20)
     texts = ["".join(rng.choices([*SIGNS, "word", " it's", "\n\n", "9  "], k=200)) for _ in range(60)]
@@ -261,13 +260,20 @@ def test_long_texts_go_by_segments(library, monkeypatch):
         assert table.decode(own, table.ends(own)) == t.encode()
 
 
-def test_full_cache_starts_anew(library, monkeypatch):
-    monkeypatch.setattr(bpe, "_CACHED", 50)
+@pytest.mark.parametrize("limit", [5, 60, 400])
+def test_full_table_of_pieces(library, limit, monkeypatch):
+    monkeypatch.setattr(pretokenize.PieceTable, "LONGEST", 6)
     table = bpe.Ranks(bpe.vocabulary_path(bpe.VOCABULARY))
-    for seed in range(5):
-        texts = odd_texts(40, seed)
+    table.known = pretokenize.PieceTable(table.piece_ids, "<u4", limit)
+    for seed in range(8):
+        texts = odd_texts(40, seed % 6) + ["longer than six", ""]
         got = table.encode([t.encode() for t in texts])
         assert [np.frombuffer(g, "<u4").tolist() for g in got] == [library[1].encode_ordinary(t) for t in texts]
+    # a piece met before is not encoded again
+    table.known = pretokenize.PieceTable(table.piece_ids, "<u4")
+    table.encode([b"some words"])
+    table.known.encode = None
+    assert table.encode([b"some words words"])
 
 
 def test_bpe_operators(spark, odd_docs, library):
@@ -424,7 +430,6 @@ def test_forward_sums_all_segmentations():
     pieces = langid.pieces_of(langid.VOCABULARY)
     rng = np.random.default_rng(1)
     probs = rng.random((len(pieces.pieces), 3)) * 1e-3
-    probs = np.vstack((probs, np.zeros(3)))
     index = {p: i for i, p in enumerate(pieces.pieces)}
 
     def brute(w):
@@ -438,12 +443,38 @@ def test_forward_sums_all_segmentations():
     got = langid.log_likelihoods(found, pieces, probs)
     for w, row in zip(found, got):
         assert np.allclose(row, brute(w))
+    # a word beyond the range of floats is summed as logs
+    far = ["漢字" * 12]
+    low = langid.log_likelihoods(far, pieces, probs * 1e-9)
+    for k, row in ((1e-9, low),):
+        w, sums = b" " + far[0].encode(), [np.zeros(3)]
+        for j in range(1, len(w) + 1):
+            parts = [sums[i] + np.log(probs[index[w[i:j]]] * k) for i in range(max(0, j - langid.LONGEST), j) if w[i:j] in index]
+            sums.append(np.logaddexp.reduce(parts, axis=0))
+        assert np.allclose(row[0], sums[-1]) and (sums[-1] < -800).all()
     # expected counts: every byte of a word lies in exactly one piece
-    weights = np.array([[1.0, 0, 0], [0, 2, 0], [0, 0, 3], [1, 1, 1], [2, 0, 0]])
-    counts = langid.expected_counts(found, weights, pieces, probs)
+    words, lang, weight = found + far, np.array([0, 1, 2, 1, 0, 2]), np.array([1.0, 2, 3, 1, 2, 4])
     length = np.array([len(p) for p in pieces.pieces])
-    sizes = np.array([len(w.encode()) + 1 for w in found])
-    assert np.allclose((counts * length[:, None]).sum(axis=0), (weights * sizes[:, None]).sum(axis=0))
+    sizes = np.array([len(w.encode()) + 1 for w in words])
+    for scale in (1.0, 1e-9):
+        counts = langid.expected_counts(words, lang, weight, pieces, probs * scale)
+        want = np.bincount(lang, weight * sizes, 3)
+        assert np.allclose((counts * length[:, None]).sum(axis=0), want)
+    one = langid.expected_counts(["ab"], np.array([1]), np.array([5.0]), pieces, probs)
+    paths = {s: np.prod([probs[index[p], 1] for p in s]) for s in ((b" ", b"a", b"b"), (b" a", b"b"), (b" ", b"ab"), (b" ab",))
+             if all(p in index for p in s)}
+    assert np.isclose(one[index[b"b"], 1], 5 * sum(v for s, v in paths.items() if b"b" in s) / sum(paths.values()))
+
+
+def test_words_over_a_slice():
+    rng = random.Random(21)
+    texts = ["".join(rng.choices("abéÉ ß.1_漢😀²\n" + "x" * 3, k=rng.randint(0, 60))) for _ in range(500)]
+    data, cuts, counts = langid.word_bytes(texts)
+    got = [data[a:b].decode() for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(data)])]
+    import regex
+    want = [regex.findall(r"\p{L}{1,24}", t.lower()) for t in texts]
+    assert got == [w for ws in want for w in ws] and counts.tolist() == list(map(len, want))
+    assert langid.words("² 12 _") == []
 
 
 def test_langid_held_out(spark, odd_docs):
