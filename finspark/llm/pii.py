@@ -18,6 +18,7 @@ sees vote cells only, whose number does not depend on the data.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections import Counter
@@ -162,8 +163,6 @@ def candidates(text: str) -> list[Candidate]:
     taken = sorted((a, b) for _, a, b, *_ in found)
     out = [Candidate(k, a, b, base, (rule, _gazetteer(k, text[a:b], key), _context(text, k, a)), _shape(text[a:b]))
            for k, a, b, base, rule, key in found]
-    import bisect
-
     for k, a, b, base, rule, key in sorted(wide, key=lambda x: (x[1], -x[2], KINDS.index(x[0]))):
         i = bisect.bisect_left(taken, (a, a))
         if i and max(e for _, e in taken[max(0, i - 4):i]) > a or i < len(taken) and taken[i][0] < b:

@@ -17,6 +17,7 @@ pieces that a worker has not seen; other files encode whole texts.
 from __future__ import annotations
 
 import json
+import os
 import uuid
 import zlib
 from functools import lru_cache
@@ -43,8 +44,6 @@ class Encoder:
     """A tokenizer file of the tokenizers library; ids come as bytes of ``dtype``."""
 
     def __init__(self, name: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores already
         from tokenizers import Tokenizer
 

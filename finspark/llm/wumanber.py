@@ -13,6 +13,7 @@ pairs, which bounds what a task holds; each block scans all documents.
 
 from __future__ import annotations
 
+import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -129,8 +130,6 @@ def _arrow_schema(id_type: pa.DataType) -> pa.Schema:
 
 
 def _scan(docs: DataFrame, patterns: list[tuple[str, str]], keyed: bool) -> DataFrame:
-    import hashlib
-
     held = docs.sparkSession.sparkContext.broadcast(patterns)
 
     def search(batches):
