@@ -318,7 +318,8 @@ def _one_per_key(df: DataFrame, key: list[str], order_col: str | None, last: boo
         return df.select(*key, "__nk").dropDuplicates(key + ["__nk"]).select(*key)
     row = F.struct(*[F.col(c) for c in rest])
     # map columns can't be hashed; as JSON text they can
-    tie = F.xxhash64(F.to_json(row))
+    maps = any("map<" in df.schema[c].dataType.simpleString() for c in rest)
+    tie = F.xxhash64(F.to_json(row)) if maps else F.xxhash64(*rest)
     if order_col is None:
         low, high = F.min(tie), F.max(tie)
         mixed = F.raise_error(F.concat(F.lit("rows that repeat a key differ, pass order_col: "),
