@@ -188,6 +188,17 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, max
     return pairs, blocks, F.pmod(F.xxhash64("item_id", "pattern"), F.lit(blocks))
 
 
+def _hits(rows: DataFrame, pairs: DataFrame, blocks: int, block) -> DataFrame:
+    """Hits of all pattern blocks, one row per document row; copy_key is the text's digest if blocks are several."""
+    found = None
+    for b in range(blocks):
+        part = pairs if blocks == 1 else pairs.where(block == b)
+        hits = _scan(rows, [(r["item_id"], r["pattern"]) for r in part.collect()], keyed=blocks > 1)
+        hits = hits.withColumn("block", F.lit(b))
+        found = hits if found is None else found.unionAll(hits)
+    return found.drop("block") if blocks == 1 else _union(found)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
                   max_patterns: int = MAX_PATTERNS) -> DataFrame:
@@ -199,14 +210,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     nothing; repeated rows each give a row; items with equal ids count once.
     """
     rows = text_rows(docs, id_col, text_col)
-    pairs, blocks, block = _blocks(benchmark, item_col, item_text_col, window, max_patterns)
-    found = None
-    for b in range(blocks):
-        part = pairs if blocks == 1 else pairs.where(block == b)
-        hits = _scan(rows, [(r["item_id"], r["pattern"]) for r in part.collect()], keyed=blocks > 1)
-        hits = hits.withColumn("block", F.lit(b))
-        found = hits if found is None else found.unionAll(hits)
-    out = found.drop("block") if blocks == 1 else _union(found)
+    out = _hits(rows, *_blocks(benchmark, item_col, item_text_col, window, max_patterns))
     return out.drop("copy_key").withColumn("contaminated", is_contaminated(F.col("n_words"), F.col("n_hit")))
 
 
@@ -215,14 +219,16 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "d
                          max_patterns: int = MAX_PATTERNS) -> DataFrame:
     """The document rows that are not contaminated, with all their columns.
 
-    One block of patterns filters rows where they are; with more blocks the
-    hits are joined back by id, and rows without an id are kept.
+    Every row is judged by its own text.  One block of patterns filters rows
+    where they are; with more blocks the hits are joined back by the digest of
+    the text, which alone decides, so ids may be null or repeated.
     """
-    pairs, blocks, _ = _blocks(benchmark, item_col, item_text_col, window, max_patterns)
+    pairs, blocks, block = _blocks(benchmark, item_col, item_text_col, window, max_patterns)
     if blocks > 1:
-        hits = contamination(docs, benchmark, id_col, text_col, item_col, item_text_col, window, max_patterns)
-        found = hits.where("contaminated").select(F.col("doc_id").alias(id_col))
-        return docs.join(found, id_col, "left_anti")
+        hits = _hits(text_rows(docs, id_col, text_col), pairs, blocks, block)
+        found = hits.where(is_contaminated(F.col("n_words"), F.col("n_hit"))).select(F.col("copy_key").alias("_found"))
+        digest = F.unhex(F.sha2(F.col(f"`{text_col}`").cast("string").cast("binary"), 256))
+        return docs.join(found, digest == F.col("_found"), "left_anti")
     patterns = [(r["item_id"], r["pattern"]) for r in pairs.collect()]
     held = docs.sparkSession.sparkContext.broadcast(patterns)
 

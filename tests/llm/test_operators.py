@@ -640,3 +640,14 @@ def test_contamination_odd_rows(spark, odd_docs, block):
     assert left.count() == odd_docs.count() - 4 and sorted(left.columns) == sorted(odd_docs.columns)
     assert wumanber.contamination(empty(spark), items).count() == 0
     assert wumanber.contamination(odd_docs, items.where("false")).where("n_hit > 0").count() == 0
+
+
+@pytest.mark.parametrize("block", [500_000, 1])
+def test_every_row_is_judged_by_its_own_text(spark, block):
+    rng = random.Random(29)
+    bad, part = prose(rng, 13), prose(rng, 15)
+    docs = [(None, bad), (None, "clean"), (None, None), (1, bad), (1, "clean too"), (2, part), (2, bad), (2, prose(rng, 60)), (3, ""), (3, bad)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame([(1, bad), (2, part)], "item_id long, text string")
+    left = [tuple(r) for r in wumanber.without_contaminated(df, items, max_patterns=block).collect()]
+    assert sorted(left, key=str) == sorted((d for d in docs if d[1] not in (bad, part)), key=str)
