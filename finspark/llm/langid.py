@@ -35,7 +35,7 @@ from finspark.llm.pretokenize import LETTER, PieceTable, classes, code_points
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 RUN = 24
-LONGEST = 12  # bytes of a piece; longer pieces of the vocabulary are not used
+LONGEST = 33  # bytes of the longest piece of VOCABULARY
 ROUNDS = 2
 SMOOTH = 0.01
 _CACHED = 1 << 22  # likelihoods a worker remembers (words x languages)
@@ -80,12 +80,13 @@ def words(text: str) -> list[str]:
 
 
 class Pieces:
-    """The vocabulary's pieces of at most ``LONGEST`` bytes, found by a polynomial hash of their bytes."""
+    """All pieces of the vocabulary and the single bytes, found by a polynomial hash of their bytes."""
 
     def __init__(self, name: str):
         with open(vocabulary_path(name), "rb") as f:
             tokens = [base64.b64decode(line.split()[0]) for line in f]
-        self.pieces = sorted({t for t in tokens if 0 < len(t) <= LONGEST} | {bytes([b]) for b in range(256)})
+        self.pieces = sorted({t for t in tokens if t} | {bytes([b]) for b in range(256)})
+        self.sizes = sorted(set(map(len, self.pieces)))
         self.scale = _PER_BYTE ** np.fromiter(map(len, self.pieces), np.float64, len(self.pieces))
         self.bits = max(12, len(self.pieces).bit_length() + 2)
         self.keys = np.zeros(1 << self.bits, np.uint64)
@@ -131,11 +132,13 @@ class Pieces:
         for j in range(size):
             prefix[j + 1] = prefix[j] * _BASE + rows[:, j] + np.uint64(1)
         power = [np.uint64(1)]
-        for _ in range(min(size, LONGEST)):
+        for _ in range(min(size, self.sizes[-1])):
             power.append(np.uint64(int(power[-1]) * int(_BASE) % (1 << 64)))
         out = []
         for j in range(1, size + 1):
-            for k in range(1, min(j, LONGEST) + 1):
+            for k in self.sizes:
+                if k > j:
+                    break
                 ids = self.find(prefix[j] - prefix[j - k] * power[k])
                 hit = np.flatnonzero(ids >= 0)
                 if len(hit):

@@ -1,5 +1,6 @@
 """Brute-force versions, round trips and edge cases of the document operators."""
 
+import base64
 import hashlib
 import itertools
 import random
@@ -424,6 +425,23 @@ def test_pii_spans_and_masks(spark, odd_docs):
 
 # 7 language ID
 
+def test_whole_vocabulary_is_used():
+    pieces = langid.pieces_of(langid.VOCABULARY)
+    with open(bpe.vocabulary_path(langid.VOCABULARY), "rb") as f:
+        tokens = {base64.b64decode(line.split()[0]) for line in f} - {b""}
+    assert tokens <= set(pieces.pieces) and max(map(len, tokens)) == langid.LONGEST
+    rng = np.random.default_rng(3)
+    probs = rng.random((len(pieces.pieces), 2)) * 1e-3
+    index = {p: i for i, p in enumerate(pieces.pieces)}
+    found = ["relationship", "unfortunately", "particularly", "просто"]
+    assert all(b" " + w.encode() in index for w in found)
+    for w, row in zip(found, langid.log_likelihoods(found, pieces, probs)):
+        w, sums = b" " + w.encode(), [np.ones(2)]
+        for j in range(1, len(w) + 1):
+            sums.append(sum((sums[i] * probs[index[w[i:j]]] for i in range(j) if w[i:j] in index), np.zeros(2)))
+        assert np.allclose(row, np.log(sums[-1]))
+
+
 def test_forward_sums_all_segmentations():
     P = pytest.importorskip("public_tokenizers")
     assert P
