@@ -54,11 +54,13 @@ CUES = {
 }
 DECOYS = frozenset("example sample test dummy version section page figure table order isbn".split())
 
-_SPELLED = re.compile(r"[A-Za-z0-9._%+-]{1,64}\s?[\[(]\s?at\s?[\])]\s?[A-Za-z0-9-]{1,63}"
-                      r"(?:(?:\.|\s?[\[(]\s?dot\s?[\])]\s?)[A-Za-z0-9-]{1,63}){1,5}", re.I)
+# Lengths have no upper bound; what repeats is possessive or starts where its run does, hence linear.
+_AT = re.compile(r"[\[(]\s?at\s?[\])]\s?", re.I)
+_SPELLED_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:(?:\.|\s?[\[(]\s?dot\s?[\])]\s?)[A-Za-z0-9-]++)++", re.I)
+_SPELLED_LOCAL = _LOCAL | frozenset("İıſK")  # re.I takes these for letters I, S and K
 _LOCAL_NUMBER = re.compile(r"(?<![\w+.-])(?:\(\d{3}\)\x20?|\d{3}[-.\x20])\d{3}[-.\x20]\d{4}(?![\w-])", re.A)
-_ASSIGNED = re.compile(r"(?<![\w-])([A-Za-z][A-Za-z0-9_-]{1,30})\x20?[:=]\x20?[\"']?([^\s\"'<>,;|]{6,256})")
-_HEX = re.compile(r"(?<![\w])[0-9a-fA-F]{32,128}(?![\w])")
+_ASSIGNED = re.compile(r"(?<![\w-])([A-Za-z][A-Za-z0-9_-]++)\x20?[:=]\x20?[\"']?([^\s\"'<>,;|]{6,}+)")
+_HEX = re.compile(r"(?<![\w])[0-9a-fA-F]{32,}+(?![\w])")
 _DIGIT = re.compile(r"[0-9]")
 _WORDS = re.compile(r"[A-Za-z][A-Za-z-]*")
 _BEFORE = 32  # code points of context that cue words are looked for in
@@ -86,6 +88,22 @@ def _emails(text: str):
         at = text.find("@", max(at + 1, done))
 
 
+def _spelled(text: str):
+    """Leftmost non-overlapping spelled-out addresses, found from their (at) in linear time."""
+    done, m = 0, _AT.search(text)
+    while m:
+        end = m.start()
+        end -= end > done and text[end - 1].isspace()
+        start = end
+        while start > done and text[start - 1] in _SPELLED_LOCAL:
+            start -= 1
+        domain = _SPELLED_DOMAIN.match(text, m.end()) if start < end else None
+        if domain:
+            yield start, domain.end()
+            done = domain.end()
+        m = _AT.search(text, max(m.end(), done))
+
+
 def _parts_fit(ip: str) -> bool:
     return all(len(p := x.lstrip("0")) <= 3 and int(p or 0) <= 255 for x in ip.split("."))
 
@@ -153,7 +171,7 @@ def candidates(text: str) -> list[Candidate]:
     wide = [(k, a, b, False, -1, None) for k, a, b in failed
             if k != "card" or 13 <= len(_only_digits(text[a:b])) <= 19]
     if "at" in text and ("(" in text or "[" in text):
-        wide += [("email", *m.span(), False, 0, None) for m in _SPELLED.finditer(text)]
+        wide += [("email", a, b, False, 0, None) for a, b in _spelled(text)]
     if "=" in text or ":" in text:
         wide += [("secret", *m.span(2), False, 1 if re.search(r"[0-9]", m[2]) else 0, m[1])
                  for m in _ASSIGNED.finditer(text)]

@@ -423,6 +423,27 @@ def test_pii_spans_and_masks(spark, odd_docs):
     assert pii.find(empty(spark), pii.fit(empty(spark))).count() == 0
 
 
+def test_pii_spans_have_no_longest_length():
+    token, digits = "a1B2c3D4-_" * 100, "0123456789abcdef" * 32
+    local, domain, key = "first.last" * 10, ".".join(f"part{i}" for i in range(9)) + ".com", "my_" * 20 + "token"
+    for kind, text, span in (("secret", f"password={token} end", token), ("secret", f"key is {digits}, end", digits),
+                             ("secret", f"{key} = {token}", token),
+                             ("email", f"mail {local} (at) {domain} now", f"{local} (at) {domain}"),
+                             ("email", f"mail a[at]{'b' * 80} dot c (dot) org", None)):
+        spans = [(c.kind, text[c.start:c.end]) for c in pii.candidates(text) if c.kind == kind]
+        assert spans == ([(kind, span)] if span else [])
+    # within the former lengths addresses are those of one pattern
+    pattern = re.compile(r"[A-Za-z0-9._%+-]{1,64}\s?[\[(]\s?at\s?[\])]\s?[A-Za-z0-9-]{1,63}"
+                         r"(?:(?:\.|\s?[\[(]\s?dot\s?[\])]\s?)[A-Za-z0-9-]{1,63}){1,5}", re.I)
+    rng = random.Random(31)
+    for _ in range(20_000):
+        t = "".join(rng.choices(["a", "b_", "(at)", " [ At ] ", ".c", " ", "(dot)", "[ DOT ]", "\u017f", "\u212a", "-", "("],
+                                k=rng.randint(0, 14)))
+        assert list(pii._spelled(t)) == [m.span() for m in pattern.finditer(t)]
+    for t in ("a" * 200_000, "a(at)" * 50_000, "ab=" * 70_000, "f" * 200_000 + "x", "a(at)b" + ".c" * 90_000 + "(dot)"):
+        pii.candidates(t)
+
+
 # 7 language ID
 
 def test_whole_vocabulary_is_used():
