@@ -8,9 +8,9 @@ the sentence model, which then locates the offending sentences.
 A word's features are the word and its first four to seven letters, hashed.
 Learning uses at most ``max_docs`` labelled rows (the smallest hashes of
 doc_id, so the choice does not depend on partitions); document frequencies of
-all features over them are counted in Spark, the ``max_features`` features
-most tied to the label are kept, and the sample, reduced to those features, is
-fitted by full-batch Adam.  Scoring runs over all rows, without a shuffle.
+all features over them are counted in Spark, all features tied to the label
+are kept, and the sample, reduced to those features, is fitted by full-batch
+Adam.  Scoring runs over all rows, without a shuffle.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from finspark.llm.common import fold, materialize, text_rows, text_slices
 
 MAX_DOCS = 20_000
-MAX_FEATURES = 4096
 MIN_DOCS = 3
 _SPACE = 1 << 22  # hashed feature space
 _CACHED = 300_000
@@ -155,7 +154,7 @@ def _fit_bags(y, plain, doc, where, feature, n_features, start, steps, decay):
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",
         text_col: str = "text", label_id_col: str = "doc_id", max_docs: int = MAX_DOCS,
-        max_features: int = MAX_FEATURES, steps: int = 150, decay: float = 0.3) -> Model:
+        steps: int = 150, decay: float = 0.3) -> Model:
     """Learn from labelled rows whose crc32(doc_id) mod 5 is not 0.
 
     Null labels and ids teach nothing; of several labels of one document the
@@ -175,21 +174,17 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
               .groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
               .where(F.col("pos") >= MIN_DOCS))
     ahead = F.log((F.col("pos") + 0.1) / (pos + 0.2)) - F.log((F.col("neg") + 0.1) / (n - pos + 0.2))
-    best = (counts.withColumn("odds", ahead).where("odds > 1")
-            .orderBy((F.col("pos") * F.col("odds")).desc(), "feature").limit(max_features).collect())
+    best = counts.withColumn("odds", ahead).where("odds > 1").orderBy("feature").collect()  # bounded by the sample
     kept = {r["feature"]: i for i, r in enumerate(best)}
     bags = sample.mapInArrow(lambda it: _bags(it, kept), "label int, plain long, bags array<array<int>>").toArrow()
     y = bags.column("label").to_numpy() > 0
     plain = bags.column("plain").to_numpy().astype(float)
-    doc, where, feature = [], [], []
-    for d, bag in enumerate(bags.column("bags").to_pylist()):
-        for own in bag:
-            where += [len(doc)] * len(own)
-            feature += own
-            doc.append(d)
+    sentences_of = bags.column("bags").combine_chunks()
+    own = sentences_of.flatten()
+    doc = np.repeat(np.arange(len(y)), sentences_of.value_lengths().to_numpy())
+    where = np.repeat(np.arange(len(own)), own.value_lengths().to_numpy())
     start = np.array([min(3.0, r["odds"]) for r in best]) * 0.5
-    bias, weights = _fit_bags(y, plain, np.array(doc, np.int64), np.array(where, np.int64),
-                              np.array(feature, np.int64), len(best), start, steps, decay)
+    bias, weights = _fit_bags(y, plain, doc, where, own.flatten().to_numpy(), len(best), start, steps, decay)
     return Model(bias, {f: float(weights[i]) for f, i in kept.items() if abs(weights[i]) > 1e-3})
 
 

@@ -335,6 +335,16 @@ def test_toxicity_odd_rows(spark, odd_docs):
     assert toxicity.toxicity(empty(spark), labels).count() == 0
 
 
+def test_toxicity_keeps_rare_words_beside_many_common_ones(spark):
+    rng = random.Random(37)
+    common = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(1200))
+    texts = [common] * 40 + ["zqvile " + prose(rng, 5)] * 10 + [prose(rng, 30) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 50)) for i in range(len(texts))], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert model.word("zqvile") > 1 and model.score("some zqvile words")[0] >= 0.5
+
+
 # 5 Merkle audit
 
 def test_audit_locates_every_difference(spark):
