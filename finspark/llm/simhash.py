@@ -16,6 +16,7 @@ Exact copies share a fingerprint and are grouped before the index.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import accumulate, combinations, repeat
 
@@ -65,16 +66,20 @@ def simhash(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp long) for every document row."""
+                 shingle: int = SHINGLE, keyed: bool = False) -> DataFrame:
+    """(doc_id, fp long) for every document row; with ``keyed`` also digest, the text's SHA-256."""
     rows = text_rows(docs, id_col, text_col)
 
     def run(batches):
         for batch in text_slices(batches):
-            fps = pa.array([simhash(t, shingle) for t in byte_texts(batch)], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fps], ["doc_id", "fp"])
+            texts = byte_texts(batch)
+            out = {"doc_id": batch.column("doc_id"), "fp": pa.array([simhash(t, shingle) for t in texts], pa.int64())}
+            if keyed:
+                out["digest"] = pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary())
+            yield pa.RecordBatch.from_pydict(out)
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long"
+                                + (", digest binary" if keyed else ""))
 
 
 class _Index:
@@ -201,24 +206,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     null ids only has a null id); repeated rows each give a row.
     """
     rows = materialize(fingerprints(docs, id_col, text_col, shingle))
-    groups = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    groups = materialize(groups)
-    roots = connected_components(near_links(groups.select("fp"), max_bits))
-    linked = materialize(groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-                         .select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    linked = _rooted(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), max_bits)
     ids = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     named = hot_join(linked, ids, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def _rooted(groups: DataFrame, max_bits: int) -> DataFrame:
+    """One row per fingerprint (column fp) with the root of its component."""
+    groups = materialize(groups)
+    roots = connected_components(near_links(groups.select("fp"), max_bits))
+    return materialize(groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+                       .withColumn("root", F.coalesce("root", "fp")))
+
+
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                             shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document row of each component (the smallest doc_id), with all its columns.
+    """One document row of each component (the smallest doc_id, then text digest), with all its columns.
 
-    Of rows that repeat a doc_id one stays; rows without a doc_id all stay.
+    Rows are told apart by doc_id and text, so a repeated doc_id with unlike
+    texts is judged by each text; of rows equal in both one stays, by the hash
+    of their columns.  Of a component's rows without a doc_id one stays (the
+    smallest digest), also beside a row with one.
     """
-    named = docs.where(F.col(f"`{id_col}`").isNotNull())
-    kept = (near_duplicates(named, id_col, text_col, shingle, max_bits).where("doc_id = component_id")
-            .select(F.col("doc_id").alias(id_col)).distinct())
-    return (named.join(kept, id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col])
-            .unionAll(docs.where(F.col(f"`{id_col}`").isNull())))
+    rows = materialize(fingerprints(docs, id_col, text_col, shingle, keyed=True))
+    has_id = F.col("doc_id").isNotNull()
+    linked = _rooted(rows.groupBy("fp").agg(F.min(F.when(has_id, F.struct("doc_id", "digest"))).alias("named"),
+                                            F.min(F.when(~has_id, F.col("digest"))).alias("nameless")), max_bits)
+    kept = linked.groupBy("root").agg(F.min("named").alias("named"), F.min("nameless").alias("nameless"))
+    key = lambda digest, doc_id: F.concat(digest, F.coalesce(F.concat(F.lit(":"), doc_id.cast("string")), F.lit("")))
+    kept = kept.select(F.explode(F.array(
+        key(F.lower(F.hex("named.digest")), F.col("named.doc_id")), F.lower(F.hex("nameless")))).alias("key")).where(
+        "key IS NOT NULL")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    tie = F.xxhash64(*(F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()))
+    return (docs.select(key(F.sha2(text, 256), F.col(f"`{id_col}`")).alias("key"), F.struct(*columns).alias("row"),
+                        tie.alias("tie"))
+            .join(kept, "key", "left_semi").groupBy("key").agg(F.min_by("row", "tie").alias("row")).select("row.*"))

@@ -202,6 +202,20 @@ def test_near_duplicates_whole(spark, odd_docs):
     assert simhash.near_duplicates(empty(spark)).count() == 0
 
 
+def test_near_duplicates_go_by_row(spark):
+    rng = random.Random(41)
+    a, b, c, d = (prose(rng, 200) for _ in range(4))
+    rows = [(1, a, "x"), (1, b, "x"), (1, b, "y"), (2, b, "x"), (2, c, "x"), (3, c, "x"), (None, d, "x"), (None, d, "x"),
+            (None, d, "y"), (None, a + " ", "x")]
+    shuffled = rng.sample(rows, len(rows))
+    got = []
+    for own in (rows, shuffled):
+        df = spark.createDataFrame(own, "doc_id long, text string, source string").repartition(5)
+        got.append(sorted(map(tuple, simhash.without_near_duplicates(df).collect()), key=str))
+    assert got[0] == got[1]
+    assert sorted((r[:2] for r in got[0]), key=str) == sorted([(1, a), (1, b), (2, c), (None, d), (None, a + " ")], key=str)
+
+
 def test_components_of_chains_hubs_and_loops(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 80)] + [(500, 500), (None, 3), (7, None)]
     got = {r["node"]: r["root"] for r in
