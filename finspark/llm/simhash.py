@@ -5,9 +5,11 @@ in at most d bits share at least 8 - d of them, so they meet under some choice
 of 8 - d positions.  The index posts every distinct fingerprint under each
 such choice (28 of them for d = 2).  A posting list fixes 8 - d bytes, hence
 holds at most 256^d distinct fingerprints whatever the data are; an index of
-single bytes would have 2048 lists that each hold 1/256 of the corpus.  Within
-a list the shared positional bytes of a pair are tallied, pairs that reach the
-guaranteed minimum stay, and the bits are compared.  A pair is judged in the
+single bytes would have 2048 lists that each hold 1/256 of the corpus.  The
+key of a list thereby guarantees the minimum count, so a tally of shared bytes
+rejects nothing there, and the bits decide.  Lists of up to ``_ALL_PAIRS`` form
+all pairs, longer ones look up each fingerprint with up to d bits of the d left
+out bytes flipped, which does not grow with the square.  A pair is judged in the
 first list that holds it, and a list gives a spanning forest of its links, so
 links never outnumber postings.
 
