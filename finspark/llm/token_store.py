@@ -5,8 +5,9 @@ doc_id in ascending order, packed into sequences of ``length`` ids; each batch
 has the columns ids, mask (token, not padding) and ends (last id of a
 document), all fixed-size lists, and all batches but a file's last have the
 same number of sequences.  Their messages are therefore of equal size, so the
-place of any sequence in the stream follows by arithmetic and is read from a
-memory map without copying.  ``documents-<range>.arrows`` lists the doc_ids of
+place of any sequence in the stream follows by arithmetic and its ids are read
+from a memory map without copying.  mask and ends are booleans of one bit each,
+which keeps the files small; they are unpacked into new arrays on reading.  ``documents-<range>.arrows`` lists the doc_ids of
 a range; a Parquet manifest has one row per range.
 
 Texts are encoded by the tokenizers library.  For a byte-level BPE file the
@@ -202,7 +203,7 @@ class TokenFile:
         return pa.ipc.read_record_batch(pa.ipc.read_message(self.file), self.schema)
 
     def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, mask) of sequence i of the file."""
+        """(ids, mask) of sequence i of the file: ids a view of the memory map, mask unpacked from bits."""
         row, batch = i % self.batch, self.read(i // self.batch)
         return (batch.column("ids")[row].values.to_numpy(),
                 batch.column("mask")[row].values.to_numpy(zero_copy_only=False))
