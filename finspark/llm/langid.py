@@ -12,9 +12,10 @@ are summed in Spark.  The model (languages x pieces that occur) is bounded by
 the vocabulary.  Scoring is a pass over all texts without a shuffle; a worker
 remembers the likelihoods of words.
 
-Words are runs of letters, lower-cased, with a space before; a run of more
-than ``RUN`` letters is taken in chunks of that length.  They are found by
-code-point classes over a whole slice of texts.
+Words are runs of letters of any length, lower-cased, with a space before.
+They are found by code-point classes over a whole slice of texts.  Words of up
+to ``_SHORT`` bytes are summed with others of their length, longer ones
+position by position side by side.
 """
 
 from __future__ import annotations
@@ -34,13 +35,14 @@ from finspark.llm.common import fold, materialize, text_rows, text_slices
 from finspark.llm.pretokenize import LETTER, PieceTable, classes, code_points
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-RUN = 24
 LONGEST = 33  # bytes of the longest piece of VOCABULARY
 ROUNDS = 2
 SMOOTH = 0.01
 _CACHED = 1 << 22  # likelihoods a worker remembers (words x languages)
 _ROWS = 1 << 14
 _PER_BYTE = 100.0
+_SHORT = 48  # bytes of a word; longer ones go through _Lattice
+_GROUP = 1 << 17  # bytes of long words in a lattice (one word may be longer)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -61,9 +63,7 @@ def word_bytes(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
     text = np.searchsorted(ends, at[letters], side="right")
     new = np.ones(len(letters), bool)
     new[1:] = (letters[1:] != letters[:-1] + 1) | (text[1:] != text[:-1])
-    begins = np.flatnonzero(new)
-    within = np.arange(len(letters)) - np.repeat(begins, np.diff(np.append(begins, len(letters))))
-    first = np.flatnonzero(within % RUN == 0)
+    first = np.flatnonzero(new)
     width = at[letters + 1] - at[letters]
     where = np.cumsum(width) - width  # of each letter among the bytes of all letters
     kept = np.zeros(len(data), bool)
@@ -152,17 +152,77 @@ def pieces_of(name: str) -> Pieces:
 
 
 def _by_length(found: list[str]):
-    """(indices, byte matrix) of words of equal length, a space before each."""
+    """(indices, byte matrix) of short words of equal length, a space before each."""
     groups = defaultdict(list)
     raw = [b" " + w.encode() for w in found]
     for i, w in enumerate(raw):
         groups[len(w)].append(i)
     for size, at in sorted(groups.items()):
+        if size > _SHORT:
+            continue
         for a in range(0, len(at), _ROWS):
             part = at[a:a + _ROWS]
             yield np.array(part), np.frombuffer(b"".join(raw[i] for i in part), np.uint8).reshape(-1, size)
 
 
+class _Lattice:
+    """All spans that hold a piece in words of any lengths; a word of n bytes has n + 1 states."""
+
+    def __init__(self, pieces: Pieces, raw: list[bytes]):
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        self.first = np.cumsum(sizes + 1) - sizes - 1  # state before a word's first byte
+        self.last = self.first + sizes
+        data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64) + np.uint64(1)
+        word = np.repeat(np.arange(len(raw)), sizes)
+        held, key = [], np.zeros(len(data), np.uint64)
+        for k in range(1, min(pieces.sizes[-1], int(sizes.max())) + 1):
+            key = key[:len(data) - k + 1] * _BASE + data[k - 1:]
+            inside = np.flatnonzero(word[:len(key)] == word[k - 1:])
+            ids = pieces.find(key[inside])
+            at = inside[ids >= 0]
+            held.append((at + word[at], np.full(len(at), k), ids[ids >= 0], word[at]))
+        self.start, size, self.piece, self.word = (np.concatenate(x) for x in zip(*held))
+        self.end = self.start + size
+
+    def _steps(self, state: np.ndarray):
+        """Spans by their ``state``'s place in its word: (spans, where each state's begin, the states) of each place."""
+        place = state - self.first[self.word]
+        order = np.lexsort((state, place))
+        cuts = np.flatnonzero(np.diff(place[order])) + 1
+        for own in np.split(order, cuts):
+            begins = np.append(0, np.flatnonzero(np.diff(state[own])) + 1)
+            yield own, begins, state[own[begins]]
+
+    def forward(self, logs: np.ndarray) -> np.ndarray:
+        """log sums up to every state; logs: of each span, for one or more languages."""
+        alpha = np.full((int(self.last[-1]) + 1, *logs.shape[1:]), -np.inf)
+        alpha[self.first] = 0.0
+        for own, begins, states in self._steps(self.end):
+            alpha[states] = np.logaddexp.reduceat(alpha[self.start[own]] + logs[own], begins, axis=0)
+        return alpha
+
+    def backward(self, logs: np.ndarray, at_end: np.ndarray) -> np.ndarray:
+        beta = np.full(int(self.last[-1]) + 1, -np.inf)
+        beta[self.last] = at_end
+        for own, begins, states in reversed(list(self._steps(self.start))):
+            beta[states] = np.logaddexp.reduceat(beta[self.end[own]] + logs[own], begins)
+        return beta
+
+
+def _long(found: list[str], pieces: Pieces):
+    """(indices, lattice) of long words, of similar lengths together, a space before each."""
+    raw = {i: b" " + w.encode() for i, w in enumerate(found) if len(w) * 4 >= _SHORT}
+    at, held = [], 0
+    for i in sorted((i for i in raw if len(raw[i]) > _SHORT), key=lambda i: len(raw[i])):
+        if at and held + len(raw[i]) > _GROUP:
+            yield np.array(at), _Lattice(pieces, [raw[j] for j in at])
+            at, held = [], 0
+        at.append(i)
+        held += len(raw[i])
+    if at:
+        yield np.array(at), _Lattice(pieces, [raw[j] for j in at])
+
+
 def _scaled(pieces: Pieces, probs: np.ndarray) -> np.ndarray:
     """Probabilities times ``_PER_BYTE`` for each byte of a piece.  All segmentations of a word have its
     bytes, so this only scales their sum, and keeps it within the range of floats for most words."""
@@ -200,6 +260,9 @@ def log_likelihoods(found: list[str], pieces: Pieces, probs: np.ndarray) -> np.n
             spans = pieces.spans(rows[rare])
             logs = [np.log(probs[ids]) for *_, ids in spans]
             out[at[rare]] = _sums(spans, (size + 1, len(rare), probs.shape[1]), logs, log=True)[size]
+    for at, lattice in _long(found, pieces):
+        for k in range(probs.shape[1]):
+            out[at, k] = lattice.forward(np.log(probs[lattice.piece, k]))[lattice.last]
     return out
 
 
@@ -237,6 +300,13 @@ def expected_counts(found: list[str], lang: np.ndarray, weight: np.ndarray, piec
         left = add(pieces.spans(rows), rows, lang[at], weight[at], False)
         if len(left):
             add(pieces.spans(rows[left]), rows[left], lang[at][left], weight[at][left], True)
+    for at, lattice in _long(found, pieces):
+        where = lattice.piece * langs + lang[at][lattice.word]
+        logs = np.log(probs.ravel()[where])
+        alpha = lattice.forward(logs)
+        beta = lattice.backward(logs, -alpha[lattice.last])
+        gains = np.exp(alpha[lattice.start] + logs + beta[lattice.end]) * weight[at][lattice.word]
+        total += np.bincount(where, gains, len(total))
     return total.reshape(-1, langs)
 
 
@@ -291,7 +361,8 @@ def _word_counts(batches):
         of = np.repeat(lang.indices.to_numpy().astype(np.int64), counts)
         order = np.lexsort((keys, of))
         new = np.ones(len(order), bool)
-        new[1:] = (keys[order][1:] != keys[order][:-1]) | (of[order][1:] != of[order][:-1])
+        new[1:] = ((keys[order][1:] != keys[order][:-1]) | (of[order][1:] != of[order][:-1])
+                   | ((stops - cuts)[order][1:] > PieceTable.LONGEST))  # of long words the hash does not tell all
         at = np.flatnonzero(new)
         one = order[at]
         yield pa.RecordBatch.from_arrays(

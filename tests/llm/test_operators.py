@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -529,6 +530,35 @@ def test_forward_sums_all_segmentations():
     assert np.isclose(one[index[b"b"], 1], 5 * sum(v for s, v in paths.items() if b"b" in s) / sum(paths.values()))
 
 
+def test_words_of_any_length(monkeypatch):
+    pieces = langid.pieces_of(langid.VOCABULARY)
+    probs = np.random.default_rng(5).random((len(pieces.pieces), 2)) * 1e-3
+    index = {p: i for i, p in enumerate(pieces.pieces)}
+    found = ["donaudampfschifffahrtsgesellschaftskapitän", "漢字" * 300, "relationship" * 9, "просто" * 20, "ab", "x" * 3000]
+    assert [langid.words(w) for w in found] == [[w] for w in found]
+    for w, row in zip(found, langid.log_likelihoods(found, pieces, probs)):
+        w, sums = b" " + w.encode(), [np.zeros(2)]
+        for j in range(1, len(w) + 1):
+            parts = [sums[i] + np.log(probs[index[w[i:j]]]) for i in range(max(0, j - 33), j) if w[i:j] in index]
+            sums.append(np.logaddexp.reduce(parts, axis=0))
+        assert np.allclose(row, sums[-1])
+    lang, weight = np.array([0, 1, 0, 1, 1, 0]), np.array([1.0, 2, 3, 4, 5, 6])
+    counts = langid.expected_counts(found, lang, weight, pieces, probs)
+    sizes = np.array([len(w.encode()) + 1 for w in found])
+    assert np.allclose(np.array([len(p) for p in pieces.pieces]) @ counts, np.bincount(lang, weight * sizes, 2))
+    # both ways of summing give the same counts
+    found, ways = ["gesellschaftskapitän", "relationship" * 3, "просто" * 3, "ab"], []
+    for short in (1, 48):
+        monkeypatch.setattr(langid, "_SHORT", short)
+        ways.append(langid.expected_counts(found, lang[:4], weight[:4], pieces, probs))
+    assert np.allclose(*ways)
+    # long words that begin alike are counted apart
+    alike = ["x" * 200 + "a", "x" * 200 + "b"]
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(alike + alike[:1])], "lang": ["aa"]})
+    rows = [r for b in langid._word_counts([batch]) for r in b.to_pylist()]
+    assert {w: sum(r["n"] for r in rows if r["word"] == w) for w in alike} == {alike[0]: 2, alike[1]: 1}
+
+
 def test_words_over_a_slice():
     rng = random.Random(21)
     texts = ["".join(rng.choices("abéÉ ß.1_漢😀²\n" + "x" * 3, k=rng.randint(0, 60))) for _ in range(500)]
