@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finspark.llm import bpe, langid, merkle, pii, quality, simhash, token_store, toxicity, winnowing, wumanber
+from finspark.llm import bpe, langid, linededup, merkle, pii, quality, simhash, token_store, toxicity, winnowing, wumanber
 from finspark.plans.views import table
 from finspark.session import scratch_path
 
@@ -149,3 +149,23 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN s ON d.doc_id = s.doc_id
 """
+
+
+@query
+def op11_line_dedup(spark, sf_dir):
+    out = linededup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op11_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, unnest(w) AS line, unnest(generate_series(1, len(w))) AS i
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents))),
+c AS (SELECT k, count(DISTINCT doc_id) AS n, max(doc_id) AS keeper FROM l WHERE length(k) >= 40 GROUP BY k),
+m AS (SELECT l.*, coalesce(n >= 5 AND l.doc_id <> keeper, false) AS goes FROM l LEFT JOIN c ON l.k = c.k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (goes) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT goes), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
