@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finspark.llm import bpe, langid, linededup, merkle, pii, quality, simhash, token_store, toxicity, winnowing, wumanber
+from finspark.llm import bpe, langid, linededup, merkle, pii, quality, simhash, spelling, token_store, toxicity, winnowing, wumanber
 from finspark.plans.views import table
 from finspark.session import scratch_path
 
@@ -169,3 +169,8 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (goes) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT goes), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """
+
+
+@query
+def op13_spelling(spark, sf_dir):
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents"), damage_every=97))
