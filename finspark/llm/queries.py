@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finspark.llm import bpe, langid, linededup, merkle, pii, quality, simhash, spelling, token_store, toxicity, winnowing, wumanber
+from finspark.llm import (bpe, crosstok, langid, linededup, merkle, pii, quality, simhash, spelling, token_store,
+                          toxicity, winnowing, wumanber)
 from finspark.plans.views import table
 from finspark.session import scratch_path
 
@@ -171,6 +172,13 @@ FROM m GROUP BY doc_id
 """
 
 
+@query
+def op12_cross_tokenizer(spark, sf_dir):
+    out = crosstok.align(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
 @query
 def op13_spelling(spark, sf_dir):
     return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents"), damage_every=97))
