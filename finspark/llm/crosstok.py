@@ -79,7 +79,7 @@ class Pieces:
         out, start = [], 0
         while self.apart and len(text) - start > 2 * _SEGMENT:
             end = text.find(" ", start + _SEGMENT)
-            while 0 < end and (text[end - 1] == " " or end <= start):
+            while 0 < end and (text[end - 1] in f" {_SPACE}" or end <= start):
                 end = text.find(" ", end + 1)
             if end < 0:
                 break

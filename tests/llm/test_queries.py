@@ -43,7 +43,7 @@ def library():
 
 def test_registered():
     names = sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0]))
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert E.queries()["pipeline"] is corpus_pipeline.run and set(queries.ORACLE_SQL) <= set(E.oracle_sql())
     assert set(queries.QUERIES) <= set(E.queries())
 
