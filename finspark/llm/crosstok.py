@@ -81,8 +81,8 @@ class Pieces:
             end = text.find(" ", start + _SEGMENT)
             while 0 < end and (text[end - 1] in f" {_SPACE}" or end <= start):
                 end = text.find(" ", end + 1)
-            if end < 0:
-                break
+            if end < 0 or end + 1 == len(text):
+                break  # the model gives the empty text no tokens
             out.append(text[start:end])
             start = end + 1
         return [*out, text[start:]]
