@@ -110,6 +110,69 @@ def parses_as(c, fmt: str) -> Column:
     return _c(c).isNull() | to_ts(c, fmt).isNotNull()
 
 
+# Fixed values of stored texts: what stands for NULL and for the empty text in
+# delimited files, the codes of signs that would break or bend a record, and
+# the name Hive-style folders have for NULL.
+STORED_NULL, STORED_EMPTY = "\\N", "\\e"
+STORED_CODES = [("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r")]
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
+_MARK = "~"
+
+
+def to_text(c, dtype: T.DataType) -> Column:
+    """A value as text that ``from_text`` turns back into the very same value."""
+    if isinstance(dtype, T.StringType):
+        return _c(c)
+    if isinstance(dtype, T.TimestampType):  # independent of the session's time zone
+        return F.unix_micros(_c(c)).cast("string")
+    if isinstance(dtype, T.BinaryType):
+        return F.hex(_c(c))
+    if isinstance(dtype, (T.NumericType, T.BooleanType, T.DateType, T.TimestampNTZType)):
+        return _c(c).cast("string")
+    raise ValueError(f"{dtype.simpleString()} has no lossless text")
+
+
+def from_text(c, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.StringType):
+        return _c(c)
+    if isinstance(dtype, T.TimestampType):
+        return F.timestamp_micros(_c(c).cast("bigint"))
+    if isinstance(dtype, T.BinaryType):
+        return F.unhex(_c(c))
+    return _c(c).cast(dtype)
+
+
+def to_field(c, dtype: T.DataType) -> Column:
+    """``to_text`` as a field of a delimited file: never NULL, empty or on two lines."""
+    text = to_text(c, dtype)
+    coded = text
+    if isinstance(dtype, T.StringType):
+        for sign, code in STORED_CODES:
+            coded = F.replace(coded, F.lit(sign), F.lit(code))
+    return F.when(text.isNull(), STORED_NULL).when(text == "", STORED_EMPTY).otherwise(coded)
+
+
+def from_field(c, dtype: T.DataType) -> Column:
+    text = _c(c)
+    if isinstance(dtype, T.StringType):
+        for sign, code in reversed(STORED_CODES):  # the sign that marks codes comes last
+            text = F.replace(text, F.lit(code), F.lit(sign))
+    text = F.when(_c(c) == STORED_NULL, F.lit(None)).when(_c(c) == STORED_EMPTY, "").otherwise(text)
+    return from_text(text, dtype)
+
+
+def to_partition(c, dtype: T.DataType) -> Column:
+    """A value as the text of a partition folder: NULL stays NULL; a text that is empty, is named like
+    the folder of NULL or starts with the mark gets the mark before it, so no two values share a folder."""
+    text = to_text(c, dtype)
+    return F.when((text == "") | (text == HIVE_NULL) | text.startswith(_MARK), F.concat(F.lit(_MARK), text)).otherwise(text)
+
+
+def from_partition(c, dtype: T.DataType) -> Column:
+    text = _c(c)
+    return from_text(F.when(text.startswith(_MARK), F.substring(text, 2, 2**31 - 1)).otherwise(text), dtype)
+
+
 def record_hash_md5(cols) -> Column:
     """null-aware digest of the listed columns (md5 hex text).
 

@@ -29,5 +29,5 @@ def register(name: str, sql: str | None = None):
 def load_all() -> dict[str, tuple[Builder, str | None]]:
     # Importing the modules registers their queries.
     from finspark.plans import (q_transforms, q_aggregates, q_quality,  # noqa: F401
-                                q_sinks, q_sources, q_streams, q_jobs, q_cases)
+                                q_sinks, q_sources, q_streams, q_jobs, q_cases, q_values)
     return QUERIES

@@ -6,10 +6,12 @@ hand-schedules work that Catalyst / AQE already do.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from py4j.protocol import Py4JJavaError
+from py4j.protocol import Py4JError, Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings every job in the library assumes.  ANSI mode stays on (Spark 4
@@ -77,10 +79,45 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+# open scopes of scratch folders, innermost last; the folders of each application
+_scopes: list[list[str]] = []
+_applications: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder for written tables, below a folder of this application in
+    the shared checkpoint folder.  It goes with the enclosing ``scratch_scope``,
+    or else when the application's Python ends."""
+    app = f"{checkpoint_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+    if app not in _applications:
+        _applications.add(app)
+        sc = spark.sparkContext
+        atexit.register(_remove_at_exit, sc._jvm.org.apache.hadoop.fs.Path(app), sc._jsc.hadoopConfiguration())
+    path = f"{app}/{name}-{uuid.uuid4().hex[:12]}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+def _remove_at_exit(path, conf) -> None:
+    try:
+        path.getFileSystem(conf).delete(path, True)
+    except (Py4JError, OSError):
+        pass  # the JVM has gone already
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch folders made inside are removed at the end: frames that read them
+    must have been written or collected by then."""
+    own: list[str] = []
+    _scopes.append(own)
+    try:
+        yield
+    finally:
+        _scopes.remove(own)
+        for path in own:
+            remove_path(spark, path)
 
 
 def staged(df, name: str):
@@ -109,6 +146,30 @@ def remove_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
+    """A small file, through the Hadoop file system that Spark writes with; without ``overwrite`` an
+    existing file is an error."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(sc._jsc.hadoopConfiguration()).create(p, overwrite)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None when there is none."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return sc._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def range_partitions(df, rows_per_partition: int) -> int:
     """Partition count for a range repartition of ``df``, a staged frame (its
     rows are counted from file footers).

@@ -16,34 +16,78 @@ taken in the same pass as the write, never by an extra ``count()`` job.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finspark.functions.scalar import ts_literal
+from finspark.functions.scalar import (HIVE_NULL, from_field, from_partition, to_field, to_partition,
+                                       ts_literal)
 from finspark.schemas import TableSpec
-from finspark.session import checkpoint_dir, observed, range_partitions, remove_path, scratch_path, staged
+from finspark.session import (checkpoint_dir, observed, range_partitions, read_text, remove_path, scratch_path, staged,
+                              write_text)
 
 FORMATS = {"parquet": "parquet", "csv": "csv", "jsonl": "json", "json": "json"}
+# JSON times with all their digits
+_JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+SCHEMA_FILE = "_schema.json"
 
 
 # ------------------------------------------------------------ staged files
+def _partition_texts(df: DataFrame, partition_by) -> DataFrame:
+    return df.withColumns({c: to_partition(c, df.schema[c].dataType) for c in partition_by})
+
+
+def _stored_as(schema: T.StructType, texts) -> T.StructType:
+    """The schema of files in which the columns ``texts`` are text."""
+    return T.StructType([T.StructField(f.name, T.StringType() if f.name in texts else f.dataType, True)
+                         for f in schema.fields])
+
+
 def stage(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
           partition_by=None) -> str:
-    """K1: write a frame as parquet / csv / jsonl under ``path``; returns the path."""
+    """K1: write a frame as parquet / csv / jsonl under ``path``; returns the path.
+
+    A ``_schema.json`` beside the files keeps the types.  CSV fields are quoted
+    texts in which line breaks, NULL and the empty text have codes, so the
+    files can be split and come back as they were; nested columns raise
+    ``ValueError``.  Partition folders tell NULL from the empty text.
+    Appended frames must have the schema of the files.
+    """
     if fmt not in FORMATS:
         raise ValueError(f"unsupported format {fmt!r}")
+    spark, schema = df.sparkSession, df.schema
+    parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    known = _stored_schema(spark, path) if mode == "append" else None
+    if known and known[0].simpleString() != schema.simpleString():
+        raise ValueError(f"{path} holds {known[0].simpleString()}, not {schema.simpleString()}")
+    df = _partition_texts(df, parts)
+    if fmt == "csv":
+        df = df.select(*[c if c in parts else to_field(F.col(f"`{c}`"), schema[c].dataType).alias(c) for c in df.columns])
     w = df.write.mode(mode).format(FORMATS[fmt])
     if fmt == "csv":
-        w = w.option("header", True)
-    if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+        w = w.option("header", True).option("quoteAll", True).option("escape", '"')
+        w = w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    if FORMATS[fmt] == "json":
+        w = w.options(**_JSON_TIMES)
+    if parts:
+        w = w.partitionBy(*parts)
     w.save(path)
+    write_text(spark, f"{path}/{SCHEMA_FILE}", json.dumps({"schema": schema.jsonValue(), "partition_by": parts}))
     return path
 
 
+def _stored_schema(spark: SparkSession, path: str) -> tuple[T.StructType, list[str]] | None:
+    """(schema, partition columns) that this library wrote beside the files."""
+    text = read_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    if text is None:
+        return None
+    found = json.loads(text)
+    return T.StructType.fromJson(found["schema"]), found["partition_by"]
+
+
 def staged_path(base: str, key: str, prefix: str = "staging/") -> str:
     """The staged location of ``key`` under ``base``; the staging prefix
     is added when the key does not already carry it."""
@@ -55,15 +99,37 @@ def staged_path(base: str, key: str, prefix: str = "staging/") -> str:
 
 def read_staged(spark: SparkSession, path: str, fmt: str = "parquet",
                 schema: T.StructType | str | None = None) -> DataFrame:
-    """Read a staged dataset back by format (csv with header, jsonl)."""
+    """Read a staged dataset back by format.
+
+    What ``stage`` wrote comes back with its values and types; a ``schema``
+    then picks columns by name and casts them.  Files of other writers are
+    read plainly (CSV with a header) by ``schema``, or by inference.
+    """
     if fmt not in FORMATS:
         raise ValueError(f"unsupported format {fmt!r}")
     r = spark.read.format(FORMATS[fmt])
-    if schema is not None:
-        r = r.schema(schema)
+    known = _stored_schema(spark, path)
+    if known is None:
+        if schema is not None:
+            r = r.schema(schema)
+        if fmt == "csv":
+            r = r.option("header", True)
+        return r.load(path)
+    stored, parts = known
+    texts = stored.names if fmt == "csv" else parts
     if fmt == "csv":
-        r = r.option("header", True)
-    return r.load(path)
+        r = r.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+        r = r.option("ignoreTrailingWhiteSpace", False)
+    if FORMATS[fmt] == "json":
+        r = r.options(**_JSON_TIMES)
+    df = r.schema(_stored_as(stored, texts)).load(path)
+    decode = {f.name: (from_partition if f.name in parts else from_field)(F.col(f"`{f.name}`"), f.dataType)
+              for f in stored.fields if f.name in texts}
+    df = df.select(*[decode[c].alias(c) if c in decode else F.col(f"`{c}`") for c in stored.names])
+    if schema is None:
+        return df
+    st = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in st.fields])
 
 
 def extract_and_stage(df: DataFrame, path: str, source: str, run_ts: _dt.datetime,
@@ -88,16 +154,6 @@ def observed_rows(obs: Observation) -> int:
 
 
 # --------------------------------------------------------- versioned table
-# Characters escaped in Hive-style partition directory names.
-_HIVE_ESCAPE = set('"#%\'*/:=?\\\x7f{[]^')
-
-
-def _escape_partition_value(v) -> str:
-    if v is None:
-        return "__HIVE_DEFAULT_PARTITION__"
-    return "".join(f"%{ord(ch):02X}" if ch in _HIVE_ESCAPE or ord(ch) < 32 else ch for ch in str(v))
-
-
 class Table:
     """A parquet table rooted at ``root`` (local, HDFS or object store).
 
@@ -106,7 +162,11 @@ class Table:
 
     ``partition_by=[...]``: one directory ``<root>/data/`` with Hive-style
     partitions; read-modify-write operations rewrite only the partitions
-    they touch (dynamic partition overwrite of a materialized result).  A key
+    they touch (dynamic partition overwrite of a materialized result).  The
+    schema stands in a file beside the data, so partition values have their
+    declared types: nothing is guessed from folder names.  A partition is
+    known by its text (``to_partition``) in writing, reading, finding and
+    removal alike; any NULL, empty or number-like value survives.  A key
     may move between partitions: keyed loads find the partitions that hold
     the batch's keys with a scan of key and partition columns.
     ``partition_of_key=True`` declares the partition columns functions of the
@@ -174,11 +234,22 @@ class Table:
             if self.spec is None:
                 raise FileNotFoundError(f"table {self.root} has no committed version")
             return self.spark.createDataFrame([], self.spec.schema)
-        df = self.spark.read.parquet(cur)
-        if self.partition_by and self.spec is not None:
-            types = {f.name: f.dataType for f in self.spec.schema.fields}
-            df = df.withColumns({c: F.col(c).cast(types[c]) for c in self.partition_by if c in types})
-        return df
+        if not self.partition_by:
+            return self.spark.read.parquet(cur)
+        df = self._stored()
+        schema = self._schema()
+        return df.select(*[from_partition(F.col(c), schema[c].dataType).alias(c) if c in self.partition_by else F.col(c)
+                           for c in schema.names])
+
+    def _schema(self) -> T.StructType:
+        known = _stored_schema(self.spark, self.data_path)
+        if known is None:
+            raise FileNotFoundError(f"{self.data_path} lacks {SCHEMA_FILE}")
+        return known[0]
+
+    def _stored(self) -> DataFrame:
+        """A partitioned table as it is stored: partition columns as texts."""
+        return self.spark.read.schema(_stored_as(self._schema(), self.partition_by)).parquet(self.data_path)
 
     def _writer(self, df: DataFrame, mode: str):
         if not self.partition_by:
@@ -188,9 +259,11 @@ class Table:
         # Rebalance on the partition columns: each task writes few partition
         # folders (few files); AQE splits a hot partition value over several
         # tasks and merges small ones.  No sampling pass over the input.
+        # Partition columns are texts from here on; a sort by them sorts texts.
         balanced = df.hint("rebalance", *self.partition_by)
         if self.sort_by:
-            balanced = balanced.sortWithinPartitions(*self.partition_by, *self.sort_by)
+            rest = [c for c in self.sort_by if c not in self.partition_by]
+            balanced = balanced.sortWithinPartitions(*self.partition_by, *rest)
         return balanced.write.mode(mode).partitionBy(*self.partition_by)
 
     def commit(self, df: DataFrame) -> int:
@@ -200,8 +273,8 @@ class Table:
         old is deleted before the job commits, so a failed job leaves the
         previous content (``df`` must not read this table)."""
         if self.partition_by:
-            old = self.values(self.touched(self.read())) if self.exists() else []
-            return self.replace_partitions(df, touched=old)
+            old = self.values(self._stored().select(*self.partition_by).distinct()) if self.exists() else []
+            return self.replace_partitions(df, touched=old, replace_schema=True)
         vs = self.versions(committed=False)
         nxt = (vs[-1] + 1) if vs else 1
         out, obs = _count_while_writing(df, f"commit_{nxt}")
@@ -214,56 +287,73 @@ class Table:
         cur = self.current_path()
         if cur is None:
             return self.commit(df)
+        if self.partition_by:
+            df = _partition_texts(df, self.partition_by)
         out, obs = _count_while_writing(df, "append")
         self._writer(out, "append").parquet(cur)
         return observed_rows(obs)
 
-    def replace_partitions(self, df: DataFrame, touched: list[tuple] | None = None) -> int:
+    def replace_partitions(self, df: DataFrame, touched: list[tuple] | None = None, replace_schema: bool = False) -> int:
         """Partitioned tables: replace exactly the partitions present in ``df``
         (which must not read this table: materialize it first).  Partitions in
-        ``touched`` that ``df`` no longer holds are removed."""
-        # one evaluation of df: rows and partition values are observed by the write
+        ``touched`` (their texts) that ``df`` no longer holds are removed."""
+        # one evaluation of df: rows and partition texts are observed by the write
         obs = Observation("replace_partitions")
-        values = F.collect_set(F.struct(*[F.col(c).cast("string") for c in self.partition_by]))
+        schema, df = df.schema, _partition_texts(df, self.partition_by)
+        values = F.collect_set(F.struct(*[F.col(c) for c in self.partition_by]))
         out = df.observe(obs, F.count(F.lit(1)).alias("rows"), values.alias("values"))
+        new = not self.exists()
         self._writer(out, "overwrite").option("partitionOverwriteMode", "dynamic").parquet(self.data_path)
         written = observed_rows(obs)
+        if new or replace_schema:
+            write_text(self.spark, f"{self.data_path}/{SCHEMA_FILE}",
+                       json.dumps({"schema": schema.jsonValue(), "partition_by": self.partition_by}))
+        fs, _ = self._fs()
         if touched:
             left = {tuple(r) for r in observed(obs).get("values") or ()}
-            fs, _ = self._fs()
-            for vals in touched:
-                if tuple(vals) not in left:  # values as text
-                    parts = [f"{c}={_escape_partition_value(v)}" for c, v in zip(self.partition_by, vals)]
+            escape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+            for texts in touched:
+                if tuple(texts) not in left:
+                    parts = [f"{escape(c)}={HIVE_NULL if v is None else escape(v)}" for c, v in zip(self.partition_by, texts)]
                     fs.delete(self._path("data", *parts), True)
         # dynamic overwrite writes no _SUCCESS at the root: mark the committed
         # table here, after the job succeeded
-        fs, _ = self._fs()
         marker = self._path("data", "_SUCCESS")
         if not fs.exists(marker):
             fs.create(marker, True).close()
         return written
 
     def touched(self, df: DataFrame) -> DataFrame:
-        """Distinct partition values present in ``df`` (one row per partition)."""
-        return df.select(*self.partition_by).distinct()
+        """Distinct partitions (texts) that the rows of ``df`` belong to."""
+        return _partition_texts(_as_types(df.select(*self.partition_by), self._schema()), self.partition_by).distinct()
 
     def holding(self, keys: DataFrame, key: list[str]) -> DataFrame:
-        """Partition values of the rows whose key is in ``keys`` (reads key and partition columns)."""
-        return (self.read().select(*dict.fromkeys([*key, *self.partition_by]))
-                .join(keys.select(*key), key, "left_semi").select(*self.partition_by).distinct())
+        """Partitions (texts) of the rows whose key is in ``keys`` (reads key and partition columns)."""
+        schema = self._schema()
+        own = self._stored().select(
+            *[F.col(c).alias(f"__p_{c}") for c in self.partition_by],
+            *[from_partition(F.col(c), schema[c].dataType).alias(c) if c in self.partition_by else F.col(c) for c in key])
+        return (own.join(keys.select(*key), key, "left_semi")
+                .select(*[F.col(f"__p_{c}").alias(c) for c in self.partition_by]).distinct())
 
     def values(self, parts: DataFrame) -> list[tuple]:
-        """Partition values as text, one tuple per partition."""
-        return [tuple(r) for r in parts.select(*[F.col(c).cast("string") for c in self.partition_by]).collect()]
+        """Partition texts, one tuple per partition."""
+        return [tuple(r) for r in parts.select(*self.partition_by).collect()]
 
     def read_partitions(self, parts: DataFrame) -> DataFrame:
-        """The table's rows in the given partitions (NULL-safe; the semi join
-        lets Spark prune partitions at run time)."""
-        cur = self.read()
+        """The table's rows in the given partitions, by their texts (NULL-safe;
+        the semi join lets Spark prune partitions at run time)."""
         p = parts.select(*[F.col(c).alias(f"__p_{c}") for c in self.partition_by])
         cond = reduce(lambda a, b: a & b,
                       [F.col(c).eqNullSafe(F.col(f"__p_{c}")) for c in self.partition_by])
-        return cur.join(p, cond, "left_semi")
+        schema = self._schema()
+        return self._stored().join(p, cond, "left_semi").select(
+            *[from_partition(F.col(c), schema[c].dataType).alias(c) if c in self.partition_by else F.col(c)
+              for c in schema.names])
+
+
+def _as_types(df: DataFrame, schema: T.StructType) -> DataFrame:
+    return df.select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in df.columns])
 
 
 def _align_to(df: DataFrame, target: DataFrame) -> DataFrame:
@@ -292,90 +382,115 @@ def truncate_and_load(df: DataFrame, table: Table) -> int:
     return table.commit(df)
 
 
-def _null_key_tag(df: DataFrame, key: list[str]) -> DataFrame:
-    """Tag rows with a NULL key part with a unique id: such rows never
-    conflict (SQL unique semantics), so each one forms its own group."""
+def _by_key(df: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """(rows with a whole key, rows with a NULL key part).  The latter never
+    conflict (SQL unique semantics): they go through no dedupe and no join, and
+    come back by union.  None where the schema says that no key part is NULL."""
+    if not any(df.schema[k].nullable for k in key):
+        return df, None
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
-    return df.withColumn("__nk", F.when(has_null, F.monotonically_increasing_id()))
+    return df.where(~has_null), df.where(has_null)
+
+
+def _and(df: DataFrame, more: DataFrame | None) -> DataFrame:
+    return df if more is None else df.unionByName(more)
 
 
 def _one_per_key(df: DataFrame, key: list[str], order_col: str | None, last: bool) -> DataFrame:
-    """One row per key, the last (or first) by ``order_col``.
+    """One row per key (whole keys), the last (or first) by ``order_col``.
 
-    An aggregate (max_by / min_by over a struct) rather than a row_number
-    window: it is combined map-side, so a key repeated many times is reduced
-    before the shuffle.  A NULL order value comes before all others when the
-    last row is wanted and after all others when the first is; of equal order
-    values the row of the larger (smaller) hash is taken.  Rows with a NULL
-    key part are all kept.
+    The smallest or largest row by (order value, then all columns) is taken, an
+    aggregate rather than a row_number window: it is combined map-side, so a
+    key repeated many times is reduced before the shuffle.  Rows are compared
+    by content, NULLs included, so the pick never depends on the run.  A NULL
+    order value comes before all others when the last row is wanted and after
+    all others when the first is.
 
     Without ``order_col`` rows that repeat a key must be equal: rows of a
     distributed table have no order, so different ones raise an error."""
     cols = list(df.columns)
-    df = _null_key_tag(df, key)
     rest = [c for c in cols if c not in key]
     if not rest:
-        return df.select(*key, "__nk").dropDuplicates(key + ["__nk"]).select(*key)
-    row = F.struct(*[F.col(c) for c in rest])
-    # map columns can't be hashed; as JSON text they can
-    maps = any("map<" in df.schema[c].dataType.simpleString() for c in rest)
-    tie = F.xxhash64(F.to_json(row)) if maps else F.xxhash64(*rest)
+        return df.dropDuplicates(key)
+
+    def ordered(c):  # maps have no order; their sorted entries do
+        kind = df.schema[c].dataType
+        if "map<" not in kind.simpleString():
+            return F.col(c)
+        if isinstance(kind, T.MapType) and "map<" not in kind.valueType.simpleString():
+            return F.array_sort(F.map_entries(c))
+        return F.to_json(F.struct(F.col(c)), {"ignoreNullFields": "false"})
+
+    by, row = [ordered(c).alias(f"c{i}") for i, c in enumerate(rest)], F.struct(*rest)
+    if order_col is not None:
+        o = F.col(order_col)
+        by = [(o.isNotNull() if last else o.isNull()).alias("known"), o.alias("o"), *by]
+    by, maps = F.struct(*by), any("map<" in df.schema[c].dataType.simpleString() for c in rest)
+    if maps:
+        low, high = F.min_by(row, by), F.max_by(row, by)
+    else:
+        low, high = F.min(by), F.max(by)
     if order_col is None:
-        low, high = F.min(tie), F.max(tie)
         mixed = F.raise_error(F.concat(F.lit("rows that repeat a key differ, pass order_col: "),
                                        F.to_json(F.struct(*key))))
-        picked = F.when(low == high, F.max_by(row, tie)).otherwise(mixed)
+        picked = F.when(F.min(by).eqNullSafe(F.max(by)), high).otherwise(mixed)
     else:
-        o = F.col(order_col)
-        # never NULL, since max_by and min_by skip rows whose order is NULL
-        by = F.struct(o.isNotNull() if last else o.isNull(), o, tie)
-        picked = (F.max_by if last else F.min_by)(row, by)
-    out = df.groupBy(*key, "__nk").agg(picked.alias("__row"))
-    return out.select(*key, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*cols)
+        picked = high if last else low
+    out = df.groupBy(*key).agg(picked.alias("__row"))
+    names = rest if maps else [f"c{i}" for i in range(len(rest))]
+    return out.select(*key, *[F.col(f"__row.{n}").alias(c) for n, c in zip(names, rest)]).select(*cols)
 
 
-def insert_ignore(df: DataFrame, table: Table, key, order_col: str | None = None) -> int:
+def insert_ignore(df: DataFrame, table: Table, key, order_col: str | None = None, stored: bool = False) -> int:
     """K4: rows whose key already exists (anywhere in the table, or earlier in
     the batch) are skipped.  A NULL key part never conflicts (SQL unique
-    semantics): such rows are never deduplicated and never match the table."""
+    semantics): such rows are never deduplicated and never match the table.
+
+    The batch is written once to the shared folder and read for both kinds of
+    rows, unless ``stored`` says that it is read straight from files."""
     key = [key] if isinstance(key, str) else list(key)
-    first = _one_per_key(df, key, order_col, last=False)
+    if not stored and any(df.schema[k].nullable for k in key):
+        df = staged(df, "insert_batch")
+    keyed, nameless = _by_key(df, key)
+    first = _one_per_key(keyed, key, order_col, last=False)
     if not table.exists():
-        return table.commit(first)
+        return table.commit(_and(first, nameless))
     cur = table.read()
     if table.partition_by and table.partition_of_key:
         existing = table.read_partitions(table.touched(df))
     else:
         existing = cur
-    # equality never matches a NULL key, so NULL-key rows pass the anti join;
-    # their tag spreads them over the tasks
-    held = existing.select(*key).withColumn("__nk", F.lit(-1).cast("bigint"))
-    tagged = _null_key_tag(first, key).withColumn("__nk", F.coalesce("__nk", F.lit(-1)))
-    new = tagged.join(held, [*key, "__nk"], "left_anti").drop("__nk")
-    return table.append(_align_to(new, cur))
+    held, _ = _by_key(existing.select(*key), key)
+    new = first.join(held, key, "left_anti").select(*first.columns)
+    return table.append(_align_to(_and(new, nameless), cur))
 
 
 def upsert(df: DataFrame, table: Table, key, update_columns=None,
-           order_col: str | None = None) -> int:
+           order_col: str | None = None, stored: bool = False) -> int:
     """K5: insert new keys; on an existing key update ``update_columns``
     (default: every non-key column); within the batch the last row per key
-    wins.  An empty update set behaves as insert-ignore.  An unpartitioned
-    table gets a new complete version; a partitioned one has only the
-    partitions rewritten that the batch goes to or that hold its keys (a key
-    may move).  Returns the number of source rows applied (after in-batch
-    dedupe)."""
+    wins.  An empty update set behaves as insert-ignore.  Rows with a NULL key
+    part are inserted, and kept in the table.  An unpartitioned table gets a
+    new complete version; a partitioned one has only the partitions rewritten
+    that the batch goes to or that hold its keys (a key may move).  Returns the
+    number of source rows applied (after in-batch dedupe).
+
+    The batch is written once to the shared folder, unless ``stored`` says that
+    it is read straight from files."""
     key = [key] if isinstance(key, str) else list(key)
     if update_columns is None:
         update_columns = [c for c in df.columns if c not in key and c != order_col]
     if not update_columns:
-        return insert_ignore(df, table, key, order_col)
-    src = _one_per_key(df, key, order_col, last=True)
+        return insert_ignore(df, table, key, order_col, stored)
+    if not stored and any(df.schema[k].nullable for k in key):
+        df = staged(df, "upsert_batch")
+    keyed, nameless = _by_key(df, key)
+    src = _and(_one_per_key(keyed, key, order_col, last=True), nameless)
     if order_col and order_col not in (table.read().columns if table.exists() else []):
         src = src.drop(order_col)
     if not table.exists():
         return table.commit(src)
     spark, obs = table.spark, Observation("upsert_source")
-    src = src.observe(obs, F.count(F.lit(1)).alias("rows"))
     tgt = table.read()
     cols = tgt.columns
     scratch, touched = [], None
@@ -383,45 +498,42 @@ def upsert(df: DataFrame, table: Table, key, update_columns=None,
         missing = [c for c in table.partition_by if c not in df.columns]
         if missing:
             raise ValueError(f"source lacks partition columns {missing}")
+    # the rows to apply, counted as they are written; both kinds are read from there
+    scratch.append(scratch_path(spark, "upsert_source"))
+    src.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(scratch[0])
+    src = spark.read.schema(src.schema).parquet(scratch[0])
+    if table.partition_by:
         # only these partitions are read and rewritten
-        scratch.append(scratch_path(spark, "upsert_source"))
-        src.write.parquet(scratch[0])
-        src = spark.read.schema(src.schema).parquet(scratch[0])
         parts = table.touched(src)
         if not table.partition_of_key:
             parts = parts.unionByName(table.holding(src, key)).distinct()
+        parts = staged(parts, "upsert_parts")
         touched = table.values(parts)
         tgt = table.read_partitions(parts)
-    s = _null_key_tag(_align_to(src, tgt), key).withColumn("__s", F.lit(True))
-    t = _null_key_tag(tgt, key).withColumn("__t", F.lit(True))
-    s = s.select(*[F.col(c).alias(f"s__{c}") for c in s.columns])
-    # equality never matches a NULL key: such source rows are inserted and
-    # such target rows are kept; their tags spread them over the tasks
-    none = F.lit(-1).cast("bigint")
-    cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"s__{k}") for k in key]
-                  + [F.coalesce("__nk", none) == F.coalesce("s____nk", none)])
-    j = t.join(s, cond, "full_outer")
+    s, s_nameless = _by_key(_align_to(src, tgt), key)
+    t, t_nameless = _by_key(tgt, key)
+    s = s.select(*[F.col(c).alias(f"s__{c}") for c in cols], F.lit(True).alias("s____s"))
+    cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"s__{k}") for k in key])
+    j = t.withColumn("__t", F.lit(True)).join(s, cond, "full_outer")
     src_present = F.coalesce(F.col("s____s"), F.lit(False))
     tgt_present = F.coalesce(F.col("__t"), F.lit(False))
     out = []
     for c in cols:
-        if c in key:
-            e = F.when(tgt_present, F.col(c)).otherwise(F.col(f"s__{c}"))
-        elif c in update_columns:
+        if c in update_columns and c not in key:
             e = F.when(src_present, F.col(f"s__{c}")).otherwise(F.col(c))
         else:
             e = F.when(tgt_present, F.col(c)).otherwise(F.col(f"s__{c}"))
         out.append(e.alias(c))
-    merged = j.select(*out)
+    merged = _and(_and(j.select(*out), t_nameless), s_nameless)
     if table.partition_by:
         # the result is written aside first: the table can't be overwritten while it is read
         scratch.append(scratch_path(spark, "upsert_result"))
         merged.write.parquet(scratch[1])
         table.replace_partitions(spark.read.schema(merged.schema).parquet(scratch[1]), touched)
-        for path in scratch:
-            remove_path(spark, path)
     else:
         table.commit(merged)
+    for path in scratch:
+        remove_path(spark, path)
     return observed_rows(obs)
 
 
@@ -433,7 +545,7 @@ def _rewrite(table: Table, cond: Column, rewrite) -> int:
         table.commit(rewrite(cur.observe(obs, F.count_if(cond).alias("rows"))))
         return observed_rows(obs)
     # partitioned: rewrite only partitions holding a matching row
-    parts = cur.where(cond).select(*table.partition_by).distinct()
+    parts = staged(table.touched(cur.where(cond)), "rewrite_parts")
     touched = table.values(parts)
     if not touched:
         return 0

@@ -1,5 +1,7 @@
 """Awkward inputs: CSV line breaks, float texts, registered validators, one scan per table."""
 
+import datetime as dt
+import decimal
 import math
 
 import pytest
@@ -8,7 +10,8 @@ from pyspark.sql import functions as F
 from finspark.functions.scalar import parses_as
 from finspark.operators.quality import Rules, evaluate, python_float_text, raise_if_failed, register_validator, summarize
 from finspark.plans.views import positions, quotes
-from finspark.sinks.tables import Table, insert_ignore, load, quality_log_rows, upsert
+from finspark.sinks.tables import (Table, delete_where, insert_ignore, load, quality_log_rows, read_staged, stage,
+                                   upsert)
 from finspark.sources.files import read_csv
 
 SF = "/root/testdata/sf0.001"
@@ -45,7 +48,6 @@ def test_date_formats(spark):
 
 
 def test_registered_validator_raises_in_strict_mode_and_is_logged(spark):
-    import datetime as dt
     register_validator("positive", lambda df, kw: [("positive", kw["column"], F.col(kw["column"]) <= 0)])
     df = spark.createDataFrame([(1,), (-1,), (None,)], "v INT")
     res = evaluate(df, [Rules.custom("positive", column="v")])
@@ -71,13 +73,88 @@ def test_upsert_cases(spark, tmp_dir):
     assert len(t.versions()) == 2  # the current version and the one before
 
 
-def test_null_keys_are_spread_over_tasks(spark, tmp_dir):
-    """The join of an upsert puts no large share of NULL-key rows into one partition."""
-    from finspark.sinks.tables import _null_key_tag
-    df = spark.range(20_000).select(F.when(F.col("id") % 20 == 0, F.col("id")).alias("k"), "id")
-    tagged = _null_key_tag(df, ["k"]).withColumn("__nk", F.coalesce("__nk", F.lit(-1)))
-    sizes = tagged.repartition(8, "k", "__nk").groupBy(F.spark_partition_id()).count().collect()
-    assert max(r["count"] for r in sizes) < 2 * 20_000 / 8
+def test_null_keys_stay_out_of_joins_and_dedupe(spark, tmp_dir):
+    """Rows with a NULL key part go by union, with no tag by row position that another run could give to other rows."""
+    from finspark.sinks import tables
+    df = spark.range(2_000).select(F.when(F.col("id") % 20 == 0, F.col("id")).alias("k"), "id")
+    keyed, nameless = tables._by_key(df, ["k"])
+    assert (keyed.count(), nameless.count()) == (100, 1900)
+    plan = tables._one_per_key(keyed, ["k"], "id", last=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically_increasing_id" not in plan
+    assert tables._by_key(spark.range(3), ["id"])[1] is None  # a column that is never NULL has no second branch
+
+
+def test_rows_that_differ_in_their_nulls_are_different(spark, tmp_dir):
+    t = Table(spark, f"{tmp_dir}/t")
+    swapped = spark.createDataFrame([(1, "x", None), (1, None, "x")], "k INT, a STRING, b STRING")
+    with pytest.raises(Exception, match="order_col"):
+        upsert(swapped, t, "k")
+    for batch in (swapped, swapped.orderBy("a")):
+        t = Table(spark, f"{tmp_dir}/{id(batch)}")
+        assert upsert(batch.withColumn("o", F.lit(None).cast("int")), t, "k", order_col="o") == 1
+        assert tuple(t.read().first()) == (1, "x", None)
+    maps = spark.createDataFrame([(1, {"a": 1, "b": 2}, 1), (1, {"b": 2, "a": 1}, 1)], "k INT, m MAP<STRING, INT>, o INT")
+    assert upsert(maps.drop("o"), Table(spark, f"{tmp_dir}/m"), "k") == 1
+
+
+PARTITION_VALUES = {
+    "STRING": ["", None, "01", "1", "~", "~x", "a/b", "50%", "a=b", " x ", "2024-01-05", "__HIVE_DEFAULT_PARTITION__", "é漢"],
+    "DOUBLE": [0.1, -1.5, float("nan"), None, 1e300], "DATE": [dt.date(2024, 1, 5), None], "BOOLEAN": [True, False, None],
+    "DECIMAL(10,2)": [decimal.Decimal("1.50"), decimal.Decimal("-3.00"), None], "BIGINT": [1, -7, None],
+    "TIMESTAMP_NTZ": [dt.datetime(2024, 1, 2, 3, 4, 5, 678901), None], "BINARY": [b"", b"\x00/", None]}
+
+
+@pytest.mark.parametrize("kind", PARTITION_VALUES)
+def test_partition_values_survive_every_load(spark, tmp_dir, kind):
+    values = PARTITION_VALUES[kind]
+    rows = [(i, v, "old") for i, v in enumerate(values)]
+    schema = f"k INT, p {kind}, v STRING"
+
+    def held(t):
+        assert t.read().schema["p"].dataType == spark.createDataFrame([], schema).schema["p"].dataType
+        return sorted((r.k, repr(r.p), r.v) for r in t.read().collect())
+
+    def as_held(rows):
+        return sorted((k, repr(p), v) for k, p, v in rows)
+
+    t = Table(spark, f"{tmp_dir}/t", partition_by="p")
+    assert load(spark.createDataFrame(rows, schema), t) == len(rows) and held(t) == as_held(rows)
+    assert load(spark.createDataFrame(rows, schema), t, "replace") == len(rows) and held(t) == as_held(rows)
+    rows[::2] = [(k, p, "new") for k, p, _ in rows[::2]]
+    assert upsert(spark.createDataFrame(rows[::2], schema), t, "k") == len(rows[::2])
+    assert insert_ignore(spark.createDataFrame(rows, schema), t, "k") == 0 and held(t) == as_held(rows)
+    moved = [(i, values[i - 1], "moved") for i in range(len(values))]
+    upsert(spark.createDataFrame(moved, schema), t, "k")
+    assert held(t) == as_held(moved)
+    assert delete_where(t, F.col("p").isNull()) == values.count(None)
+    kept = [r for r in moved if r[1] is not None]
+    assert held(t) == as_held(kept)
+    assert delete_where(t, F.col("p").eqNullSafe(F.lit(values[0]).cast(kind))) == (values[0] is not None)
+    assert held(t) == as_held([r for r in kept if r[1] != values[0]])
+
+
+TEXTS = ["", None, " lead ", "two\nlines", "cr\rlf\r\n", '"quoted"', "a,b", "\\N", "\\", "\\n", "\\e", "\\s", "\x00nul", "#c", "é漢😀", "\ufeff"]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "jsonl", "parquet"])
+def test_staged_values_and_types_come_back(spark, tmp_dir, fmt):
+    rows = [(i, t, 0.1 * i, dt.datetime(2024, 1, 2, 3, 4, 5, i), decimal.Decimal(i), i % 2 == 0) for i, t in enumerate(TEXTS)]
+    rows.append((None,) * 6)
+    df = spark.createDataFrame(rows, "`a b` INT, t STRING, x DOUBLE, at TIMESTAMP_NTZ, m DECIMAL(12,3), f BOOLEAN")
+    for parts in (None, ["t"]):
+        df_ = df if not parts else df.where("t IS NULL OR NOT contains(t, chr(0))")
+        path = stage(df_, f"{tmp_dir}/{fmt}-{bool(parts)}", fmt, partition_by=parts)
+        got = read_staged(spark, path, fmt)
+        assert got.schema.simpleString() == df_.schema.simpleString()
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, df_.collect()))
+    stage(df_, path, fmt, mode="append", partition_by=parts)
+    assert read_staged(spark, path, fmt).count() == 2 * df_.count()
+    assert read_staged(spark, path, fmt, schema="t STRING, x FLOAT").columns == ["t", "x"]
+    with pytest.raises(ValueError, match="holds"):
+        stage(df_.drop("x"), path, fmt, mode="append")
+    if fmt == "csv":
+        with pytest.raises(ValueError, match="lossless"):
+            stage(df.select(F.array("x").alias("a")), f"{tmp_dir}/nested", fmt)
 
 
 @pytest.mark.parametrize("build", ["portfolio", "resample", "t1"])
