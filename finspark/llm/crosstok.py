@@ -31,11 +31,12 @@ from finspark.session import scratch_path, staged
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
 PAIRS_PER_SHARD = 1 << 21
-TOKENS = 1 << 19  # tokens (of A and B together) of a slice, one document at least
+TOKENS = 1 << 18  # tokens (of A and B together) of a slice, one document at least
 _HELD = 1 << 20  # distinct pairs that a task counts before it passes them on
 _TEXT = 1 << 20  # bytes of text encoded together
 _SEGMENT = 1 << 16  # code points of a text that sentencepiece encodes at a time
 _SPACE = "▁"
+_END = 40  # bits for the byte where a token ends; the document's index stands above
 
 
 def _signs() -> dict[str, int]:
@@ -55,10 +56,11 @@ class ByteLevel:
         self.token = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.token[i] = bytes(byte[s] for s in token)
+        self.bytes = pa.array(self.token, pa.binary())
 
-    def encode(self, texts: list[bytes]) -> list[list[int]]:
-        ids = self.encoder.encode([b" " + t for t in texts])
-        return [np.frombuffer(i, self.encoder.dtype).tolist() for i in ids]
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of space + text."""
+        return [np.frombuffer(i, self.encoder.dtype) for i in self.encoder.encode([b" " + t for t in texts])]
 
 
 class Pieces:
@@ -71,6 +73,7 @@ class Pieces:
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.token = [bytes([int(p[3:-1], 16)]) if self.model.is_byte(i) else p.replace(_SPACE, " ").encode()
                       for i, p in enumerate(pieces)]
+        self.bytes = pa.array(self.token, pa.binary())
         # merges then never go over the start of a space that follows another sign
         self.apart = not any(_SPACE in p.lstrip(_SPACE) for p in pieces)
 
@@ -87,12 +90,11 @@ class Pieces:
             start = end + 1
         return [*out, text[start:]]
 
-    def encode(self, texts: list[bytes]) -> list[list[int]]:
-        out = self.model.encode([t.decode() for t in texts if len(t) <= 2 * _SEGMENT], num_threads=1)
-        short = iter(out)
-        return [next(short) if len(t) <= 2 * _SEGMENT
-                else [i for ids in self.model.encode(self._segments(t.decode()), num_threads=1) for i in ids]
-                for t in texts]
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of texts, which the model puts a space before."""
+        segments = [self._segments(t.decode()) for t in texts]
+        ids = iter(self.model.encode([s for own in segments for s in own], num_threads=1))
+        return [np.array([i for _ in own for i in next(ids)], np.uint32) for own in segments]
 
 
 @lru_cache(2)
@@ -105,65 +107,100 @@ def _pieces(name: str) -> Pieces:
     return Pieces(name)
 
 
+def _returned(ids: list[np.ndarray], token: pa.Array, texts: list[bytes]) -> np.ndarray:
+    """Whether the joined bytes of each document's tokens are those of space + text."""
+    made = token.take(pa.array(np.concatenate(ids)))
+    _, offsets, data = made.buffers()
+    ends = np.frombuffer(offsets, np.int32)[np.cumsum([0, *map(len, ids)])].tolist()
+    data = data.to_pybytes() if data else b""
+    return np.array([data[i:j] == b" " + t for i, j, t in zip(ends, ends[1:], texts)], bool)
+
+
+def _width(tokens: list[bytes]) -> np.dtype:
+    """Ids are stored in two bytes where the vocabulary allows."""
+    return np.dtype("<u2" if len(tokens) <= 1 << 16 else "<u4")
+
+
 def token_pairs(docs: DataFrame, tokenizer_a: str = TOKENIZER_A, tokenizer_b: str = TOKENIZER_B,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, a, b): the ids of both tokenizers for space + text, arrays of int.
+    """(doc_id, a, b): the ids of both tokenizers for space + text, as bytes of
+    little-endian integers (two bytes each where the vocabulary allows).
 
-    Both arrays are empty for null and empty texts, and where the joined bytes
-    of either tokenizer's tokens are not the bytes of space + text (a text
-    holds U+2581, or a normaliser changed it).
+    Both are empty for null and empty texts, and where the joined bytes of
+    either tokenizer's tokens are not the bytes of space + text (a text holds
+    U+2581, or a normaliser changed it).
     """
     rows = text_rows(docs, id_col, text_col)
-    kind = pa.list_(pa.int32())
 
     def run(batches):
-        a, b = _byte_level(tokenizer_a), _pieces(tokenizer_b)
+        own = _byte_level(tokenizer_a), _pieces(tokenizer_b)
         for batch in text_slices(batches, max_bytes=_TEXT):
             texts = byte_texts(batch)
-            ids_a, ids_b = a.encode(texts), b.encode(texts)
-            for k, text in enumerate(texts):
-                if not text or any(b"".join([own.token[i] for i in ids]) != b" " + text
-                                   for own, ids in ((a, ids_a[k]), (b, ids_b[k]))):
-                    ids_a[k] = ids_b[k] = []
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids_a, kind), pa.array(ids_b, kind)],
-                                             ["doc_id", "a", "b"])
+            ids = [t.encode(texts) for t in own]
+            whole = np.array([bool(t) for t in texts])
+            for t, x in zip(own, ids):
+                whole &= _returned(x, t.bytes, texts)
+            sides = [pa.array([i.astype(_width(t.token)).tobytes() if w else b"" for i, w in zip(x, whole)], pa.binary())
+                     for t, x in zip(own, ids)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *sides], ["doc_id", "a", "b"])
+
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, a binary, b binary")
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, a array<int>, b array<int>")
 
+def _lists(column: pa.BinaryArray, width: np.dtype) -> pa.ListArray:
+    """Stored ids as lists, without a copy."""
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1] // width.itemsize
+    kind = pa.uint16() if width.itemsize == 2 else pa.uint32()
+    size = (data.size if data else 0) // width.itemsize
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.Array.from_buffers(kind, size, [None, data or pa.py_buffer(b"")]))
 
-def _token_slices(batches: Iterator[pa.RecordBatch], most: int = TOKENS) -> Iterator[pa.RecordBatch]:
+
+def _token_slices(batches: Iterator[pa.RecordBatch], sides: tuple) -> Iterator[tuple]:
+    """(doc_ids, lists of A, lists of B) of slices of about ``TOKENS`` tokens."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pc.add(pc.list_value_length(batch.column("a")), pc.list_value_length(batch.column("b"))).to_numpy()
-        group = np.cumsum(sizes, dtype=np.int64) // most
+        lists = [_lists(batch.column(c), side.width) for c, side in zip("ab", sides)]
+        sizes = pc.add(*map(pc.list_value_length, lists)).to_numpy()
+        group = np.cumsum(sizes, dtype=np.int64) // TOKENS
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for start, end in zip(cuts, cuts[1:]):
-            yield batch.slice(start, end - start)
+            yield (batch.column("doc_id").slice(start, end - start) if "doc_id" in batch.schema.names else None,
+                   *(x.slice(start, end - start) for x in lists))
+    pa.default_memory_pool().release_unused()
+
+
+class Side:
+    """What the passes over stored tokens need of a tokenizer: how its ids are stored, and token lengths."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.width, self.length = _width(tokens), np.fromiter(map(len, tokens), np.int64, len(tokens))
 
 
-def _token_ends(lists: pa.ListArray, length: pa.Array, name: str) -> pa.Table:
-    """(doc, end, id) of every token: its document's index and the byte of the document where it ends."""
+def _sides(tokenizer_a: str, tokenizer_b: str) -> tuple[Side, Side]:
+    return Side(_byte_level(tokenizer_a).token), Side(_pieces(tokenizer_b).token)
+
+
+def _token_ends(lists: pa.ListArray, length: np.ndarray, name: str) -> pa.Table:
+    """(at, id) of every token: ``at`` is its document's index and the byte of the document where it ends."""
     ids, doc = pc.list_flatten(lists), pc.list_parent_indices(lists)
-    run = pc.cumulative_sum(length.take(ids))
+    run = pc.cumulative_sum(pa.array(length).take(ids))
     # sums start anew at each document: less what stands before its first token
     counts = pc.list_value_length(lists).to_numpy()
     total = np.concatenate(([0], run.to_numpy()))
     before = pa.array(total[np.cumsum(counts) - counts])
-    return pa.table({"doc": doc, "end": pc.subtract(run, before.take(doc)), name: ids})
-
-
-def link_table(batch: pa.RecordBatch, length_a: pa.Array, length_b: pa.Array) -> pa.Table:
-    """One row per link, in order: doc, end, a, b, and whether an A token, a B token and so a group end there."""
-    a = _token_ends(batch.column("a"), length_a, "a")
-    b = _token_ends(batch.column("b"), length_b, "b")
-    met = a.join(b, ["doc", "end"], join_type="full outer", use_threads=False).combine_chunks()
-    # one sort key: documents in order, ends within
-    longest = (pc.max(met["end"]).as_py() or 0) + 1
-    key = pc.add(pc.multiply(met["doc"].cast(pa.int64()), longest), met["end"])
-    met = met.take(pc.array_sort_indices(key.combine_chunks()))
+    return pa.table({"at": pc.add(pc.shift_left(doc.cast(pa.int64()), _END), pc.subtract(run, before.take(doc))), name: ids})
+
+
+def link_table(a: pa.ListArray, b: pa.ListArray, sides: tuple) -> pa.Table:
+    """One row per link, in order: doc, a, b, and whether an A token and a B token end there."""
+    a, b = (_token_ends(lists, side.length, name) for lists, side, name in zip((a, b), sides, "ab"))
+    met = a.join(b, "at", join_type="full outer", use_threads=False).combine_chunks()
+    met = met.take(pc.array_sort_indices(met["at"].combine_chunks()))
     # an end that one kind lacks lies within the token of that kind that ends next
-    return pa.table({"doc": met["doc"], "a": pc.fill_null_backward(met["a"]), "b": pc.fill_null_backward(met["b"]),
+    return pa.table({"doc": pc.shift_right(met["at"], _END), "a": pc.fill_null_backward(met["a"]),
+                     "b": pc.fill_null_backward(met["b"]),
                      "ends_a": pc.is_valid(met["a"]), "ends_b": pc.is_valid(met["b"])})
 
 
@@ -172,18 +209,15 @@ def _pair(links: pa.Table) -> pa.Array:
     return pair.combine_chunks()
 
 
-def _lengths(tokens: list[bytes]) -> pa.Array:
-    return pa.array(np.fromiter(map(len, tokens), np.int64, len(tokens)))
-
-
 def pair_counts(tokens: DataFrame, tokenizer_a: str = TOKENIZER_A, tokenizer_b: str = TOKENIZER_B) -> DataFrame:
     """(a, b, n, best): how many links hold a pair of ids linked, and whether no other pair of its B id has more."""
 
+    sides = _sides(tokenizer_a, tokenizer_b)
+
     def run(batches):
-        lengths = _lengths(_byte_level(tokenizer_a).token), _lengths(_pieces(tokenizer_b).token)
         held = None
-        for batch in _token_slices(batches):
-            part = pa.table({"pair": _pair(link_table(batch, *lengths))})
+        for _, a, b in _token_slices(batches, sides):
+            part = pa.table({"pair": _pair(link_table(a, b, sides))})
             part = part.group_by("pair", use_threads=False).aggregate([([], "count_all")]).rename_columns(["pair", "n"])
             if held is not None:
                 part = pa.concat_tables([held, part]).group_by("pair", use_threads=False).aggregate(
@@ -276,7 +310,7 @@ def align(docs: DataFrame, tokenizer_a: str = TOKENIZER_A, tokenizer_b: str = TO
     Null and empty texts, and texts that either tokenizer doesn't return byte
     for byte, have zeros and ''.  Repeated rows count as often as they stand.
     Tokens are stored once in the shared folder and read twice.  A text of more
-    than ``TOKENS`` tokens is a slice of its own.
+    than ``TOKENS`` tokens is a slice of its own (of at most 2^40 bytes).
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "token_pairs")
@@ -288,10 +322,11 @@ def align(docs: DataFrame, tokenizer_a: str = TOKENIZER_A, tokenizer_b: str = TO
     kind = made.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"]
 
+    sides = _sides(tokenizer_a, tokenizer_b)
+
     def run(batches):
-        lengths = _lengths(_byte_level(tokenizer_a).token), _lengths(_pieces(tokenizer_b).token)
-        for batch in _token_slices(batches):
-            links = link_table(batch, *lengths)
+        for doc_ids, a, b in _token_slices(batches, sides):
+            links = link_table(a, b, sides)
             pair = _pair(links).dictionary_encode()
             n, best = _looked_up(pair.dictionary.to_numpy(), folder, shards)
             at = pair.indices
@@ -301,12 +336,11 @@ def align(docs: DataFrame, tokenizer_a: str = TOKENIZER_A, tokenizer_b: str = TO
                 [([], "count_all"), ("group", "sum"), ("best", "sum"), ("n", "sum")])
             at, columns = sums["doc"].to_numpy(), []
             for name in ("group_sum", "count_all", "best_sum", "n_sum"):
-                column = np.zeros(batch.num_rows, np.int64)
+                column = np.zeros(len(doc_ids), np.int64)
                 column[at] = sums[name].to_numpy()
                 columns.append(pa.array(column))
-            sizes = [pc.list_value_length(batch.column(c)).cast(pa.int64()) for c in ("a", "b")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *sizes, *columns, _groups_text(links, batch.num_rows)], names)
+            sizes = [pc.list_value_length(x).cast(pa.int64()) for x in (a, b)]
+            yield pa.RecordBatch.from_arrays([doc_ids, *sizes, *columns, _groups_text(links, len(doc_ids))], names)
 
     return tokens.mapInArrow(run, f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, "
                                   "count_sum long, groups string")
