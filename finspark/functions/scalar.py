@@ -32,14 +32,15 @@ def safe_div(num, den) -> Column:
     return F.try_divide(_c(num), F.nullif(_c(den), F.lit(0)))
 
 
-def nan_to_null(df: DataFrame) -> DataFrame:
-    """Normalize float NaN to NULL in every float/double column (source rule of §1.3)."""
+def nan_to_null(df: DataFrame, columns=None) -> DataFrame:
+    """NaN as NULL in float and double columns (of ``columns``, if given): missing numbers have
+    one form (§1.3).  An expression, no pass over the data."""
     cols = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
-            cols.append(F.nanvl(F.col(f.name), F.lit(None).cast(f.dataType)).alias(f.name))
-        else:
-            cols.append(F.col(f.name))
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)) and (columns is None or f.name in columns):
+            c = F.nanvl(c, F.lit(None).cast(f.dataType)).alias(f.name)
+        cols.append(c)
     return df.select(*cols)
 
 
@@ -102,7 +103,11 @@ def to_ts(c, fmt: str | None = None) -> Column:
             named = named & text.rlike(pattern)
             text = F.regexp_replace(text, pattern, "")
     offsets = _OFFSETS if "%z" in _directives(fmt) else _OFFSETS[:1]
-    return F.when(named, F.coalesce(*[F.try_to_timestamp(text, F.lit(strptime_to_spark(fmt, o))) for o in offsets]))
+    at = F.coalesce(*[F.try_to_timestamp(text, F.lit(strptime_to_spark(fmt, o))) for o in offsets])
+    if "%y" in _directives(fmt):
+        # Spark reads 00-99 as 2000-2099, strptime 69-99 as 1969-1999 (the same years are leap years)
+        at = F.when(F.year(at).between(2069, 2099), at - F.expr("INTERVAL '100' YEAR")).otherwise(at)
+    return F.when(named, at)
 
 
 def parses_as(c, fmt: str) -> Column:

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from finspark.functions.scalar import nan_to_null
 from finspark.session import checkpoint_dir, range_partitions, staged
 
 
@@ -136,8 +137,11 @@ def _agg_expr(col: str, fn, order_col: str | None) -> Column:
         # distributed table have no order of their own)
         if order_col is None:
             raise ValueError(f"{name!r} needs order_col")
-        o = F.when(c.isNotNull(), F.col(order_col))
-        return F.min_by(c, o) if name == "first" else F.max_by(c, o)
+        # never NULL for a value: a NULL order value is after all others for
+        # the first and before all others for the last; ties go by value
+        o = F.col(order_col)
+        by = F.when(c.isNotNull(), F.struct(o.isNull() if name == "first" else o.isNotNull(), o, c))
+        return F.min_by(c, by) if name == "first" else F.max_by(c, by)
     if name == "std":
         return F.stddev_samp(c)
     if name == "var":
@@ -238,20 +242,24 @@ def group_aggregate(df: DataFrame, group_by, aggregations: dict,
     With no keys or no aggregations the input is returned unchanged.
     Medians are computed by ``exact_median`` and ``Mergeable`` aggregates by
     ``mergeable_aggregate``; both are joined on the keys (one row per group on
-    each side).  A plain pandas callable gets a whole group in one task, so it
+    each side).  NaN is missing, in keys and values.  Several ``nunique`` are
+    counted column by column (distinct pairs of keys and value, then pairs per
+    group), so no row is multiplied; each reads its columns only.  A plain pandas callable gets a whole group in one task, so it
     raises ``ValueError`` unless ``whole_group=True`` says that every group fits.
     """
     keys = [group_by] if isinstance(group_by, str) else list(group_by or [])
     if not keys or not aggregations:
         return df
     wide = any(isinstance(v, (list, tuple)) for v in aggregations.values())
-    exprs, medians, merges, order = [], [], [], []
+    exprs, medians, merges, uniques, order = [], [], [], [], []
     for col, fns in aggregations.items():
         for fn in (fns if isinstance(fns, (list, tuple)) else [fns]):
             name = f"{col}_{_fn_name(fn)}".strip("_") if wide else col
             order.append(name)
             if isinstance(fn, str) and fn.lower() == "median":
                 medians.append((col, name))
+            elif isinstance(fn, str) and fn.lower() == "nunique":
+                uniques.append((col, name))
             elif isinstance(fn, Mergeable):
                 merges.append((col, fn, name))
             else:
@@ -260,7 +268,10 @@ def group_aggregate(df: DataFrame, group_by, aggregations: dict,
                                      "SparkAggregate or Mergeable, or pass whole_group=True")
                 exprs.append(_agg_expr(col, fn, order_col).alias(name))
     keep = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    data = df.where(keep)
+    data = nan_to_null(df, [*keys, *aggregations]).where(keep)
+    if len(uniques) == 1:  # one distinct count multiplies no row
+        exprs.append(F.count_distinct(F.col(uniques[0][0])).alias(uniques[0][1]))
+        uniques = []
     merged = [mergeable_aggregate(data, keys, col, fn, name, rows_per_partial)
               for col, fn, name in merges]
     # a mergeable result has one row per group (every row yields a partial),
@@ -273,6 +284,9 @@ def group_aggregate(df: DataFrame, group_by, aggregations: dict,
         out = data.select(*keys).distinct()
     for col, name in medians:
         out = out.join(exact_median(data, keys, col, name), keys, "left")
+    for col, name in uniques:
+        pairs = data.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("_v")).agg(F.count(F.lit(1)))
+        out = out.join(pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)), keys, "left").fillna(0, [name])
     for m in merged:
         out = out.join(m, keys, "left")
     out = out.select(*keys, *order)
@@ -323,7 +337,7 @@ def resample(df: DataFrame, date_col: str, freq: str = "D", value_cols=None, by=
     """mean/sum/min/max/count per value column and calendar bucket
     (of each ``by`` group, if given).
 
-    Rows with a missing date are dropped.  Every bucket between the first and
+    Rows with a missing date are dropped; NaN is missing.  Every bucket between the first and
     the last one (of its group) is emitted; an empty one has sum 0, count 0
     and missing mean/min/max.  Output: the ``by`` columns, ``date_col`` (bucket
     label, DATE), then ``<col>_<stat>`` per value column.
@@ -331,7 +345,7 @@ def resample(df: DataFrame, date_col: str, freq: str = "D", value_cols=None, by=
     by = [by] if isinstance(by, str) else list(by)
     cols = list(value_cols) if value_cols is not None else numeric_columns(df, exclude=(date_col, *by))
     start = bucket_start(F.col(date_col), freq)
-    data = df.where(F.col(date_col).isNotNull()).select(*by, start.alias("_start"), *cols)
+    data = nan_to_null(df, [*by, *cols]).where(F.col(date_col).isNotNull()).select(*by, start.alias("_start"), *cols)
     exprs = []
     for c in cols:
         exprs += [F.sum(c).alias(f"_s_{c}"), F.min(c).alias(f"_lo_{c}"),

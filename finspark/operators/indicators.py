@@ -13,6 +13,7 @@ Semantics (per symbol, ordered by trade date, row frames):
   defined only once the frame holds p rows; 100 - 100 / (1 + g / l); l = 0
   and g > 0 -> 100; l = g = 0 -> NULL.
 * Rows whose key is NULL keep their values with all indicators NULL.
+* NaN is missing, as NULL is.
 
 Scale design.  A per-symbol window puts a whole series into one task, so a
 symbol that holds a large share of all rows would become a single giant
@@ -39,8 +40,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finspark.functions.scalar import safe_div
+from finspark.functions.scalar import nan_to_null, safe_div
 from finspark.session import staged
+from finspark.sinks.tables import Table
 
 DEFAULT_ROWS_PER_BLOCK = 2_000_000
 # Next finer date_trunc unit, used when one (key, bucket) cell holds more
@@ -55,13 +57,14 @@ def _keys(key) -> list[str]:
 
 def _indicator_columns(df: DataFrame, part: list, order: str, price: str,
                        ma_windows, vol_window: int, rsi_period: int,
-                       carry: Column | None, key_ok: Column, tie_break=()) -> DataFrame:
+                       carry: Column | None, key_ok: Column, tie_break=(), known: str | None = None,
+                       fill_as: str | None = None) -> DataFrame:
     """Add the indicator columns with windows partitioned by ``part``."""
     w = Window.partitionBy(*part).orderBy(order, *tie_break)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     p = F.col(price)
 
-    ff = F.last(p, ignorenulls=True).over(run)
+    ff = F.last(_filled(price, known), ignorenulls=True).over(run)
     if carry is not None:
         ff = F.coalesce(ff, F.first(carry).over(run))
     delta = p - F.lag(p).over(w)
@@ -86,15 +89,21 @@ def _indicator_columns(df: DataFrame, part: list, order: str, price: str,
     df = df.withColumns(cols)
 
     out = ["daily_return"] + list(cols)
+    if fill_as:
+        df = df.withColumnRenamed("_ff", fill_as)
     return df.withColumns({c: F.when(key_ok, F.col(c)) for c in out})
 
 
+def _filled(price: str, known: str | None) -> Column:
+    return F.coalesce(F.col(price), F.col(known)) if known else F.col(price)
+
+
 def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 20,
                     rsi_period: int = 14, key="symbol", order: str = "trade_date",
                     price: str = "close_price",
                     rows_per_block: int | None = DEFAULT_ROWS_PER_BLOCK,
                     bucket: str = "month", stored: bool = False,
-                    tie_break=()) -> DataFrame:
+                    tie_break=(), known: str | None = None, fill_as: str | None = None) -> DataFrame:
     """T1 on a quote table unique by (key, order); if it is not, name
     ``tie_break`` columns that make the row order deterministic.
 
@@ -110,15 +119,29 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
     read again for the counts (key columns only) instead of being written to
     the shared folder once.  The count table (one row per bucket of each key
     longer than a block) is written when this function is called.
+
+    ``known`` names a column whose value is the last known price where a row's
+    own is missing (rows of carried state); ``fill_as`` adds the filled price
+    under that name.  Input columns named like an output are replaced by it;
+    any other name may stand in the input.
     """
     keys = _keys(key)
+    clash = {c: f"in{i}{c}" for i, c in enumerate(df.columns) if c.startswith("_")}
+    if clash:  # working columns start with an underscore
+        new = lambda c: clash.get(c, c)
+        out = stock_analytics(df.withColumnsRenamed(clash), ma_windows, vol_window, rsi_period, [new(k) for k in keys],
+                              new(order), new(price), rows_per_block, bucket, stored, [new(c) for c in tie_break],
+                              known and new(known), fill_as)
+        return out.withColumnsRenamed({v: k for k, v in clash.items()})
+    df = nan_to_null(df)
     key_ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    base_cols = df.columns
     ma_windows = tuple(ma_windows)
+    out_cols = [*_out_names(ma_windows, vol_window, rsi_period), *([fill_as] if fill_as else [])]
+    base_cols = [c for c in df.columns if c not in out_cols]
     if rows_per_block is None:
         out = _indicator_columns(df, keys, order, price, ma_windows, vol_window,
-                                 rsi_period, None, key_ok, tuple(tie_break))
-        return out.select(*base_cols, *_out_names(ma_windows, vol_window, rsi_period))
+                                 rsi_period, None, key_ok, tuple(tie_break), known, fill_as)
+        return out.select(*base_cols, *out_cols)
 
     if not stored:
         df = staged(df, "t1_input")
@@ -129,12 +152,12 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
     long_keys, n_long = _long_series(df, keys, R)
     if n_long == 0:
         return stock_analytics(df, ma_windows, vol_window, rsi_period, key, order, price,
-                               rows_per_block=None, tie_break=tie_break)
+                               rows_per_block=None, tie_break=tie_break, known=known, fill_as=fill_as)
     same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
     long_rows = df.join(long_keys, same_key, "left_semi")
     while True:
         cells = long_rows.withColumn("_bkt", F.date_trunc(bucket, F.col(order).cast("timestamp_ntz")))
-        stats, biggest = _count_table(cells, keys, order, price, tuple(tie_break), R, halo)
+        stats, biggest = _count_table(cells, keys, order, _filled(price, known), tuple(tie_break), R, halo)
         if biggest <= R or bucket not in FINER_BUCKET:
             break
         # a cell larger than a block would make one oversized block: refine
@@ -153,9 +176,78 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
     placed = placed.withColumn("_blk", F.explode(targets)).drop("_lo", "_hi")
 
     out = _indicator_columns(placed, keys + ["_blk"], order, price, ma_windows,
-                             vol_window, rsi_period, F.col("_carry"), key_ok, tuple(tie_break))
+                             vol_window, rsi_period, F.col("_carry"), key_ok, tuple(tie_break), known, fill_as)
     out = out.where(F.col("_blk") == F.col("_own"))
-    return out.select(*base_cols, *_out_names(ma_windows, vol_window, rsi_period))
+    return out.select(*base_cols, *out_cols)
+
+
+def stock_analytics_incremental(batch: DataFrame, state: Table, batch_id: str, ma_windows=(20, 50, 200),
+                                vol_window: int = 20, rsi_period: int = 14, key="symbol", order: str = "trade_date",
+                                price: str = "close_price", rows_per_block: int | None = DEFAULT_ROWS_PER_BLOCK,
+                                tie_break=()) -> DataFrame:
+    """T1 of a batch that continues what ``state`` holds, without the history.
+
+    ``state`` (an unpartitioned ``Table`` that keeps at least two versions)
+    holds of every key the last rows that indicators look back on, at most
+    ``halo`` = 199 with the default windows: key, order, tie-break and price
+    columns and the filled price.  The rows of the batch are computed after
+    them, and each key of the batch gets its new last rows; the state of other
+    keys stays.  Fed in order, batches give what ``stock_analytics`` gives on
+    the whole.  The result is written to the shared folder before the state is
+    replaced.  A batch fed again under its ``batch_id`` continues from the
+    state before it, so a retry gives the same rows.
+
+    Rows that do not come after the state of their key raise ``ValueError``
+    (recompute the series then).  Rows with a NULL key part have no indicators
+    and no state; rows with a NULL order value raise, too.
+    """
+    keys, spark = _keys(key), batch.sparkSession
+    ties = [c for c in tie_break if c not in (*keys, order, price)]
+    halo = max(max(ma_windows) - 1, vol_window, rsi_period)
+    marks = ["__known", "__new", "__fill"]
+    if set(marks) & set(batch.columns):
+        raise ValueError(f"columns {marks} are taken")
+    batch = staged(batch, "t1_batch")
+    own_keys = batch.select(*keys).distinct()
+    if batch.where(F.col(order).isNull()).limit(1).count():
+        raise ValueError(f"rows without {order}")
+    before = _state_before(state, batch_id)
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__s_{k}") for k in keys])
+    both = batch.withColumns({"__known": F.lit(None).cast(batch.schema[price].dataType), "__new": F.lit(True)})
+    if before is not None:
+        held = before.select(*keys, order, *ties, price, F.col("filled_price").alias("__known"))
+        renamed = own_keys.select(*[F.col(k).alias(f"__s_{k}") for k in keys])
+        old = staged(held.join(renamed, same, "left_semi"), "t1_state")
+        last = old.groupBy(*keys).agg(F.max(order).alias("__last"))
+        first = batch.groupBy(*keys).agg(F.min(order).alias("__first"))
+        late = first.join(last, keys).where("__first <= __last").limit(1).collect()
+        if late:
+            raise ValueError(f"rows of the batch do not come after the state: {late[0]}")
+        both = both.unionByName(old.withColumn("__new", F.lit(False)), allowMissingColumns=True)
+    out = staged(stock_analytics(both, ma_windows, vol_window, rsi_period, keys, order, price, rows_per_block,
+                                 tie_break=tie_break, known="__known", fill_as="__fill"), "t1_result")
+    # the last rows of each key; Spark cuts a key to that many in each task before the shuffle
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in (order, *tie_break)])
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    tail = (out.where(whole).withColumn("__back", F.row_number().over(w)).where(F.col("__back") <= halo)
+            .select(*keys, order, *ties, price, F.col("__fill").alias("filled_price")))
+    if before is not None:
+        renamed = own_keys.select(*[F.col(k).alias(f"__s_{k}") for k in keys])
+        tail = tail.unionByName(before.drop("batch_id").join(renamed, same, "left_anti"))
+    state.commit(tail.withColumn("batch_id", F.lit(batch_id)))
+    return out.where("__new").drop(*marks)
+
+
+def _state_before(state: Table, batch_id: str) -> DataFrame | None:
+    """The state that a batch continues from: the current one, or the one before if the batch made it."""
+    if state.partition_by or state.keep_versions < 2:
+        raise ValueError("the state is an unpartitioned table that keeps two versions")
+    for v in reversed(state.versions()):
+        found = state.spark.read.parquet(state.path(v))
+        made = found.select("batch_id").limit(1).collect()
+        if not made or made[0][0] != batch_id:
+            return found
+    return None
 
 
 def _long_series(df: DataFrame, keys: list[str], R: int):
@@ -167,7 +259,7 @@ def _long_series(df: DataFrame, keys: list[str], R: int):
     return out, out.count()
 
 
-def _count_table(data: DataFrame, keys: list[str], order: str, price: str, tie_break: tuple,
+def _count_table(data: DataFrame, keys: list[str], order: str, price: Column, tie_break: tuple,
                  R: int, halo: int):
     """Block placement per (key, bucket) cell of the keys whose series holds
     more than one block (``R`` rows), written once; returns it with the rows
@@ -179,8 +271,8 @@ def _count_table(data: DataFrame, keys: list[str], order: str, price: str, tie_b
     """
     cells = data.groupBy(*keys, "_bkt").agg(
         F.count(F.lit(1)).alias("_n"),
-        F.max_by(F.col(price), F.when(F.col(price).isNotNull(),
-                                      F.struct(F.col(order), *[F.col(c) for c in tie_break])))
+        F.max_by(price, F.when(price.isNotNull(),
+                               F.struct(F.col(order), *[F.col(c) for c in tie_break])))
         .alias("_lastp"))
     sw = Window.partitionBy(*keys).orderBy("_bkt")
     before = sw.rowsBetween(Window.unboundedPreceding, -1)

@@ -227,34 +227,55 @@ def cross_field_violation(c1: str, c2: str, rule: Callable[[Column, Column], Col
 
 
 # --------------------------------------------------------------- compiler
+def _key_digest(df: DataFrame, columns: list[str]) -> Column:
+    """256 bits of the columns' values: each as its text with the text's length before it, or as missing."""
+    def part(c):
+        dtype, v = df.schema[c].dataType, F.col(c)
+        if isinstance(dtype, (T.FloatType, T.DoubleType)):
+            v = v + F.lit(0.0).cast(dtype)  # -0.0 is 0.0
+        if isinstance(dtype, (T.ArrayType, T.StructType, T.MapType)):
+            v = F.to_json(F.struct(v), {"ignoreNullFields": "false"})
+        text = F.hex(v) if isinstance(dtype, T.BinaryType) else v.cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    return F.unhex(F.sha2(F.concat(*[part(c) for c in columns]), 256))
+
+
 class _Plan:
     """Collects aggregate expressions and the rows built from their results."""
 
     def __init__(self):
-        self.aggs: list[Column] = []
+        self.aggs: list[Column | None] = []
         self.rows: list[Column] = []
-        self.distinct: set[int] = set()  # which aggregates count distinct values
+        self.unique: dict[int, list[str]] = {}  # which numbers are counts of distinct keys, and of which columns
+
+    def agg(self, expr: Column) -> Column:
+        self.aggs.append(expr)
+        return F.col(f"m{len(self.aggs) - 1}")
 
-    def agg(self, expr: Column, distinct: bool = False) -> Column:
-        if distinct:
-            self.distinct.add(len(self.aggs))
-        name = f"m{len(self.aggs)}"
-        self.aggs.append(expr.alias(name))
-        return F.col(name)
+    def distinct(self, columns: list[str]) -> Column:
+        """How many distinct values the columns have together; a missing value counts as a value."""
+        self.unique[len(self.aggs)] = columns
+        return self.agg(F.count_distinct(F.struct(*[F.col(c) for c in columns])))
 
     def run(self, df: DataFrame) -> DataFrame:
-        """The one-row result.  Several distinct counts in one aggregate would multiply every row (Expand),
-        so beyond one each is an aggregate of its own, which reads its columns only."""
-        if len(self.distinct) < 2:
-            return df.agg(*self.aggs)
-        first = min(self.distinct)
-        groups = [[i for i in range(len(self.aggs)) if i not in self.distinct or i == first],
-                  *([i] for i in sorted(self.distinct) if i != first)]
-        parts = [df.agg(*[self.aggs[i] for i in own]).select(
-            *[F.col(f"m{i}") if i in own else F.lit(None).cast("bigint").alias(f"m{i}") for i in range(len(self.aggs))])
-            for own in groups]
-        # one row from each: every value is a count and stands in one of them
-        return reduce(DataFrame.unionAll, parts).agg(*[F.max(f"m{i}").alias(f"m{i}") for i in range(len(self.aggs))])
+        """The one-row result.
+
+        One distinct count stands in the aggregate with the rest.  Several would
+        multiply every row with all its columns there (Expand); they have one
+        scan of their own instead, which gives the digest of every key and counts
+        digests by partial aggregation (256 bits: equal digests, equal keys)."""
+        named = [e.alias(f"m{i}") for i, e in enumerate(self.aggs)]
+        if len(self.unique) < 2:
+            return df.agg(*named)
+        none = F.lit(None).cast("bigint")
+        plain = df.agg(*[none.alias(f"m{i}") if i in self.unique else e for i, e in enumerate(named)])
+        keys = F.array(*[F.struct(F.lit(i).alias("i"), _key_digest(df, cols).alias("d")) for i, cols in self.unique.items()])
+        counts = (df.select(F.explode(keys).alias("k")).groupBy("k.i", "k.d").agg(F.count(F.lit(1)).alias("_n"))
+                  .agg(*[F.count_if(F.col("i") == i).alias(f"m{i}") if i in self.unique else none.alias(f"m{i}")
+                         for i in range(len(named))]))
+        # one row each: every value is a count and stands in one of them
+        return plain.unionAll(counts).agg(*[F.max(f"m{i}").alias(f"m{i}") for i in range(len(named))])
 
     def row(self, validator, check, column, passed, failed, ok, details: dict | None = None, total: bool = False):
         det = F.to_json(F.struct(*[F.lit(v).alias(k) if not isinstance(v, Column) else v.alias(k)
@@ -346,8 +367,7 @@ def _consistency(p: _Plan, df: DataFrame, n: Column, kw: dict):
         cols = [u] if isinstance(u, str) else list(u)
         if all(c in df.columns for c in cols):
             # rows beyond the first per value; a missing value counts as a value
-            distinct = p.agg(F.count_distinct(F.struct(*[F.col(c) for c in cols])), distinct=True)
-            dups = n - distinct
+            dups = n - p.distinct(cols)
             rows.append(("uniqueness", ",".join(cols), n - dups, dups, dups == 0, {"duplicates": dups}))
     for c, fmt in kw["date_formats"].items():
         if c in df.columns:

@@ -17,13 +17,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from finspark.functions.scalar import ts_literal, with_lineage
-from finspark.operators.indicators import stock_analytics
+from finspark.operators.indicators import stock_analytics, stock_analytics_incremental
 from finspark.operators.quality import STOCK_PRICE_RULES, Rules, evaluate, raise_if_failed
 from finspark.schemas import DAILY_STOCK_ANALYTICS
+from finspark.session import scratch_scope
 from finspark.session import staged as stage_once
 from finspark.sinks.tables import (RUN_LOG_SCHEMA, Table, conform, load, log_run, observed_rows,
-                                   quality_log_rows,
-                                   stage, upsert)
+                                   quality_log_rows, stage, upsert)
 
 
 class StageMetrics:
@@ -78,8 +78,14 @@ def analytics_table(spark: SparkSession, root: str) -> Table:
 
 
 def rejects_table(spark: SparkSession, root: str) -> Table:
-    """Rows that a run could not load, with ``reject_reason`` and ``run_id``."""
-    return Table(spark, f"{root}/rejects/daily_stock_analytics")
+    """Rows that a run could not load, with ``reject_reason`` and ``run_id``; one partition per run, which a
+    retry of the run replaces."""
+    return Table(spark, f"{root}/rejects/daily_stock_analytics", partition_by="run_id")
+
+
+def analytics_state(spark: SparkSession, root: str) -> Table:
+    """What indicators look back on: the last rows of every symbol."""
+    return Table(spark, f"{root}/state/daily_stock_analytics")
 
 
 def _ties(df: DataFrame) -> list[str]:
@@ -89,8 +95,19 @@ def _ties(df: DataFrame) -> list[str]:
 
 def run_daily(spark: SparkSession, quotes: DataFrame, root: str, run_date: dt.date, run_id: int,
               source: str = "stock_prices", strict: bool = False,
-              rows_per_block: int | None = None) -> RunResult:
-    """Run the daily pipeline for ``run_date`` with tables under ``root``."""
+              rows_per_block: int | None = None, incremental: bool = False) -> RunResult:
+    """Run the daily pipeline for ``run_date`` with tables under ``root``.
+
+    ``incremental`` says that ``quotes`` are the rows after those of earlier
+    runs: indicators continue from the state table instead of the history.
+    Running a ``run_id`` again replaces what it loaded and rejected.  Scratch
+    folders of the run are removed when it ends.
+    """
+    with scratch_scope(spark):
+        return _run_daily(spark, quotes, root, run_date, run_id, source, strict, rows_per_block, incremental)
+
+
+def _run_daily(spark, quotes, root, run_date, run_id, source, strict, rows_per_block, incremental) -> RunResult:
     start = dt.datetime.combine(run_date, dt.time(2, 0))
     ds = run_date.isoformat()
 
@@ -110,10 +127,14 @@ def run_daily(spark: SparkSession, quotes: DataFrame, root: str, run_date: dt.da
     # transform + conform to the target DDL
     kw = {} if rows_per_block is None else {"rows_per_block": rows_per_block}
     # written once: good rows, rejects and their counts all come from there
-    analytics = stage_once(stock_analytics(df, stored=True, tie_break=_ties(df), **kw)
-                           .withColumn("processed_at", ts_literal(start)), "daily_analytics")
+    if incremental:
+        analytics = stock_analytics_incremental(df, analytics_state(spark, root), str(run_id), tie_break=_ties(df), **kw)
+    else:
+        analytics = stock_analytics(df, stored=True, tie_break=_ties(df), **kw)
+    analytics = stage_once(analytics.withColumn("processed_at", ts_literal(start)), "daily_analytics")
     good, rejects = conform(analytics, DAILY_STOCK_ANALYTICS)
-    rejected = load(rejects.withColumn("run_id", F.lit(run_id).cast("bigint")), rejects_table(spark, root))
+    rejected = rejects_table(spark, root).replace_partitions(
+        rejects.withColumn("run_id", F.lit(run_id).cast("bigint")), touched=[(str(run_id),)])
     obs_g = Observation("good")
     good = good.observe(obs_g, F.count(F.lit(1)).alias("rows"))
     # physical layout: partitions by trade month (a function of the key), so

@@ -8,13 +8,28 @@ the test tables by fixed rules.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from finspark.functions.scalar import to_ts
+from finspark.operators.aggregate import group_aggregate, resample
+from finspark.operators.indicators import stock_analytics, stock_analytics_incremental
+from finspark.operators.quality import Rules, evaluate
+from finspark.operators.ratios import portfolio_analytics
 from finspark.plans.catalogue import register
-from finspark.plans.views import table
-from finspark.session import scratch_path
-from finspark.sinks.tables import (Table, delete_where, insert_ignore, load, read_staged, stage, truncate_and_load,
-                                   update_where, upsert)
+from finspark.plans.q_quality import OUT, _cons_sql
+from finspark.plans.q_streams import EVENT_DDL, _land
+from finspark.plans.q_transforms import _ALL_T1 as T1_ALL
+from finspark.plans.q_transforms import _T1_SQL as T1_SQL
+from finspark.plans.q_transforms import QUOTE_COLS
+from finspark.plans.views import POSITIONS_SQL, QUOTES_SQL, cte, positions, quotes, table, with_views
+from finspark.session import scratch_path, staged
+from finspark.sinks.tables import (Table, delete_where, insert_ignore, load, read_staged, stage, surrogate_key,
+                                   truncate_and_load, update_where, upsert)
+from finspark.sources.files import read_csv
+from finspark.streaming.drain import decode, drain, message_files
 
 # ------------------------------------------------------- partition values
 _CODES = {0: "", 1: "01", 2: "1", 3: None, 4: "a/b", 5: "50%", 6: "2024-01-05"}
@@ -123,3 +138,168 @@ def stage_roundtrip_csv_text(spark, sf):
     path = stage(d.select("doc_id", F.concat("text", tail).alias("text"), note.alias("note"), "n_chars"),
                  scratch_path(spark, "stage_text"), "csv")
     return read_staged(spark, path, "csv")
+
+
+# ------------------------------------------------------------ CSV folders
+@register("csv_mixed_headers", """
+SELECT o_orderkey, o_totalprice, o_orderstatus, CASE WHEN o_orderkey % 4 <> 3 THEN o_orderpriority END AS o_orderpriority
+FROM orders""")
+def csv_mixed_headers(spark, sf):
+    """A folder by several writers: three column orders, and files that lack a column."""
+    path, o = scratch_path(spark, "csv_mixed"), table(spark, sf, "orders")
+    cols = ["o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority"]
+    orders = [cols, cols[::-1], [cols[2], cols[0], cols[3], cols[1]], cols[:3]]
+    for i, own in enumerate(orders):
+        (o.where(F.col("o_orderkey") % 4 == i).select(*own).write.mode("append")
+         .option("header", True).csv(path))
+    return read_csv(spark, path, "o_orderkey BIGINT, o_totalprice DOUBLE, o_orderstatus STRING, o_orderpriority STRING")
+
+
+# ---------------------------------------------------------------- streams
+@register("stream_bounded_resume", """
+SELECT event_id, user_id, event_type, value, CAST(NULL AS VARCHAR) AS raw_message FROM events""")
+def stream_bounded_resume(spark, sf):
+    """Bounded drains in turn: each at most a third of the messages, all of them once in the end."""
+    ev = table(spark, sf, "events")
+    inbox, sink, ckpt = (scratch_path(spark, n) for n in ("inbox", "sink", "ckpt"))
+    _land(ev, inbox, corrupt=False)
+    stream = decode(message_files(spark, inbox, max_files_per_trigger=1), EVENT_DDL)
+    bound = ev.count() // 3 + 1
+    while True:
+        added = drain(stream, sink, ckpt, max_messages=bound)
+        assert added <= bound
+        if not added:
+            break
+    return spark.read.parquet(sink).drop("portion")
+
+
+# -------------------------------------------------------------------- NaN
+_NAN = F.lit(float("nan"))
+
+
+@register("group_agg_nan", """
+WITH l AS (SELECT l_returnflag, CASE WHEN l_linenumber <> 3 THEN l_quantity END AS q FROM lineitem)
+SELECT l_returnflag, COALESCE(SUM(q), 0) AS q_sum, round(AVG(q), 6) AS q_mean, MIN(q) AS q_min, MAX(q) AS q_max, COUNT(q) AS q_count,
+       round(stddev_samp(q), 6) AS q_std, COUNT(DISTINCT q) AS q_nunique, median(q) AS q_median
+FROM l GROUP BY l_returnflag""")
+def group_agg_nan(spark, sf):
+    """NaN is no value: it is not counted and leaves sums, means and extremes alone."""
+    li = table(spark, sf, "lineitem").select("l_returnflag", F.when(F.col("l_linenumber") == 3, _NAN).otherwise(
+        F.col("l_quantity")).alias("q"))
+    out = group_aggregate(li, "l_returnflag", {"q": ["sum", "mean", "min", "max", "count", "std", "nunique", "median"]})
+    return out.withColumns({c: F.round(c, 6) for c in ("q_mean", "q_std")})
+
+
+@register("group_agg_many_nunique", """
+SELECT l_returnflag, l_linestatus, COUNT(DISTINCT l_partkey) AS l_partkey, COUNT(DISTINCT l_suppkey) AS l_suppkey,
+       COUNT(DISTINCT CASE WHEN l_quantity > 10 THEN l_shipdate END) AS shipped, SUM(l_linenumber) AS l_linenumber
+FROM lineitem GROUP BY l_returnflag, l_linestatus""")
+def group_agg_many_nunique(spark, sf):
+    """Three distinct counts without multiplying a row."""
+    li = table(spark, sf, "lineitem").withColumn("shipped", F.when(F.col("l_quantity") > 10, F.col("l_shipdate")))
+    return group_aggregate(li, ["l_returnflag", "l_linestatus"], {
+        "l_partkey": "nunique", "l_suppkey": "nunique", "shipped": "nunique", "l_linenumber": "sum"})
+
+
+@register("first_last_null_order", """
+SELECT o_custkey, MIN(o_orderpriority) AS o_orderpriority_first, MAX(o_orderpriority) AS o_orderpriority_last
+FROM orders GROUP BY o_custkey""")
+def first_last_null_order(spark, sf):
+    """Without any order value the smallest value is first and the largest last, not NULL."""
+    o = table(spark, sf, "orders").withColumn("seq", F.lit(None).cast("bigint"))
+    return group_aggregate(o, "o_custkey", {"o_orderpriority": ["first", "last"]}, order_col="seq")
+
+
+@register("resample_nan", """
+WITH o AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS m, CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS p
+           FROM orders)
+SELECT last_day(m) AS o_orderdate, round(AVG(p), 6) AS p_mean, round(COALESCE(SUM(p), 0), 4) AS p_sum, MIN(p) AS p_min, MAX(p) AS p_max,
+       COUNT(p) AS p_count FROM o GROUP BY m""")
+def resample_nan(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderdate", F.when(F.col("o_orderkey") % 3 == 0, _NAN).otherwise(
+        F.col("o_totalprice")).alias("p"))
+    out = resample(o, "o_orderdate", "M", ["p"])
+    return out.withColumns({"p_mean": F.round("p_mean", 6), "p_sum": F.round("p_sum", 4)})
+
+
+# whole prices: their sums are exact, so averages don't depend on the order of a sum
+_NAN_QUOTES = ("SELECT * REPLACE (CASE WHEN day(trade_date) % 5 <> 0 THEN CAST(floor(close_price) AS DOUBLE) END AS close_price) "
+               f"FROM ({QUOTES_SQL})")
+
+
+def _nan_quotes(spark, sf):
+    return quotes(spark, sf).withColumn("close_price", F.when(F.dayofmonth("trade_date") % 5 == 0, _NAN).otherwise(
+        F.floor("close_price").cast("double")))
+
+
+def _analytics_columns(out):
+    return out.select(*QUOTE_COLS, F.round("daily_return", 9).alias("daily_return"), *[F.round(c, 6).alias(c) for c in (
+        "moving_avg_20d", "moving_avg_50d", "moving_avg_200d", "volatility_20d", "rsi_14d")])
+
+
+_ANALYTICS = T1_ALL.replace("daily_return, ", "round(daily_return, 9) AS daily_return, ", 1)
+
+
+@register("stock_analytics_nan", cte(quotes=_NAN_QUOTES) + ",\n" + T1_SQL.strip() + "\n" + _ANALYTICS)
+def stock_analytics_nan(spark, sf):
+    """A NaN price is a missing price, in plain windows and across block borders alike."""
+    q = _nan_quotes(spark, sf)
+    return _analytics_columns(stock_analytics(q, rows_per_block=250))
+
+
+@register("stock_analytics_incremental", cte(quotes=_NAN_QUOTES) + ",\n" + T1_SQL.strip() + "\n" + _ANALYTICS)
+def q_stock_analytics_incremental(spark, sf):
+    """A year at a time, each from the state the year before left, equals the whole history at once."""
+    q = staged(_nan_quotes(spark, sf), "quotes")
+    state, out = Table(spark, scratch_path(spark, "t1_state")), []
+    for r in q.select(F.year("trade_date").alias("y")).distinct().orderBy("y").collect():
+        out.append(stock_analytics_incremental(q.where(F.year("trade_date") == r["y"]), state, str(r["y"])))
+    return _analytics_columns(reduce(DataFrame.unionByName, out))
+
+
+@register("portfolio_nan", with_views("""
+SELECT portfolio_id, symbol, position_date, round(quantity * current_price, 6) AS market_value,
+       round(quantity * current_price / NULLIF(SUM(quantity * current_price) OVER (PARTITION BY portfolio_id, position_date), 0), 9)
+         AS weight
+FROM (SELECT * REPLACE (CASE WHEN day(position_date) % 4 <> 0 THEN current_price END AS current_price) FROM positions)""",
+    positions=POSITIONS_SQL))
+def portfolio_nan(spark, sf):
+    """A position without a price has no weight; the others share the total of those that have one."""
+    p = positions(spark, sf).withColumn("current_price", F.when(F.dayofmonth("position_date") % 4 == 0, _NAN).otherwise(
+        F.col("current_price")))
+    return portfolio_analytics(p).select("portfolio_id", "symbol", "position_date",
+                                         F.round("market_value", 6).alias("market_value"), F.round("weight", 9).alias("weight"))
+
+
+# ------------------------------------------------- keys, ids, dates
+_UNIQUE = {"l_orderkey": ["l_orderkey"], "l_partkey": ["l_partkey"], "l_orderkey,l_linenumber": ["l_orderkey", "l_linenumber"],
+           "l_shipdate,l_suppkey": ["l_shipdate", "l_suppkey"], "flag": ["flag"]}
+
+
+@register("uniqueness_many", _cons_sql([
+    ("uniqueness", name, f"COUNT(*) - COUNT(DISTINCT ({', '.join(cols)},)) " if len(cols) > 1 else
+     f"COUNT(*) - COUNT(DISTINCT {cols[0]}) - CAST(COUNT_IF({cols[0]} IS NULL) > 0 AS BIGINT)") for name, cols in _UNIQUE.items()],
+    "SELECT *, CASE WHEN l_returnflag <> 'R' THEN l_returnflag END AS flag FROM lineitem"))
+def uniqueness_many(spark, sf):
+    """Five unique keys, two of them composite and one with NULLs, in one scan of their own."""
+    li = table(spark, sf, "lineitem").withColumn("flag", F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")))
+    return evaluate(li, Rules.consistency(unique_columns=[c if len(c) > 1 else c[0] for c in _UNIQUE.values()])).select(*OUT)
+
+
+@register("surrogate_key_ties", """
+SELECT row_number() OVER (ORDER BY l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, l_returnflag
+FROM lineitem""")
+def surrogate_key_ties(spark, sf):
+    """One order value on a third of lineitem: it spans partitions, and ids have no gap or repeat."""
+    li = table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return surrogate_key(li, "l_returnflag", "id", rows_per_partition=5000).select("id", "l_returnflag")
+
+
+@register("to_timestamp_two_digit_year", """
+SELECT o_orderkey, CAST(CAST(CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate ELSE o_orderdate - INTERVAL 20 YEAR END AS DATE) AS TIMESTAMP) AS at
+FROM orders""")
+def to_timestamp_two_digit_year(spark, sf):
+    """69 to 99 are years of the twentieth century."""
+    day = F.when(F.col("o_orderkey") % 2 == 0, F.to_date("o_orderdate")).otherwise(F.add_months(F.to_date("o_orderdate"), -240))
+    o = table(spark, sf, "orders").withColumn("text", F.date_format(day, "dd/MM/yy"))
+    return o.select("o_orderkey", to_ts("text", "%d/%m/%y").cast("timestamp_ntz").alias("at"))

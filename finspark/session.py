@@ -170,6 +170,21 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none when it doesn't exist."""
+    if not path_exists(spark, path):
+        return []
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return [st.getPath().getName() for st in p.getFileSystem(sc._jsc.hadoopConfiguration()).listStatus(p)]
+
+
 def range_partitions(df, rows_per_partition: int) -> int:
     """Partition count for a range repartition of ``df``, a staged frame (its
     rows are counted from file footers).

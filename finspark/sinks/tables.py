@@ -19,6 +19,7 @@ import datetime as _dt
 import json
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -628,17 +629,44 @@ RUN_LOG_SCHEMA = ("run_id BIGINT, dag_id STRING, task_id STRING, source_name STR
                   "error_message STRING, created_at TIMESTAMP_NTZ")
 
 
+def reserve_run_id(spark: SparkSession, table: Table) -> int:
+    """K8: a run id that no other run has: the first number after the log's
+    largest whose file this run is the first to create in ``<root>/_ids``.
+
+    HDFS and local folders create a file once; object stores must support
+    conditional writes for that.
+    """
+    last = table.read().agg(F.max("run_id")).first()[0] if table.exists() else None
+    sc = spark.sparkContext
+    fs, _ = table._fs()
+    folder = table._path("_ids")
+    fs.mkdirs(folder)
+    run_id = (last or 0) + 1
+    while True:
+        name = sc._jvm.org.apache.hadoop.fs.Path(folder, str(run_id))
+        if fs.getScheme() == "file":
+            if sc._jvm.java.io.File(name.toUri().getPath()).createNewFile():
+                return run_id
+        elif not fs.exists(name):
+            try:
+                fs.create(name, False).close()
+                return run_id
+            except Py4JJavaError:
+                if not fs.exists(name):
+                    raise
+        run_id += 1
+
+
 def log_run(spark: SparkSession, table: Table, run_id: int | None, dag_id: str, task_id: str,
             source_name: str, status: str, run_start: _dt.datetime, run_end: _dt.datetime | None = None,
             extracted: int | None = None, validated: int | None = None, loaded: int | None = None,
             error: str | None = None) -> int:
     """K8: append one run-log row (counts come from Observations of the run).
 
-    With ``run_id=None`` the next id (max + 1) is allocated from the log, a
-    one-value aggregate; returns the id used."""
+    With ``run_id=None`` the next id is reserved (``reserve_run_id``), so runs
+    at the same time never share one; returns the id used."""
     if run_id is None:
-        last = table.read().agg(F.max("run_id")).first()[0] if table.exists() else None
-        run_id = (last or 0) + 1
+        run_id = reserve_run_id(spark, table)
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     row = [(run_id, dag_id, task_id, source_name, run_start, run_end or now, status,
             extracted, validated, loaded, error, now)]
@@ -676,27 +704,32 @@ def surrogate_key(df: DataFrame, order_cols, name: str = "id", partitions: int |
     """stable 1-based id = position in ``order_cols`` order (row_number over
     a global order) without a single-partition window.
 
-    Rows are range-partitioned on the order columns; per-partition counts (one
-    row per partition, a proven small table) give each partition its offset,
-    and the id is offset + row number inside the partition.  The partition
-    count grows with the input (``rows_per_partition`` rows each).
-    ``order_cols`` should be the natural key: equal order values would be
-    numbered in no fixed order, and one value is never split over partitions.
+    Rows of equal order values follow each other by all their columns (a digest
+    of the content), so ids do not depend on the run; rows that are equal
+    throughout are interchangeable.  Rows are range-partitioned on the order
+    columns, that digest and a number of the row, so a value or a row that
+    repeats often spans partitions.  Per-partition counts (one row per
+    partition, a proven small table) give each partition its offset, and the id
+    is offset + row number inside the partition.  The partition count grows
+    with the input (``rows_per_partition`` rows each).
     """
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     spark = df.sparkSession
-    df = staged(df, "surrogate_key")  # computed once: counted, sampled and dealt from there
+    columns = df.columns
+    content = F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false", **_JSON_TIMES})
+    # computed once: counted, sampled and dealt from there
+    df = staged(df.withColumns({"__tie": F.unhex(F.sha2(content, 256))}), "surrogate_key")
     n = partitions or range_partitions(df, rows_per_partition)
     # Materialized (reliable checkpoint in the shared checkpoint folder),
     # so the counts and the numbering see the very same partition ids.
     checkpoint_dir(spark)
-    ranged = (df.repartitionByRange(n, *order_cols).withColumn("__pid", F.spark_partition_id())
-              .checkpoint(eager=True))
+    ranged = (df.withColumn("__row", F.monotonically_increasing_id()).repartitionByRange(n, *order_cols, "__tie", "__row")
+              .withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True))
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     from pyspark.sql import Window
     offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    w = Window.partitionBy("__pid").orderBy(*order_cols)
+    w = Window.partitionBy("__pid").orderBy(*order_cols, "__tie")
     out = ranged.join(F.broadcast(offsets), "__pid").withColumn(
         name, F.col("__off") + F.row_number().over(w))
-    return out.drop("__pid", "__off")
+    return out.select(*[F.col(f"`{c}`") for c in columns if c != name], name)

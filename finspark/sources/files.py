@@ -6,6 +6,12 @@ are pushed into the scan by Catalyst (Parquet) or pruned after parsing.
 
 from __future__ import annotations
 
+import codecs
+import re
+from functools import reduce
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,8 +35,10 @@ def read_csv(spark: SparkSession, path: str, schema=None, sep: str = ",", encodi
     """CSV with header, separator and encoding; doubled quotes inside quoted
     fields; NA tokens become NULL.
 
-    With a header, columns are taken by name, whatever their order; a schema
-    column that the file lacks is NULL.  Without a header they go by position.
+    With a header, columns are taken by name, whatever their order in each
+    file of a folder; a column that a file lacks is NULL.  The headers of all
+    files are read first (``csv_headers``); there is one scan per distinct
+    header.  Without a header columns go by position.
     With a schema every column is read as text, NA tokens are nulled, then the
     text is cast to the declared type (unparsable -> NULL).  Without one, types
     are inferred from the text without its NA tokens (BIGINT, DOUBLE, BOOLEAN,
@@ -46,8 +54,13 @@ def read_csv(spark: SparkSession, path: str, schema=None, sep: str = ",", encodi
     if schema is not None and not header:
         st = _as_struct(schema)
         raw = r.schema(T.StructType([T.StructField(f.name, T.StringType(), True) for f in st.fields])).csv(path)
+    elif header:
+        # all text, named by the header of the files of each scan
+        groups = csv_headers(spark, path, encoding)
+        scans = [r.csv(files) for files in groups] if len(groups) > 1 else [r.csv(path)]
+        raw = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), scans)
     else:
-        raw = r.csv(path)  # all text, named by the header
+        raw = r.csv(path)
 
     def known(name: str) -> Column:
         c = F.col(f"`{name}`")
@@ -62,6 +75,55 @@ def read_csv(spark: SparkSession, path: str, schema=None, sep: str = ",", encodi
     return nan_to_null(raw.select(*cols))
 
 
+def csv_headers(spark: SparkSession, path: str, encoding: str = "utf-8") -> list[list[str]]:
+    """Header catalogue: the files of ``path`` grouped by their first line that is not blank, the
+    groups in order of their first file.  Empty files are left out.
+
+    One row per file, read by tasks that open their files and stop after the
+    header.  Where the Python workers can't open the store, a text scan finds
+    the first lines instead.
+    """
+    files = sorted(spark.read.text(path).inputFiles())
+    if len(files) < 2:
+        return [files]
+    tasks = max(1, min(len(files), 4 * spark.sparkContext.defaultParallelism))
+    listed = spark.createDataFrame([(f,) for f in files], "file STRING").repartition(tasks)
+
+    def first_lines(batches):
+        for batch in batches:
+            names = batch.column("file").to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column("file"), pa.array([_first_line(f, encoding) for f in names], pa.string())],
+                                             ["file", "line"])
+
+    try:
+        fs.FileSystem.from_uri(files[0])
+        found = listed.mapInArrow(first_lines, "file STRING, line STRING")
+    except (pa.ArrowInvalid, OSError):
+        text = spark.read.text(path).where("_metadata.file_block_start = 0 AND trim(value) <> ''")
+        # the lines of a file's first block are in order and in one task
+        found = text.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.first("value").alias("line"))
+    groups: dict[str, list[str]] = {}
+    for r in sorted(found.where("line IS NOT NULL").collect()):
+        groups.setdefault(r["line"], []).append(r["file"])
+    return list(groups.values())
+
+
+def _first_line(file: str, encoding: str) -> str | None:
+    """The first line of a file that is not blank; with its quoted line breaks."""
+    own, name = fs.FileSystem.from_uri(file)
+    decode, text = codecs.getincrementaldecoder(encoding)(), ""
+    with own.open_input_stream(name) as f:
+        while True:
+            chunk = f.read(1 << 16)
+            text = (text + decode.decode(chunk, final=not chunk)).lstrip("\ufeff\r\n ")
+            ends = [m.start() for m in re.finditer("[\r\n]", text)]
+            for end in ends:
+                if text.count('"', 0, end) % 2 == 0:
+                    return text[:end]
+            if not chunk:
+                return text or None
+
+
 def _inferred(text: DataFrame) -> DataFrame:
     """Text columns cast to the narrowest of BIGINT, DOUBLE and BOOLEAN that holds all their values."""
     kinds = ["bigint", "double", "boolean"]
@@ -92,12 +154,12 @@ def read_json(spark: SparkSession, path: str, lines: bool = False, schema=None)
     return nan_to_null(r.json(path))
 
 
-def read_parquet(spark: SparkSession, path: str, columns=None, normalize_nan: bool = False) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str, columns=None, normalize_nan: bool = True) -> DataFrame:
     """S3: Parquet; a column list is a projection Catalyst pushes into the scan.
 
-    ``normalize_nan`` turns float NaN into NULL (the library's source rule).
-    It is off by default for Parquet: a filter on a wrapped column can no
-    longer be pushed into the scan, and typed Parquet data rarely holds NaN."""
+    Float NaN becomes NULL, as in every source.  A filter on such a column is
+    then not pushed into the scan; ``normalize_nan=False`` leaves the columns
+    as they are, and the operators take NaN as missing all the same."""
     df = spark.read.parquet(path)
     df = df.select(*columns) if columns else df
     return nan_to_null(df) if normalize_nan else df
