@@ -9,6 +9,7 @@ from __future__ import annotations
 import codecs
 import re
 from functools import reduce
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -85,7 +86,7 @@ def csv_headers(spark: SparkSession, path: str, encoding: str = "utf-8") -> list
     """
     files = sorted(spark.read.text(path).inputFiles())
     if len(files) < 2:
-        return [files]
+        return [[unquote(f) for f in files]]
     tasks = max(1, min(len(files), 4 * spark.sparkContext.defaultParallelism))
     listed = spark.createDataFrame([(f,) for f in files], "file STRING").repartition(tasks)
 
@@ -95,19 +96,26 @@ def csv_headers(spark: SparkSession, path: str, encoding: str = "utf-8") -> list
             yield pa.RecordBatch.from_arrays([batch.column("file"), pa.array([_first_line(f, encoding) for f in names], pa.string())],
                                              ["file", "line"])
 
-    try:
-        fs.FileSystem.from_uri(files[0])
+    if _openable(files[0]):
         found = listed.mapInArrow(first_lines, "file STRING, line STRING")
-    except (pa.ArrowInvalid, OSError):
+    else:
         text = spark.read.text(path).where("_metadata.file_block_start = 0 AND trim(value) <> ''")
         # the lines of a file's first block are in order and in one task
         found = text.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.first("value").alias("line"))
     groups: dict[str, list[str]] = {}
     for r in sorted(found.where("line IS NOT NULL").collect()):
-        groups.setdefault(r["line"], []).append(r["file"])
+        groups.setdefault(r["line"], []).append(unquote(r["file"]))
     return list(groups.values())
 
 
+def _openable(file: str) -> bool:
+    try:
+        fs.FileSystem.from_uri(file)
+    except (pa.ArrowInvalid, OSError):
+        return False
+    return True
+
+
 def _first_line(file: str, encoding: str) -> str | None:
     """The first line of a file that is not blank; with its quoted line breaks."""
     own, name = fs.FileSystem.from_uri(file)
