@@ -178,12 +178,17 @@ def candidates(text: str) -> list[Candidate]:
     if _DIGIT.search(text):
         wide += [("phone", *m.span(), False, 1, None) for m in _LOCAL_NUMBER.finditer(text)]
         wide += [("secret", *m.span(), False, 1, None) for m in _HEX.finditer(text)]
-    taken = sorted((a, b) for _, a, b, *_ in found)
+    taken: list[tuple[int, int]] = []  # apart from each other: base spans that overlap are one range
+    for a, b in sorted((a, b) for _, a, b, *_ in found):
+        if taken and a < taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(b, taken[-1][1]))
+        else:
+            taken.append((a, b))
     out = [Candidate(k, a, b, base, (rule, _gazetteer(k, text[a:b], key), _context(text, k, a)), _shape(text[a:b]))
            for k, a, b, base, rule, key in found]
     for k, a, b, base, rule, key in sorted(wide, key=lambda x: (x[1], -x[2], KINDS.index(x[0]))):
         i = bisect.bisect_left(taken, (a, a))
-        if i and max(e for _, e in taken[max(0, i - 4):i]) > a or i < len(taken) and taken[i][0] < b:
+        if i and taken[i - 1][1] > a or i < len(taken) and taken[i][0] < b:
             continue
         bisect.insort(taken, (a, b))
         out.append(Candidate(k, a, b, base, (rule, _gazetteer(k, text[a:b], key), _context(text, k, a)),
