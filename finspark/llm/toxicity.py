@@ -136,7 +136,7 @@ def _fit_bags(y, plain, doc, where, feature, n_features, start, steps, decay):
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, steps + 1):
         z = theta[0] + np.bincount(where, theta[1:][feature], n_sent)
-        p = 1 / (1 + np.exp(-z))
+        p = np.exp(-np.logaddexp(0, -z))
         p0 = 1 / (1 + math.exp(-theta[0]))
         none = -np.bincount(doc, np.logaddexp(0, z), n_docs) - plain * np.logaddexp(0, theta[0])
         some = -np.expm1(none)
