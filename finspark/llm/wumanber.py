@@ -8,15 +8,19 @@ in the block) split by their first block, and a direct comparison of words.
 
 Documents are scanned in place: no shuffle, no join.  The patterns are a
 stated query set, taken in blocks of at most ``max_patterns`` (window, item)
-pairs, which bounds what a task holds; each block scans all documents.
+pairs and ``MAX_BYTES`` of text, which bounds what a task holds; each block
+scans all documents.  Words are integers in the tables, which a Python worker
+builds once.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +29,7 @@ from finspark.llm.common import byte_texts, text_rows, text_slices
 
 WINDOW = 13
 MAX_PATTERNS = 500_000
+MAX_BYTES = 64 << 20
 
 # Fixed by the matching rule: A-Z become a-z; 0-9, a-z and all bytes of
 # non-ASCII characters belong to words; every other byte ends a word.
@@ -41,48 +46,99 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(_WORD_BYTES).split()
 
 
-class WuManber:
-    """Search tables over (item, words) pairs; ``find`` yields (first, last, items)."""
+class Patterns:
+    """Distinct (item, pattern) pairs in a compact form: words as integers, one matrix per pattern length."""
 
-    def __init__(self, patterns: list[tuple[str, tuple[bytes, ...]]]):
-        items: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
-        for item, pattern in patterns:
-            items[pattern].add(item)
+    def __init__(self, pairs: list[tuple[str, bytes]]):
+        items: dict[bytes, list[str]] = {}
+        for item, pattern in pairs:
+            items.setdefault(pattern, []).append(item)
+        number: dict[bytes, int] = {}
         by_length = defaultdict(list)
-        for pattern in items:
-            by_length[len(pattern)].append(pattern)
-        self._items = {p: frozenset(i) for p, i in items.items()}
-        self._groups = [self._tables(m, by_length[m]) for m in sorted(by_length)]
+        for pattern in sorted(items):
+            row = [number.setdefault(w, len(number)) for w in pattern.split(b" ")]
+            by_length[len(row)].append((row, pattern))
+        self.words = list(number)
+        self.names = sorted({n for own in items.values() for n in own})
+        place = {n: i for i, n in enumerate(self.names)}
+        # per length: word numbers of each pattern; where its items start, and the items
+        self.groups = []
+        for m in sorted(by_length):
+            own = [[place[n] for n in items[p]] for _, p in by_length[m]]
+            self.groups.append((np.array([r for r, _ in by_length[m]], np.int32).reshape(-1, m),
+                                np.cumsum([0, *map(len, own)]).astype(np.int32),
+                                np.array([x for o in own for x in o], np.int32)))
+
+
+class WuManber:
+    """Search tables over ``Patterns``; ``find`` yields (first, last, items).
+
+    A table per pattern length maps a block (the numbers of two words as one
+    integer) to how far the search may jump, or, negative, to the bucket of the
+    patterns that end in it.  A bucket is a range of the matrix, sorted by
+    first block.
+    """
+
+    def __init__(self, patterns: Patterns):
+        self._number = {w: i for i, w in enumerate(patterns.words)}
+        self._names = patterns.names
+        self._groups = [self._tables(*g) for g in patterns.groups]
 
     @staticmethod
-    def _tables(m: int, patterns: list[tuple[bytes, ...]]):
+    def _tables(rows: np.ndarray, starts: np.ndarray, items: np.ndarray):
+        n, m = rows.shape
         size = min(2, m)  # words in a block
-        shift: dict[tuple[bytes, ...], int] = {}
-        buckets: dict[tuple[bytes, ...], dict[tuple[bytes, ...], list]] = {}
-        for p in patterns:
-            for end in range(size, m + 1):
-                block = p[end - size:end]
-                shift[block] = min(shift.get(block, m), m - end)
-            buckets.setdefault(p[m - size:], {}).setdefault(p[:size], []).append(p)
-        return m, size, shift, buckets
-
-    def find(self, text: list[bytes]) -> Iterator[tuple[int, int, frozenset[str]]]:
-        for m, size, shift, buckets in self._groups:
-            skip, n, i = m - size + 1, len(text), m - 1
+        block = rows.astype(np.int64) if size == 1 else rows[:, :-1].astype(np.int64) << 32 | rows[:, 1:]
+        # the smallest jump of each block: its last place in any pattern
+        keys, jumps = block.ravel(), np.tile(np.arange(m - size, -1, -1), n)
+        order = np.lexsort((jumps, keys))
+        keys, jumps = keys[order], jumps[order]
+        new = np.concatenate(([True], keys[1:] != keys[:-1]))
+        keys, jumps = keys[new], jumps[new]
+        by = np.lexsort((block[:, 0], block[:, -1]))
+        last = block[by, -1]
+        bounds = np.flatnonzero(np.concatenate(([True], last[1:] != last[:-1], [True])))
+        # both tables ascend by block, so buckets follow the blocks with no jump
+        jumps[jumps == 0] = -1 - np.arange(len(bounds) - 1)
+        shift = dict(zip(keys.tolist(), jumps.tolist()))
+        return m, size, shift, bounds, block[by, 0], rows[by], by, starts, items
+
+    def find(self, text: list[bytes]) -> Iterator[tuple[int, int, list[str]]]:
+        at = [self._number.get(w, -1) for w in text]
+        for m, size, shift, bounds, first_block, rows, by, starts, items in self._groups:
+            skip, n, i = m - size + 1, len(at), m - 1
             jump = shift.get
             while i < n:
-                block = (text[i - 1], text[i]) if size == 2 else (text[i],)
-                step = jump(block, skip)
-                if step:
+                if at[i] < 0:  # a word of no pattern
+                    i += m
+                    continue
+                step = jump(at[i - 1] << 32 | at[i], skip) if size == 2 else jump(at[i], skip)
+                if step > 0:
                     i += step
                     continue
+                low, high = bounds[-1 - step], bounds[-step]
                 first = i - m + 1
-                for p in buckets[block].get(tuple(text[first:first + size]), ()):
-                    if all(a == b for a, b in zip(p, text[first:i + 1])):
-                        yield first, i, self._items[p]
+                head = at[first] << 32 | at[first + 1] if size == 2 else at[first]
+                own = first_block[low:high]
+                a, b = low + own.searchsorted(head), low + own.searchsorted(head, "right")
+                for p in range(a, b):
+                    if rows[p].tolist() == at[first:i + 1]:
+                        k = by[p]
+                        yield first, i, [self._names[x] for x in items[starts[k]:starts[k + 1]]]
                 i += 1
 
 
+_built: dict[str, WuManber] = {}
+
+
+def _tables_of(key: str, held) -> WuManber:
+    """The tables of a broadcast, built once per Python worker."""
+    if key not in _built:
+        _built.clear()
+        _built[key] = WuManber(held.value)
+    return _built[key]
+
+
 def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     for batch in text_slices(batches):
         ids, out = [], []
@@ -129,11 +185,17 @@ def _arrow_schema(id_type: pa.DataType) -> pa.Schema:
                       ("copy_key", pa.binary())])
 
 
-def _scan(docs: DataFrame, patterns: list[tuple[str, str]], keyed: bool) -> DataFrame:
-    held = docs.sparkSession.sparkContext.broadcast(patterns)
+def _broadcast(patterns: DataFrame):
+    """One block of pairs, which its bytes bound, in its compact form; and a name for it."""
+    held = Patterns([(r["item_id"], r["pattern"].encode()) for r in patterns.collect()])
+    return uuid.uuid4().hex, patterns.sparkSession.sparkContext.broadcast(held)
+
+
+def _scan(docs: DataFrame, patterns: DataFrame, keyed: bool) -> DataFrame:
+    key, held = _broadcast(patterns)
 
     def search(batches):
-        tables = WuManber([(i, tuple(p.encode().split(b" "))) for i, p in held.value])
+        tables = _tables_of(key, held)
         for batch in text_slices(batches):
             n_words, spans, items, keys = [], [], [], []
             for text in byte_texts(batch):
@@ -141,7 +203,7 @@ def _scan(docs: DataFrame, patterns: list[tuple[str, str]], keyed: bool) -> Data
                 found, who = set(), set()
                 for first, last, names in tables.find(w):
                     found.add((first, last))
-                    who |= names
+                    who.update(names)
                 n_words.append(len(w))
                 spans.append(_merged(list(found)))
                 items.append(who)
@@ -184,7 +246,8 @@ def is_contaminated(n_words, n_hit):
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, max_patterns: int):
     """The pattern pairs, in how many blocks they come, and the block of a pair."""
     pairs = benchmark_patterns(benchmark, item_col, text_col, window)
-    blocks = max(1, -(-pairs.count() // max_patterns))
+    n, size = pairs.agg(F.count(F.lit(1)), F.sum(F.octet_length("pattern") + F.octet_length("item_id"))).first()
+    blocks = max(1, -(-n // max_patterns), -(-(size or 0) // MAX_BYTES))
     return pairs, blocks, F.pmod(F.xxhash64("item_id", "pattern"), F.lit(blocks))
 
 
@@ -193,7 +256,7 @@ def _hits(rows: DataFrame, pairs: DataFrame, blocks: int, block) -> DataFrame:
     found = None
     for b in range(blocks):
         part = pairs if blocks == 1 else pairs.where(block == b)
-        hits = _scan(rows, [(r["item_id"], r["pattern"]) for r in part.collect()], keyed=blocks > 1)
+        hits = _scan(rows, part, keyed=blocks > 1)
         hits = hits.withColumn("block", F.lit(b))
         found = hits if found is None else found.unionAll(hits)
     return found.drop("block") if blocks == 1 else _union(found)
@@ -226,14 +289,16 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "d
     pairs, blocks, block = _blocks(benchmark, item_col, item_text_col, window, max_patterns)
     if blocks > 1:
         hits = _hits(text_rows(docs, id_col, text_col), pairs, blocks, block)
-        found = hits.where(is_contaminated(F.col("n_words"), F.col("n_hit"))).select(F.col("copy_key").alias("_found"))
+        taken, name = {c.lower() for c in docs.columns}, "_found"
+        while name in taken:
+            name += "_"
+        found = hits.where(is_contaminated(F.col("n_words"), F.col("n_hit"))).select(F.col("copy_key").alias(name))
         digest = F.unhex(F.sha2(F.col(f"`{text_col}`").cast("string").cast("binary"), 256))
-        return docs.join(found, digest == F.col("_found"), "left_anti")
-    patterns = [(r["item_id"], r["pattern"]) for r in pairs.collect()]
-    held = docs.sparkSession.sparkContext.broadcast(patterns)
+        return docs.join(found, digest == F.col(name), "left_anti")
+    key, held = _broadcast(pairs)
 
     def keep(batches):
-        tables = WuManber([(i, tuple(p.encode().split(b" "))) for i, p in held.value])
+        tables = _tables_of(key, held)
         for batch in text_slices(batches, text_col):
             clean = []
             for text in byte_texts(batch, text_col):
