@@ -14,6 +14,8 @@ from finspark.session import checkpoint_dir
 
 #: Text bytes that a Python worker holds at once (a longer text is a slice of its own).
 SLICE_BYTES = 4 << 20
+#: Text bytes of a range of ids that one task takes.
+RANGE_BYTES = 64 << 20
 
 
 def text_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -51,29 +53,28 @@ def fold(id_col: str, modulus: int):
     return F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % modulus
 
 
-def order_bounds(df: DataFrame, id_col: str, buckets: int) -> list[int]:
-    """At most ``buckets`` - 1 ids that cut the ids of ``df`` into ranges of about equal rows."""
-    shares = [i / buckets for i in range(1, buckets)]
-    if not shares:
-        return []
-    got = df.agg(F.percentile_approx(id_col, shares, max(10_000, 10 * buckets))).first()[0]
-    return sorted({int(b) for b in got or ()})
+def range_bounds(rows: DataFrame, bytes_per_range: int) -> list:
+    """The largest doc_id of all ranges but the last, ascending: ranges of about equal rows of a
+    ``text_rows`` table, enough for ``bytes_per_range`` of text each.
 
+    Spark samples the ids and deals them into ranges; one id a range, as many
+    as the shuffle that follows has partitions, comes to the driver.
+    """
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(least, -(-size // bytes_per_range))
+    ids = rows.select("doc_id").where("doc_id IS NOT NULL").repartitionByRange(ranges, "doc_id")
+    ends = ids.groupBy(F.spark_partition_id().alias("range")).agg(F.max("doc_id").alias("last")).collect()
+    return sorted(r["last"] for r in ends)[:-1]
 
-def bucket_of(id_col: str, bounds: list[int]):
+
+def bucket_of(id_col: str, bounds: list, id_type):
     """How many bounds lie below the id: its range, by a search in two levels."""
     if not bounds:
         return F.lit(0)
     step = max(1, int(len(bounds) ** 0.5))
-    kind = "array<bigint>"
+    array = lambda values: F.lit(values).cast(f"array<{id_type.simpleString()}>")
     below = lambda b: b < F.col(id_col)
-    coarse = F.size(F.filter(F.lit(bounds[step - 1::step]).cast(kind), below))
-    fine = F.size(F.filter(F.slice(F.lit(bounds).cast(kind), coarse * step + 1, F.lit(step)), below))
+    coarse = F.size(F.filter(array(bounds[step - 1::step]), below)) if len(bounds) >= step else F.lit(0)
+    fine = F.size(F.filter(F.slice(array(bounds), coarse * step + 1, F.lit(step)), below))
     return (coarse * step + fine).cast("int")
-
-
-def range_buckets(df: DataFrame, id_col: str, rows_per_bucket: int) -> list[int]:
-    """Bounds of enough ranges for ``rows_per_bucket`` rows each (a pass over the ids alone)."""
-    rows = df.select(id_col).where(F.col(id_col).isNotNull())
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return order_bounds(rows, id_col, max(least, -(-rows.count() // rows_per_bucket)))

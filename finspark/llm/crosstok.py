@@ -50,7 +50,7 @@ class ByteLevel:
     """A byte-level file of the tokenizers library; strings of special tokens are plain text."""
 
     def __init__(self, name: str):
-        self.encoder = Encoder(name)
+        self.encoder = Encoder(name, special_as_text=True)
         byte = _signs()
         vocabulary = self.encoder.library.get_vocab(with_added_tokens=False)
         self.token = [b""] * (max(vocabulary.values()) + 1)

@@ -30,26 +30,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finspark.llm.bpe import vocabulary_path
-from finspark.llm.common import bucket_of, byte_texts, range_buckets, text_rows, text_slices
+from finspark.llm.common import RANGE_BYTES, bucket_of, byte_texts, range_bounds, text_rows, text_slices
 from finspark.llm.pretokenize import PieceTable
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 LENGTH = 2048
 BATCH = 256  # sequences of a batch
-ROWS_PER_RANGE = 8192
 _PIECES = 20_000  # pieces encoded in one call
 
 
 class Encoder:
-    """A tokenizer file of the tokenizers library; ids come as bytes of ``dtype``."""
+    """A tokenizer file of the tokenizers library; ids come as bytes of ``dtype``.
 
-    def __init__(self, name: str):
+    Strings of special tokens in a text have the special ids, as the library
+    gives them; with ``special_as_text`` they are ordinary text.
+    """
+
+    def __init__(self, name: str, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores already
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(vocabulary_path(name))
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.library.encode_special_tokens = True  # pieces hold no special token
+        self.whole = self.library
+        self.special: list[bytes] = []
+        if not special_as_text:
+            self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+            self.whole = Tokenizer.from_file(vocabulary_path(name))
         size = max(self.library.get_vocab(with_added_tokens=True).values()) + 1
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         spec = json.loads(self.library.to_str())
@@ -97,16 +105,25 @@ class Encoder:
                     out[k] = raw[a:b]
         return out
 
+    def _whole(self, texts: list[bytes]) -> list[bytes]:
+        got = self.whole.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, self.dtype).tobytes() for e in got]
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_piece:
-            got = self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-            return [np.array(e.ids, self.dtype).tobytes() for e in got]
-        return self.known.texts(texts)
+            return self._whole(texts)
+        special = [k for k, t in enumerate(texts) if any(s in t for s in self.special)]
+        if not special:
+            return self.known.texts(texts)
+        out = self.known.texts([b"" if k in set(special) else t for k, t in enumerate(texts)])
+        for k, ids in zip(special, self._whole([texts[k] for k in special])):
+            out[k] = ids
+        return out
 
 
 @lru_cache(2)
-def encoder(name: str) -> Encoder:
-    return Encoder(name)
+def encoder(name: str, special_as_text: bool = False) -> Encoder:
+    return Encoder(name, special_as_text)
 
 
 def _schema(dtype: np.dtype, length: int, batch: int, end_id: int) -> pa.Schema:
@@ -226,26 +243,29 @@ class TokenFile:
 
 def write_store(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER, end_id: int = END_ID,
                 length: int = LENGTH, batch: int = BATCH, id_col: str = "doc_id", text_col: str = "text",
-                rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+                bytes_per_range: int = RANGE_BYTES, special_as_text: bool = False) -> DataFrame:
     """Encode all documents, append ``end_id`` to each and write them in ascending doc_id order.
 
     Returns the manifest: part (ascending), n_docs, n_tokens, start (ids in the
     files before).  ``folder`` is a new folder that all executors share.
 
     Null and empty texts give the end id alone.  Rows without doc_id come
-    first (by text), repeated doc_ids by text.  An empty table gives no files.
+    first (by text), repeated doc_ids by text; ids of any ordered type do.  An
+    empty table gives no files.  ``special_as_text``: as in ``Encoder``.
     """
     spark = docs.sparkSession
     rows = text_rows(docs, id_col, text_col)
-    bounds = range_buckets(rows, "doc_id", rows_per_range)
+    bounds = range_bounds(rows, bytes_per_range)
     nameless = -1 - F.pmod(F.xxhash64("text"), F.lit(len(bounds) + 1)).cast("int")
-    dealt = (rows.withColumn("part", F.when(F.col("doc_id").isNull(), nameless).otherwise(bucket_of("doc_id", bounds)))
-             .repartition(len(bounds) + 1, "part").sortWithinPartitions("part", "doc_id", "text"))
+    part = F.when(F.col("doc_id").isNull(), nameless).otherwise(bucket_of("doc_id", bounds, rows.schema["doc_id"].dataType))
+    # one range, one task; rows without doc_id go with a range as well
+    dealt = (rows.withColumn("part", part).repartitionById(len(bounds) + 1, F.pmod("part", F.lit(len(bounds) + 1)))
+             .sortWithinPartitions("part", "doc_id", "text"))
     fs_of, root = fs.FileSystem.from_uri(folder)
     fs_of.create_dir(root, recursive=True)
 
     def run(batches):
-        own = encoder(tokenizer)
+        own = encoder(tokenizer, special_as_text)
         part = writer = None
         done = []
 

@@ -18,11 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finspark.llm.common import bucket_of, range_buckets, text_rows, text_slices
+from finspark.llm.common import RANGE_BYTES, bucket_of, range_bounds, text_rows, text_slices
 
 GRAM = 16
 WINDOW = 49
-ROWS_PER_BUCKET = 8192
 _CHUNK = 1 << 18  # windows of a long text taken at a time
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 _LOW = np.uint64(0xFFFFFFFF)
@@ -123,15 +122,16 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                 "hashes array<long>, positions array<long>")
 
 
-def _followed(docs: DataFrame, id_col: str, text_col: str, rows_per_bucket: int) -> DataFrame:
+def _followed(docs: DataFrame, id_col: str, text_col: str, bytes_per_range: int) -> DataFrame:
     """Rows dealt into ranges of descending doc_id, sorted, each range ended by the row that follows it.
 
     The text moves once.  The first rows of the ranges (one id each) are all
     that the driver sees.
     """
     rows = text_rows(docs, id_col, text_col)
-    bounds = range_buckets(rows, "doc_id", rows_per_bucket)
-    own = rows.withColumn("bucket", F.when(F.col("doc_id").isNotNull(), bucket_of("doc_id", bounds))
+    bounds = range_bounds(rows, bytes_per_range)
+    id_type = rows.schema["doc_id"].dataType
+    own = rows.withColumn("bucket", F.when(F.col("doc_id").isNotNull(), bucket_of("doc_id", bounds, id_type))
                           .otherwise(F.pmod(F.xxhash64("text"), F.lit(len(bounds) + 1)).cast("int")))
     heads = (own.where("doc_id IS NOT NULL").groupBy("bucket").agg(F.max("doc_id").alias("doc_id"))
              .orderBy("bucket").collect())
@@ -146,7 +146,7 @@ def _followed(docs: DataFrame, id_col: str, text_col: str, rows_per_bucket: int)
             F.when(F.col("above").isNotNull(), F.struct(F.col("above").alias("bucket"), F.lit(True).alias("after"))),
         ))).alias("at"))
     dealt = both.select("at.bucket", "at.after", "doc_id", "text")
-    return (dealt.repartition(len(bounds) + 1, "bucket")
+    return (dealt.repartitionById(len(bounds) + 1, "bucket")  # one range, one task
             .sortWithinPartitions("bucket", F.col("doc_id").isNotNull(), "after", F.col("doc_id").desc(), "text"))
 
 
@@ -157,7 +157,7 @@ def edited_text(text: str, following: str) -> str:
 
 
 def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM,
-                   window: int = WINDOW, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                   window: int = WINDOW, bytes_per_range: int = RANGE_BYTES) -> DataFrame:
     """Fingerprints of every text and of its edited text, and how alike they are.
 
     The next document is that of the next smaller doc_id (after the smallest:
@@ -168,7 +168,7 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Null is the empty text.  Rows that repeat a doc_id follow each other by
     text.  A row without doc_id has no next document: an empty one is taken.
     """
-    ordered = _followed(docs, id_col, text_col, rows_per_bucket)
+    ordered = _followed(docs, id_col, text_col, bytes_per_range)
     kind = ordered.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "n_chars", "edited_sha256", "selected", "edited_selected", "near_edited", "near_next"]
 

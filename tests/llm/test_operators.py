@@ -78,7 +78,7 @@ def test_compare_edited_follows_descending_ids(spark):
     rng = random.Random(4)
     texts = {i: prose(rng, rng.randint(0, 60)) for i in rng.sample(range(1000), 60)}
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r["doc_id"]: r for r in winnowing.compare_edited(df, rows_per_bucket=5).collect()}
+    got = {r["doc_id"]: r for r in winnowing.compare_edited(df, bytes_per_range=300).collect()}
     ids = sorted(texts, reverse=True)
     assert len(got) == len(ids)
     for at, i in enumerate(ids):
@@ -597,7 +597,6 @@ def test_langid_held_out(spark, odd_docs):
 def check_store(spark, df, folder, **sizes):
     from tokenizers import Tokenizer
     library = Tokenizer.from_file(bpe.vocabulary_path(token_store.TOKENIZER))
-    library.encode_special_tokens = True
     listed = token_store.write_store(df, folder, **sizes)
     got = token_store.read_store(listed, folder).collect()
     rows = sorted((r["doc_id"], r["text"] or "") for r in df.collect() if r["doc_id"] is not None)
@@ -613,10 +612,10 @@ def check_store(spark, df, folder, **sizes):
 
 def test_token_store_round_trip(spark, odd_docs, tmp_dir):
     pytest.importorskip("tokenizers")
-    check_store(spark, odd_docs, f"file://{tmp_dir}/a", length=16, batch=4, rows_per_range=3)
+    check_store(spark, odd_docs, f"file://{tmp_dir}/a", length=16, batch=4, bytes_per_range=9000)
     rng = random.Random(12)
     many = spark.createDataFrame([(i, prose(rng, rng.randint(0, 90))) for i in range(200)], "doc_id long, text string")
-    listed = check_store(spark, many, f"{tmp_dir}/b", length=32, batch=3, rows_per_range=50)
+    listed = check_store(spark, many, f"{tmp_dir}/b", length=32, batch=3, bytes_per_range=2000)
     part = listed.orderBy("part").first()
     file = token_store.TokenFile(f"{tmp_dir}/b/tokens-{part['part']:+07d}.arrows")
     flat = np.concatenate(list(file.documents()))
@@ -628,14 +627,44 @@ def test_token_store_round_trip(spark, odd_docs, tmp_dir):
     assert token_store.read_store(listed, f"{tmp_dir}/c").count() == 0
 
 
+def test_token_store_special_strings_and_text_ids(spark, tmp_dir):
+    pytest.importorskip("tokenizers")
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "plain", "<|endof", "x<|endoftext|><|endoftext|>y\n"]
+    special = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check_store(spark, special, f"{tmp_dir}/a")
+    own = token_store.encoder(token_store.TOKENIZER)
+    ids = np.frombuffer(own.encode([texts[0].encode()])[0], own.dtype)
+    assert ids.tolist() == [64, 220, 50256, 275]
+    as_text = token_store.encoder(token_store.TOKENIZER, special_as_text=True)
+    assert 50256 not in np.frombuffer(as_text.encode([texts[0].encode()])[0], as_text.dtype)
+    named = spark.createDataFrame([(f"a{i:02d}", f"text {i}") for i in range(30)], "doc_id string, text string")
+    listed = token_store.write_store(named, f"{tmp_dir}/b", bytes_per_range=20)
+    got = token_store.read_store(listed, f"{tmp_dir}/b", "string").orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == [f"a{i:02d}" for i in range(30)] and listed.count() > 3
+
+
+def test_winnowing_text_ids(spark):
+    rng = random.Random(14)
+    texts = {f"a{i:02d}": prose(rng, 30) for i in range(40)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id string, text string")
+    got = {r["doc_id"]: r["edited_sha256"] for r in winnowing.compare_edited(df, bytes_per_range=100).collect()}
+    ids = sorted(texts, reverse=True)
+    assert got == {i: hashlib.sha256(winnowing.edited_text(texts[i], texts[j]).encode()).hexdigest()
+                   for i, j in zip(ids, ids[1:] + ids[:1])}
+
+
 def test_pieces_encode_like_whole_texts():
     pytest.importorskip("tokenizers")
     own = token_store.encoder(token_store.TOKENIZER)
     assert own.by_piece
     texts = odd_texts(4000, 13)
-    want = own.library.encode_batch(texts, add_special_tokens=False)
-    got = own.encode([t.encode() for t in texts])
-    assert [np.frombuffer(g, own.dtype).tolist() for g in got] == [w.ids for w in want]
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(bpe.vocabulary_path(token_store.TOKENIZER))
+    for as_text in (False, True):
+        library.encode_special_tokens = as_text
+        want = library.encode_batch(texts, add_special_tokens=False)
+        got = token_store.encoder(token_store.TOKENIZER, as_text).encode([t.encode() for t in texts])
+        assert [np.frombuffer(g, own.dtype).tolist() for g in got] == [w.ids for w in want]
 
 
 # 9 quality
@@ -744,3 +773,80 @@ def test_every_row_is_judged_by_its_own_text(spark, block):
     items = spark.createDataFrame([(1, bad), (2, part)], "item_id long, text string")
     left = [tuple(r) for r in wumanber.without_contaminated(df, items, max_patterns=block).collect()]
     assert sorted(left, key=str) == sorted((d for d in docs if d[1] not in (bad, part)), key=str)
+
+
+# odd cases of several operators
+
+def test_pii_added_spans_stay_outside_base_spans():
+    """However many base spans lie between the start of one and the candidate."""
+    text = ".".join(["1.2.3.4"] * 6) + "-" + "0123456789abcdef" * 3 + "@x.example and key=" + "9f" * 20
+    got = pii.candidates(text)
+    base, other = ([(c.start, c.end) for c in got if c.base == which] for which in (True, False))
+    assert base and other
+    assert not any(a < d and c < b for a, b in other for c, d in base)
+
+
+def test_contamination_with_clashing_columns_and_several_blocks(spark):
+    rng = random.Random(15)
+    passage = prose(rng, 30)
+    bench = spark.createDataFrame([("i", passage)], "item_id string, text string")
+    docs = spark.createDataFrame([(1, passage, "x"), (2, prose(random.Random(16), 60), None), (None, passage, "y")],
+                                 "doc_id long, text string, _found string")
+    for most in (1, 500_000):
+        kept = wumanber.without_contaminated(docs, bench, max_patterns=most)
+        assert kept.columns == docs.columns and [r["doc_id"] for r in kept.collect()] == [2]
+
+
+def test_toxicity_scores_are_noisy_or():
+    """Plain noisy-or over all sentences, one word at a time, without caches or shortcuts."""
+    rng = random.Random(17)
+    model = toxicity.Model(-3.0, {f: rng.uniform(-1, 4) for w in WORDS[:6] for f in toxicity.features(w)})
+    for n in (0, 1, 7, 60, 400):
+        text = "".join(rng.choice(WORDS) + rng.choice([" ", " ", " ", ". ", "!\n", "? "]) for _ in range(n))
+        spared = 1.0
+        for a, b in toxicity.sentences(text.lower()):
+            z = model.bias + sum(model.weights.get(f, 0.0) for w in set(re.findall(toxicity._WORD.pattern, text.lower()[a:b]))
+                                 for f in set(toxicity.features(w)))
+            spared *= 1 - 1 / (1 + np.exp(-z))
+        assert model.score(text)[0] == pytest.approx(1 - spared, abs=1e-9)
+
+
+def test_toxicity_fit_is_steady():
+    with np.errstate(over="raise"):
+        toxicity._fit_bags(np.array([True, False]), np.array([0.0, 3.0]), np.array([0, 1]), np.array([0, 1]), np.array([0, 0]),
+                           1, np.array([-900.0]), 5, 0.0)
+
+
+def test_quality_is_dense_ridge_and_isotonic(spark):
+    """All rows in one matrix, the normal equations solved at once, and an isotonic fit by min-max means."""
+    rng = random.Random(18)
+    texts = {i: prose(rng, rng.randint(1, 60)) + rng.choice(["", "!!! $$$ 00 11", "\nA line.\nB line."]) for i in range(400)}
+    label = {i: int("$" not in t and rng.random() < 0.9) for i, t in texts.items()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame(list(label.items()), "doc_id long, quality int")
+    model = quality.fit(quality.statistics(docs), labels, features=32)
+    x = quality.text_statistics([texts[i].encode() for i in texts])
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.spread, np.where(x.std(axis=0) > 1e-9, x.std(axis=0), 1))
+    rest = np.array([zlib.crc32(str(i).encode()) % 5 for i in texts])
+    y = np.array([label[i] for i in texts], float)
+    z = np.column_stack((np.sqrt(2 / 32) * np.cos(np.clip((x - model.mean) / model.spread, -8, 8) @ model.waves + model.phase),
+                         np.ones(len(x))))
+    taught = (rest != 0) & (rest != 4)
+    own = z[taught]
+    penalty = np.diag([quality.RIDGE * len(own) / 10] * 32 + [0.0]) + np.eye(33) * 1e-9
+    weights = np.linalg.solve(own.T @ own + penalty, own.T @ y[taught])
+    assert np.allclose(model.weights, weights, atol=1e-7)
+    raw = z[rest == 4] @ weights
+    b = np.clip(raw * quality.BINS / 2 + quality.BINS / 4, 0, quality.BINS).astype(int)
+    bins = sorted(set(b.tolist()))
+    mean, size = np.array([y[rest == 4][b == k].mean() for k in bins]), np.array([float((b == k).sum()) for k in bins])
+
+    def average(i, j):
+        return float((mean[i:j + 1] * size[i:j + 1]).sum() / size[i:j + 1].sum())
+
+    fit = [max(min(average(i, j) for j in range(k, len(bins))) for i in range(k + 1)) for k in range(len(bins))]
+    at = (np.array(bins) + 0.5 - quality.BINS / 4) * 2 / quality.BINS
+    knots_x, knots_y = model.knots
+    assert np.allclose(sorted(set(np.round(knots_y[1:-1], 9))), sorted(set(np.round(fit, 9))))
+    blocks = {v: np.average(at[np.isclose(fit, v)], weights=size[np.isclose(fit, v)]) for v in set(np.round(fit, 9))}
+    assert np.allclose(sorted(knots_x[1:-1]), sorted(blocks.values()))
