@@ -104,25 +104,25 @@ class WuManber:
         return m, size, shift, bounds, block[by, 0], rows[by], by, starts, items
 
     def find(self, text: list[bytes]) -> Iterator[tuple[int, int, list[str]]]:
-        at = [self._number.get(w, -1) for w in text]
+        number = self._number.get  # words are numbered where the search looks, most are jumped over
         for m, size, shift, bounds, first_block, rows, by, starts, items in self._groups:
-            skip, n, i = m - size + 1, len(at), m - 1
+            skip, n, i = m - size + 1, len(text), m - 1
             jump = shift.get
             while i < n:
-                if at[i] < 0:  # a word of no pattern
+                end = number(text[i], -1)
+                if end < 0:  # a word of no pattern
                     i += m
                     continue
-                step = jump(at[i - 1] << 32 | at[i], skip) if size == 2 else jump(at[i], skip)
+                step = jump(number(text[i - 1], -1) << 32 | end, skip) if size == 2 else jump(end, skip)
                 if step > 0:
                     i += step
                     continue
                 low, high = bounds[-1 - step], bounds[-step]
                 first = i - m + 1
-                head = at[first] << 32 | at[first + 1] if size == 2 else at[first]
-                own = first_block[low:high]
-                a, b = low + own.searchsorted(head), low + own.searchsorted(head, "right")
-                for p in range(a, b):
-                    if rows[p].tolist() == at[first:i + 1]:
+                own = [number(w, -1) for w in text[first:i + 1]]
+                head, bucket = own[0] << 32 | own[1] if size == 2 else own[0], first_block[low:high]
+                for p in range(low + bucket.searchsorted(head), low + bucket.searchsorted(head, "right")):
+                    if rows[p].tolist() == own:
                         k = by[p]
                         yield first, i, [self._names[x] for x in items[starts[k]:starts[k + 1]]]
                 i += 1
