@@ -259,7 +259,7 @@ def _long_series(df: DataFrame, keys: list[str], R: int):
     return out, out.count()
 
 
-def _count_table(data: DataFrame, keys: list[str], order: str, price: Column, tie_break: tuple,
+def _count_table(data: DataFrame, keys: list[str], order: str, price: Column | str, tie_break: tuple,
                  R: int, halo: int):
     """Block placement per (key, bucket) cell of the keys whose series holds
     more than one block (``R`` rows), written once; returns it with the rows
@@ -269,6 +269,7 @@ def _count_table(data: DataFrame, keys: list[str], order: str, price: Column, ti
     or carry, so its cells are left out.  There are at most (rows / R) such
     long series, which keeps this table small however many keys there are.
     """
+    price = F.col(price) if isinstance(price, str) else price
     cells = data.groupBy(*keys, "_bkt").agg(
         F.count(F.lit(1)).alias("_n"),
         F.max_by(price, F.when(price.isNotNull(),

@@ -174,7 +174,8 @@ def stream_bounded_resume(spark, sf):
 
 
 # -------------------------------------------------------------------- NaN
-_NAN = F.lit(float("nan"))
+def _nan():
+    return F.lit(float("nan"))
 
 
 @register("group_agg_nan", """
@@ -184,7 +185,7 @@ SELECT l_returnflag, COALESCE(SUM(q), 0) AS q_sum, round(AVG(q), 6) AS q_mean, M
 FROM l GROUP BY l_returnflag""")
 def group_agg_nan(spark, sf):
     """NaN is no value: it is not counted and leaves sums, means and extremes alone."""
-    li = table(spark, sf, "lineitem").select("l_returnflag", F.when(F.col("l_linenumber") == 3, _NAN).otherwise(
+    li = table(spark, sf, "lineitem").select("l_returnflag", F.when(F.col("l_linenumber") == 3, _nan()).otherwise(
         F.col("l_quantity")).alias("q"))
     out = group_aggregate(li, "l_returnflag", {"q": ["sum", "mean", "min", "max", "count", "std", "nunique", "median"]})
     return out.withColumns({c: F.round(c, 6) for c in ("q_mean", "q_std")})
@@ -216,7 +217,7 @@ WITH o AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS m, CASE WHEN
 SELECT last_day(m) AS o_orderdate, round(AVG(p), 6) AS p_mean, round(COALESCE(SUM(p), 0), 4) AS p_sum, MIN(p) AS p_min, MAX(p) AS p_max,
        COUNT(p) AS p_count FROM o GROUP BY m""")
 def resample_nan(spark, sf):
-    o = table(spark, sf, "orders").select("o_orderdate", F.when(F.col("o_orderkey") % 3 == 0, _NAN).otherwise(
+    o = table(spark, sf, "orders").select("o_orderdate", F.when(F.col("o_orderkey") % 3 == 0, _nan()).otherwise(
         F.col("o_totalprice")).alias("p"))
     out = resample(o, "o_orderdate", "M", ["p"])
     return out.withColumns({"p_mean": F.round("p_mean", 6), "p_sum": F.round("p_sum", 4)})
@@ -228,7 +229,7 @@ _NAN_QUOTES = ("SELECT * REPLACE (CASE WHEN day(trade_date) % 5 <> 0 THEN CAST(f
 
 
 def _nan_quotes(spark, sf):
-    return quotes(spark, sf).withColumn("close_price", F.when(F.dayofmonth("trade_date") % 5 == 0, _NAN).otherwise(
+    return quotes(spark, sf).withColumn("close_price", F.when(F.dayofmonth("trade_date") % 5 == 0, _nan()).otherwise(
         F.floor("close_price").cast("double")))
 
 
@@ -265,7 +266,7 @@ FROM (SELECT * REPLACE (CASE WHEN day(position_date) % 4 <> 0 THEN current_price
     positions=POSITIONS_SQL))
 def portfolio_nan(spark, sf):
     """A position without a price has no weight; the others share the total of those that have one."""
-    p = positions(spark, sf).withColumn("current_price", F.when(F.dayofmonth("position_date") % 4 == 0, _NAN).otherwise(
+    p = positions(spark, sf).withColumn("current_price", F.when(F.dayofmonth("position_date") % 4 == 0, _nan()).otherwise(
         F.col("current_price")))
     return portfolio_analytics(p).select("portfolio_id", "symbol", "position_date",
                                          F.round("market_value", 6).alias("market_value"), F.round("weight", 9).alias("weight"))

@@ -162,12 +162,12 @@ def read_json(spark: SparkSession, path: str, lines: bool = False, schema=None)
     return nan_to_null(r.json(path))
 
 
-def read_parquet(spark: SparkSession, path: str, columns=None, normalize_nan: bool = True) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str, columns=None, normalize_nan: bool = False) -> DataFrame:
     """S3: Parquet; a column list is a projection Catalyst pushes into the scan.
 
-    Float NaN becomes NULL, as in every source.  A filter on such a column is
-    then not pushed into the scan; ``normalize_nan=False`` leaves the columns
-    as they are, and the operators take NaN as missing all the same."""
+    ``normalize_nan`` turns float NaN into NULL, as the text sources do.  It is
+    off by default: a filter on a wrapped column is not pushed into the scan,
+    and the operators take NaN as missing all the same."""
     df = spark.read.parquet(path)
     df = df.select(*columns) if columns else df
     return nan_to_null(df) if normalize_nan else df
