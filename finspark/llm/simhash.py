@@ -1,20 +1,17 @@
 """SimHash near-duplicates by a byte-position inverted index with count filtering.
 
 A 64-bit fingerprint is eight positional bytes.  Two fingerprints that differ
-in at most d bits share at least 8 - d of them.  The index posts every distinct
-fingerprint under each choice of four positions with the bytes there (70
-postings), so such a pair meets in at least C(8 - d, 4) lists: 15 for d = 2.
-The lists in which a pair meets are tallied; pairs that share four or five
-bytes meet in one or five lists and are rejected by the count (for d = 2),
-the bits of the rest are compared.  An index of single bytes would have 2048
-lists that each hold 1/256 of the corpus.
-
-A list of more than ``ALL_PAIRS`` fingerprints does not form all its pairs.  It
-is cut by 4 - d further positions, under each choice of them: a pair within d
-bits shares those, too, and what meets in no part shares too few bytes to
-reach the count.  A part that is still long looks each fingerprint up with up
-to d bits of its d free bytes flipped.  So pairs never grow with the square of
-a list, and no link is lost.
+in at most d bits share at least 8 - d of them, so they meet under some choice
+of 8 - d positions.  The index posts every distinct fingerprint under each
+such choice (28 of them for d = 2).  A posting list fixes 8 - d bytes, hence
+holds at most 256^d distinct fingerprints whatever the data are; an index of
+single bytes would have 2048 lists that each hold 1/256 of the corpus.  The
+key of a list thereby guarantees the minimum count, so a tally of shared bytes
+rejects nothing there, and the bits decide.  Lists of up to ``_ALL_PAIRS`` form
+all pairs, longer ones look up each fingerprint with up to d bits of the d left
+out bytes flipped, which does not grow with the square.  A pair is judged in the
+first list that holds it, and a list gives a spanning forest of its links, so
+links never outnumber postings.
 
 Exact copies share a fingerprint and are grouped before the index.
 """
@@ -22,7 +19,7 @@ Exact copies share a fingerprint and are grouped before the index.
 from __future__ import annotations
 
 import hashlib
-import math
+from collections.abc import Iterator
 from itertools import accumulate, combinations, repeat
 
 import numpy as np
@@ -38,11 +35,9 @@ SHINGLE = 3
 MAX_BITS = 2
 SEED = 42
 _CHUNK = 1 << 16  # shingles hashed at a time
-ALL_PAIRS = 32  # up to this list length pairs are formed directly
-_KEY_BYTES = 4  # positions of a posting list's key
-_ALL = 0xFFFFFFFFFFFFFFFF
-_PAIRS = 1 << 18  # pairs passed on at a time
+_ALL_PAIRS = 128  # up to this list length pairs are formed directly
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
+_ONES = _BITS.sum(axis=1)
 
 
 def simhash(text: bytes, shingle: int = SHINGLE) -> int:
@@ -90,80 +85,88 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 class _Index:
-    """Choices of positions for d bits: masks of the keys, the least count, and how long lists are cut."""
+    """The position choices for d bits: masks of the kept bytes, and the first choice for a pair."""
 
-    def __init__(self, max_bits: int, all_pairs: int = ALL_PAIRS):
+    def __init__(self, max_bits: int):
         if not 1 <= max_bits <= 3:
             raise ValueError("max_bits must be 1, 2 or 3")
-        self.max_bits, self.all_pairs = max_bits, all_pairs
-        self.least = math.comb(8 - max_bits, _KEY_BYTES)
-        self.kept = list(combinations(range(8), _KEY_BYTES))
-        self.masks = [_mask(c) for c in self.kept]
-        # per choice: which d of the other bytes a part leaves free, and the XOR masks within them
-        self.free = [list(combinations(sorted(set(range(8)) - set(c)), max_bits)) for c in self.kept]
-
-    def _flips(self, free: tuple) -> list[int]:
-        bits = [1 << (8 * k + b) for k in free for b in range(8)]
-        return [sum(x) for r in range(1, self.max_bits + 1) for x in combinations(bits, r)]
-
-    def pairs(self, fps: np.ndarray, choice: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of one list (distinct fingerprints) that the list adds to the tally, each once."""
-        if len(fps) <= self.all_pairs:
+        self.max_bits = max_bits
+        self.left_out = list(combinations(range(8), max_bits))
+        self.masks = [~sum(0xFF << (8 * k) for k in c) & 0xFFFFFFFFFFFFFFFF for c in self.left_out]
+        # by the set of differing bytes: the first choice that leaves all of them out
+        self.first = np.full(256, 255, np.uint8)
+        for diff in range(256):
+            need = {k for k in range(8) if diff >> k & 1}
+            self.first[diff] = next((i for i, c in enumerate(self.left_out) if need <= set(c)), 255)
+        self.flips = []  # per choice: the XOR masks within the left-out bytes
+        for c in self.left_out:
+            bits = [1 << (8 * k + b) for k in c for b in range(8)]
+            self.flips.append(np.array([sum(x) for r in range(1, max_bits + 1) for x in combinations(bits, r)],
+                                       np.uint64))
+
+    def linked(self, x: np.ndarray, choice: np.ndarray | int) -> np.ndarray:
+        """Of the XORs of pairs in a list: tally shared bytes, keep the minimum, verify bits, judge once."""
+        parts = x.view(np.uint8).reshape(-1, 8)
+        differ = parts != 0
+        enough = 8 - differ.sum(axis=1) >= 8 - self.max_bits
+        near = _ONES[parts].sum(axis=1) <= self.max_bits
+        which = np.packbits(differ, axis=1, bitorder="little").ravel()
+        return enough & near & (self.first[which] == choice) & (x != 0)
+
+    def links(self, fps: np.ndarray, choice: int) -> list[tuple[int, int]]:
+        """Spanning forest of the links within one posting list (sorted distinct fingerprints)."""
+        if len(fps) <= _ALL_PAIRS:
             i, j = np.triu_indices(len(fps), 1)
-            return fps[i], fps[j]
-        found = [self._part_pairs(fps, free, self.free[choice][:at]) for at, free in enumerate(self.free[choice])]
-        return tuple(np.concatenate(side) for side in zip(*found))
-
-    def _part_pairs(self, fps: np.ndarray, free: tuple, earlier: list[tuple]):
-        """Pairs that differ in the free bytes alone, but not in those of an earlier choice alone."""
-        key = fps & np.uint64(~_mask(free) & _ALL)
-        order = np.lexsort((fps, key))
-        fps, key = fps[order], key[order]
-        cuts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
-        left, right = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            own = fps[a:b]
-            if len(own) > self.all_pairs:
-                for flip in self._flips(free):
-                    want = own ^ np.uint64(flip)
-                    at = np.minimum(np.searchsorted(own, want), len(own) - 1)
-                    ok = (own[at] == want) & (own < want)
-                    left.append(own[ok])
-                    right.append(want[ok])
-            elif len(own) > 1:
-                i, j = np.triu_indices(len(own), 1)
-                left.append(own[i])
-                right.append(own[j])
-        left, right = np.concatenate(left), np.concatenate(right)
-        differ = left ^ right
-        new = np.ones(len(left), bool)
-        for other in earlier:
-            new &= (differ & np.uint64(~_mask(other) & _ALL)) != 0
-        return left[new], right[new]
-
-
-def _mask(positions) -> int:
-    return sum(0xFF << (8 * k) for k in positions)
-
-
-def _list_pairs(batches, max_bits: int, all_pairs: int):
-    """Pairs of posting lists that arrive sorted by (choice, key); a list may span batches."""
-    index = _Index(max_bits, all_pairs)
+            ok = self.linked(fps[i] ^ fps[j], choice)
+            pairs = zip(i[ok].tolist(), j[ok].tolist())
+        else:
+            pairs = self._probed(fps, choice)
+        root = list(range(len(fps)))
+
+        def top(k):
+            while root[k] != k:
+                root[k] = root[root[k]]
+                k = root[k]
+            return k
+
+        out = []
+        for a, b in pairs:
+            ra, rb = top(a), top(b)
+            if ra != rb:
+                root[max(ra, rb)] = min(ra, rb)
+                out.append((a, b))
+        return out
+
+    def _probed(self, fps: np.ndarray, choice: int) -> Iterator[tuple[int, int]]:
+        for flip in self.flips[choice]:
+            want = fps ^ flip
+            at = np.minimum(np.searchsorted(fps, want), len(fps) - 1)
+            ok = (fps[at] == want) & (fps < want)
+            ok[ok] = self.linked(fps[ok] ^ want[ok], choice)
+            yield from zip(np.flatnonzero(ok).tolist(), at[ok].tolist())
+
+
+def _list_links(batches, max_bits: int):
+    """Links of posting lists that arrive sorted by (choice, key); a list may span batches."""
+    index = _Index(max_bits)
+    names = ["a", "b"]
 
     def emit(choice, key, fp):
         new = np.flatnonzero((choice[1:] != choice[:-1]) | (key[1:] != key[:-1])) + 1
         first = np.concatenate(([0], new))
         size = np.diff(np.append(first, len(fp)))
         two = first[size == 2]
-        left, right = [fp[two]], [fp[two + 1]]
+        ok = index.linked(fp[two] ^ fp[two + 1], choice[two])
+        a, b = [fp[two[ok]]], [fp[two[ok] + 1]]
         for at, n in zip(first[size > 2].tolist(), size[size > 2].tolist()):
-            i, j = index.pairs(np.sort(fp[at:at + n]), int(choice[at]))
-            left.append(i)
-            right.append(j)
-        left, right = np.concatenate(left), np.concatenate(right)
-        a, b = np.minimum(left, right).view(np.int64), np.maximum(left, right).view(np.int64)
-        for at in range(0, len(a), _PAIRS):
-            yield pa.RecordBatch.from_arrays([pa.array(a[at:at + _PAIRS]), pa.array(b[at:at + _PAIRS])], ["a", "b"])
+            own = np.sort(fp[at:at + n])
+            found = index.links(own, int(choice[at]))
+            if found:
+                i, j = np.array(found).T
+                a.append(own[i])
+                b.append(own[j])
+        a, b = np.concatenate(a).view(np.int64), np.concatenate(b).view(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names)
 
     held = None
     for batch in batches:
@@ -178,23 +181,21 @@ def _list_pairs(batches, max_bits: int, all_pairs: int):
         cut = len(fp) - int(np.argmin(last[::-1])) if not last.all() else 0
         held = [x[cut:] for x in now]
         if cut:
-            yield from emit(choice[:cut], key[:cut], fp[:cut])
+            yield emit(choice[:cut], key[:cut], fp[:cut])
     if held is not None:
-        yield from emit(*held)
+        yield emit(*held)
 
 
-def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, all_pairs: int = ALL_PAIRS) -> DataFrame:
-    """(a, b): all pairs of fingerprints (column fp, distinct) that differ in at most ``max_bits`` bits, once each."""
-    index = _Index(max_bits, all_pairs)
+def near_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(a, b) fingerprint links that connect all fingerprints (column fp, distinct) within ``max_bits`` bits."""
+    index = _Index(max_bits)
     signed = [m - (1 << 64) if m >> 63 else m for m in index.masks]
     posts = F.array(*(F.struct(F.lit(i).cast("tinyint").alias("choice"),
                                F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key"))
                       for i, m in enumerate(signed)))
     posted = distinct.select("fp", F.explode(posts).alias("p")).select("p.choice", "p.key", "fp")
     lists = posted.repartition("choice", "key").sortWithinPartitions("choice", "key")
-    met = lists.mapInArrow(lambda it: _list_pairs(it, max_bits, all_pairs), "a long, b long")
-    return (met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("lists")).where(F.col("lists") >= index.least)
-            .where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits).select("a", "b"))
+    return lists.mapInArrow(lambda it: _list_links(it, max_bits), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
