@@ -126,7 +126,7 @@ def q_insert_ignore(spark, sf):
     # the batch holds every order twice (+1 and +2): the first copy wins
     b1 = o.withColumn("o_totalprice", F.col("o_totalprice") + 1).withColumn("seq", F.lit(1))
     b2 = o.withColumn("o_totalprice", F.col("o_totalprice") + 2).withColumn("seq", F.lit(2))
-    insert_ignore(b1.unionByName(b2), t, "o_orderkey", order_col="seq")
+    insert_ignore(b1.unionByName(b2), t, "o_orderkey", order_col="seq", stored=True)
     return t.read()
 
 
@@ -145,7 +145,7 @@ def q_upsert(spark, sf):
     b1 = src.withColumns({"o_totalprice": F.col("o_totalprice") * 2, "seq": F.lit(1),
                           "o_orderpriority": F.lit("9-CHANGED")})
     b2 = src.withColumns({"o_totalprice": F.col("o_totalprice") * 3, "seq": F.lit(2)})
-    upsert(b1.unionByName(b2), t, "o_orderkey", update_columns=["o_totalprice"], order_col="seq")
+    upsert(b1.unionByName(b2), t, "o_orderkey", update_columns=["o_totalprice"], order_col="seq", stored=True)
     return t.read()
 
 

@@ -486,34 +486,41 @@ def upsert(df: DataFrame, table: Table, key, update_columns=None,
     if not stored and any(df.schema[k].nullable for k in key):
         df = staged(df, "upsert_batch")
     keyed, nameless = _by_key(df, key)
-    src = _and(_one_per_key(keyed, key, order_col, last=True), nameless)
+    src = _one_per_key(keyed, key, order_col, last=True)
     if order_col and order_col not in (table.read().columns if table.exists() else []):
-        src = src.drop(order_col)
+        src, nameless = src.drop(order_col), nameless and nameless.drop(order_col)
     if not table.exists():
-        return table.commit(src)
-    spark, obs = table.spark, Observation("upsert_source")
-    tgt = table.read()
+        return table.commit(_and(src, nameless))
+    spark, tgt = table.spark, table.read()
     cols = tgt.columns
-    scratch, touched = [], None
+    scratch, touched, counts = [], None, []
     if table.partition_by:
         missing = [c for c in table.partition_by if c not in df.columns]
         if missing:
             raise ValueError(f"source lacks partition columns {missing}")
-    # the rows to apply, counted as they are written; both kinds are read from there
-    scratch.append(scratch_path(spark, "upsert_source"))
-    src.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(scratch[0])
-    src = spark.read.schema(src.schema).parquet(scratch[0])
-    if table.partition_by:
-        # only these partitions are read and rewritten
-        parts = table.touched(src)
+        # the rows to apply are written once: they say which partitions are read and rewritten
+        scratch.append(scratch_path(spark, "upsert_source"))
+        out, obs = _count_while_writing(_and(src, nameless), "upsert_source")
+        counts.append(obs)
+        out.write.parquet(scratch[0])
+        src, nameless = _by_key(spark.read.schema(out.schema).parquet(scratch[0]), key)
+        rows = _and(src, nameless)
+        parts = table.touched(rows)
         if not table.partition_of_key:
-            parts = parts.unionByName(table.holding(src, key)).distinct()
-        parts = staged(parts, "upsert_parts")
+            parts = parts.unionByName(table.holding(rows, key)).distinct()
+        scratch.append(scratch_path(spark, "upsert_parts"))
+        parts.write.parquet(scratch[1])
+        parts = spark.read.schema(parts.schema).parquet(scratch[1])
         touched = table.values(parts)
         tgt = table.read_partitions(parts)
-    s, s_nameless = _by_key(_align_to(src, tgt), key)
+    else:
+        src, obs = _count_while_writing(src, "upsert_source")
+        counts.append(obs)
+        if nameless is not None:
+            nameless, obs = _count_while_writing(nameless, "upsert_nameless")
+            counts.append(obs)
     t, t_nameless = _by_key(tgt, key)
-    s = s.select(*[F.col(c).alias(f"s__{c}") for c in cols], F.lit(True).alias("s____s"))
+    s = _align_to(src, tgt).select(*[F.col(c).alias(f"s__{c}") for c in cols], F.lit(True).alias("s____s"))
     cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"s__{k}") for k in key])
     j = t.withColumn("__t", F.lit(True)).join(s, cond, "full_outer")
     src_present = F.coalesce(F.col("s____s"), F.lit(False))
@@ -525,17 +532,17 @@ def upsert(df: DataFrame, table: Table, key, update_columns=None,
         else:
             e = F.when(tgt_present, F.col(c)).otherwise(F.col(f"s__{c}"))
         out.append(e.alias(c))
-    merged = _and(_and(j.select(*out), t_nameless), s_nameless)
+    merged = _and(_and(j.select(*out), t_nameless), nameless and _align_to(nameless, tgt))
     if table.partition_by:
         # the result is written aside first: the table can't be overwritten while it is read
         scratch.append(scratch_path(spark, "upsert_result"))
-        merged.write.parquet(scratch[1])
-        table.replace_partitions(spark.read.schema(merged.schema).parquet(scratch[1]), touched)
+        merged.write.parquet(scratch[-1])
+        table.replace_partitions(spark.read.schema(merged.schema).parquet(scratch[-1]), touched)
     else:
         table.commit(merged)
     for path in scratch:
         remove_path(spark, path)
-    return observed_rows(obs)
+    return sum(map(observed_rows, counts))
 
 
 def _rewrite(table: Table, cond: Column, rewrite) -> int:
