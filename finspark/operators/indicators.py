@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finspark.functions.scalar import nan_to_null, safe_div
-from finspark.session import staged
+from finspark.session import remove_path, staged
 from finspark.sinks.tables import Table
 
 DEFAULT_ROWS_PER_BLOCK = 2_000_000
@@ -194,8 +194,8 @@ def stock_analytics_incremental(batch: DataFrame, state: Table, batch_id: str, m
     them, and each key of the batch gets its new last rows; the state of other
     keys stays.  Fed in order, batches give what ``stock_analytics`` gives on
     the whole.  The result is written to the shared folder before the state is
-    replaced.  A batch fed again under its ``batch_id`` continues from the
-    state before it, so a retry gives the same rows.
+    replaced.  A batch fed again under its ``batch_id``, however often,
+    continues from the state before it, so a retry gives the same rows.
 
     Rows that do not come after the state of their key raise ``ValueError``
     (recompute the series then).  Rows with a NULL key part have no indicators
@@ -211,7 +211,7 @@ def stock_analytics_incremental(batch: DataFrame, state: Table, batch_id: str, m
     own_keys = batch.select(*keys).distinct()
     if batch.where(F.col(order).isNull()).limit(1).count():
         raise ValueError(f"rows without {order}")
-    before = _state_before(state, batch_id)
+    before, made = _state_before(state, batch_id)
     same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__s_{k}") for k in keys])
     both = batch.withColumns({"__known": F.lit(None).cast(batch.schema[price].dataType), "__new": F.lit(True)})
     if before is not None:
@@ -234,20 +234,25 @@ def stock_analytics_incremental(batch: DataFrame, state: Table, batch_id: str, m
     if before is not None:
         renamed = own_keys.select(*[F.col(k).alias(f"__s_{k}") for k in keys])
         tail = tail.unionByName(before.drop("batch_id").join(renamed, same, "left_anti"))
+    # what an earlier try made would push the state before the batch out of the kept versions
+    for v in made:
+        remove_path(spark, state.path(v))
     state.commit(tail.withColumn("batch_id", F.lit(batch_id)))
     return out.where("__new").drop(*marks)
 
 
-def _state_before(state: Table, batch_id: str) -> DataFrame | None:
-    """The state that a batch continues from: the current one, or the one before if the batch made it."""
+def _state_before(state: Table, batch_id: str) -> tuple[DataFrame | None, list[int]]:
+    """The state that a batch continues from, and the versions after it that the batch itself made."""
     if state.partition_by or state.keep_versions < 2:
         raise ValueError("the state is an unpartitioned table that keeps two versions")
+    own = []
     for v in reversed(state.versions()):
         found = state.spark.read.parquet(state.path(v))
         made = found.select("batch_id").limit(1).collect()
         if not made or made[0][0] != batch_id:
-            return found
-    return None
+            return found, own
+        own.append(v)
+    return None, own
 
 
 def _long_series(df: DataFrame, keys: list[str], R: int):

@@ -140,7 +140,49 @@ def stage_roundtrip_csv_text(spark, sf):
     return read_staged(spark, path, "csv")
 
 
+# --------------------------------------------- order columns, types of keys
+@register("upsert_order_column", """
+SELECT o_orderkey, o_totalprice + CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 0 END AS o_totalprice,
+       CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 0 END AS seq FROM orders""")
+def upsert_order_column(spark, sf):
+    """The order column belongs to the table: existing rows get the order value of the row that wins."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.lit(0).alias("seq"))
+    t = Table(spark, scratch_path(spark, "upsert_order_column"))
+    load(o, t)
+    batch = o.where("o_orderkey % 3 = 0").withColumn("seq", F.explode(F.array(F.lit(2), F.lit(1))))
+    upsert(batch.withColumn("o_totalprice", F.col("o_totalprice") + F.col("seq")), t, "o_orderkey", order_col="seq")
+    return t.read()
+
+
+@register("upsert_text_keys", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice ELSE o_totalprice + 2 END AS o_totalprice FROM orders""")
+def upsert_text_keys(spark, sf):
+    """Keys that come as texts with and without leading zeros are compared as the table's numbers: half of
+    them new, half of those held, each once."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    t = Table(spark, scratch_path(spark, "upsert_text_keys"))
+    load(o.where("o_orderkey % 4 < 2"), t)
+    both = o.withColumn("seq", F.explode(F.array(F.lit(2), F.lit(1)))).withColumn(
+        "o_orderkey", F.concat(F.when(F.col("seq") == 2, "000").otherwise(""), F.col("o_orderkey").cast("string")))
+    odd = F.col("o_orderkey").cast("bigint") % 2 == 1
+    upsert(both.where(odd).withColumn("o_totalprice", F.col("o_totalprice") + F.col("seq")), t, "o_orderkey", order_col="seq")
+    insert_ignore(both.where(~odd), t, "o_orderkey", order_col="seq")
+    return t.read()
+
+
 # ------------------------------------------------------------ CSV folders
+@register("csv_partition_folders", """
+SELECT o_orderkey, o_totalprice, printf('%02d', o_custkey % 5) AS part FROM orders""")
+def csv_partition_folders(spark, sf):
+    """Two column orders in partition folders whose names look like numbers: names and values stay."""
+    path, o = scratch_path(spark, "csv_parts"), table(spark, sf, "orders")
+    o = o.withColumn("part", F.lpad((F.col("o_custkey") % 5).cast("string"), 2, "0"))
+    for i, own in enumerate((["o_orderkey", "o_totalprice"], ["o_totalprice", "o_orderkey"])):
+        (o.where(F.col("o_orderkey") % 2 == i).select(*own, "part").write.mode("append").partitionBy("part")
+         .option("header", True).csv(path))
+    return read_csv(spark, path, "o_orderkey BIGINT, o_totalprice DOUBLE, part STRING")
+
+
 @register("csv_mixed_headers", """
 SELECT o_orderkey, o_totalprice, o_orderstatus, CASE WHEN o_orderkey % 4 <> 3 THEN o_orderpriority END AS o_orderpriority
 FROM orders""")

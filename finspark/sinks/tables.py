@@ -364,6 +364,20 @@ def _align_to(df: DataFrame, target: DataFrame) -> DataFrame:
                        for f in target.schema.fields])
 
 
+def _known_columns(table: Table) -> dict[str, T.DataType]:
+    """Columns and types of the table, or those its spec declares before the first load."""
+    if not table.exists() and table.spec is None:
+        return {}
+    return {f.name: f.dataType for f in table.read().schema.fields}
+
+
+def _keys_as_stored(df: DataFrame, key: list[str], known: dict[str, T.DataType]) -> DataFrame:
+    """Key columns in the table's types: ``01`` and ``1`` are one key of an integer column, so they
+    must be equal before rows are compared, not only when they are written."""
+    own = {k: F.col(k).cast(known[k]) for k in key if k in known and known[k] != df.schema[k].dataType}
+    return df.withColumns(own) if own else df
+
+
 # ------------------------------------------------------------------ loads
 def load(df: DataFrame, table: Table, if_exists: str = "append") -> int:
     """K3: append / replace / fail; returns the rows loaded."""
@@ -446,12 +460,14 @@ def insert_ignore(df: DataFrame, table: Table, key, order_col: str | None = None
     """K4: rows whose key already exists (anywhere in the table, or earlier in
     the batch) are skipped.  A NULL key part never conflicts (SQL unique
     semantics): such rows are never deduplicated and never match the table.
+    Keys are compared in the table's types.
 
     The batch is written once to the shared folder and read for both kinds of
     rows, unless ``stored`` says that it is read straight from files."""
     key = [key] if isinstance(key, str) else list(key)
     if not stored and any(df.schema[k].nullable for k in key):
         df = staged(df, "insert_batch")
+    df = _keys_as_stored(df, key, _known_columns(table))
     keyed, nameless = _by_key(df, key)
     first = _one_per_key(keyed, key, order_col, last=False)
     if not table.exists():
@@ -474,20 +490,25 @@ def upsert(df: DataFrame, table: Table, key, update_columns=None,
     part are inserted, and kept in the table.  An unpartitioned table gets a
     new complete version; a partitioned one has only the partitions rewritten
     that the batch goes to or that hold its keys (a key may move).  Returns the
-    number of source rows applied (after in-batch dedupe).
+    number of source rows applied (after in-batch dedupe).  Keys are compared
+    in the table's types.  ``order_col`` is loaded and updated like any other
+    column where the table (or its spec) has it, and only orders the batch
+    where it has not.
 
     The batch is written once to the shared folder, unless ``stored`` says that
     it is read straight from files."""
     key = [key] if isinstance(key, str) else list(key)
+    known = _known_columns(table)
     if update_columns is None:
-        update_columns = [c for c in df.columns if c not in key and c != order_col]
+        update_columns = [c for c in df.columns if c not in key and (c != order_col or c in known)]
     if not update_columns:
         return insert_ignore(df, table, key, order_col, stored)
     if not stored and any(df.schema[k].nullable for k in key):
         df = staged(df, "upsert_batch")
+    df = _keys_as_stored(df, key, known)
     keyed, nameless = _by_key(df, key)
     src = _one_per_key(keyed, key, order_col, last=True)
-    if order_col and order_col not in (table.read().columns if table.exists() else []):
+    if order_col and order_col not in known:
         src, nameless = src.drop(order_col), nameless and nameless.drop(order_col)
     if not table.exists():
         return table.commit(_and(src, nameless))

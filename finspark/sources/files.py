@@ -39,7 +39,8 @@ def read_csv(spark: SparkSession, path: str, schema=None, sep: str = ",", encodi
     With a header, columns are taken by name, whatever their order in each
     file of a folder; a column that a file lacks is NULL.  The headers of all
     files are read first (``csv_headers``); there is one scan per distinct
-    header.  Without a header columns go by position.
+    header.  Without a header columns go by position.  Partition folders
+    (``day=01``) below ``path`` are columns, read as the text they hold.
     With a schema every column is read as text, NA tokens are nulled, then the
     text is cast to the declared type (unparsable -> NULL).  Without one, types
     are inferred from the text without its NA tokens (BIGINT, DOUBLE, BOOLEAN,
@@ -49,19 +50,27 @@ def read_csv(spark: SparkSession, path: str, schema=None, sep: str = ",", encodi
     can't be split, so each file is parsed by one task.
     """
     na = DEFAULT_NA if na_values is None else list(na_values)
-    r = (spark.read.option("header", header).option("sep", sep).option("encoding", encoding)
-         .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
-         .option("nullValue", None).option("emptyValue", ""))
-    if schema is not None and not header:
-        st = _as_struct(schema)
-        raw = r.schema(T.StructType([T.StructField(f.name, T.StringType(), True) for f in st.fields])).csv(path)
-    elif header:
-        # all text, named by the header of the files of each scan
-        groups = csv_headers(spark, path, encoding)
-        scans = [r.csv(files) for files in groups] if len(groups) > 1 else [r.csv(path)]
-        raw = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), scans)
+
+    def scan(files, **options) -> DataFrame:
+        """All columns as text: those of partition folders, too, whose types Spark would guess."""
+        def reader():  # readers keep their schema
+            return (spark.read.option("header", header).option("sep", sep).option("encoding", encoding)
+                    .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+                    .option("nullValue", None).option("emptyValue", "").options(**options))
+        if schema is not None and not header:
+            return reader().schema(_all_text(_as_struct(schema).names)).csv(files)
+        found = reader().csv(files)
+        if all(isinstance(f.dataType, T.StringType) for f in found.schema.fields):
+            return found
+        return reader().schema(_all_text(found.columns)).csv(files)
+
+    # named by the header of the files of each scan
+    groups = csv_headers(spark, path, encoding) if header else []
+    if len(groups) > 1:
+        base = {} if any(c in path for c in "*?[{") else {"basePath": path}
+        raw = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [scan(files, **base) for files in groups])
     else:
-        raw = r.csv(path)
+        raw = scan(path)
 
     def known(name: str) -> Column:
         c = F.col(f"`{name}`")
@@ -76,6 +85,10 @@ def read_csv(spark: SparkSession, path: str, schema=None, sep: str = ",", encodi
     return nan_to_null(raw.select(*cols))
 
 
+def _all_text(names) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType(), True) for c in names])
+
+
 def csv_headers(spark: SparkSession, path: str, encoding: str = "utf-8") -> list[list[str]]:
     """Header catalogue: the files of ``path`` grouped by their first line that is not blank, the
     groups in order of their first file.  Empty files are left out.

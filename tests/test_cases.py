@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from finspark.functions.scalar import parses_as
 from finspark.operators.quality import Rules, evaluate, python_float_text, raise_if_failed, register_validator, summarize
 from finspark.plans.views import positions, quotes
+from finspark.schemas import TableSpec
 from finspark.sinks.tables import (Table, delete_where, insert_ignore, load, quality_log_rows, read_staged, stage,
                                    upsert)
 from finspark.sources.files import read_csv
@@ -97,6 +98,29 @@ def test_rows_that_differ_in_their_nulls_are_different(spark, tmp_dir):
     assert upsert(maps.drop("o"), Table(spark, f"{tmp_dir}/m"), "k") == 1
 
 
+@pytest.mark.parametrize("parts", [None, "p"])
+def test_keys_are_compared_in_the_types_of_the_table(spark, tmp_dir, parts):
+    t = Table(spark, f"{tmp_dir}/t", partition_by=parts)
+    load(spark.createDataFrame([(1, "a", "x"), (None, "n", "x")], "k INT, v STRING, p STRING"), t)
+    texts = "k STRING, v STRING, p STRING, o INT"
+    rows = [("01", "b", "y", 1), ("1", "c", "x", 2), ("2", "d", "x", 1), ("02", "e", "y", 2), (None, "m", "x", 1)]
+    assert upsert(spark.createDataFrame(rows, texts), t, "k", order_col="o") == 3
+    rows = [("03", "f", "x", 1), ("3", "g", "y", 2), ("001", "no", "x", 1)]
+    assert insert_ignore(spark.createDataFrame(rows, texts), t, "k", order_col="o") == 1
+    want = [(1, "c", "x"), (2, "e", "y"), (3, "f", "x"), (None, "m", "x"), (None, "n", "x")]
+    assert sorted(map(tuple, t.read().collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_order_column_of_the_table_is_updated(spark, tmp_dir):
+    schema = "k INT, v STRING, at INT"
+    spec = TableSpec("t", spark.createDataFrame([], schema).schema, key=("k",), not_null=())
+    t = Table(spark, f"{tmp_dir}/t", spec)
+    upsert(spark.createDataFrame([(1, "a", 1), (1, "b", 2)], schema), t, "k", order_col="at")
+    assert t.read().collect() == [(1, "b", 2)]
+    upsert(spark.createDataFrame([(1, "d", 4), (1, "c", 3)], schema), t, "k", order_col="at")
+    assert t.read().collect() == [(1, "d", 4)]
+
+
 PARTITION_VALUES = {
     "STRING": ["", None, "01", "1", "~", "~x", "a/b", "50%", "a=b", " x ", "2024-01-05", "__HIVE_DEFAULT_PARTITION__", "é漢"],
     "DOUBLE": [0.1, -1.5, float("nan"), None, 1e300], "DATE": [dt.date(2024, 1, 5), None], "BOOLEAN": [True, False, None],
