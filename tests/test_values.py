@@ -230,10 +230,12 @@ def test_scratch_folders_go_with_their_scope(spark, tmp_dir):
 
 
 def test_a_run_again_replaces_its_rejects(spark, tmp_dir):
-    from finspark.plans.jobs import rejects_table, run_daily
+    from finspark.plans.jobs import analytics_table, rejects_table, run_daily
     bad = spark.createDataFrame([("A" * 30, dt.date(2024, 1, 2), 1.0), ("B", dt.date(2024, 1, 2), 1.0)],
                                 "symbol STRING, trade_date DATE, close_price DOUBLE")
     for _ in range(2):
         r = run_daily(spark, bad, f"{tmp_dir}/w", dt.date(2024, 1, 2), 7, incremental=True)
         assert (r.rejected, r.loaded) == (1, 1)
     assert rejects_table(spark, f"{tmp_dir}/w").read().count() == 1
+    # the first load keeps the column that orders the batch, too
+    assert analytics_table(spark, f"{tmp_dir}/w").read().first()["processed_at"] == dt.datetime(2024, 1, 2, 2)
