@@ -140,6 +140,15 @@ def stage_roundtrip_csv_text(spark, sf):
     return read_staged(spark, path, "csv")
 
 
+@register("update_partition_column", f"""
+SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_orderkey % 4 = 0 THEN '01' ELSE code END AS code FROM ({_CODED_SQL})""")
+def update_partition_column(spark, sf):
+    """An update of the partition column moves a quarter of all rows to a partition that holds others."""
+    t = _by_code(spark, sf, "update_code")
+    update_where(t, {"code": "01"}, "o_orderkey % 4 = 0")
+    return t.read()
+
+
 # --------------------------------------------- order columns, types of keys
 @register("upsert_order_column", """
 SELECT o_orderkey, o_totalprice + CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 0 END AS o_totalprice,

@@ -566,15 +566,19 @@ def upsert(df: DataFrame, table: Table, key, update_columns=None,
     return sum(map(observed_rows, counts))
 
 
-def _rewrite(table: Table, cond: Column, rewrite) -> int:
-    """Shared UPDATE / DELETE path; returns the rows matching ``cond``."""
+def _rewrite(table: Table, cond: Column, rewrite, moves: bool = False) -> int:
+    """Shared UPDATE / DELETE path; returns the rows matching ``cond``.  ``moves``: rows may change partition."""
     cur = table.read()
     obs = Observation("matched")
     if not table.partition_by:
         table.commit(rewrite(cur.observe(obs, F.count_if(cond).alias("rows"))))
         return observed_rows(obs)
-    # partitioned: rewrite only partitions holding a matching row
-    parts = staged(table.touched(cur.where(cond)), "rewrite_parts")
+    # partitioned: rewrite only partitions that hold a matching row or get one
+    hit = cur.where(cond)
+    parts = table.touched(hit)
+    if moves:
+        parts = parts.union(table.touched(rewrite(hit))).distinct()
+    parts = staged(parts, "rewrite_parts")
     touched = table.values(parts)
     if not touched:
         return 0
@@ -588,11 +592,18 @@ def _rewrite(table: Table, cond: Column, rewrite) -> int:
 
 
 def update_where(table: Table, updates: dict, where) -> int:
-    """K10 UPDATE: rewrite with ``c = when(where, value).otherwise(c)``; returns rows matched."""
+    """K10 UPDATE: rewrite with ``c = when(where, value).otherwise(c)``; returns rows matched.
+
+    Values are cast to the column's type.  A row whose partition column is
+    updated moves to that partition, beside the rows that are there."""
     cond = F.coalesce(where if not isinstance(where, str) else F.expr(where), F.lit(False))
-    return _rewrite(table, cond, lambda d: d.withColumns(
-        {c: F.when(cond, v if not isinstance(v, str) else F.lit(v)).otherwise(F.col(c))
-         for c, v in updates.items()}))
+
+    def rewrite(df: DataFrame) -> DataFrame:
+        new = {c: v if isinstance(v, Column) else F.lit(v) for c, v in updates.items()}
+        return df.withColumns({c: F.when(cond, v.cast(df.schema[c].dataType)).otherwise(F.col(c))
+                               for c, v in new.items()})
+
+    return _rewrite(table, cond, rewrite, moves=any(c in table.partition_by for c in updates))
 
 
 def delete_where(table: Table, where) -> int:

@@ -12,7 +12,7 @@ from finspark.operators.quality import Rules, evaluate, python_float_text, raise
 from finspark.plans.views import positions, quotes
 from finspark.schemas import TableSpec
 from finspark.sinks.tables import (Table, delete_where, insert_ignore, load, quality_log_rows, read_staged, stage,
-                                   upsert)
+                                   update_where, upsert)
 from finspark.sources.files import read_csv
 
 SF = "/root/testdata/sf0.001"
@@ -121,6 +121,19 @@ def test_order_column_of_the_table_is_updated(spark, tmp_dir):
     assert t.read().collect() == [(1, "d", 4)]
 
 
+def test_updated_partition_columns_move_rows(spark, tmp_dir):
+    t = Table(spark, f"{tmp_dir}/t", partition_by="p")
+    rows = [(1, 1.0, "a"), (2, 2.0, "b"), (3, 3.0, "c"), (4, 4.0, None)]
+    load(spark.createDataFrame(rows, "k INT, w DOUBLE, p STRING"), t)
+    assert update_where(t, {"p": "b", "w": 7}, "k = 1") == 1  # the rows of b stay
+    assert update_where(t, {"p": None}, "k = 3") == 1
+    assert update_where(t, {"p": "new"}, "p IS NULL AND k = 4") == 1
+    assert update_where(t, {"p": "b"}, "k = 99") == 0
+    want = [(1, 7.0, "b"), (2, 2.0, "b"), (3, 3.0, None), (4, 4.0, "new")]
+    assert sorted(map(tuple, t.read().collect())) == want
+    assert dict(t.read().dtypes) == {"k": "int", "w": "double", "p": "string"}
+
+
 PARTITION_VALUES = {
     "STRING": ["", None, "01", "1", "~", "~x", "a/b", "50%", "a=b", " x ", "2024-01-05", "__HIVE_DEFAULT_PARTITION__", "é漢"],
     "DOUBLE": [0.1, -1.5, float("nan"), None, 1e300], "DATE": [dt.date(2024, 1, 5), None], "BOOLEAN": [True, False, None],
