@@ -30,9 +30,10 @@ def q_run_daily(spark, sf):
 def _flawed_quotes(spark, sf):
     """All quotes, those of a volume divisible by 7 twice, and those of a volume
     divisible by 10 once more without a symbol."""
-    q = quotes(spark, sf)
-    return (q.unionByName(q.where("volume % 7 = 0"))
-            .unionByName(q.where("volume % 10 = 0").withColumn("symbol", F.lit(None).cast("string"))))
+    q, none = quotes(spark, sf), F.array().cast("array<string>")
+    symbols = F.concat(F.array("symbol"), F.when(F.expr("volume % 7 = 0"), F.array("symbol")).otherwise(none),
+                       F.when(F.expr("volume % 10 = 0"), F.array(F.lit(None).cast("string"))).otherwise(none))
+    return q.withColumn("symbol", F.explode(symbols))
 
 
 @register("run_daily_rejects", cte(quotes=QUOTES_SQL) + """
