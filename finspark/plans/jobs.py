@@ -22,8 +22,8 @@ from finspark.operators.quality import STOCK_PRICE_RULES, Rules, evaluate, raise
 from finspark.schemas import DAILY_STOCK_ANALYTICS
 from finspark.session import scratch_scope
 from finspark.session import staged as stage_once
-from finspark.sinks.tables import (RUN_LOG_SCHEMA, Table, conform, load, log_run, observed_rows,
-                                   quality_log_rows, stage, upsert)
+from finspark.sinks.tables import (RUN_LOG_SCHEMA, Table, conformed, load, log_run, observed_rows,
+                                   quality_log_rows, split_conformed, stage, upsert)
 
 
 class StageMetrics:
@@ -125,18 +125,20 @@ def _run_daily(spark, quotes, root, run_date, run_id, source, strict, rows_per_b
     raise_if_failed(results, strict)
 
     # transform + conform to the target DDL
+    df = df.select(*[c for c in df.columns if c in DAILY_STOCK_ANALYTICS.schema.names])
     kw = {} if rows_per_block is None else {"rows_per_block": rows_per_block}
-    # written once: good rows, rejects and their counts all come from there
+    # written once, cast: good rows, rejects and their counts all come from there
     if incremental:
         analytics = stock_analytics_incremental(df, analytics_state(spark, root), str(run_id), tie_break=_ties(df), **kw)
     else:
         analytics = stock_analytics(df, stored=True, tie_break=_ties(df), **kw)
-    analytics = stage_once(analytics.withColumn("processed_at", ts_literal(start)), "daily_analytics")
-    good, rejects = conform(analytics, DAILY_STOCK_ANALYTICS)
+    obs_g = Observation("good")
+    marked = conformed(analytics.withColumn("processed_at", ts_literal(start)), DAILY_STOCK_ANALYTICS)
+    marked = stage_once(marked.observe(obs_g, F.count_if(F.col("reject_reason") == "").alias("rows")), "daily_analytics")
+    validated = observed_rows(obs_g)
+    good, rejects = split_conformed(marked)
     rejected = rejects_table(spark, root).replace_partitions(
         rejects.withColumn("run_id", F.lit(run_id).cast("bigint")), touched=[(str(run_id),)])
-    obs_g = Observation("good")
-    good = good.observe(obs_g, F.count(F.lit(1)).alias("rows"))
     # physical layout: partitions by trade month (a function of the key), so
     # a day's load reads and rewrites only the months it touches
     good = good.withColumn("trade_month", F.date_format("trade_date", "yyyy-MM"))
@@ -146,8 +148,7 @@ def _run_daily(spark, quotes, root, run_date, run_id, source, strict, rows_per_b
     target = analytics_table(spark, root)
     key = list(DAILY_STOCK_ANALYTICS.key)
     loaded = upsert(good, target, key, update_columns=[c for c in good.columns if c not in key],
-                    order_col="processed_at")
-    validated = observed_rows(obs_g)
+                    order_col="processed_at", stored=True)
 
     log_run(spark, Table(spark, f"{root}/metadata/etl_run_log"), run_id, "financial_etl_pipeline",
             "load_stock_prices", source, "SUCCESS", start, extracted=extracted,

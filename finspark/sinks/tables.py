@@ -489,7 +489,9 @@ def upsert(df: DataFrame, table: Table, key, update_columns=None,
     wins.  An empty update set behaves as insert-ignore.  Rows with a NULL key
     part are inserted, and kept in the table.  An unpartitioned table gets a
     new complete version; a partitioned one has only the partitions rewritten
-    that the batch goes to or that hold its keys (a key may move).  Returns the
+    that the batch goes to or that hold its keys (a key may move): they are
+    read while the new ones are written beside them, and replaced when the job
+    commits.  Returns the
     number of source rows applied (after in-batch dedupe).  Keys are compared
     in the table's types.  ``order_col`` is loaded and updated like any other
     column where the table (or its spec) has it, and only orders the batch
@@ -503,7 +505,8 @@ def upsert(df: DataFrame, table: Table, key, update_columns=None,
         update_columns = [c for c in df.columns if c not in key and (c != order_col or c in known)]
     if not update_columns:
         return insert_ignore(df, table, key, order_col, stored)
-    if not stored and any(df.schema[k].nullable for k in key):
+    merges = table.partition_by and table.exists()
+    if not stored and (merges or any(df.schema[k].nullable for k in key)):
         df = staged(df, "upsert_batch")
     df = _keys_as_stored(df, key, known)
     keyed, nameless = _by_key(df, key)
@@ -519,27 +522,20 @@ def upsert(df: DataFrame, table: Table, key, update_columns=None,
         missing = [c for c in table.partition_by if c not in df.columns]
         if missing:
             raise ValueError(f"source lacks partition columns {missing}")
-        # the rows to apply are written once: they say which partitions are read and rewritten
-        scratch.append(scratch_path(spark, "upsert_source"))
-        out, obs = _count_while_writing(_and(src, nameless), "upsert_source")
-        counts.append(obs)
-        out.write.parquet(scratch[0])
-        src, nameless = _by_key(spark.read.schema(out.schema).parquet(scratch[0]), key)
-        rows = _and(src, nameless)
-        parts = table.touched(rows)
+        # the batch says which partitions are read and rewritten
+        parts = table.touched(df)
         if not table.partition_of_key:
-            parts = parts.unionByName(table.holding(rows, key)).distinct()
+            parts = parts.unionByName(table.holding(df, key)).distinct()
         scratch.append(scratch_path(spark, "upsert_parts"))
-        parts.write.parquet(scratch[1])
-        parts = spark.read.schema(parts.schema).parquet(scratch[1])
+        parts.write.parquet(scratch[0])
+        parts = spark.read.schema(parts.schema).parquet(scratch[0])
         touched = table.values(parts)
         tgt = table.read_partitions(parts)
-    else:
-        src, obs = _count_while_writing(src, "upsert_source")
+    src, obs = _count_while_writing(src, "upsert_source")
+    counts.append(obs)
+    if nameless is not None:
+        nameless, obs = _count_while_writing(nameless, "upsert_nameless")
         counts.append(obs)
-        if nameless is not None:
-            nameless, obs = _count_while_writing(nameless, "upsert_nameless")
-            counts.append(obs)
     t, t_nameless = _by_key(tgt, key)
     s = _align_to(src, tgt).select(*[F.col(c).alias(f"s__{c}") for c in cols], F.lit(True).alias("s____s"))
     cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"s__{k}") for k in key])
@@ -555,10 +551,8 @@ def upsert(df: DataFrame, table: Table, key, update_columns=None,
         out.append(e.alias(c))
     merged = _and(_and(j.select(*out), t_nameless), nameless and _align_to(nameless, tgt))
     if table.partition_by:
-        # the result is written aside first: the table can't be overwritten while it is read
-        scratch.append(scratch_path(spark, "upsert_result"))
-        merged.write.parquet(scratch[-1])
-        table.replace_partitions(spark.read.schema(merged.schema).parquet(scratch[-1]), touched)
+        # dynamic overwrite removes the files that are read here only after the last task
+        table.replace_partitions(merged, touched)
     else:
         table.commit(merged)
     for path in scratch:
@@ -623,6 +617,19 @@ def conform(df: DataFrame, spec: TableSpec, defaults: dict | None = None, carry=
     casts round half away from zero; a value that does not fit becomes a
     reject instead of an error.
     """
+    carry = list(carry)
+    return split_conformed(conformed(df, spec, defaults, carry), carry)
+
+
+def split_conformed(marked: DataFrame, carry=()):
+    """(good, rejects) of what ``conformed`` made."""
+    good = marked.where(F.col("reject_reason") == "").drop("reject_reason", *carry)
+    return good, marked.where(F.col("reject_reason") != "")
+
+
+def conformed(df: DataFrame, spec: TableSpec, defaults: dict | None = None, carry=()) -> DataFrame:
+    """K7 before its split: all rows in the target's columns, with ``carry`` and
+    ``reject_reason`` (empty for good rows).  Written once, the casts are made once."""
     defaults = defaults or {}
     have = set(df.columns)
     cols, broken = [], []
@@ -648,11 +655,7 @@ def conform(df: DataFrame, spec: TableSpec, defaults: dict | None = None, carry=
         if f.name in spec.not_null:
             broken.append(F.when(e.isNull(), F.lit(f"null:{f.name}")))
     reason = F.concat_ws(",", *broken) if broken else F.lit("")
-    carry = list(carry)
-    staged = df.select(*cols, *carry, reason.alias("reject_reason"))
-    good = staged.where(F.col("reject_reason") == "").drop("reject_reason", *carry)
-    rejects = staged.where(F.col("reject_reason") != "")
-    return good, rejects
+    return df.select(*cols, *carry, reason.alias("reject_reason"))
 
 
 def duplicate_keys(df: DataFrame, key) -> DataFrame:

@@ -25,3 +25,39 @@ def test_flawed_quotes_are_derived_once(spark, tmp_dir):
     assert _plan(out).count("FileScan") == 1
     got = sorted(((r.symbol or "", r.volume) for r in out.collect()))
     assert got == [("", 10), ("", 70), ("S0", 7), ("S0", 7), ("S1", 10), ("S2", 70), ("S2", 70), ("S3", 3)]
+
+
+def test_partitioned_upsert_merges_without_copies(spark, tmp_dir, monkeypatch):
+    """The table is read while its new partitions are written; rows move, NULL keys and other partitions stay."""
+    names, scratch = [], tables.scratch_path
+    monkeypatch.setattr(tables, "scratch_path", lambda s, name: names.append(name) or scratch(s, name))
+    t = Table(spark, f"{tmp_dir}/t", partition_by="m")
+    rows = "k INT, m STRING, v INT"
+    assert upsert(spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "b", 3), (4, "c", 4)], rows), t, "k") == 4
+    batch = f"{tmp_dir}/batch"
+    spark.createDataFrame([(1, "b", 10), (5, "a", 5), (None, "a", 6), (4, "c", 4)], rows).write.parquet(batch)
+    assert upsert(spark.read.parquet(batch), t, "k", stored=True) == 4
+    got = sorted(map(repr, map(tuple, t.read().collect())))
+    assert got == sorted(map(repr, [(1, "b", 10), (2, "a", 2), (3, "b", 3), (4, "c", 4), (5, "a", 5), (None, "a", 6)]))
+    assert "upsert_source" not in names and "upsert_result" not in names
+
+
+def test_failed_merge_leaves_the_partitions(spark, tmp_dir):
+    t = Table(spark, f"{tmp_dir}/t", partition_by="m")
+    upsert(spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k INT, m STRING, v INT"), t, "k")
+    bad = spark.createDataFrame([(1, "a", 7), (1, "a", 8)], "k INT, m STRING, v INT")
+    with pytest.raises(Exception, match="repeat a key differ"):
+        upsert(bad, t, "k")
+    assert sorted(map(tuple, t.read().collect())) == [(1, "a", 1), (2, "b", 2)]
+
+
+def test_daily_job_casts_once(spark, tmp_dir, monkeypatch):
+    from finspark.plans import jobs
+    names, stage_once = [], jobs.stage_once
+    monkeypatch.setattr(jobs, "stage_once", lambda df, name: names.append((name, df.columns)) or stage_once(df, name))
+    rows = [("A" * 30, dt.date(2024, 1, 2), 1.0), ("B", dt.date(2024, 1, 2), 1.0), (None, dt.date(2024, 1, 2), 1.0)]
+    q = spark.createDataFrame(rows, "symbol STRING, trade_date DATE, close_price DOUBLE")
+    r = jobs.run_daily(spark, q, f"{tmp_dir}/w", dt.date(2024, 1, 2), 1)
+    assert (r.extracted, r.validated, r.loaded, r.rejected) == (3, 1, 1, 2)
+    [(name, columns)] = names
+    assert name == "daily_analytics" and columns[-1] == "reject_reason"
