@@ -61,3 +61,13 @@ def test_daily_job_casts_once(spark, tmp_dir, monkeypatch):
     assert (r.extracted, r.validated, r.loaded, r.rejected) == (3, 1, 1, 2)
     [(name, columns)] = names
     assert name == "daily_analytics" and columns[-1] == "reject_reason"
+
+
+def test_surrogate_key_ranges_are_bounded(spark, monkeypatch):
+    asked, kind = [], type(spark.range(1))
+    ranged = kind.repartitionByRange
+    monkeypatch.setattr(kind, "repartitionByRange", lambda self, n, *c: asked.append(n) or ranged(self, n, *c))
+    monkeypatch.setattr(tables, "MANY_RANGES", 20)
+    df = spark.range(3000).select(F.lit("x").alias("o"), "id")
+    ids = sorted(r.n for r in surrogate_key(df, "o", "n", rows_per_partition=10).collect())
+    assert asked == [20] and ids == list(range(1, 3001))
