@@ -30,15 +30,26 @@ at most two later blocks, and only rows within ``halo`` of a block border are
 copied.  The data is shuffled once (by symbol and block).  The count table is
 a small file: the planner broadcasts it by its bytes, or joins it by shuffle.
 The input is written once (unless it is a stored table already), so the
-counts and the indicators do not compute it twice.
+counts and the indicators do not compute it twice.  Rows without a key have no
+indicators: they pass no window, however many they are.
+
+Spark's own sliding frames add up their whole frame again for each row, one row
+at a time.  Over float prices the frames are added up in the same order by
+numpy instead, a batch of the windows' sorted rows at a time (``_frames``), so
+the values are the same.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from finspark.functions.scalar import nan_to_null, safe_div
 from finspark.session import remove_path, staged
@@ -68,27 +79,34 @@ def _indicator_columns(df: DataFrame, part: list, order: str, price: str,
     if carry is not None:
         ff = F.coalesce(ff, F.first(carry).over(run))
     delta = p - F.lag(p).over(w)
-    df = df.withColumns({"_ff": ff, "_d": delta})
-
-    ret = safe_div(F.col("_ff"), F.lag("_ff").over(w)) - F.lit(1.0)
-    gain = F.when(F.col("_d") > 0, F.col("_d")).otherwise(F.lit(0.0))
-    loss = F.when(F.col("_d") < 0, -F.col("_d")).otherwise(F.lit(0.0))
-    df = df.withColumns({"daily_return": ret, "_gain": gain, "_loss": loss})
-
-    cols = {}
-    for n in ma_windows:
-        cols[f"moving_avg_{n}d"] = F.avg(p).over(w.rowsBetween(-(n - 1), 0))
-    cols[f"volatility_{vol_window}d"] = F.stddev_samp("daily_return").over(
-        w.rowsBetween(-(vol_window - 1), 0))
-    rf = w.rowsBetween(-(rsi_period - 1), 0)
-    g, l = F.avg("_gain").over(rf), F.avg("_loss").over(rf)
-    full = F.count(F.lit(1)).over(rf) >= rsi_period
+    df = df.withColumns({"_ff": ff, "_d": delta, "_pos": F.row_number().over(w)})
+
+    ma, vol = {f"moving_avg_{n}d": n for n in ma_windows}, f"volatility_{vol_window}d"
+    if all(isinstance(df.schema[c].dataType, T.DoubleType) for c in (price, "_ff", "_d")) and _passes_arrow(df):
+        # a narrow step: the rows come as the windows sorted them
+        made = ["daily_return", *ma, vol, "_g", "_l"]
+        spent = {"_d", "_pos", "_bkt", "_carry", *made} | (set() if fill_as else {"_ff"})
+        df = df.drop(*made) if price not in made else df
+        kept = [c for c in df.columns if c not in spent]
+        types = T.StructType([*[df.schema[c] for c in kept], *[T.StructField(c, T.DoubleType()) for c in made]])
+        df = df.mapInArrow(lambda batches: _frames(batches, kept, price, ma, vol_window, rsi_period, vol), types)
+        full = F.lit(True)
+    else:
+        ret = safe_div(F.col("_ff"), F.lag("_ff").over(w)) - F.lit(1.0)
+        gain = F.when(F.col("_d") > 0, F.col("_d")).otherwise(F.lit(0.0))
+        loss = F.when(F.col("_d") < 0, -F.col("_d")).otherwise(F.lit(0.0))
+        df = df.withColumns({"daily_return": ret, "_gain": gain, "_loss": loss})
+        frame = lambda n: w.rowsBetween(-(n - 1), 0)
+        df = df.withColumns({c: F.avg(p).over(frame(n)) for c, n in ma.items()}
+                            | {vol: F.stddev_samp("daily_return").over(frame(vol_window)),
+                               "_g": F.avg("_gain").over(frame(rsi_period)), "_l": F.avg("_loss").over(frame(rsi_period))})
+        full = F.col("_pos") >= rsi_period
+    g, l = F.col("_g"), F.col("_l")
     rsi = F.when(full, F.when(l == 0, F.when(g > 0, F.lit(100.0)))
                  .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + g / l)))
-    cols[f"rsi_{rsi_period}d"] = rsi
-    df = df.withColumns(cols)
+    df = df.withColumn(f"rsi_{rsi_period}d", rsi)
 
-    out = ["daily_return"] + list(cols)
+    out = _out_names(ma_windows, vol_window, rsi_period)
     if fill_as:
         df = df.withColumnRenamed("_ff", fill_as)
     return df.withColumns({c: F.when(key_ok, F.col(c)) for c in out})
@@ -98,6 +116,88 @@ def _filled(price: str, known: str | None) -> Column:
     return F.coalesce(F.col(price), F.col(known)) if known else F.col(price)
 
 
+def _passes_arrow(df: DataFrame) -> bool:
+    plain = (T.StringType, T.BinaryType, T.BooleanType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return all(isinstance(f.dataType, plain) for f in df.schema.fields) and len(set(df.columns)) == len(df.columns)
+
+
+def _frames(batches: Iterator[pa.RecordBatch], kept: list[str], price: str, ma: dict, vol_window: int, rsi_period: int,
+            vol: str) -> Iterator[pa.RecordBatch]:
+    """The columns ``kept`` with returns, moving averages ``{name: rows}``, volatility, and the mean
+    gains and losses (``_g``, ``_l``) of whole frames.
+
+    Rows come sorted, a series after the other: ``_pos`` is a row's number in
+    its series, ``_ff`` its filled price and ``_d`` its price difference.  As
+    many rows as the longest frame looks back on are carried from batch to
+    batch.  Frames are added up from their oldest value to their newest, as an
+    aggregate does; a missing value is left out."""
+    halo = max(*ma.values(), vol_window + 1, rsi_period + 1) - 1
+    before = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = [batch.column("_pos").to_numpy(zero_copy_only=False)]
+        for c in (price, "_ff", "_d"):
+            v = batch.column(c)
+            now += [pc.fill_null(v, 0.0).to_numpy(zero_copy_only=False), pc.is_valid(v).to_numpy(zero_copy_only=False)]
+        if before is not None:
+            now = [np.concatenate(two) for two in zip(before, now)]
+        pos, p, p_known, ff, ff_known, d, d_known = now
+        size = len(pos)
+        before = [v[max(0, size - halo):] for v in now]
+        with np.errstate(all="ignore"):
+            last = np.concatenate([[0.0], ff[:-1]])
+            known = ff_known & np.concatenate([[False], ff_known[:-1]]) & (pos > 1) & (last != 0)
+            ret = np.where(known, ff / last - 1.0, 0.0)
+            out = [(ret, ~known)]
+            for n in ma.values():
+                count = _counts(pos, p_known, n)
+                out.append((_sums(pos, p, n) / count, count < 1))
+            count, squares = _moments(pos, ret, known, vol_window)
+            out.append((np.sqrt(squares / (count - 1)), count < 2))
+            # NaN (of two infinite prices) is above all numbers
+            gain = np.where(d_known & ~(d <= 0), d, 0.0)
+            loss = np.where(d_known & (d < 0), -d, 0.0)
+            out += [(_sums(pos, v, rsi_period) / rsi_period, pos < rsi_period) for v in (gain, loss)]
+        first = size - batch.num_rows
+        made = [pa.array(v[first:], mask=none[first:]) for v, none in out]
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *made],
+                                         [*kept, "daily_return", *ma, vol, "_g", "_l"])
+
+
+def _back(pos: np.ndarray, n: int) -> range:
+    """How far the frames of ``n`` rows reach back, the oldest first."""
+    return range(min(n, int(pos.max()), len(pos)) - 1, -1, -1)
+
+
+def _sums(pos: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    total = np.zeros(len(pos))
+    for k in _back(pos, n):
+        total[k:] += np.where(pos[k:] > k, values[:len(pos) - k], 0.0)
+    return total
+
+
+def _counts(pos: np.ndarray, known: np.ndarray, n: int) -> np.ndarray:
+    so_far = np.concatenate([[0], np.cumsum(known)])
+    at = np.arange(len(pos))
+    return so_far[1:] - so_far[np.maximum(at + 1 - np.minimum(pos, n), 0)]
+
+
+def _moments(pos: np.ndarray, values: np.ndarray, known: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Count and sum of squared differences from the mean, a value at a time (Welford)."""
+    count, mean, squares = np.zeros(len(pos)), np.zeros(len(pos)), np.zeros(len(pos))
+    for k in _back(pos, n):
+        of = slice(0, len(pos) - k)
+        there = (pos[k:] > k) & known[of]
+        more = count[k:] + 1.0
+        delta = values[of] - mean[k:]
+        step = delta / more
+        squares[k:] = np.where(there, squares[k:] + delta * (delta - step), squares[k:])
+        mean[k:] = np.where(there, mean[k:] + step, mean[k:])
+        count[k:] = np.where(there, more, count[k:])
+    return count, squares
+
+
 def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 20,
                     rsi_period: int = 14, key="symbol", order: str = "trade_date",
                     price: str = "close_price",
@@ -145,19 +245,32 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
 
     if not stored:
         df = staged(df, "t1_input")
+    # rows without a key are no series: they would only fill up one
+    kinds = {c: T.DoubleType() for c in out_cols} | ({fill_as: df.schema[price].dataType} if fill_as else {})
+    nameless = df.where(~key_ok).select(*base_cols, *[
+        (_filled(price, known) if c == fill_as else F.lit(None)).cast(t).alias(c) for c, t in kinds.items()])
+    out = _keyed_analytics(df.where(key_ok), ma_windows, vol_window, rsi_period, keys, order, price, rows_per_block, bucket,
+                           tuple(tie_break), known, fill_as, key_ok)
+    return out.select(*base_cols, *out_cols).unionByName(nameless)
+
+
+def _keyed_analytics(df: DataFrame, ma_windows, vol_window: int, rsi_period: int, keys: list[str], order: str, price: str,
+                     rows_per_block: int, bucket: str, tie_break: tuple, known: str | None, fill_as: str | None,
+                     key_ok: Column) -> DataFrame:
+    """T1 of stored rows with whole keys, in blocks."""
     halo = max(max(ma_windows) - 1, vol_window, rsi_period)
     R = max(int(rows_per_block), halo)
     # Series longer than a block: at most rows / R of them.  Counting them
     # reads only the key columns; with none, every series is one block.
     long_keys, n_long = _long_series(df, keys, R)
     if n_long == 0:
-        return stock_analytics(df, ma_windows, vol_window, rsi_period, key, order, price,
+        return stock_analytics(df, ma_windows, vol_window, rsi_period, keys, order, price,
                                rows_per_block=None, tie_break=tie_break, known=known, fill_as=fill_as)
     same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
     long_rows = df.join(long_keys, same_key, "left_semi")
     while True:
         cells = long_rows.withColumn("_bkt", F.date_trunc(bucket, F.col(order).cast("timestamp_ntz")))
-        stats, biggest = _count_table(cells, keys, order, _filled(price, known), tuple(tie_break), R, halo)
+        stats, biggest = _count_table(cells, keys, order, _filled(price, known), tie_break, R, halo)
         if biggest <= R or bucket not in FINER_BUCKET:
             break
         # a cell larger than a block would make one oversized block: refine
@@ -176,9 +289,8 @@ def stock_analytics(df: DataFrame, ma_windows=(20, 50, 200), vol_window: int = 2
     placed = placed.withColumn("_blk", F.explode(targets)).drop("_lo", "_hi")
 
     out = _indicator_columns(placed, keys + ["_blk"], order, price, ma_windows,
-                             vol_window, rsi_period, F.col("_carry"), key_ok, tuple(tie_break), known, fill_as)
-    out = out.where(F.col("_blk") == F.col("_own"))
-    return out.select(*base_cols, *out_cols)
+                             vol_window, rsi_period, F.col("_carry"), key_ok, tie_break, known, fill_as)
+    return out.where(F.col("_blk") == F.col("_own"))
 
 
 def stock_analytics_incremental(batch: DataFrame, state: Table, batch_id: str, ma_windows=(20, 50, 200),

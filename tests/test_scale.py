@@ -16,6 +16,36 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def _prices(spark):
+    r = random.Random(5)
+    odd = [None, float("nan"), 0.0, float("inf")]
+    rows = [(s, dt.date(2020, 1, 1) + dt.timedelta(days=i), r.choice(odd) if r.random() < 0.2 else r.random() * 100)
+            for s, n in (("A", 1), ("B", 30), ("C", 420), (None, 300)) for i in range(n)]
+    return spark.createDataFrame(rows, "symbol STRING, trade_date DATE, close_price DOUBLE").repartition(3)
+
+
+@pytest.mark.parametrize("rows_per_block", [None, 210])
+def test_frames_equal_the_windows(spark, monkeypatch, rows_per_block):
+    df = _prices(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")  # series span batches
+    try:
+        out = indicators.stock_analytics(df, rows_per_block=rows_per_block)
+        assert "MapInArrow" in _plan(out)
+        got = sorted(map(repr, out.collect()))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    monkeypatch.setattr(indicators, "_passes_arrow", lambda _: False)
+    windows = indicators.stock_analytics(df, rows_per_block=rows_per_block)
+    assert "MapInArrow" not in _plan(windows) and got == sorted(map(repr, windows.collect()))
+
+
+def test_rows_without_a_key_are_no_series(spark):
+    df = _prices(spark).where("symbol IS NULL OR symbol = 'B'")
+    out = indicators.stock_analytics(df, rows_per_block=210)
+    assert "Join" not in _plan(out)  # no series is longer than a block
+    assert out.where("symbol IS NULL AND daily_return IS NULL AND moving_avg_20d IS NULL").count() == 300
+
+
 def test_flawed_quotes_are_derived_once(spark, tmp_dir):
     from finspark.plans.q_jobs import _flawed_quotes
     rows = [(i, float(q), 10.0, dt.datetime(2024, 1, 1)) for i, q in enumerate((7, 10, 70, 3))]
