@@ -336,8 +336,9 @@ def stock_analytics_incremental(batch: DataFrame, state: Table, batch_id: str, m
         if late:
             raise ValueError(f"rows of the batch do not come after the state: {late[0]}")
         both = both.unionByName(old.withColumn("__new", F.lit(False)), allowMissingColumns=True)
+    # batch and state are read from files
     out = staged(stock_analytics(both, ma_windows, vol_window, rsi_period, keys, order, price, rows_per_block,
-                                 tie_break=tie_break, known="__known", fill_as="__fill"), "t1_result")
+                                 stored=True, tie_break=tie_break, known="__known", fill_as="__fill"), "t1_result")
     # the last rows of each key; Spark cuts a key to that many in each task before the shuffle
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in (order, *tie_break)])
     whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])

@@ -46,6 +46,16 @@ def test_rows_without_a_key_are_no_series(spark):
     assert out.where("symbol IS NULL AND daily_return IS NULL AND moving_avg_20d IS NULL").count() == 300
 
 
+def test_a_batch_and_its_state_are_not_written_again(spark, tmp_dir, monkeypatch):
+    names, staged = [], indicators.staged
+    monkeypatch.setattr(indicators, "staged", lambda df, name: names.append(name) or staged(df, name))
+    state = Table(spark, f"{tmp_dir}/state")
+    q = _prices(spark).where("symbol IS NOT NULL")
+    for i, part in enumerate(("trade_date < '2020-03-01'", "trade_date >= '2020-03-01'")):
+        indicators.stock_analytics_incremental(q.where(part), state, str(i))
+    assert "t1_result" in names and "t1_input" not in names
+
+
 def test_flawed_quotes_are_derived_once(spark, tmp_dir):
     from finspark.plans.q_jobs import _flawed_quotes
     rows = [(i, float(q), 10.0, dt.datetime(2024, 1, 1)) for i, q in enumerate((7, 10, 70, 3))]
