@@ -228,7 +228,8 @@ def cross_field_violation(c1: str, c2: str, rule: Callable[[Column, Column], Col
 
 # --------------------------------------------------------------- compiler
 def _key_digest(df: DataFrame, columns: list[str]) -> Column:
-    """256 bits of the columns' values: each as its text with the text's length before it, or as missing."""
+    """The columns' values, each as its text with the text's length before it, or as missing; texts of 32 bytes
+    and more as their 256 bits, so that none of them equals a shorter one."""
     def part(c):
         dtype, v = df.schema[c].dataType, F.col(c)
         if isinstance(dtype, (T.FloatType, T.DoubleType)):
@@ -238,7 +239,8 @@ def _key_digest(df: DataFrame, columns: list[str]) -> Column:
         text = F.hex(v) if isinstance(dtype, T.BinaryType) else v.cast("string")
         return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
-    return F.unhex(F.sha2(F.concat(*[part(c) for c in columns]), 256))
+    text = F.concat(*[part(c) for c in columns])
+    return F.when(F.octet_length(text) < 32, text.cast("binary")).otherwise(F.unhex(F.sha2(text, 256)))
 
 
 class _Plan:
@@ -263,15 +265,16 @@ class _Plan:
 
         One distinct count stands in the aggregate with the rest.  Several would
         multiply every row with all its columns there (Expand); they have one
-        scan of their own instead, which gives the digest of every key and counts
-        digests by partial aggregation (256 bits: equal digests, equal keys)."""
+        scan of their own instead, which gives every key in a short form and counts
+        the different ones (long keys by 256 bits: equal digests, equal keys).  Short
+        keys stay as they are: they shuffle and spill in fewer bytes than a digest."""
         named = [e.alias(f"m{i}") for i, e in enumerate(self.aggs)]
         if len(self.unique) < 2:
             return df.agg(*named)
         none = F.lit(None).cast("bigint")
         plain = df.agg(*[none.alias(f"m{i}") if i in self.unique else e for i, e in enumerate(named)])
         keys = F.array(*[F.struct(F.lit(i).alias("i"), _key_digest(df, cols).alias("d")) for i, cols in self.unique.items()])
-        counts = (df.select(F.explode(keys).alias("k")).groupBy("k.i", "k.d").agg(F.count(F.lit(1)).alias("_n"))
+        counts = (df.select(F.explode(keys).alias("k")).select("k.i", "k.d").distinct()
                   .agg(*[F.count_if(F.col("i") == i).alias(f"m{i}") if i in self.unique else none.alias(f"m{i}")
                          for i in range(len(named))]))
         # one row each: every value is a count and stands in one of them

@@ -111,3 +111,11 @@ def test_surrogate_key_ranges_are_bounded(spark, monkeypatch):
     df = spark.range(3000).select(F.lit("x").alias("o"), "id")
     ids = sorted(r.n for r in surrogate_key(df, "o", "n", rows_per_partition=10).collect())
     assert asked == [20] and ids == list(range(1, 3001))
+
+
+def test_short_keys_are_no_longer_than_themselves(spark):
+    rows = [(1, "ab", "c"), (1, "a", "bc"), (None, None, "-"), (2, "x" * 40, "y"), (2, "x" * 41, "y"), (3, "é" * 15, "")]
+    df = spark.createDataFrame(rows, "a LONG, b STRING, c STRING")
+    keys = [bytes(r[0]) for r in df.select(_key_digest(df, ["a", "b", "c"])).collect()]
+    assert len(set(keys)) == len(rows) and [len(k) for k in keys][3:] == [32, 32, 32]
+    assert max(len(k) for k in keys[:3]) < 12
