@@ -128,6 +128,25 @@ def staged(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_end_with_actions(spark: SparkSession):
+    """Shuffle files of an action made inside are removed when it ends, not when
+    the driver happens to collect its garbage: the steps of a job do not add up
+    on disk.  A frame run twice inside makes its shuffle files again."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def observed(obs) -> dict:
     """The metrics of an Observation; empty when AQE proved the input empty and
     dropped the plan (its metric row then has no schema).  Other errors are raised."""

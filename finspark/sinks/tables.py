@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+from collections.abc import Iterable
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -48,7 +49,7 @@ def _stored_as(schema: T.StructType, texts) -> T.StructType:
 
 
 def stage(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-          partition_by=None) -> str:
+          partition_by=None, compression: str | None = None) -> str:
     """K1: write a frame as parquet / csv / jsonl under ``path``; returns the path.
 
     A ``_schema.json`` beside the files keeps the types.  CSV fields are quoted
@@ -68,6 +69,8 @@ def stage(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite
     if fmt == "csv":
         df = df.select(*[c if c in parts else to_field(F.col(f"`{c}`"), schema[c].dataType).alias(c) for c in df.columns])
     w = df.write.mode(mode).format(FORMATS[fmt])
+    if compression:
+        w = w.option("compression", compression)
     if fmt == "csv":
         w = w.option("header", True).option("quoteAll", True).option("escape", '"')
         w = w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
@@ -174,11 +177,13 @@ class Table:
     key (e.g. the month of the trade date), which saves that scan.
 
     ``keep_versions``: committed versions kept by an unpartitioned table.
+    ``compression``: the codec of the files, the session's by default.
     """
 
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec | None = None,
-                 partition_by=None, sort_by=None, partition_of_key: bool = False, keep_versions: int = 2):
-        self.spark, self.root, self.spec = spark, root.rstrip("/"), spec
+                 partition_by=None, sort_by=None, partition_of_key: bool = False, keep_versions: int = 2,
+                 compression: str | None = None):
+        self.spark, self.root, self.spec, self.compression = spark, root.rstrip("/"), spec, compression
         self.partition_of_key, self.keep_versions = partition_of_key, max(1, int(keep_versions))
         self.partition_by = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
         # sorted files: Parquet min/max statistics then skip row groups for
@@ -253,10 +258,11 @@ class Table:
         return self.spark.read.schema(_stored_as(self._schema(), self.partition_by)).parquet(self.data_path)
 
     def _writer(self, df: DataFrame, mode: str):
+        options = {"compression": self.compression} if self.compression else {}
         if not self.partition_by:
             if self.sort_by:
                 df = df.sortWithinPartitions(*self.sort_by)
-            return df.write.mode(mode)
+            return df.write.mode(mode).options(**options)
         # Rebalance on the partition columns: each task writes few partition
         # folders (few files); AQE splits a hot partition value over several
         # tasks and merges small ones.  No sampling pass over the input.
@@ -265,7 +271,7 @@ class Table:
         if self.sort_by:
             rest = [c for c in self.sort_by if c not in self.partition_by]
             balanced = balanced.sortWithinPartitions(*self.partition_by, *rest)
-        return balanced.write.mode(mode).partitionBy(*self.partition_by)
+        return balanced.write.mode(mode).options(**options).partitionBy(*self.partition_by)
 
     def commit(self, df: DataFrame) -> int:
         """Replace the whole content; returns the rows written.  Unpartitioned:
@@ -298,6 +304,16 @@ class Table:
         """Partitioned tables: replace exactly the partitions present in ``df``
         (which must not read this table: materialize it first).  Partitions in
         ``touched`` (their texts) that ``df`` no longer holds are removed."""
+        written, left = self._overwrite(df, replace_schema)
+        fs, _ = self._fs()
+        for texts in touched or ():
+            if tuple(texts) not in left:
+                fs.delete(self._path("data", *self._folders(texts)), True)
+        self._mark()
+        return written
+
+    def _overwrite(self, df: DataFrame, replace_schema: bool = False) -> tuple[int, set[tuple]]:
+        """Write the partitions in ``df``; returns the rows written and the partitions' texts."""
         # one evaluation of df: rows and partition texts are observed by the write
         obs = Observation("replace_partitions")
         schema, df = df.schema, _partition_texts(df, self.partition_by)
@@ -309,20 +325,41 @@ class Table:
         if new or replace_schema:
             write_text(self.spark, f"{self.data_path}/{SCHEMA_FILE}",
                        json.dumps({"schema": schema.jsonValue(), "partition_by": self.partition_by}))
-        fs, _ = self._fs()
-        if touched:
-            left = {tuple(r) for r in observed(obs).get("values") or ()}
-            escape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-            for texts in touched:
-                if tuple(texts) not in left:
-                    parts = [f"{escape(c)}={HIVE_NULL if v is None else escape(v)}" for c, v in zip(self.partition_by, texts)]
-                    fs.delete(self._path("data", *parts), True)
-        # dynamic overwrite writes no _SUCCESS at the root: mark the committed
-        # table here, after the job succeeded
-        marker = self._path("data", "_SUCCESS")
+        return written, {tuple(r) for r in observed(obs).get("values") or ()}
+
+    def _folders(self, texts) -> list[str]:
+        """The nested folders of a partition."""
+        escape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        return [f"{escape(c)}={HIVE_NULL if v is None else escape(v)}" for c, v in zip(self.partition_by, texts)]
+
+    def _mark(self) -> None:
+        """Dynamic overwrite writes no _SUCCESS at the root: a partitioned table
+        is marked as committed here, after its job succeeded."""
+        fs, marker = self._fs()[0], self._path("data", "_SUCCESS")
         if not fs.exists(marker):
             fs.create(marker, True).close()
-        return written
+
+    def take_partitions(self, made: "Table", touched: list[tuple] = ()) -> None:
+        """Partitioned tables: replace the partitions that ``made`` holds, a table
+        of the same columns on the same file system, by its folders, which are
+        moved here.  Partitions in ``touched`` that ``made`` lacks are removed."""
+        fs, _ = self._fs()
+        if not self.exists():
+            write_text(self.spark, f"{self.data_path}/{SCHEMA_FILE}", read_text(self.spark, f"{made.data_path}/{SCHEMA_FILE}"))
+        found = [[]]
+        for _ in self.partition_by:
+            found = [[*parts, name] for parts in found for st in fs.listStatus(made._path("data", *parts))
+                     if st.isDirectory() and "=" in (name := st.getPath().getName()) and name[0] not in "._"]
+        for parts in found:
+            to = self._path("data", *parts)
+            fs.mkdirs(to.getParent())
+            fs.delete(to, True)
+            if not fs.rename(made._path("data", *parts), to):
+                raise OSError(f"{made._path('data', *parts)} could not be moved to {to}")
+        for texts in touched:
+            if (parts := self._folders(texts)) not in found:
+                fs.delete(self._path("data", *parts), True)
+        self._mark()
 
     def touched(self, df: DataFrame) -> DataFrame:
         """Distinct partitions (texts) that the rows of ``df`` belong to."""
@@ -508,13 +545,67 @@ def upsert(df: DataFrame, table: Table, key, update_columns=None,
     merges = table.partition_by and table.exists()
     if not stored and (merges or any(df.schema[k].nullable for k in key)):
         df = staged(df, "upsert_batch")
+    merged, touched, counts, scratch = _merged(df, table, key, update_columns, order_col, known)
+    if not table.exists():
+        return table.commit(merged)
+    if table.partition_by:
+        # dynamic overwrite removes the files that are read here only after the last task
+        table.replace_partitions(merged, touched)
+    else:
+        table.commit(merged)
+    for path in scratch:
+        remove_path(table.spark, path)
+    return sum(map(observed_rows, counts))
+
+
+def upsert_slices(slices: Iterable[DataFrame], table: Table, key, update_columns: list[str],
+                  order_col: str | None = None) -> int:
+    """K5 of a batch that comes as several frames read from files, one after the
+    other, to a table whose partition columns are functions of the key.  Rows of
+    one partition must be in one frame.
+
+    Shuffle files then are those of one frame.  What the frames make is written
+    beside the table and moved there when all are written, so a failure before
+    that leaves the table as it was.  A frame may be removed as soon as the next
+    one is asked for.  Returns what ``upsert`` does."""
+    if not (table.partition_by and table.partition_of_key and update_columns):
+        raise ValueError("slices need a table partitioned by functions of its key, and columns to update")
+    key = [key] if isinstance(key, str) else list(key)
+    spark, known, exists = table.spark, _known_columns(table), table.exists()
+    pending = Table(spark, f"{table.root}/pending", partition_by=table.partition_by, sort_by=table.sort_by,
+                    compression=table.compression)
+    remove_path(spark, pending.root)
+    applied, replaced, written = 0, set(), set()
+    try:
+        for df in slices:
+            merged, touched, counts, scratch = _merged(df, table, key, update_columns, order_col, known)
+            rows, made = pending._overwrite(merged)
+            pending._mark()
+            if (made | set(touched)) & (replaced | written):
+                raise ValueError(f"rows of one partition stand in several slices: {sorted(made & written, key=str)}")
+            replaced, written = replaced | set(touched), written | made
+            applied += sum(map(observed_rows, counts)) if exists else rows
+            for path in scratch:
+                remove_path(spark, path)
+        if pending.exists():
+            table.take_partitions(pending, sorted(replaced - written, key=str))
+    finally:
+        remove_path(spark, pending.root)
+    return applied
+
+
+def _merged(df: DataFrame, table: Table, key: list[str], update_columns: list[str], order_col: str | None,
+            known: dict[str, T.DataType]) -> tuple[DataFrame, list[tuple], list[Observation], list[str]]:
+    """What an upsert writes: the batch ``df``, merged with the table's rows (of a partitioned table those
+    of the partitions that change) where the table exists; then also the texts of these partitions, counts of
+    the rows applied, and scratch folders to be removed when the rows are written."""
     df = _keys_as_stored(df, key, known)
     keyed, nameless = _by_key(df, key)
     src = _one_per_key(keyed, key, order_col, last=True)
     if order_col and order_col not in known:
         src, nameless = src.drop(order_col), nameless and nameless.drop(order_col)
     if not table.exists():
-        return table.commit(_and(src, nameless))
+        return _and(src, nameless), [], [], []
     spark, tgt = table.spark, table.read()
     cols = tgt.columns
     scratch, touched, counts = [], None, []
@@ -550,14 +641,7 @@ def upsert(df: DataFrame, table: Table, key, update_columns=None,
             e = F.when(tgt_present, F.col(c)).otherwise(F.col(f"s__{c}"))
         out.append(e.alias(c))
     merged = _and(_and(j.select(*out), t_nameless), nameless and _align_to(nameless, tgt))
-    if table.partition_by:
-        # dynamic overwrite removes the files that are read here only after the last task
-        table.replace_partitions(merged, touched)
-    else:
-        table.commit(merged)
-    for path in scratch:
-        remove_path(spark, path)
-    return sum(map(observed_rows, counts))
+    return merged, touched or [], counts, scratch
 
 
 def _rewrite(table: Table, cond: Column, rewrite, moves: bool = False) -> int:
