@@ -4,8 +4,9 @@ Spark application over versioned paths (scheduling itself is not built).
     quotes --(stage)--> staged parquet --(one rule aggregate)--> quality log
            --(T1, K7 conform)--> rejects table; upsert into analytics table --> run log
 
-Large runs compute and load their rows in slices, so that shuffle files are those of one slice.  Counts come from Observations taken while writing; validation never gates
-(non-strict), matching the source job, unless ``strict=True``.
+Counts come from Observations taken while writing; validation never gates
+(non-strict), matching the source job, unless ``strict=True``.  Large runs
+compute and load their rows in slices, so shuffle files are those of one slice.
 """
 
 from __future__ import annotations
